@@ -19,10 +19,11 @@ UPDATE_MASK = "__$update_mask"
 CHANGE_COLUMNS = (START_LSN, SEQVAL, OPERATION, UPDATE_MASK)
 
 INGESTED_AT = "bronze_ingestion_timestamp"
+BATCH_ID = "bronze_batch_id"
 CDC_TO = "bronze_cdc_to_lsn"
 AUDIT_COLUMNS = (
     INGESTED_AT,
-    "bronze_batch_id",
+    BATCH_ID,
     "bronze_table_id",
     "bronze_source_system",
     "bronze_source_schema",

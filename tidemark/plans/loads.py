@@ -7,6 +7,7 @@ same statement as its content.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -29,7 +30,7 @@ from ..operators import (
     unprocessed_batches,
     with_audit_columns,
 )
-from ..operators.ingest import BATCH_DATE, CDC_TO, INGESTED_AT
+from ..operators.ingest import BATCH_DATE, BATCH_ID, CDC_TO, INGESTED_AT
 from ..sources.base import Source
 from ..sources.tables import TableStore
 from ..spec import LoadStrategy, TableSpec
@@ -50,6 +51,8 @@ class LoadResult:
     # Watermark, log position or applied batch after the step.
     mark: str | None
     changed: bool
+    # Id of the raw batch that was written.
+    batch_id: str | None = None
 
 
 def load_raw(store: TableStore, spec: TableSpec, source: Source) -> LoadResult:
@@ -58,10 +61,15 @@ def load_raw(store: TableStore, spec: TableSpec, source: Source) -> LoadResult:
         return _load_snapshot(store, spec, source)
     if spec.strategy is LoadStrategy.INCREMENTAL_CDC:
         return _load_changes(store, spec, source)
-    last = raw_watermark(store, spec)
-    rows = with_audit_columns(source.rows(spec, last), spec, source.system, last_watermark=last)
+    last, batch_id = raw_watermark(store, spec), str(uuid.uuid4())
+    rows = with_audit_columns(source.rows(spec, last), spec, source.system, last_watermark=last, batch_id=batch_id)
     highest = watermark_text(F.max(column(spec.watermark_column)))
-    return _append(store, spec, rows, highest, unchanged=last)
+    return _append(store, spec, rows, batch_id, highest, unchanged=last)
+
+
+def preview(store: TableStore, spec: TableSpec, batch_id: str, n: int = 5) -> DataFrame:
+    """A few rows of a raw batch as it was written; the source is not read again."""
+    return store.read(spec.raw_table).filter(column(BATCH_ID) == batch_id).limit(n)
 
 
 def _load_snapshot(store: TableStore, spec: TableSpec, source: Source) -> LoadResult:
@@ -69,14 +77,15 @@ def _load_snapshot(store: TableStore, spec: TableSpec, source: Source) -> LoadRe
     if spec.baseline_capture_instance:
         # Taken before the rows are read: a change in between is then applied twice rather than never.
         position = source.max_position(spec.baseline_capture_instance)
-    rows = with_audit_columns(source.rows(spec), spec, source.system, cdc_to=position)
+    batch_id = str(uuid.uuid4())
+    rows = with_audit_columns(source.rows(spec), spec, source.system, cdc_to=position, batch_id=batch_id)
     observed = Observation()
     store.replace(
         rows.observe(observed, F.count(F.lit(1)).alias("rows")),
         spec.raw_table,
         {POSITION: position} if position else None,
     )
-    return LoadResult(spec.table_id, observed.get["rows"], position, changed=True)
+    return LoadResult(spec.table_id, observed.get["rows"], position, changed=True, batch_id=batch_id)
 
 
 def _load_changes(store: TableStore, spec: TableSpec, source: Source) -> LoadResult:
@@ -89,16 +98,17 @@ def _load_changes(store: TableStore, spec: TableSpec, source: Source) -> LoadRes
         if lower == upper:
             return LoadResult(spec.table_id, 0, upper, changed=False)
         check_log_reaches(spec, lower, source.min_position(feed.capture_instance))
+    batch_id = str(uuid.uuid4())
     rows = with_audit_columns(
-        source.changes(feed, lower, upper), spec, source.system, cdc_from=lower, cdc_to=upper
+        source.changes(feed, lower, upper), spec, source.system, cdc_from=lower, cdc_to=upper, batch_id=batch_id
     )
-    result = _append(store, spec, rows, None, unchanged=upper)
+    result = _append(store, spec, rows, batch_id, None, unchanged=upper)
     store.set_property(spec.raw_table, POSITION, upper)
     return result
 
 
 def _append(
-    store: TableStore, spec: TableSpec, rows: DataFrame, highest: Column | None, unchanged: str | None
+    store: TableStore, spec: TableSpec, rows: DataFrame, batch_id: str, highest: Column | None, unchanged: str | None
 ) -> LoadResult:
     """Append one batch; row count and highest watermark are observed by the write itself."""
     observed = Observation()
@@ -109,7 +119,7 @@ def _append(
     watched = dated.observe(observed, *[metric.alias(name) for name, metric in metrics.items()])
     store.append(watched, spec.raw_table, partition_by=[BATCH_DATE])
     seen = observed.get
-    return LoadResult(spec.table_id, seen["rows"], seen.get("mark") or unchanged, changed=seen["rows"] > 0)
+    return LoadResult(spec.table_id, seen["rows"], seen.get("mark") or unchanged, seen["rows"] > 0, batch_id)
 
 
 def check_log_reaches(spec: TableSpec, lower: str, lowest: str | None) -> None:
