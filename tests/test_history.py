@@ -95,32 +95,68 @@ def test_batches(spark):
     assert latest_batch(df.filter("v > 9"), "batch").count() == 0
 
 
+FORMS = pytest.mark.parametrize("form", [{"small_history_bytes": 1 << 62}, {"small_history_bytes": 0}], ids=["small", "large"])
 VERSION = st.tuples(st.integers(0, 3), st.integers(0, 6))
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.lists(VERSION, max_size=8), min_size=1, max_size=3))
-def test_append_versions_batch_by_batch_equals_at_once(spark, batches):
+@FORMS
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batches=st.lists(st.lists(VERSION, max_size=8), min_size=1, max_size=3))
+def test_append_versions_batch_by_batch_equals_at_once(spark, form, batches):
     def frame(rows):
         return spark.createDataFrame(rows, "k int, at int")
 
     history = None
     for batch in batches:
-        applied = append_versions(history, frame(batch), ["k"], ["at"])
+        applied = append_versions(history, frame(batch), ["k"], ["at"], **form)
         history = spark.createDataFrame(applied.collect(), applied.schema)
     everything = {row for batch in batches for row in batch}
     newest = {k: max(at for key, at in everything if key == k) for k, _ in everything}
     expected = sorted((k, at, int(newest[k] == at)) for k, at in everything)
     assert sorted(map(tuple, history.collect())) == expected
 
-    again = append_versions(history, frame(batches[-1]), ["k"], ["at"])
+    again = append_versions(history, frame(batches[-1]), ["k"], ["at"], **form)
     assert sorted(map(tuple, again.collect())) == expected
 
 
-def test_append_versions_keeps_first_of_equal_versions(spark):
+@FORMS
+def test_append_versions_keeps_first_of_equal_versions(spark, form):
     batch = spark.createDataFrame([(1, 5, "late", 2), (1, 5, "early", 1)], "k int, at int, v string, seen int")
     got = append_versions(None, batch, ["k"], ["at"], prefer=["seen"]).collect()
     assert [(r["v"], r["is_current"]) for r in got] == [("early", 1)]
     stored = spark.createDataFrame([(1, 5, "stored", 0, 1)], "k int, at int, v string, seen int, is_current int")
-    got = append_versions(stored, batch, ["k"], ["at"], prefer=["seen"]).collect()
+    got = append_versions(stored, batch, ["k"], ["at"], prefer=["seen"], **form).collect()
     assert [r["v"] for r in got] == ["stored"]
+
+
+@FORMS
+def test_append_versions_of_a_hot_key(spark, form):
+    rows = skewed_rows(4)
+    rows = [(0 if k is None else k, at, tie) for k, at, tie in rows]
+    old = spark.createDataFrame(rows[::2], "k int, at int, tie int")
+    batch = spark.createDataFrame(rows[::3] + rows[1::2], "k int, at int, tie int")
+    history = current_flag(old, ["k"], ["at", "tie"])
+    got = append_versions(history, batch, ["k"], ["at", "tie"], **form, **HOT)
+    assert sorted(map(tuple, got.collect())) == sorted((k, at, tie, c) for k, at, tie, _, _, c in brute_force(rows))
+
+
+def test_small_history_is_shuffled_and_sorted_once(spark, tmp_path):
+    path = str(tmp_path / "h")
+    spark.range(100).selectExpr("id AS k", "id AS at", "'v' AS v", "1 AS is_current").write.parquet(path)
+    history = spark.read.parquet(path)
+    added = append_versions(history, history.drop("is_current"), ["k"], ["at"], prefer=["v"])
+    plan = added._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("+- Sort ") == 1
+
+
+def test_large_history_is_not_shuffled_for_a_small_batch(spark, tmp_path):
+    path = str(tmp_path / "h")
+    spark.range(100).selectExpr("id AS k", "id AS at", "repeat('v', 9) AS v", "1 AS is_current").write.parquet(path)
+    history = spark.read.parquet(path)
+    batch = spark.range(3).selectExpr("id AS k", "id + 7 AS at", "'new' AS v")
+    kept = append_versions(history, batch, ["k"], ["at"], small_history_bytes=0)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    passing = plan[: plan.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in passing and "Exchange hashpartitioning" not in passing
+    assert "PushedFilters: [IsNotNull(at)" in plan
+    assert kept.filter("is_current = 1").count() == 100 and kept.count() == 103

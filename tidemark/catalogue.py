@@ -64,6 +64,33 @@ def timestamp(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+# The test tables' columns.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": (
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE"
+    ),
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    ),
+}
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return read_parquet(spark, sf, name, SCHEMAS[name])
+
+
 # --- Stand-in inputs -------------------------------------------------------------------------------------------
 
 EVENT_OPERATIONS = {"error": "1", "signup": "2", "view": "3"}
@@ -73,7 +100,7 @@ OTHER_OPERATION = "4"
 
 def event_changes(spark: SparkSession, sf: str) -> DataFrame:
     operation = case_of(F.col("event_type"), EVENT_OPERATIONS, OTHER_OPERATION).cast("int")
-    return read_parquet(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         "user_id",
         F.col("ts").alias("start_lsn"),
         F.col("event_id").alias("seqval"),
@@ -90,7 +117,7 @@ EVENT_CHANGES = """
 
 
 def event_range(spark: SparkSession, sf: str) -> DataFrame:
-    events = read_parquet(spark, sf, "events")
+    events = table(spark, sf, "events")
 
     def first_at(day: str) -> Column:
         return events.filter(F.col("ts") >= timestamp(day)).agg(F.min("ts").alias("first")).scalar()
@@ -105,7 +132,7 @@ EVENT_RANGE = f"""
 
 
 def addresses(spark: SparkSession, sf: str) -> DataFrame:
-    nation, region = read_parquet(spark, sf, "nation"), read_parquet(spark, sf, "region")
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     named = F.when(F.col("n_nationkey") % 5 != 0, F.col("n_name"))
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").cast("bigint").alias("AddressID"),
@@ -132,7 +159,7 @@ ADDRESSES = """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(0 AS INT) AS is_deleted FROM customer""")
 def full_snapshot_select(spark: SparkSession, sf: str) -> DataFrame:
     columns = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    return default_delete_flag(select_columns(read_parquet(spark, sf, "customer"), columns))
+    return default_delete_flag(select_columns(table(spark, sf, "customer"), columns))
 
 
 @query("""
@@ -140,14 +167,14 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate
 FROM orders WHERE o_orderdate > CAST('1998-01-01 00:00:00' AS TIMESTAMP)""")
 def incremental_watermark_select(spark: SparkSession, sf: str) -> DataFrame:
     columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    orders = read_parquet(spark, sf, "orders")
+    orders = table(spark, sf, "orders")
     return select_columns(select_incremental(orders, "o_orderdate", "1998-01-01 00:00:00"), columns)
 
 
 @query("""
 SELECT CAST(MAX(o_orderdate) AS VARCHAR) AS max_watermark FROM orders""")
 def watermark_max(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_parquet(spark, sf, "orders")
+    orders = table(spark, sf, "orders")
     return orders.agg(watermark_text(F.max("o_orderdate")).alias("max_watermark"))
 
 
@@ -159,32 +186,32 @@ def cdc_range_select(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT MIN(ts) AS min_lsn, MAX(ts) AS max_lsn FROM events""")
 def cdc_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    return position_bounds(read_parquet(spark, sf, "events"), "ts")
+    return position_bounds(table(spark, sf, "events"), "ts")
 
 
 @query("""
 SELECT * FROM part WHERE p_partkey = 680""")
 def point_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return read_parquet(spark, sf, "part").filter(F.col("p_partkey") == 680)
+    return table(spark, sf, "part").filter(F.col("p_partkey") == 680)
 
 
 @query("""
 SELECT p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 5""")
 def topn_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return read_parquet(spark, sf, "part").select("p_partkey", "p_name").orderBy("p_partkey").limit(5)
+    return table(spark, sf, "part").select("p_partkey", "p_name").orderBy("p_partkey").limit(5)
 
 
 @query("""
 SELECT COUNT(*) AS n FROM lineitem""")
 def row_count(spark: SparkSession, sf: str) -> DataFrame:
-    return read_parquet(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""
 SELECT event_id, '0x' || lpad(upper(to_hex(event_id)), 20, '0') AS lsn FROM events""")
 def lsn_hex_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     text = F.concat(F.lit("0x"), F.lpad(F.hex("event_id"), 20, "0"))
-    return read_parquet(spark, sf, "events").select("event_id", lsn_hex(lsn_bytes(text)).alias("lsn"))
+    return table(spark, sf, "events").select("event_id", lsn_hex(lsn_bytes(text)).alias("lsn"))
 
 
 @query("""
@@ -203,7 +230,7 @@ def bronze_metadata(spark: SparkSession, sf: str) -> DataFrame:
         primary_key=("c_custkey",),
         strategy=LoadStrategy.FULL_SNAPSHOT,
     )
-    customers = read_parquet(spark, sf, "customer").select("c_custkey")
+    customers = table(spark, sf, "customer").select("c_custkey")
     # Ingestion time and batch id differ from run to run, so they are left out of the comparison.
     stamped = with_audit_columns(customers, spec, source_system="parquet")
     return stamped.drop("bronze_ingestion_timestamp", "bronze_batch_id")
@@ -215,7 +242,7 @@ def bronze_metadata(spark: SparkSession, sf: str) -> DataFrame:
 def event_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Events with the day as batch; ``date_trunc`` gives a zoned timestamp, hence the cast back."""
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
-    return read_parquet(spark, sf, "events").withColumn("batch_ts", day)
+    return table(spark, sf, "events").withColumn("batch_ts", day)
 
 
 @query("""
@@ -241,7 +268,7 @@ FROM (SELECT o.*, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate
       FROM orders o WHERE o_orderdate > CAST('1998-01-01 00:00:00' AS TIMESTAMP)) p
 WHERE rn = 1""")
 def merge_pending_batches(spark: SparkSession, sf: str) -> DataFrame:
-    pending = select_incremental(read_parquet(spark, sf, "orders"), "o_orderdate", "1998-01-01 00:00:00")
+    pending = select_incremental(table(spark, sf, "orders"), "o_orderdate", "1998-01-01 00:00:00")
     rows = pending.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     return latest_per_key(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select(
         "o_custkey", F.col("o_orderkey").alias("last_order"), F.col("o_totalprice").alias("last_total")
@@ -276,7 +303,7 @@ BASELINE_DAY = "1996-10-01"
 def order_changes(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as the change feed of one row per customer, with the feed's own column names."""
     operation = case_of(F.col("o_orderpriority"), ORDER_OPERATIONS, OTHER_OPERATION).cast("int")
-    return read_parquet(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         F.col("o_orderdate").alias(START_LSN),
         F.col("o_orderkey").alias(SEQVAL),
         operation.alias(OPERATION),
@@ -324,7 +351,7 @@ SELECT event_type AS capture_instance, MIN(ts) AS min_lsn,
        CASE WHEN MIN(ts) > CAST('2024-01-01 00:10:00' AS TIMESTAMP) THEN 1 ELSE 0 END AS has_gap
 FROM events GROUP BY event_type""")
 def cdc_gap_check(spark: SparkSession, sf: str) -> DataFrame:
-    feed = read_parquet(spark, sf, "events").withColumnRenamed("event_type", "capture_instance")
+    feed = table(spark, sf, "events").withColumnRenamed("event_type", "capture_instance")
     return change_log_gaps(feed, "ts", ["capture_instance"], timestamp("2024-01-01 00:10:00"))
 
 
@@ -347,7 +374,7 @@ FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN l_shipd
       FROM lineitem) x""", name="soft_delete_flag")
 def soft_delete_flag_rows(spark: SparkSession, sf: str) -> DataFrame:
     returned_at = F.when(F.col("l_returnflag") == "R", F.col("l_shipdate")).alias("discontinued_at")
-    lines = read_parquet(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", returned_at)
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", returned_at)
     return soft_delete_flag(lines, "discontinued_at")
 
 
@@ -359,7 +386,7 @@ FROM (SELECT p_partkey, CAST(0 AS DOUBLE) AS price, 0 AS is_deleted FROM part WH
 FULL OUTER JOIN (SELECT p_partkey, p_retailprice AS price, CASE WHEN p_type = 'ECONOMY' THEN 1 ELSE 0 END AS is_deleted
                  FROM part WHERE p_size > 10) s ON t.p_partkey = s.p_partkey""")
 def soft_delete_merge(spark: SparkSession, sf: str) -> DataFrame:
-    part = read_parquet(spark, sf, "part")
+    part = table(spark, sf, "part")
     target = default_delete_flag(
         part.filter(F.col("p_size") <= 40).select("p_partkey", F.lit(0.0).alias("price"))
     )
@@ -381,7 +408,7 @@ SELECT COALESCE(t.o_custkey, s.o_custkey) AS o_custkey,
        CASE WHEN s.o_custkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice
 FROM t FULL OUTER JOIN s ON t.o_custkey = s.o_custkey""", name="merge_upsert")
 def merge_upsert_rows(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_parquet(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
     keys, order, day = ["o_custkey"], ["o_orderdate", "o_orderkey"], "1998-01-01"
     target = latest_per_key(orders.filter(F.col("o_orderdate") <= timestamp(day)), keys, order).drop("o_orderdate")
     source = latest_per_key(select_incremental(orders, "o_orderdate", day), keys, order).drop("o_orderdate")
@@ -397,7 +424,7 @@ SELECT o_custkey, o_orderkey, o_orderdate,
             THEN 1 ELSE 0 END AS is_current
 FROM orders""")
 def scd_current_flag(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_parquet(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     return current_flag(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
@@ -408,7 +435,7 @@ SELECT o_custkey, o_orderkey, o_orderdate AS valid_from,
             THEN 1 ELSE 0 END AS is_current
 FROM orders""")
 def scd2_validity(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_parquet(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     return validity(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
@@ -422,7 +449,7 @@ SELECT o_custkey, o_orderkey,
             THEN 1 ELSE 0 END AS is_current
 FROM h""")
 def append_versions_rebuild(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_parquet(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     keys, order = ["o_custkey"], ["o_orderdate", "o_orderkey"]
     history = current_flag(orders.filter(F.col("o_orderdate") <= timestamp("1998-01-01")), keys, order)
     batch = select_incremental(orders, "o_orderdate", "1997-06-01")
@@ -440,7 +467,7 @@ SELECT p_partkey AS ProductID, p_name AS Name, p_brand AS ProductNumber, p_type
        CASE WHEN p_type = 'ECONOMY' THEN 1 ELSE 0 END AS is_deleted
 FROM part""", name="dim_product")
 def dim_product_mart(spark: SparkSession, sf: str) -> DataFrame:
-    product = read_parquet(spark, sf, "part").select(
+    product = table(spark, sf, "part").select(
         F.col("p_partkey").alias("ProductID"),
         F.col("p_name").alias("Name"),
         F.col("p_brand").alias("ProductNumber"),
@@ -488,7 +515,7 @@ FROM c
 LEFT JOIN (SELECT * FROM placed WHERE rn = 1 AND AddressType = 'Main Office') ma ON c.CustomerID = ma.CustomerID
 LEFT JOIN (SELECT * FROM placed WHERE rn = 1 AND AddressType = 'Shipping') sh ON c.CustomerID = sh.CustomerID""", name="dim_customer")
 def dim_customer_mart(spark: SparkSession, sf: str) -> DataFrame:
-    source = read_parquet(spark, sf, "customer")
+    source = table(spark, sf, "customer")
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     versions = source.select(
         key.alias("CustomerID"),
@@ -543,7 +570,7 @@ LEFT JOIN adr b ON h.o_orderkey % 25 = b.AddressID
 JOIN lineitem l ON h.o_orderkey = l.l_orderkey
 WHERE h.rn = 1 AND l.l_returnflag <> 'R'""", name="fact_sales")
 def fact_sales_mart(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_parquet(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
     )
     older = orders.withColumns(
@@ -565,7 +592,7 @@ def fact_sales_mart(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderpriority").alias("ShipMethod"),
         "is_current",
     )
-    detail = read_parquet(spark, sf, "lineitem").select(
+    detail = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("SalesOrderID"),
         F.col("l_linenumber").alias("SalesOrderDetailID"),
         F.col("l_quantity").alias("OrderQty"),
@@ -585,11 +612,11 @@ def fact_sales_mart(spark: SparkSession, sf: str) -> DataFrame:
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""")
 def unique_key_check(spark: SparkSession, sf: str) -> DataFrame:
-    return duplicate_keys(read_parquet(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return duplicate_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query("""
 SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
 def orphan_check(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_parquet(spark, sf, "orders").select("o_orderkey")
-    return orphans(orders, read_parquet(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    return orphans(orders, table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import column, flag, same_key
+from ..sizing import at_most
 from .ingest import INGESTED_AT
-from .skew import with_next
+from .skew import SMALL_FRAME_BYTES, with_next
 
 IS_CURRENT = "is_current"
 VALID_FROM = "valid_from"
@@ -39,20 +40,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 def current_flag(df: DataFrame, keys: Sequence[str], order: Sequence[str], **skew) -> DataFrame:
     """Add ``is_current``: 1 on the newest version of each key, else 0."""
-    following = with_next(df, keys, order, "_next", **skew)
-    return following.withColumn(IS_CURRENT, flag(F.col("_next").isNull())).drop("_next")
+    following = with_next(df, keys, order, **skew)
+    return following.withColumn(IS_CURRENT, flag(~F.col("_has_next"))).drop("_has_next", "_next")
 
 
 def validity(df: DataFrame, keys: Sequence[str], order: Sequence[str], **skew) -> DataFrame:
     """Add ``valid_from``, ``valid_to`` and ``is_current``; the newest version stays open."""
-    following = with_next(df, keys, order, "_next", **skew)
+    following = with_next(df, keys, order, **skew)
     return following.withColumns(
         {
             VALID_FROM: column(order[0]),
-            VALID_TO: F.col("_next").getField(order[0]),
-            IS_CURRENT: flag(F.col("_next").isNull()),
+            VALID_TO: F.col("_next"),
+            IS_CURRENT: flag(~F.col("_has_next")),
         }
-    ).drop("_next")
+    ).drop("_has_next", "_next")
 
 
 def append_versions(
@@ -61,33 +62,50 @@ def append_versions(
     keys: Sequence[str],
     order: Sequence[str],
     prefer: Sequence[str] = (),
+    small_history_bytes: int = SMALL_FRAME_BYTES,
     **skew,
 ) -> DataFrame:
     """History plus the versions of ``batch`` it does not hold yet, with ``is_current`` right for every key.
 
-    A version is identified by key and order columns, so applying a batch again changes nothing. Stored
-    versions are not ranked again: a stored current row loses its flag exactly when a newer version of its key
-    arrives, and only the incoming rows are ranked among themselves. Of rows in ``batch`` with one identity the
-    first in ``prefer`` order counts.
+    A version is identified by key and order columns, so applying a batch again changes nothing. Of rows in
+    ``batch`` with one identity the first in ``prefer`` order counts. A small history is ranked anew together
+    with the batch; a large one is not shuffled for it (see ``_append_to_large``).
     """
     identity = [*keys, *order]
-    arrived = _distinct_versions(batch, identity, prefer)
     if history is None:
-        return current_flag(arrived, keys, order, **skew)
+        return current_flag(_distinct_versions(batch, identity, prefer), keys, order, **skew)
+    if at_most(history, small_history_bytes):
+        stored = history.drop(IS_CURRENT).withColumn("_added", F.lit(0))
+        everything = stored.unionByName(batch.withColumn("_added", F.lit(1)), allowMissingColumns=True)
+        # Partitioned and sorted for the flag right away; finding equal versions needs no more than that.
+        together = everything.repartition(*[column(k) for k in keys])
+        distinct = _distinct_versions(together, identity, ["_added", *prefer]).drop("_added")
+        return current_flag(distinct, keys, order, **skew)
+    return _append_to_large(history, batch, keys, order, prefer, **skew)
+
+
+def _append_to_large(
+    history: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str], prefer: Sequence[str], **skew
+) -> DataFrame:
+    """Only incoming versions are ranked; a stored current row loses its flag when a newer version arrives.
 
+    Stored rows meet at most one row per key, so the pass over them is a broadcast join for a small batch and
+    otherwise an equi-join whose stored side adaptive execution can split where a key is hot.
+    """
+    identity = [*keys, *order]
     # A stored copy of an incoming version has the same watermark, hence is not below the lowest incoming one.
     lowest = batch.agg(F.min(column(order[0])).alias("lowest")).scalar()
     stored = history.filter(column(order[0]) >= lowest).select(*[column(c) for c in identity])
+    arrived = _distinct_versions(batch, identity, prefer)
     added = arrived.alias("n").join(stored.alias("o"), same_key(identity, "n", "o"), "left_anti")
 
     newest = latest_per_key(added.select(*[column(c) for c in identity]), keys, order)
-    outdated = _later(order, "n", "o") & column(keys[0], "n").isNotNull()
     kept = (
         history.alias("o")
         .join(newest.alias("n"), same_key(keys, "o", "n"), "left")
         .select(
             *[column(c, "o") for c in history.columns if c != IS_CURRENT],
-            F.when(outdated, F.lit(0)).otherwise(column(IS_CURRENT, "o")).alias(IS_CURRENT),
+            F.when(_later(order, "n", "o"), F.lit(0)).otherwise(column(IS_CURRENT, "o")).alias(IS_CURRENT),
         )
     )
 
@@ -105,6 +123,7 @@ def append_versions(
 
 
 def _later(order: Sequence[str], left: str, right: str) -> Column:
+    """Whether the left row comes later; false where the left side found no partner (its columns are NULL)."""
     return F.struct(*[column(c, left) for c in order]) > F.struct(*[column(c, right) for c in order])
 
 

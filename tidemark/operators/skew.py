@@ -48,43 +48,47 @@ def with_next(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    name: str,
     rows_per_slice: int | None = None,
     small_frame_bytes: int | None = None,
 ) -> DataFrame:
-    """Add ``name``: the order columns of the next row of the same key as a struct, NULL on the last row."""
+    """Add ``_has_next``, false on the last row of each key, and ``_next``, the next row's first order column."""
     rows_per_slice = ROWS_PER_SLICE if rows_per_slice is None else rows_per_slice
     small_frame_bytes = SMALL_FRAME_BYTES if small_frame_bytes is None else small_frame_bytes
     if at_most(df, small_frame_bytes):
-        return _next_in_window(df, list(keys), order, name)
+        return _next_in_window(df, keys, order)
 
     counts = df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
     hot = checkpoint(counts.filter(F.col("_rows") > rows_per_slice))
     hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
     if hot_keys == 0:
-        return _next_in_window(df, list(keys), order, name)
+        return _next_in_window(df, keys, order)
 
     match = null_safe_match(keys, "r", "h")
     marks = _bounded(hot.drop("_rows"), hot_keys).alias("h")
     rows = df.alias("r")
-    cold = _next_in_window(rows.join(marks, match, "left_anti"), list(keys), order, name)
+    cold = _next_in_window(rows.join(marks, match, "left_anti"), keys, order)
     slices = max(2, math.ceil(hot_rows / rows_per_slice))
-    return cold.unionByName(_next_in_slices(rows.join(marks, match, "left_semi"), keys, order, name, slices, hot_keys))
+    return cold.unionByName(_next_in_slices(rows.join(marks, match, "left_semi"), keys, order, slices, hot_keys))
 
 
-def _next_in_window(df: DataFrame, partition: list[str], order: Sequence[str], name: str) -> DataFrame:
+def _next_in_window(df: DataFrame, partition: Sequence[str], order: Sequence[str]) -> DataFrame:
     window = Window.partitionBy(*[column(c) for c in partition]).orderBy(*[column(c) for c in order])
-    return df.withColumn(name, F.lead(F.struct(*[column(c) for c in order])).over(window))
+    return df.withColumns(
+        {
+            "_has_next": F.lead(F.lit(1)).over(window).isNotNull(),
+            "_next": F.lead(column(order[0])).over(window),
+        }
+    )
 
 
 def _next_in_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int, hot_keys: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int, hot_keys: int
 ) -> DataFrame:
     # The slice numbers feed two branches below, so they are fixed once by the checkpoint.
     sliced = checkpoint(
         df.repartitionByRange(slices, *[column(c) for c in (*keys, *order)]).withColumn("_slice", F.spark_partition_id())
     )
-    within = _next_in_window(sliced, ["_slice", *keys], order, name)
+    within = _next_in_window(sliced, ["_slice", *keys], order)
     first_rows = sliced.groupBy(*[column(k) for k in keys], "_slice").agg(
         F.min(F.struct(*[column(c) for c in order])).alias("_first")
     )
@@ -95,8 +99,13 @@ def _next_in_slices(
         null_safe_match((*keys, "_slice"), "w", "c"),
         "left",
     )
-    neighbour = F.coalesce(column(name, "w"), F.col("c._carry")).alias(name)
-    return joined.select(*[column(c, "w") for c in df.columns], neighbour)
+    has_next, carried = F.col("w._has_next"), F.col("c._carry")
+    following = F.when(has_next, F.col("w._next")).otherwise(carried.getField(order[0]))
+    return joined.select(
+        *[column(c, "w") for c in df.columns],
+        (has_next | carried.isNotNull()).alias("_has_next"),
+        following.alias("_next"),
+    )
 
 
 def _bounded(df: DataFrame, rows: int) -> DataFrame:
