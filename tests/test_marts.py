@@ -1,0 +1,158 @@
+"""Marts on hand-made rows of the retail schema."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from tidemark.plans import build_mart, dim_customer, dim_product, fact_sales
+from tidemark.sources import TableStore
+
+ADDRESS = (
+    "AddressID int, AddressLine1 string, AddressLine2 string, City string, StateProvince string, "
+    "CountryRegion string, PostalCode string"
+)
+CUSTOMER = (
+    "CustomerID int, Title string, FirstName string, MiddleName string, LastName string, CompanyName string, "
+    "EmailAddress string, Phone string, is_current int"
+)
+HEADER = (
+    "SalesOrderID int, OrderDate timestamp_ntz, DueDate timestamp_ntz, ShipDate timestamp_ntz, Status int, "
+    "OnlineOrderFlag boolean, SalesOrderNumber string, CustomerID int, ShipToAddressID int, BillToAddressID int, "
+    "ShipMethod string, is_current int"
+)
+DETAIL = (
+    "SalesOrderID int, SalesOrderDetailID int, OrderQty short, ProductID int, UnitPrice decimal(19,4), "
+    "UnitPriceDiscount decimal(19,4), LineTotal decimal(38,6), is_deleted int"
+)
+PRODUCT = (
+    "ProductID int, Name string, ProductNumber string, Color string, StandardCost int, ListPrice int, Size string, "
+    "Weight int, SellStartDate string, SellEndDate string, DiscontinuedDate string, rowguid string, is_deleted int"
+)
+DAY = datetime(2024, 1, 1)
+
+
+@pytest.fixture
+def address(spark):
+    rows = [(n, f"{n} Main St" if n != 3 else None, f"Box {n}", f"C{n}", f"S{n}", f"N{n}", f"P{n}") for n in range(1, 5)]
+    return spark.createDataFrame(rows, ADDRESS)
+
+
+@pytest.fixture
+def customer(spark):
+    rows = [
+        (1, "Ms.", "Ann", "B.", "Cole", "A", "a@x", "1", 1),
+        (1, "Ms.", "Anne", "B.", "Cole", "A", "a@x", "1", 0),
+        (2, None, "Dan", None, "Eco", "B", "b@x", "2", 1),
+        (3, None, None, "F.", "Gil", "C", "c@x", "3", 1),
+    ]
+    return spark.createDataFrame(rows, CUSTOMER)
+
+
+@pytest.fixture
+def bridge(spark):
+    rows = [(1, 2, "Main Office"), (1, 1, "Main Office"), (1, 4, "Shipping"), (2, 3, "Shipping"), (2, 1, "Archive"),
+            (3, 99, "Main Office")]
+    return spark.createDataFrame(rows, "CustomerID int, AddressID int, AddressType string")
+
+
+def header(spark, *rows):
+    full = [(o, DAY, DAY, None, status, True, f"SO{o}", 7, ship, bill, "AIR", current)
+            for o, status, ship, bill, current in rows]
+    return spark.createDataFrame(full, HEADER)
+
+
+def detail(spark, *rows):
+    return spark.createDataFrame([(o, d, 2, 680, None, None, None, gone) for o, d, gone in rows], DETAIL)
+
+
+def test_dim_customer(customer, bridge, address):
+    got = {r["CustomerID"]: r for r in dim_customer(customer, bridge, address).collect()}
+    assert set(got) == {1, 2, 3} and dim_customer(customer, bridge, address).count() == 3
+    assert (got[1]["FullName"], got[2]["FullName"], got[3]["FullName"]) == ("Ann B. Cole", "Dan Eco", None)
+    # The lower of two office addresses; each role on its own; addresses that do not exist do not count.
+    assert (got[1]["OfficeAddress"], got[1]["OfficePostalCode"], got[1]["ShippingCity"]) == ("1 Main St", "P1", "C4")
+    assert (got[2]["OfficeCity"], got[2]["ShippingAddress"], got[2]["ShippingState"]) == (None, None, "S3")
+    assert got[3]["OfficeCountry"] is None
+    assert list(got[1].asDict())[-10:] == [
+        f"{role}{part}" for role in ("Office", "Shipping") for part in ("Address", "City", "State", "Country", "PostalCode")
+    ]
+
+
+def test_dim_product_keeps_discontinued_products(spark):
+    rows = [(1, "Bike", "B-1", None, 1, 2, "M", 3, "a", None, "gone", "g", 1)]
+    got = dim_product(spark.createDataFrame(rows, PRODUCT))
+    assert got.columns == [
+        "ProductID", "Name", "ProductNumber", "Color", "StandardCost", "ListPrice", "Size", "Weight",
+        "SellStartDate", "SellEndDate", "DiscontinuedDate", "is_deleted",
+    ]
+    assert got.first()["is_deleted"] == 1
+
+
+def test_fact_sales(spark, address):
+    headers = header(spark, (1, 5, 1, 3, 1), (1, 1, 2, 2, 0), (2, 9, None, 77, 1), (3, 6, 1, 1, 1))
+    details = detail(spark, (1, 10, 0), (1, 11, 1), (1, 12, 0), (2, 20, 0), (9, 90, 0))
+    got = sorted(fact_sales(headers, details, address).collect(), key=lambda r: r["SalesOrderDetailID"])
+    assert [r["SalesOrderDetailID"] for r in got] == [10, 12, 20]
+    assert [r["status_description"] for r in got] == ["Shipped", "Shipped", "Unknown"]
+    assert (got[0]["ShipAddress"], got[0]["BillToAddress"], got[0]["BillPostal"]) == ("1 Main St", "Box 3", "P3")
+    assert (got[2]["ShipAddress"], got[2]["BillCity"], got[2]["ShipPostalCode"]) == (None, None, None)
+
+
+@pytest.mark.parametrize(
+    ("code", "name"),
+    [(1, "In Process"), (2, "Approved"), (3, "Backordered"), (4, "Rejected"), (5, "Shipped"), (6, "Cancelled"),
+     (0, "Unknown"), (None, "Unknown")],
+)
+def test_status_names(spark, address, code, name):
+    fact = fact_sales(header(spark, (1, code, 1, 1, 1)), detail(spark, (1, 1, 0)), address)
+    assert fact.first()["status_description"] == name
+
+
+def test_fact_join_splits_a_hot_order(spark, address):
+    """Adaptive execution takes a hot order apart when neither side can be broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        headers = header(spark, *[(n, 5, 1, 1, 1) for n in range(200)])
+        lines = spark.range(0, 60_000, 1, 12).selectExpr(
+            "IF(id % 3 = 0, 0, id % 200)::int AS SalesOrderID", "id::int AS SalesOrderDetailID", "1::short AS OrderQty",
+            "1 AS ProductID", "1.0::decimal(19,4) AS UnitPrice", "0.0::decimal(19,4) AS UnitPriceDiscount",
+            "1.0::decimal(38,6) AS LineTotal", "0 AS is_deleted",
+        )
+        fact = fact_sales(headers, lines, address)
+        assert len(fact.collect()) == 60_000
+        assert "skew=true" in fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_marts_are_published_under_their_own_names(spark, customer, bridge, address):
+    store = TableStore(spark)
+    products = [(1, "Bike", "B-1", None, 1, 2, "M", 3, "a", None, None, "g", 0)]
+    for name, df in {
+        "customer": customer,
+        "customeraddress": bridge,
+        "address": address,
+        "product": spark.createDataFrame(products, PRODUCT),
+        "salesorderheader": header(spark, (1, 5, 1, 3, 1)),
+        "salesorderdetail": detail(spark, (1, 10, 0)),
+    }.items():
+        store.replace(df, f"silver.saleslt_{name}")
+    tables = [build_mart(store, name) for name in ("dim_customer", "dim_product", "fact_sales")]
+    assert tables == ["gold.dim_customer", "gold.dim_product", "gold.fact_sales"]
+    assert [store.read(t).count() for t in tables] == [3, 1, 1]
+    assert build_mart(store, "dim_product") == "gold.dim_product" and store.read("gold.dim_product").count() == 1
+    with pytest.raises(ValueError, match="unknown mart"):
+        build_mart(store, "dim_date")
