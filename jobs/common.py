@@ -10,7 +10,6 @@ from pyspark.sql import SparkSession
 from tidemark.retail import retail_specs
 from tidemark.session import job_session
 from tidemark.sources import JdbcSource, ParquetSource, Source
-from tidemark.spec import SpecSet
 
 # JDBC options come from the Spark configuration, e.g. a --properties-file that holds the password.
 JDBC_PREFIX = "spark.tidemark.jdbc."
@@ -30,11 +29,9 @@ def source_arguments(args: argparse.ArgumentParser) -> argparse.ArgumentParser:
     return args
 
 
-def open_source(spark: SparkSession, options: argparse.Namespace, specs: SpecSet) -> Source:
+def open_source(spark: SparkSession, options: argparse.Namespace) -> Source:
     if options.parquet:
-        snapshots = {s.source_table for s in specs if s.change_feed is None}
-        feeds = {s.change_feed.capture_instance for s in specs if s.change_feed}
-        return ParquetSource(spark, options.parquet, sorted(snapshots), sorted(feeds))
+        return ParquetSource(spark=spark, directory=options.parquet)
     return jdbc_source(spark, options.connections)
 
 

@@ -12,8 +12,10 @@ from tidemark.spec import LoadStrategy, SpecError
 
 
 def main(argv, spark) -> None:
-    options = source_arguments(parser(__doc__, "table_id")).parse_args(argv)
-    specs = retail_specs(options.catalog)
+    args = source_arguments(parser(__doc__, "table_id"))
+    args.add_argument("--buckets", type=int, default=0, help="buckets of the conformed table")
+    options = args.parse_args(argv)
+    specs = retail_specs(options.catalog, options.buckets)
     spec = specs[options.table_id]
     if spec.strategy is not LoadStrategy.INCREMENTAL_CDC:
         raise SpecError(f"{spec.table_id} is not configured as incremental_cdc")
@@ -21,8 +23,7 @@ def main(argv, spark) -> None:
     if snapshot is None:
         raise SpecError(f"{spec.table_id} names no snapshot table to start from")
     store = TableStore(spark)
-    source = open_source(spark, options, type(specs).of(snapshot, spec))
-    result = load_raw(store, snapshot, source)
+    result = load_raw(store, snapshot, open_source(spark, options))
     load_conformed(store, snapshot)
     print(f"{spec.table_id}: change feed starts at {result.mark}")
 

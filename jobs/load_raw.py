@@ -11,12 +11,8 @@ def main(argv, spark) -> None:
     args = source_arguments(parser(__doc__, "table_id"))
     args.add_argument("--preview", action="store_true", help="show five rows of the batch")
     options = args.parse_args(argv)
-    specs = retail_specs(options.catalog)
-    spec, store = specs[options.table_id], TableStore(spark)
-    source = open_source(spark, options, type(specs).of(spec))
-    if spec.baseline_capture_instance and options.parquet:
-        source = open_source(spark, options, specs)
-    result = load_raw(store, spec, source)
+    spec, store = retail_specs(options.catalog)[options.table_id], TableStore(spark)
+    result = load_raw(store, spec, open_source(spark, options))
     print(f"{spec.table_id}: {result.rows} rows into {spec.raw_table}, now at {result.mark}")
     if options.preview and result.changed and result.batch_id:
         preview(store, spec, result.batch_id).show(truncate=False)

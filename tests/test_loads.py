@@ -6,7 +6,9 @@ import itertools
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.operators import append_versions, merge_upsert
 from tidemark.operators.ingest import AUDIT_COLUMNS, BATCH_DATE
 from tidemark.plans import LoadError, load_conformed, load_raw, preview
 from tidemark.plans.loads import APPLIED, POSITION, raw_position, raw_watermark
@@ -282,3 +284,54 @@ def test_pending_batches_prune_partitions(spark, store):
     plan = _pending(store.read(spec.raw_table), applied)._jdf.queryExecution().executedPlan().toString()
     assert BATCH_DATE in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "PushedFilters: [IsNotNull(bronze_ingestion_timestamp), GreaterThan" in plan
+
+
+def files_of(store, spec):
+    return len(store.read(spec.conformed_table).inputFiles())
+
+
+def scan_keeps_buckets(df):
+    return "Bucketed: true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_merge_shuffles_only_the_batch(spark, store):
+    spec = spec_for("incremental_with_soft_delete", buckets=4)
+    load(store, spec, rows_source(spark, [(n, "a", None, at(1), "s") for n in range(200)]))
+    assert store.buckets(spec.conformed_table) == 4 and files_of(store, spec) == 4
+    for second in (2, 3, 4):
+        rows = [(n, f"b{second}", None, at(second), "s") for n in range(150, 150 + 40 * second)]
+        load(store, spec, rows_source(spark, rows))
+        assert files_of(store, spec) == 4
+    newest = store.read(spec.conformed_table)
+    assert newest.count() == 310 and newest.select("id").distinct().count() == 310
+    assert newest.filter("v = 'b4'").count() == 160 and newest.filter("v = 'a'").count() == 150
+
+    # Partitions have to be pruned for the size of a partitioned table to be known.
+    raw = store.read(spec.raw_table).filter("bronze_batch_date >= '2024-01-01'")
+    batch = raw.groupBy("id").agg({"v": "max"}).select("id", "max(v)").toDF("id", "v")
+    merged = merge_upsert(newest, batch, ["id"], buckets=4)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert scan_keeps_buckets(merged) and "ShuffledHashJoin" in plan
+    target_side = plan[plan.index("ShuffledHashJoin") :].split("+- ")[0]
+    assert "FileScan" in target_side and "Exchange" not in target_side and "Sort" not in target_side
+
+
+def test_bucketed_versions_stay_in_their_buckets(spark, store):
+    spec = spec_for("incremental_upsert", buckets=4)
+    load(store, spec, rows_source(spark, [(n, "a", None, at(1), "s") for n in range(200)]))
+    for second in (2, 3, 4):
+        load(store, spec, rows_source(spark, [(n, f"b{second}", None, at(second), "s") for n in range(0, 300, second)]))
+        assert files_of(store, spec) <= 8
+    versions = store.read(spec.conformed_table)
+    assert versions.count() == 200 + 150 + 100 + 75
+    assert versions.groupBy("id").agg({"is_current": "sum"}).filter("`sum(is_current)` <> 1").count() == 0
+
+
+def test_large_bucketed_history_is_read_by_bucket(spark, store):
+    spec = spec_for("incremental_upsert", buckets=4)
+    load(store, spec, rows_source(spark, [(n, "a", None, at(1), "s") for n in range(50)]))
+    history = store.read(spec.conformed_table)
+    batch = history.filter("id < 10").drop("is_current").withColumn("at", history["at"] + F.expr("INTERVAL 1 HOUR"))
+    grown = append_versions(history, batch, ["id"], ["at"], buckets=4, small_history_bytes=0)
+    assert scan_keeps_buckets(grown)
+    assert grown.count() == 60 and grown.filter("is_current = 1").count() == 50

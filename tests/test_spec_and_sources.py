@@ -293,7 +293,7 @@ def test_jdbc_probe_and_sample(spark):
 
 
 def test_parquet_source(spark):
-    source = ParquetSource(spark, SF, ["nation"])
+    source = ParquetSource(spark=spark, directory=SF)
     nations = source.rows(spec(strategy="full_snapshot", source_table="nation", columns=("*",), exclude_columns=("n_name",)))
     assert nations.columns == ["n_nationkey", "n_regionkey"] and nations.count() == 25
 

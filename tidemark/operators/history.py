@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import column, flag, same_key
-from ..sizing import at_most
+from ..sizing import at_most, beside_buckets
 from .ingest import INGESTED_AT
 from .skew import SMALL_FRAME_BYTES, with_next
 
@@ -62,6 +62,7 @@ def append_versions(
     keys: Sequence[str],
     order: Sequence[str],
     prefer: Sequence[str] = (),
+    buckets: int = 0,
     small_history_bytes: int = SMALL_FRAME_BYTES,
     **skew,
 ) -> DataFrame:
@@ -78,14 +79,20 @@ def append_versions(
         stored = history.drop(IS_CURRENT).withColumn("_added", F.lit(0))
         everything = stored.unionByName(batch.withColumn("_added", F.lit(1)), allowMissingColumns=True)
         # Partitioned and sorted for the flag right away; finding equal versions needs no more than that.
-        together = everything.repartition(*[column(k) for k in keys])
+        together = everything.repartition(*([buckets] if buckets else []), *[column(k) for k in keys])
         distinct = _distinct_versions(together, identity, ["_added", *prefer]).drop("_added")
         return current_flag(distinct, keys, order, **skew)
-    return _append_to_large(history, batch, keys, order, prefer, **skew)
+    return _append_to_large(history, batch, keys, order, prefer, buckets, **skew)
 
 
 def _append_to_large(
-    history: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str], prefer: Sequence[str], **skew
+    history: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    prefer: Sequence[str],
+    buckets: int,
+    **skew,
 ) -> DataFrame:
     """Only incoming versions are ranked; a stored current row loses its flag when a newer version arrives.
 
@@ -102,7 +109,7 @@ def _append_to_large(
     newest = latest_per_key(added.select(*[column(c) for c in identity]), keys, order)
     kept = (
         history.alias("o")
-        .join(newest.alias("n"), same_key(keys, "o", "n"), "left")
+        .join(beside_buckets(newest, keys, buckets).alias("n"), same_key(keys, "o", "n"), "left")
         .select(
             *[column(c, "o") for c in history.columns if c != IS_CURRENT],
             F.when(_later(order, "n", "o"), F.lit(0)).otherwise(column(IS_CURRENT, "o")).alias(IS_CURRENT),
@@ -119,6 +126,8 @@ def _append_to_large(
             F.when(_later(order, "o", "n"), F.lit(0)).otherwise(column(IS_CURRENT, "n")).alias(IS_CURRENT),
         )
     )
+    if buckets:
+        incoming = incoming.repartition(buckets, *[column(k) for k in keys])
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import column, flag
-from ..sizing import estimated_bytes, fits_broadcast
+from ..sizing import beside_buckets, estimated_bytes, fits_broadcast
 from .history import latest_per_key
 from .ingest import CHANGE_COLUMNS, OPERATION, SEQVAL, START_LSN
 
@@ -58,16 +58,17 @@ def align_to_target(df: DataFrame, target_columns: Sequence[str]) -> DataFrame:
     return df.select(*[column(c) for c in target_columns if c in have])
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], buckets: int = 0) -> DataFrame:
     """Matched rows take every source value, new keys are added, all other target rows stay.
 
-    Keys must be unique in ``source`` (see ``latest_per_key``) and in ``target``.
+    Keys must be unique in ``source`` (see ``latest_per_key``) and in ``target``. ``buckets`` is the number of
+    buckets the target is stored in by key, 0 when it is not bucketed.
     """
-    return _merge(target, source, keys, lambda _name: F.col("s._present"))
+    return _merge(target, source, keys, lambda _name: F.col("s._present"), buckets)
 
 
-def merge_changes(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Merge changes flagged by ``is_deleted``.
+def merge_changes(target: DataFrame, source: DataFrame, keys: Sequence[str], buckets: int = 0) -> DataFrame:
+    """Merge changes flagged by ``is_deleted``; keys and buckets as for ``merge_upsert``.
 
     A delete only sets the flag and keeps the target's values; a live change takes all values and revives a
     deleted row; an unseen key is added, even when its last change is a delete.
@@ -77,11 +78,11 @@ def merge_changes(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     def takes_source(name: str) -> Column:
         return F.col("s._present") if name == IS_DELETED else live
 
-    return _merge(target, source, keys, takes_source)
+    return _merge(target, source, keys, takes_source, buckets)
 
 
 def _merge(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], takes_source: Callable[[str], Column]
+    target: DataFrame, source: DataFrame, keys: Sequence[str], takes_source: Callable[[str], Column], buckets: int
 ) -> DataFrame:
     unknown = [c for c in source.columns if c not in target.columns]
     if unknown:
@@ -100,8 +101,9 @@ def _merge(
 
     on = [column(k, "t") == column(k, "s") for k in keys]
     columns = [merged(c) for c in target.columns]
-    if not _prefers_lookup(target, source):
-        return t.join(s, on, "full_outer").select(*columns)
+    if buckets or not _prefers_lookup(target, source):
+        # A bucketed target stays where it is and only the batch is shuffled, into the same buckets.
+        return t.join(beside_buckets(s, keys, buckets), on, "full_outer").select(*columns)
 
     # The batch is broadcast (size checked above), so the large target is scanned but never shuffled.
     updated = t.join(F.broadcast(s), on, "left").select(*columns)
@@ -113,7 +115,7 @@ def _merge(
 
 
 def _prefers_lookup(target: DataFrame, source: DataFrame) -> bool:
-    if not fits_broadcast(source):
+    if not fits_broadcast(source) or fits_broadcast(target):
         return False
-    size = estimated_bytes(target)
-    return size is not None and size > LOOKUP_RATIO * max(1, estimated_bytes(source) or 1) and not fits_broadcast(target)
+    target_bytes, source_bytes = estimated_bytes(target), estimated_bytes(source)
+    return target_bytes is not None and target_bytes > LOOKUP_RATIO * source_bytes

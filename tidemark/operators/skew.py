@@ -2,8 +2,8 @@
 
 A plain window sends every row of one key to one task. Keys with more rows than a task should hold are cut
 into slices along their own order by range partitioning; the window then runs per slice, and the first row of
-the next slice is carried over the cut. Which keys are hot is counted first, with map-side aggregation on the
-key columns alone; frames small enough for one task skip the count.
+the next slice is carried over the cut. Which keys are hot is counted first, on a sample of the key columns
+alone; frames small enough for one task skip the count.
 """
 
 from __future__ import annotations
@@ -20,9 +20,11 @@ from ..sizing import at_most
 
 # Rows of one key a single window task may hold.
 ROWS_PER_SLICE = 5_000_000
+# Rows of a key at that limit which the sample for finding hot keys is expected to hold.
+SAMPLE_PER_SLICE = 2_000
 # A frame below this estimated size is fine in one task, however its keys are spread.
 SMALL_FRAME_BYTES = 256 << 20
-# Hot keys (at most total rows / ROWS_PER_SLICE) are broadcast up to this count, else joined by shuffle.
+# Hot keys (at most 2 * total rows / ROWS_PER_SLICE) are broadcast up to this count, else joined by shuffle.
 MAX_BROADCAST_ROWS = 1_000_000
 
 
@@ -57,20 +59,34 @@ def with_next(
     if at_most(df, small_frame_bytes):
         return _next_in_window(df, keys, order)
 
-    counts = df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = checkpoint(counts.filter(F.col("_rows") > rows_per_slice))
-    hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    hot, hot_keys, hot_rows = _hot_keys(df, keys, rows_per_slice)
     if hot_keys == 0:
         return _next_in_window(df, keys, order)
 
     match = null_safe_match(keys, "r", "h")
-    marks = _bounded(hot.drop("_rows"), hot_keys).alias("h")
+    marks = _bounded(hot, hot_keys).alias("h")
     rows = df.alias("r")
     cold = _next_in_window(rows.join(marks, match, "left_anti"), keys, order)
     slices = max(2, math.ceil(hot_rows / rows_per_slice))
     return cold.unionByName(_next_in_slices(rows.join(marks, match, "left_semi"), keys, order, slices, hot_keys))
 
 
+def _hot_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> tuple[DataFrame, int, int]:
+    """Keys with about ``rows_per_slice`` rows or more, their number, and their rows in total.
+
+    The sample only decides how rows are distributed over tasks, never which rows are kept. A key at the limit is
+    expected in it ``SAMPLE_PER_SLICE`` times and counts as hot from half of that, so it is not missed.
+    """
+    fraction = min(1.0, SAMPLE_PER_SLICE / rows_per_slice)
+    at_least = rows_per_slice + 1 if fraction == 1.0 else SAMPLE_PER_SLICE // 2
+    names = [column(k) for k in keys]
+    seen = df.select(*names) if fraction == 1.0 else df.select(*names).sample(fraction, seed=0)
+    counts = seen.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = checkpoint(counts.filter(F.col("_rows") >= at_least))
+    hot_keys, sampled = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    return hot.drop("_rows"), hot_keys, math.ceil(sampled / fraction)
+
+
 def _next_in_window(df: DataFrame, partition: Sequence[str], order: Sequence[str]) -> DataFrame:
     window = Window.partitionBy(*[column(c) for c in partition]).orderBy(*[column(c) for c in order])
     return df.withColumns(

@@ -186,7 +186,9 @@ def load_conformed(store: TableStore, spec: TableSpec) -> LoadResult:
             raise LoadError(f"{spec.table_id}: run the raw load first")
         newest = raw.agg(F.max(F.unix_micros(column(INGESTED_AT))).alias("at")).first()["at"]
         applied = {} if newest is None else {APPLIED: str(newest)}
-        store.replace(conform(spec, raw, None), spec.conformed_table, applied)
+        store.replace(
+            conform(spec, raw, None), spec.conformed_table, applied, bucket_by=spec.primary_key, buckets=spec.buckets
+        )
         return LoadResult(spec.table_id, None, applied.get(APPLIED), changed=True)
     if spec.strategy is LoadStrategy.INCREMENTAL_CDC and target is None:
         raise LoadError(f"{spec.conformed_table} does not exist; run the snapshot's conformed load first")
@@ -202,23 +204,32 @@ def load_conformed(store: TableStore, spec: TableSpec) -> LoadResult:
         changes = spec.strategy is LoadStrategy.INCREMENTAL_CDC
         store.merge(merge_rows(spec, batch, target.columns), spec.conformed_table, spec.primary_key, changes, mark)
     else:
-        store.replace(conform(spec, batch, target), spec.conformed_table, mark)
+        buckets = spec.buckets if target is None else store.buckets(spec.conformed_table)
+        store.replace(
+            conform(spec, batch, target, buckets),
+            spec.conformed_table,
+            mark,
+            bucket_by=spec.primary_key,
+            buckets=buckets,
+            aligned=target is not None,
+        )
     return LoadResult(spec.table_id, None, str(newest), changed=True)
 
 
-def conform(spec: TableSpec, batch: DataFrame, target: DataFrame | None) -> DataFrame:
-    """The conformed table after applying raw rows ``batch`` to ``target``."""
+def conform(spec: TableSpec, batch: DataFrame, target: DataFrame | None, buckets: int = 0) -> DataFrame:
+    """The conformed table after applying raw rows ``batch`` to ``target``, itself stored in ``buckets``."""
     if spec.strategy is LoadStrategy.FULL_SNAPSHOT:
         return default_delete_flag(latest_batch(batch).drop(BATCH_DATE))
     if spec.strategy is LoadStrategy.INCREMENTAL_UPSERT:
-        return append_versions(target, batch.drop(BATCH_DATE), spec.primary_key, spec.version_order, [INGESTED_AT])
+        rows = batch.drop(BATCH_DATE)
+        return append_versions(target, rows, spec.primary_key, spec.version_order, [INGESTED_AT], buckets)
     if spec.strategy is LoadStrategy.INCREMENTAL_SOFT_DELETE:
         if target is None:
             return merge_rows(spec, batch)
-        return merge_upsert(target, merge_rows(spec, batch, target.columns), spec.primary_key)
+        return merge_upsert(target, merge_rows(spec, batch, target.columns), spec.primary_key, buckets)
     if target is None:
         raise LoadError(f"{spec.conformed_table} does not exist; run the snapshot's conformed load first")
-    return merge_changes(target, merge_rows(spec, batch, target.columns), spec.primary_key)
+    return merge_changes(target, merge_rows(spec, batch, target.columns), spec.primary_key, buckets)
 
 
 def merge_rows(spec: TableSpec, batch: DataFrame, target_columns: list[str] | None = None) -> DataFrame:

@@ -34,8 +34,11 @@ CUSTOMER_SECRETS = ("PasswordHash", "PasswordSalt")
 ORDER_DETAIL_CAPTURE = "SalesLT_SalesOrderDetail"
 
 
-def retail_specs(catalog: str | None = None) -> SpecSet:
-    """Specs with layer tables in ``catalog``, or in the session catalog when it is None."""
+def retail_specs(catalog: str | None = None, buckets: int = 0) -> SpecSet:
+    """Specs with layer tables in ``catalog``, or in the session catalog when it is None.
+
+    ``buckets`` is the number of buckets of new conformed tables that are merged into.
+    """
     prefix = f"{catalog}." if catalog else ""
 
     def spec(table_id: str, table: str, strategy: LoadStrategy, key: tuple[str, ...], columns: tuple[str, ...],
@@ -49,6 +52,7 @@ def retail_specs(catalog: str | None = None) -> SpecSet:
             primary_key=key,
             strategy=strategy,
             columns=columns,
+            buckets=buckets if strategy is not LoadStrategy.FULL_SNAPSHOT or conformed else 0,
             **more,
         )
 

@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A sort-merge join becomes a hash join when every partition of one side is seen to be this small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # A task that writes few partitions or buckets, as after a bucketed merge, does not sort its rows for it.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # Parquet grows about this much in memory; without it the broadcast limit is checked against file sizes.
     "spark.sql.sources.fileCompressionFactor": "3.0",
 }

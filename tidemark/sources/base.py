@@ -38,14 +38,20 @@ class FrameSource:
     feeds: Mapping[str, DataFrame] = field(default_factory=dict)
     system: str = "parquet"
 
+    def table(self, name: str) -> DataFrame:
+        return self.tables[name]
+
+    def feed(self, capture_instance: str) -> DataFrame:
+        return self.feeds[capture_instance]
+
     def rows(self, spec: TableSpec, last_watermark: str | None = None) -> DataFrame:
-        df = self.tables[spec.source_table]
+        df = self.table(spec.source_table)
         if spec.strategy.uses_watermark:
             df = select_incremental(df, spec.watermark_column, last_watermark, spec.lookback_seconds)
         return select_columns(df, spec.columns, spec.exclude_columns)
 
     def changes(self, feed: ChangeFeed, lower: str | None, upper: str) -> DataFrame:
-        df = self.feeds[feed.capture_instance]
+        df = self.feed(feed.capture_instance)
         if feed.row_filter_option == "all":
             df = df.filter(column(OPERATION) != 3)
         low = F.lit(b"") if lower is None else lsn_bytes(F.lit(lower))
@@ -58,4 +64,4 @@ class FrameSource:
         return self._bound(capture_instance, F.min)
 
     def _bound(self, capture_instance: str, pick) -> str | None:
-        return self.feeds[capture_instance].agg(lsn_hex(pick(column(START_LSN))).alias("lsn")).first()["lsn"]
+        return self.feed(capture_instance).agg(lsn_hex(pick(column(START_LSN))).alias("lsn")).first()["lsn"]

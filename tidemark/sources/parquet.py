@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .base import FrameSource
@@ -13,11 +15,15 @@ def read_parquet(spark: SparkSession, directory: str, name: str, schema: str | N
     return reader.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
+@dataclass(frozen=True)
 class ParquetSource(FrameSource):
-    """Every table named in ``tables`` and every feed in ``feeds`` is one Parquet path below ``directory``."""
+    """Tables and change feeds, each one Parquet path of its name below ``directory``."""
+
+    spark: SparkSession | None = None
+    directory: str = "."
+
+    def table(self, name: str) -> DataFrame:
+        return read_parquet(self.spark, self.directory, name)
 
-    def __init__(self, spark: SparkSession, directory: str, tables=(), feeds=()):
-        super().__init__(
-            tables={name: read_parquet(spark, directory, name) for name in tables},
-            feeds={name: read_parquet(spark, directory, name) for name in feeds},
-        )
+    def feed(self, capture_instance: str) -> DataFrame:
+        return read_parquet(self.spark, self.directory, capture_instance)

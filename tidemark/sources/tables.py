@@ -13,11 +13,13 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions import same_key
+from ..functions import column, same_key
 from ..operators.merge import IS_DELETED, merge_changes, merge_upsert
 
 VERSION_MARK = "__v"
+BUCKETS = "tidemark.buckets"
 
 
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
@@ -74,8 +76,15 @@ class TableStore:
         name: str,
         properties: Mapping[str, str] | None = None,
         partition_by: Sequence[str] = (),
+        bucket_by: Sequence[str] = (),
+        buckets: int = 0,
+        aligned: bool = False,
     ) -> None:
-        """Publish ``df`` as the whole content of the table; readers see the old or the new content."""
+        """Publish ``df`` as the whole content of the table; readers see the old or the new content.
+
+        With ``buckets`` a session-catalog table is bucketed by the given columns. ``aligned`` says that ``df`` is
+        partitioned like that already, as it is after a merge with the bucketed table itself.
+        """
         self.create_namespace(name)
         properties = dict(properties or {})
         if self.in_v2_catalog(name):
@@ -85,7 +94,13 @@ class TableStore:
             writer.createOrReplace()
             return
         version = f"{name}{VERSION_MARK}{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
-        df.write.mode("error").format(self.file_format).partitionBy(*partition_by).saveAsTable(version)
+        if buckets and not aligned:
+            df = df.repartition(buckets, *[column(c) for c in bucket_by])
+        writer = df.write.mode("error").format(self.file_format).partitionBy(*partition_by)
+        if buckets:
+            writer = writer.bucketBy(buckets, *bucket_by)
+            properties[BUCKETS] = str(buckets)
+        writer.saveAsTable(version)
         self._point_view(name, version, properties)
         self._drop_old_versions(name)
 
@@ -104,8 +119,13 @@ class TableStore:
                 self.set_property(name, key, value)
             return
         combine = merge_changes if changes else merge_upsert
-        kept = {**self.properties(name), **(properties or {})}
-        self.replace(combine(self.read(name), source, keys), name, kept)
+        kept, buckets = self.properties(name), self.buckets(name)
+        merged = combine(self.read(name), source, keys, buckets)
+        self.replace(merged, name, {**kept, **(properties or {})}, bucket_by=keys, buckets=buckets, aligned=True)
+
+    def buckets(self, name: str) -> int:
+        """Number of buckets the table is stored in, 0 when it is not bucketed."""
+        return int(self.properties(name).get(BUCKETS, 0))
 
     def properties(self, name: str) -> dict[str, str]:
         """Our own properties of a table or view."""
@@ -147,10 +167,6 @@ class TableStore:
 
 def merge_into(source: DataFrame, name: str, keys: Sequence[str], changes: bool = False) -> None:
     """The same merges as a row-level operation of a v2 catalog that supports MERGE."""
-    from pyspark.sql import functions as F
-
-    from ..functions import column
-
     target = name.rpartition(".")[2]
     s = source.alias("s")
     values = {c: column(c, "s") for c in source.columns if c not in keys}

@@ -64,6 +64,8 @@ class TableSpec:
     baseline_capture_instance: str | None = None
     # Numeric source column to split a JDBC read on.
     partition_column: str | None = None
+    # Buckets by key of a new conformed table; merges then shuffle the batch only. 0 stores it unbucketed.
+    buckets: int = 0
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "strategy", _strategy(self.strategy))
@@ -77,8 +79,8 @@ class TableSpec:
             raise SpecError(f"{self.table_id}: strategy {self.strategy.value} requires a watermark_column")
         if self.strategy is LoadStrategy.INCREMENTAL_CDC and self.change_feed is None:
             raise SpecError(f"{self.table_id}: strategy incremental_cdc requires a capture_instance")
-        if self.lookback_seconds < 0:
-            raise SpecError(f"{self.table_id}: lookback_seconds must not be negative")
+        if self.lookback_seconds < 0 or self.buckets < 0:
+            raise SpecError(f"{self.table_id}: lookback_seconds and buckets must not be negative")
 
     @property
     def version_order(self) -> tuple[str, ...]:
