@@ -75,6 +75,14 @@ def test_equal_rows_still_give_one_current_row(spark):
     assert sorted(r["s"] for r in flags.groupBy("k").agg(F.sum("is_current").alias("s")).collect()) == [1, 1]
 
 
+def test_rows_equal_in_order_are_cut_apart_by_their_other_columns(spark):
+    df = spark.range(300).selectExpr("0 AS k", "5 AS at", "id", "map('a', id) AS m")
+    got = validity(df, ["k"], ["at"], **HOT)
+    assert got.columns == ["k", "at", "id", "m", "valid_from", "valid_to", "is_current"]
+    assert (got.count(), got.filter("is_current = 1 AND valid_to IS NULL").count()) == (300, 1)
+    assert got.filter("is_current = 0 AND valid_to = 5").count() == 299
+
+
 def test_latest_per_key_breaks_ties(spark):
     df = spark.createDataFrame([(1, 5, 1, "a"), (1, 5, 2, "b"), (1, 4, 9, "c"), (2, 1, 1, "d")], "k int, at int, tie int, v string")
     got = latest_per_key(df, ["k"], ["at", "tie"])

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..functions import column, null_safe_match
 from ..sizing import at_most
@@ -100,10 +101,16 @@ def _next_in_window(df: DataFrame, partition: Sequence[str], order: Sequence[str
 def _next_in_slices(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int, hot_keys: int
 ) -> DataFrame:
+    # Rows that are equal in the order columns can still be cut apart by what else they hold.
+    others = [f.name for f in df.schema.fields if f.name not in {*keys, *order} and not isinstance(f.dataType, MapType)]
+    if others:
+        rows = df.withColumn("_tie", F.xxhash64(*[column(c) for c in others]))
+        order = [*order, "_tie"]
+    else:
+        rows = df
     # The slice numbers feed two branches below, so they are fixed once by the checkpoint.
-    sliced = checkpoint(
-        df.repartitionByRange(slices, *[column(c) for c in (*keys, *order)]).withColumn("_slice", F.spark_partition_id())
-    )
+    cut = rows.repartitionByRange(slices, *[column(c) for c in (*keys, *order)])
+    sliced = checkpoint(cut.withColumn("_slice", F.spark_partition_id()))
     within = _next_in_window(sliced, ["_slice", *keys], order)
     first_rows = sliced.groupBy(*[column(k) for k in keys], "_slice").agg(
         F.min(F.struct(*[column(c) for c in order])).alias("_first")
