@@ -57,8 +57,10 @@ class JdbcSource:
         return self.scalar("SELECT 1 AS reachable", "reachable") == 1
 
     def sample(self, schema: str, table: str, columns: Sequence[str], key: str, n: int = 5) -> DataFrame:
-        """The first ``n`` rows by key; order and limit are applied by Spark's top-n pushdown or in Spark."""
-        return self.query(f"SELECT {', '.join(columns)} FROM {schema}.{table}").orderBy(key).limit(n)
+        """The first ``n`` rows by key; the source itself sorts and cuts."""
+        return self.query(
+            f"SELECT {', '.join(columns)} FROM {schema}.{table} ORDER BY {key} OFFSET 0 ROWS FETCH NEXT {n} ROWS ONLY"
+        )
 
     def rows(self, spec: TableSpec, last_watermark: str | None = None) -> DataFrame:
         sql = self.select_text(spec, last_watermark)

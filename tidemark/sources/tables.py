@@ -93,7 +93,7 @@ class TableStore:
                 writer = writer.tableProperty(key, value)
             writer.createOrReplace()
             return
-        version = f"{name}{VERSION_MARK}{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+        version = f"{name}{VERSION_MARK}{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
         if buckets and not aligned:
             df = df.repartition(buckets, *[column(c) for c in bucket_by])
         writer = df.write.mode("error").format(self.file_format).partitionBy(*partition_by)
@@ -102,7 +102,7 @@ class TableStore:
             properties[BUCKETS] = str(buckets)
         writer.saveAsTable(version)
         self._point_view(name, version, properties)
-        self._drop_old_versions(name)
+        self._drop_old_versions(name, version)
 
     def merge(
         self,
@@ -155,14 +155,15 @@ class TableStore:
         clause = f"TBLPROPERTIES ({pairs}) " if pairs else ""
         self.spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} {clause}AS SELECT * FROM {quoted(version)}")
 
-    def _drop_old_versions(self, name: str) -> None:
+    def _drop_old_versions(self, name: str, current: str) -> None:
+        """Drop all versions but the current one and the newest ``keep_versions`` others."""
         namespace, _, table = name.rpartition(".")
         scope = f"IN {quoted(namespace)} " if namespace else ""
         found = self.spark.sql(f"SHOW TABLES {scope}LIKE '{table}{VERSION_MARK}*'").collect()
-        prefix = f"{namespace}." if namespace else ""
-        versions = sorted(r["tableName"] for r in found)
-        for old in versions[: max(0, len(versions) - 1 - self.keep_versions)]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {quoted(prefix + old)}")
+        published = current.rpartition(".")[2].lower()
+        others = sorted({r["tableName"].lower() for r in found} - {published}, reverse=True)
+        for old in others[self.keep_versions :]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {quoted(f'{namespace}.{old}' if namespace else old)}")
 
 
 def merge_into(source: DataFrame, name: str, keys: Sequence[str], changes: bool = False) -> None:
