@@ -18,6 +18,7 @@ from tidemark.operators import (
     select_columns,
     select_incremental,
 )
+from tidemark.operators.skew import join_partner
 from tidemark.plans.loads import LoadError, check_log_reaches
 from tidemark.retail import retail_specs
 from tidemark.sizing import at_most, broadcast_limit, fits_broadcast
@@ -174,6 +175,30 @@ def test_parent_keys_are_distinct_before_the_join(spark):
     assert text.count("HashAggregate") == 2
 
 
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti", "inner"])
+def test_hot_keys_of_a_join_are_kept_apart(spark, how):
+    many = spark.range(600).selectExpr("CASE WHEN id % 3 = 0 THEN 0 WHEN id % 3 = 1 THEN id % 40 WHEN id < 300 THEN NULL ELSE 7 END AS k", "id")
+    one = spark.range(0, 40, 2).selectExpr("id AS k", "id * 10 AS w").union(spark.createDataFrame([(None, 1)], "k long, w long"))
+    settled = spark.createDataFrame(many.collect(), many.schema)
+    plain = join_partner(settled, one, ["k"], how, small_frame_bytes=1 << 62)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        apart = join_partner(settled, one, ["k"], how, rows_per_slice=30, small_frame_bytes=0)
+        text = apart._jdf.queryExecution().executedPlan().toString()
+        assert "Union" in text and "BroadcastHashJoin" in text and "SortMergeJoin" in text
+        assert sorted(map(tuple, apart.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_orphans_of_a_hot_parent_key(spark):
+    child = spark.range(400).selectExpr("IF(id % 3 = 0, 0, id % 50) AS k", "id")
+    parent = spark.range(10, 100).selectExpr("id AS p")
+    expected = child.filter("k < 10").count()
+    assert orphans(child, parent, "k", "p", rows_per_slice=20, small_frame_bytes=0).count() == expected
+
+
 def test_log_retention():
     check_log_reaches(spec(), "0x0A", None)
     check_log_reaches(spec(), "0x0A", "0x0A")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import column, flag
+from .skew import join_partner
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -15,14 +16,14 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
+def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, **skew) -> DataFrame:
     """Rows of ``child`` without a row in ``parent``.
 
     The parent keys are made distinct first: that drops repeats before the shuffle, and a key repeated without
-    limit reaches the join once.
+    limit reaches the join once. Keys that are hot among the children are kept apart by the join.
     """
-    known = parent.select(column(parent_key).alias("_known")).distinct()
-    return child.join(known, column(child_key) == F.col("_known"), "left_anti")
+    known = parent.select(column(parent_key).alias(child_key)).distinct()
+    return join_partner(child, known, [child_key], "left_anti", **skew)
 
 
 def position_bounds(df: DataFrame, position: str, by: Sequence[str] = ()) -> DataFrame:

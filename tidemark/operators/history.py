@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import column, flag, same_key
 from ..sizing import at_most, beside_buckets
 from .ingest import INGESTED_AT
-from .skew import SMALL_FRAME_BYTES, with_next
+from .skew import SMALL_FRAME_BYTES, join_partner, with_next
 
 IS_CURRENT = "is_current"
 VALID_FROM = "valid_from"
@@ -96,8 +96,8 @@ def _append_to_large(
 ) -> DataFrame:
     """Only incoming versions are ranked; a stored current row loses its flag when a newer version arrives.
 
-    Stored rows meet at most one row per key, so the pass over them is a broadcast join for a small batch and
-    otherwise an equi-join whose stored side adaptive execution can split where a key is hot.
+    Stored rows meet at most one row per key: by broadcast for a small batch, otherwise in a join that keeps hot
+    keys apart.
     """
     identity = [*keys, *order]
     # A stored copy of an incoming version has the same watermark, hence is not below the lowest incoming one.
@@ -107,13 +107,16 @@ def _append_to_large(
     added = arrived.alias("n").join(stored.alias("o"), same_key(identity, "n", "o"), "left_anti")
 
     newest = latest_per_key(added.select(*[column(c) for c in identity]), keys, order)
-    kept = (
-        history.alias("o")
-        .join(beside_buckets(newest, keys, buckets).alias("n"), same_key(keys, "o", "n"), "left")
-        .select(
-            *[column(c, "o") for c in history.columns if c != IS_CURRENT],
-            F.when(_later(order, "n", "o"), F.lit(0)).otherwise(column(IS_CURRENT, "o")).alias(IS_CURRENT),
-        )
+    kept = join_partner(
+        history,
+        beside_buckets(newest, keys, buckets),
+        keys,
+        "left",
+        lambda joined: joined.select(
+            *[column(c, "m") for c in history.columns if c != IS_CURRENT],
+            F.when(_later(order, "o", "m"), F.lit(0)).otherwise(column(IS_CURRENT, "m")).alias(IS_CURRENT),
+        ),
+        **skew,
     )
 
     stored_current = history.filter(column(IS_CURRENT) == 1).select(*[column(c) for c in identity])

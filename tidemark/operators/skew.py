@@ -1,23 +1,24 @@
-"""Ordered per-key neighbours that survive a key holding a large share of all rows.
+"""Windows and joins that survive a key holding a large share of all rows.
 
-A plain window sends every row of one key to one task. Keys with more rows than a task should hold are cut
-into slices along their own order by range partitioning; the window then runs per slice, and the first row of
-the next slice is carried over the cut. Which keys are hot is counted first, on a sample of the key columns
-alone; frames small enough for one task skip the count.
+A plain window or join sends every row of one key to one task. Which keys are hot is counted first, on a sample
+of the key columns alone; frames small enough for one task skip the count. In a window, hot keys are cut into
+slices along their own order by range partitioning; the window then runs per slice, and the first row of the next
+slice is carried over the cut. In a join, the rows of hot keys stay where they are and meet their partners, at most
+one per key, by broadcast.
 """
 
 from __future__ import annotations
 
 import math
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from ..functions import column, null_safe_match
-from ..sizing import at_most
+from ..functions import column, null_safe_match, same_key
+from ..sizing import at_most, fits_broadcast
 
 # Rows of one key a single window task may hold.
 ROWS_PER_SLICE = 5_000_000
@@ -47,6 +48,40 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
+def join_partner(
+    many: DataFrame,
+    one: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    columns: Callable[[DataFrame], DataFrame] = lambda joined: joined,
+    rows_per_slice: int | None = None,
+    small_frame_bytes: int | None = None,
+) -> DataFrame:
+    """Join ``many`` (alias ``m``) with ``one`` (alias ``o``), which has at most one row per key.
+
+    ``how`` is left, left_semi, left_anti or inner; ``columns`` picks the columns of the joined frame. Adaptive
+    execution only splits a hot key where both sides come straight from a shuffle, which an aggregated or ranked
+    partner side does not.
+    """
+    rows_per_slice = ROWS_PER_SLICE if rows_per_slice is None else rows_per_slice
+    small_frame_bytes = SMALL_FRAME_BYTES if small_frame_bytes is None else small_frame_bytes
+
+    def joined(rows: DataFrame, partners: DataFrame) -> DataFrame:
+        return columns(rows.alias("m").join(partners.alias("o"), same_key(keys, "m", "o"), how))
+
+    if at_most(many, small_frame_bytes) or fits_broadcast(one):
+        return joined(many, one)
+    hot, hot_keys, _ = _hot_keys(many, keys, rows_per_slice)
+    if hot_keys == 0:
+        return joined(many, one)
+
+    def marked(rows: DataFrame, how_marked: str) -> DataFrame:
+        return rows.alias("r").join(_bounded(hot, hot_keys).alias("h"), null_safe_match(keys, "r", "h"), how_marked)
+
+    partners_of_hot = _bounded(marked(one, "left_semi"), hot_keys)
+    return joined(marked(many, "left_anti"), one).union(joined(marked(many, "left_semi"), partners_of_hot))
+
+
 def with_next(
     df: DataFrame,
     keys: Sequence[str],

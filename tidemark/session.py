@@ -16,8 +16,13 @@ DEFAULTS = {
     # Parquet grows about this much in memory; without it the broadcast limit is checked against file sizes.
     "spark.sql.sources.fileCompressionFactor": "3.0",
 }
-# Fixed when the session starts: no stack trace per column expression, which halves the time to build a plan.
-STATIC_DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+# Settings that are fixed when the session starts.
+STATIC_DEFAULTS = {
+    # No stack trace per column expression, which halves the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Checkpoints go when the frames that use them are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
 
 
 def job_session(app_name: str) -> SparkSession:
