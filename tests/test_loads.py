@@ -6,14 +6,13 @@ import itertools
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
-from tidemark.operators import append_versions, merge_upsert
+from tidemark.operators import merge_upsert
 from tidemark.operators.ingest import AUDIT_COLUMNS, BATCH_DATE
 from tidemark.plans import LoadError, load_conformed, load_raw, preview
 from tidemark.plans.loads import APPLIED, POSITION, raw_position, raw_watermark
 from tidemark.sources import FrameSource, TableStore
-from tidemark.spec import ChangeFeed, TableSpec
+from tidemark.spec import ChangeFeed, SpecError, TableSpec
 from tidemark.streaming import apply_change_feed, stream_raw_changes
 
 NUMBERS = itertools.count(1)
@@ -168,9 +167,9 @@ def test_versions_are_swapped_and_old_ones_dropped(spark, store):
     assert APPLIED in store.properties(spec.conformed_table)
 
 
-def feed_specs():
+def feed_specs(**more):
     snapshot = spec_for(
-        "full_snapshot", watermark_column=None, columns=("id", "v"), baseline_capture_instance="dbo_T"
+        "full_snapshot", watermark_column=None, columns=("id", "v"), baseline_capture_instance="dbo_T", **more
     )
     feed = spec_for(
         "incremental_cdc",
@@ -178,6 +177,7 @@ def feed_specs():
         columns=("*",),
         conformed_table=snapshot.conformed_table,
         change_feed=ChangeFeed("dbo_T", baseline_table=snapshot.raw_table),
+        **more,
     )
     return snapshot, feed
 
@@ -316,22 +316,17 @@ def test_bucketed_merge_shuffles_only_the_batch(spark, store):
     assert "FileScan" in target_side and "Exchange" not in target_side and "Sort" not in target_side
 
 
-def test_bucketed_versions_stay_in_their_buckets(spark, store):
-    spec = spec_for("incremental_upsert", buckets=4)
-    load(store, spec, rows_source(spark, [(n, "a", None, at(1), "s") for n in range(200)]))
-    for second in (2, 3, 4):
-        load(store, spec, rows_source(spark, [(n, f"b{second}", None, at(second), "s") for n in range(0, 300, second)]))
-        assert files_of(store, spec) <= 8
-    versions = store.read(spec.conformed_table)
-    assert versions.count() == 200 + 150 + 100 + 75
-    assert versions.groupBy("id").agg({"is_current": "sum"}).filter("`sum(is_current)` <> 1").count() == 0
-
-
-def test_large_bucketed_history_is_read_by_bucket(spark, store):
-    spec = spec_for("incremental_upsert", buckets=4)
-    load(store, spec, rows_source(spark, [(n, "a", None, at(1), "s") for n in range(50)]))
-    history = store.read(spec.conformed_table)
-    batch = history.filter("id < 10").drop("is_current").withColumn("at", history["at"] + F.expr("INTERVAL 1 HOUR"))
-    grown = append_versions(history, batch, ["id"], ["at"], buckets=4, small_history_bytes=0)
-    assert scan_keeps_buckets(grown)
-    assert grown.count() == 60 and grown.filter("is_current = 1").count() == 50
+def test_bucketed_change_feed(spark, store):
+    snapshot, feed = feed_specs(buckets=4)
+    load(store, snapshot, feed_source(spark, [(n, "a") for n in range(100)], [(10, 1, 2, 1, "a")]))
+    log = [(10, 1, 2, 1, "a"), *[(20 + n, 1, 4 if n % 2 else 1, n, "b") for n in range(90, 120)]]
+    load(store, feed, feed_source(spark, [], log))
+    assert store.buckets(feed.conformed_table) == files_of(store, feed) == 4
+    merged = store.read(feed.conformed_table)
+    assert merged.count() == 120 and merged.filter("v = 'b' AND is_deleted = 0").count() == 15
+    assert merged.filter("is_deleted = 1").count() == 15 and merged.filter("is_deleted = 1 AND v = 'a'").count() == 5
+
+
+def test_versions_are_not_bucketed():
+    with pytest.raises(SpecError, match="bucketed"):
+        spec_for("incremental_upsert", buckets=4)

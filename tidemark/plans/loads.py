@@ -204,14 +204,8 @@ def load_conformed(store: TableStore, spec: TableSpec) -> LoadResult:
         changes = spec.strategy is LoadStrategy.INCREMENTAL_CDC
         store.merge(merge_rows(spec, batch, target.columns), spec.conformed_table, spec.primary_key, changes, mark)
     else:
-        buckets = spec.buckets if target is None else store.buckets(spec.conformed_table)
         store.replace(
-            conform(spec, batch, target, buckets),
-            spec.conformed_table,
-            mark,
-            bucket_by=spec.primary_key,
-            buckets=buckets,
-            aligned=target is not None,
+            conform(spec, batch, target), spec.conformed_table, mark, bucket_by=spec.primary_key, buckets=spec.buckets
         )
     return LoadResult(spec.table_id, None, str(newest), changed=True)
 
@@ -221,8 +215,7 @@ def conform(spec: TableSpec, batch: DataFrame, target: DataFrame | None, buckets
     if spec.strategy is LoadStrategy.FULL_SNAPSHOT:
         return default_delete_flag(latest_batch(batch).drop(BATCH_DATE))
     if spec.strategy is LoadStrategy.INCREMENTAL_UPSERT:
-        rows = batch.drop(BATCH_DATE)
-        return append_versions(target, rows, spec.primary_key, spec.version_order, [INGESTED_AT], buckets)
+        return append_versions(target, batch.drop(BATCH_DATE), spec.primary_key, spec.version_order, [INGESTED_AT])
     if spec.strategy is LoadStrategy.INCREMENTAL_SOFT_DELETE:
         if target is None:
             return merge_rows(spec, batch)

@@ -37,12 +37,12 @@ ORDER_DETAIL_CAPTURE = "SalesLT_SalesOrderDetail"
 def retail_specs(catalog: str | None = None, buckets: int = 0) -> SpecSet:
     """Specs with layer tables in ``catalog``, or in the session catalog when it is None.
 
-    ``buckets`` is the number of buckets of new conformed tables that are merged into.
+    ``buckets`` is the number of buckets of new conformed tables that are merged into by key.
     """
     prefix = f"{catalog}." if catalog else ""
 
     def spec(table_id: str, table: str, strategy: LoadStrategy, key: tuple[str, ...], columns: tuple[str, ...],
-             conformed: str | None = None, **more) -> TableSpec:
+             conformed: str | None = None, merged: bool = False, **more) -> TableSpec:
         return TableSpec(
             table_id=table_id,
             source_schema=SOURCE_SCHEMA,
@@ -52,7 +52,7 @@ def retail_specs(catalog: str | None = None, buckets: int = 0) -> SpecSet:
             primary_key=key,
             strategy=strategy,
             columns=columns,
-            buckets=buckets if strategy is not LoadStrategy.FULL_SNAPSHOT or conformed else 0,
+            buckets=buckets if merged else 0,
             **more,
         )
 
@@ -60,7 +60,7 @@ def retail_specs(catalog: str | None = None, buckets: int = 0) -> SpecSet:
     detail_key = ("SalesOrderID", "SalesOrderDetailID")
     return SpecSet.of(
         spec("saleslt_product", "Product", LoadStrategy.INCREMENTAL_SOFT_DELETE, ("ProductID",), PRODUCT_COLUMNS,
-             soft_delete_column="DiscontinuedDate", partition_column="ProductID", **by_modified),
+             merged=True, soft_delete_column="DiscontinuedDate", partition_column="ProductID", **by_modified),
         spec("saleslt_salesorderheader", "SalesOrderHeader", LoadStrategy.INCREMENTAL_UPSERT, ("SalesOrderID",),
              ORDER_HEADER_COLUMNS, partition_column="SalesOrderID", **by_modified),
         spec("saleslt_address", "Address", LoadStrategy.FULL_SNAPSHOT, ("AddressID",), ADDRESS_COLUMNS,
@@ -68,10 +68,10 @@ def retail_specs(catalog: str | None = None, buckets: int = 0) -> SpecSet:
         spec("saleslt_customeraddress", "CustomerAddress", LoadStrategy.FULL_SNAPSHOT, ("CustomerID", "AddressID"),
              CUSTOMER_ADDRESS_COLUMNS, partition_column="CustomerID"),
         spec("saleslt_salesorderdetail_snapshot", "SalesOrderDetail", LoadStrategy.FULL_SNAPSHOT, detail_key,
-             ORDER_DETAIL_COLUMNS, conformed="saleslt_salesorderdetail", partition_column="SalesOrderID",
+             ORDER_DETAIL_COLUMNS, conformed="saleslt_salesorderdetail", merged=True, partition_column="SalesOrderID",
              baseline_capture_instance=ORDER_DETAIL_CAPTURE),
         spec("saleslt_salesorderdetail_cdc", "SalesOrderDetail", LoadStrategy.INCREMENTAL_CDC, detail_key, ("*",),
-             conformed="saleslt_salesorderdetail",
+             conformed="saleslt_salesorderdetail", merged=True,
              change_feed=ChangeFeed(ORDER_DETAIL_CAPTURE, "all",
                                     baseline_table=f"{prefix}bronze.saleslt_salesorderdetail_snapshot")),
         spec("saleslt_customer", "Customer", LoadStrategy.INCREMENTAL_UPSERT, ("CustomerID",), CUSTOMER_COLUMNS,

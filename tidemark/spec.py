@@ -64,7 +64,8 @@ class TableSpec:
     baseline_capture_instance: str | None = None
     # Numeric source column to split a JDBC read on.
     partition_column: str | None = None
-    # Buckets by key of a new conformed table; merges then shuffle the batch only. 0 stores it unbucketed.
+    # Buckets by key of a new conformed table; merges then shuffle the batch only. 0 stores it unbucketed. Only for
+    # tables with one row per key: all versions of a key would share one bucket, however many they are.
     buckets: int = 0
 
     def __post_init__(self) -> None:
@@ -81,6 +82,8 @@ class TableSpec:
             raise SpecError(f"{self.table_id}: strategy incremental_cdc requires a capture_instance")
         if self.lookback_seconds < 0 or self.buckets < 0:
             raise SpecError(f"{self.table_id}: lookback_seconds and buckets must not be negative")
+        if self.buckets and self.strategy is LoadStrategy.INCREMENTAL_UPSERT:
+            raise SpecError(f"{self.table_id}: a table of versions is not bucketed by key")
 
     @property
     def version_order(self) -> tuple[str, ...]:
