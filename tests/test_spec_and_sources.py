@@ -282,15 +282,29 @@ def test_jdbc_snapshot_and_increment(spark):
 
 
 def test_jdbc_splits_over_the_rows_it_will_read(spark):
-    bounds = spark.createDataFrame([(100, 900)], "lo int, hi int")
+    newest = datetime(2024, 1, 2, 3, 4, 5, 678901)
+    bounds = spark.createDataFrame([(100, 900, newest)], "lo int, hi int, newest timestamp_ntz")
     source, recorder = jdbc(spark, {"MIN(id)": bounds}, num_partitions=8)
     source.rows(spec(partition_column="id"), "2024-01-01 00:00:00")
-    assert "WHERE at >" in recorder.calls[0]["dbtable"]
+    assert "MAX(at) AS newest" in recorder.calls[0]["dbtable"] and "WHERE at >" in recorder.calls[0]["dbtable"]
     read = recorder.calls[1]
+    assert "AND at <= CAST('2024-01-02 03:04:05.678902' AS DATETIME2)" in read["dbtable"]
     assert (read["partitionColumn"], read["lowerBound"], read["upperBound"], read["numPartitions"]) == ("id", "100", "900", "8")
-    empty, recorder = jdbc(spark, {"MIN(id)": spark.createDataFrame([(None, None)], "lo int, hi int")}, num_partitions=8)
+    nothing = spark.createDataFrame([(None, None, None)], "lo int, hi int, newest timestamp_ntz")
+    empty, recorder = jdbc(spark, {"MIN(id)": nothing}, num_partitions=8)
     empty.rows(spec(partition_column="id"), "2024-01-01 00:00:00")
-    assert "numPartitions" not in recorder.calls[-1]
+    assert "numPartitions" not in recorder.calls[-1] and "<=" not in recorder.calls[-1]["dbtable"]
+    source, recorder = jdbc(spark, {"MIN(id)": bounds}, num_partitions=8)
+    source.rows(spec(strategy="full_snapshot", partition_column="id"))
+    assert recorder.calls[-1]["dbtable"] == "(SELECT id, v, secret FROM dbo.T) AS src"
+
+
+def test_jdbc_splits_a_change_range(spark):
+    source, recorder = jdbc(spark, {"MIN(id)": spark.createDataFrame([(1, 5)], "lo int, hi int")}, num_partitions=4)
+    source.changes(ChangeFeed("dbo_T", partition_column="id"), f"0x{1:020X}", f"0x{2:020X}")
+    bounds, read = recorder.calls
+    assert bounds["dbtable"].startswith("(SELECT MIN(id) AS lo, MAX(id) AS hi FROM cdc.dbo_T_CT WHERE")
+    assert read["dbtable"].startswith("(SELECT * FROM cdc.dbo_T_CT WHERE") and read["numPartitions"] == "4"
 
 
 def test_jdbc_change_feed(spark):

@@ -68,8 +68,8 @@ def load_raw(store: TableStore, spec: TableSpec, source: Source) -> LoadResult:
 
 
 def preview(store: TableStore, spec: TableSpec, batch_id: str, n: int = 5) -> DataFrame:
-    """A few rows of a raw batch as it was written; the source is not read again."""
-    return store.read(spec.raw_table).filter(column(BATCH_ID) == batch_id).limit(n)
+    """A few rows of the newest raw batch as it was written; the source is not read again."""
+    return _newest_raw_rows(store, spec.raw_table).filter(column(BATCH_ID) == batch_id).limit(n)
 
 
 def _load_snapshot(store: TableStore, spec: TableSpec, source: Source) -> LoadResult:

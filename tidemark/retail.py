@@ -73,7 +73,8 @@ def retail_specs(catalog: str | None = None, buckets: int = 0) -> SpecSet:
         spec("saleslt_salesorderdetail_cdc", "SalesOrderDetail", LoadStrategy.INCREMENTAL_CDC, detail_key, ("*",),
              conformed="saleslt_salesorderdetail", merged=True,
              change_feed=ChangeFeed(ORDER_DETAIL_CAPTURE, "all",
-                                    baseline_table=f"{prefix}bronze.saleslt_salesorderdetail_snapshot")),
+                                    baseline_table=f"{prefix}bronze.saleslt_salesorderdetail_snapshot",
+                                    partition_column="SalesOrderID")),
         spec("saleslt_customer", "Customer", LoadStrategy.INCREMENTAL_UPSERT, ("CustomerID",), CUSTOMER_COLUMNS,
              exclude_columns=CUSTOMER_SECRETS, partition_column="CustomerID", **by_modified),
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..spec import ChangeFeed, SpecError, TableSpec
 
@@ -63,28 +64,43 @@ class JdbcSource:
         )
 
     def rows(self, spec: TableSpec, last_watermark: str | None = None) -> DataFrame:
-        sql = self.select_text(spec, last_watermark)
-        return self.query(sql, self._split(spec, last_watermark)).drop(*spec.exclude_columns)
-
-    def select_text(self, spec: TableSpec, last_watermark: str | None, columns: str | None = None) -> str:
+        """The rows to load, over several connections where the spec names a column to split on.
+
+        Connections read at different moments, so they share an upper watermark taken beforehand: a row that changes
+        in between lies above it and is left to the next load, instead of falling below a mark seen elsewhere.
+        """
+        key, upper, split = spec.partition_column, None, None
+        if self.num_partitions > 1 and key is not None:
+            wanted = f"MIN({key}) AS lo, MAX({key}) AS hi"
+            if spec.strategy.uses_watermark:
+                wanted += f", MAX({spec.watermark_column}) AS newest"
+            bounds = self.query(self.select_text(spec, last_watermark, wanted)).first()
+            split = self._split(key, bounds)
+            upper = _just_after(bounds["newest"]) if split and spec.strategy.uses_watermark else None
+        text = self.select_text(spec, last_watermark, upper=upper)
+        return self.query(text, split).drop(*spec.exclude_columns)
+
+    def select_text(
+        self, spec: TableSpec, last_watermark: str | None, columns: str | None = None, upper: str | None = None
+    ) -> str:
         chosen = columns or ", ".join(c for c in spec.columns if c not in spec.exclude_columns)
         text = f"SELECT {chosen} FROM {spec.source_schema}.{spec.source_table}"
         if not spec.strategy.uses_watermark:
             return text
         if not last_watermark:
             raise SpecError(f"{spec.table_id}: the last watermark is required for {spec.strategy.value}")
-        literal = last_watermark.replace("'", "''")
-        bound = f"CAST('{literal}' AS {self.timestamp_type})"
+        lower = self._timestamp(last_watermark)
         if spec.lookback_seconds:
-            bound = f"DATEADD(second, -{spec.lookback_seconds}, {bound})"
-        return f"{text} WHERE {spec.watermark_column} > {bound}"
+            lower = f"DATEADD(second, -{spec.lookback_seconds}, {lower})"
+        text += f" WHERE {spec.watermark_column} > {lower}"
+        return text if upper is None else f"{text} AND {spec.watermark_column} <= {self._timestamp(upper)}"
+
+    def _timestamp(self, text: str) -> str:
+        literal = text.replace("'", "''")
+        return f"CAST('{literal}' AS {self.timestamp_type})"
 
-    def _split(self, spec: TableSpec, last_watermark: str | None) -> dict[str, object] | None:
+    def _split(self, key: str, bounds: Row | None) -> dict[str, object] | None:
         """Ranges over the rows this load will read, so that an increment at the top of the keys spreads too."""
-        key = spec.partition_column
-        if self.num_partitions <= 1 or key is None:
-            return None
-        bounds = self.query(self.select_text(spec, last_watermark, f"MIN({key}) AS lo, MAX({key}) AS hi")).first()
         if bounds is None or bounds["lo"] is None or bounds["lo"] == bounds["hi"]:
             return None
         return {
@@ -95,9 +111,13 @@ class JdbcSource:
         }
 
     def changes(self, feed: ChangeFeed, lower: str | None, upper: str) -> DataFrame:
-        return self.query(self.changes_text(feed, lower, upper))
+        key, split = feed.partition_column, None
+        if self.num_partitions > 1 and key is not None:
+            wanted = f"MIN({key}) AS lo, MAX({key}) AS hi"
+            split = self._split(key, self.query(self.changes_text(feed, lower, upper, wanted)).first())
+        return self.query(self.changes_text(feed, lower, upper), split)
 
-    def changes_text(self, feed: ChangeFeed, lower: str | None, upper: str) -> str:
+    def changes_text(self, feed: ChangeFeed, lower: str | None, upper: str, columns: str = "*") -> str:
         """The captured rows of the feed's change table with a position in ``(lower, upper]``."""
         for position in filter(None, (lower, upper)):
             if not _LSN.fullmatch(position):
@@ -107,7 +127,7 @@ class JdbcSource:
             terms.append(f"__$start_lsn > {lower}")
         if feed.row_filter_option == "all":
             terms.append("__$operation <> 3")
-        return f"SELECT * FROM cdc.{_identifier(feed.capture_instance)}_CT WHERE {' AND '.join(terms)}"
+        return f"SELECT {columns} FROM cdc.{_identifier(feed.capture_instance)}_CT WHERE {' AND '.join(terms)}"
 
     def max_position(self, capture_instance: str) -> str | None:
         return self._position("sys.fn_cdc_get_max_lsn()")
@@ -123,3 +143,8 @@ def _identifier(name: str) -> str:
     if not _NAME.fullmatch(name):
         raise SpecError(f"not a capture instance name: {name!r}")
     return name
+
+
+def _just_after(watermark: datetime) -> str:
+    """The watermark as text, rounded up: sources may keep more digits than the microseconds Spark reads."""
+    return (watermark + timedelta(microseconds=1)).isoformat(sep=" ")

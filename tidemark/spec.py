@@ -32,6 +32,8 @@ class ChangeFeed:
     row_filter_option: str = "all"
     # Raw snapshot table whose audit columns hold the position to start from.
     baseline_table: str | None = None
+    # Numeric captured column to split a JDBC read on.
+    partition_column: str | None = None
 
     def __post_init__(self) -> None:
         if not self.capture_instance:
