@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import column, flag, same_key
 from ..sizing import at_most
 from .ingest import INGESTED_AT
-from .skew import SMALL_FRAME_BYTES, join_partner, with_next
+from .skew import SMALL_FRAME_BYTES, checkpoint, join_partner, with_next
 
 IS_CURRENT = "is_current"
 VALID_FROM = "valid_from"
@@ -97,7 +97,8 @@ def _append_to_large(
     lowest = batch.agg(F.min(column(order[0])).alias("lowest")).scalar()
     stored = history.filter(column(order[0]) >= lowest).select(*[column(c) for c in identity])
     arrived = _distinct_versions(batch, identity, prefer)
-    added = arrived.alias("n").join(stored.alias("o"), same_key(identity, "n", "o"), "left_anti")
+    # Used several times below, and far smaller than the history as a rule.
+    added = checkpoint(arrived.alias("n").join(stored.alias("o"), same_key(identity, "n", "o"), "left_anti"))
 
     newest = latest_per_key(added.select(*[column(c) for c in identity]), keys, order)
     kept = join_partner(

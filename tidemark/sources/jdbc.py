@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
@@ -145,6 +145,6 @@ def _identifier(name: str) -> str:
     return name
 
 
-def _just_after(watermark: datetime) -> str:
+def _just_after(watermark: date) -> str:
     """The watermark as text, rounded up: sources may keep more digits than the microseconds Spark reads."""
-    return (watermark + timedelta(microseconds=1)).isoformat(sep=" ")
+    return str(watermark + timedelta(microseconds=1))
