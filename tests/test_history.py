@@ -137,6 +137,27 @@ def test_append_versions_keeps_first_of_equal_versions(spark, form):
     assert [r["v"] for r in got] == ["stored"]
 
 
+@FORMS
+def test_append_versions_with_a_missing_tie_breaker(spark, form):
+    batch = spark.createDataFrame([(1, 5, None), (1, 5, 1), (2, 7, None)], "k int, at int, tie int")
+    history = append_versions(None, batch, ["k"], ["at", "tie"])
+    expected = [(1, 5, 1, 1), (1, 5, None, 0), (2, 7, None, 1)]
+    assert sorted(map(tuple, history.collect()), key=repr) == expected
+    stored = spark.createDataFrame(history.collect(), history.schema)
+    again = append_versions(stored, batch, ["k"], ["at", "tie"], **form)
+    assert sorted(map(tuple, again.collect()), key=repr) == expected
+
+
+def test_large_batch_for_a_small_history_is_not_gathered_by_key(spark, tmp_path):
+    path = str(tmp_path / "h")
+    spark.range(100).selectExpr("id AS k", "id AS at", "1 AS is_current").write.parquet(path)
+    batch = spark.createDataFrame([(1, 200)], "k long, at long")  # of unknown size
+    added = append_versions(spark.read.parquet(path), batch, ["k"], ["at"])
+    plan = added._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" not in plan and plan.count("WindowGroupLimit") == 2
+    assert added.count() == 101
+
+
 @FORMS
 def test_append_versions_of_a_hot_key(spark, form):
     rows = skewed_rows(4)

@@ -516,7 +516,8 @@ SELECT c.CustomerID, c.Title, c.FirstName, c.MiddleName, c.LastName,
        sh.CountryRegion AS ShippingCountry, sh.PostalCode AS ShippingPostalCode
 FROM c
 LEFT JOIN (SELECT * FROM placed WHERE rn = 1 AND AddressType = 'Main Office') ma ON c.CustomerID = ma.CustomerID
-LEFT JOIN (SELECT * FROM placed WHERE rn = 1 AND AddressType = 'Shipping') sh ON c.CustomerID = sh.CustomerID""", name="dim_customer")
+LEFT JOIN (SELECT * FROM placed WHERE rn = 1 AND AddressType = 'Shipping') sh ON c.CustomerID = sh.CustomerID
+""", name="dim_customer")
 def dim_customer_mart(spark: SparkSession, sf: str) -> DataFrame:
     source = table(spark, sf, "customer")
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")

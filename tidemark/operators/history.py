@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import column, flag, same_key
+from ..functions import column, flag, null_safe_match, same_key
 from ..sizing import at_most
 from .ingest import INGESTED_AT
 from .skew import SMALL_FRAME_BYTES, checkpoint, join_partner, with_next
@@ -67,9 +67,10 @@ def append_versions(
 ) -> DataFrame:
     """History plus the versions of ``batch`` it does not hold yet, with ``is_current`` right for every key.
 
-    A version is identified by key and order columns, so applying a batch again changes nothing. Of rows in
-    ``batch`` with one identity the first in ``prefer`` order counts. A small history is ranked anew together
-    with the batch; a large one is not shuffled for it (see ``_append_to_large``).
+    A version is identified by key and order columns, so applying a batch again changes nothing; keys and the
+    first order column, the watermark, are never NULL. Of rows in ``batch`` with one identity the first in
+    ``prefer`` order counts. A small history is ranked anew together with the batch; a large one is not (see
+    ``_append_to_large``).
     """
     identity = [*keys, *order]
     if history is None:
@@ -77,9 +78,10 @@ def append_versions(
     if at_most(history, small_history_bytes):
         stored = history.drop(IS_CURRENT).withColumn("_added", F.lit(0))
         everything = stored.unionByName(batch.withColumn("_added", F.lit(1)), allowMissingColumns=True)
-        # Partitioned and sorted for the flag right away; finding equal versions needs no more than that.
-        together = everything.repartition(*[column(k) for k in keys])
-        distinct = _distinct_versions(together, identity, ["_added", *prefer]).drop("_added")
+        if at_most(everything, small_history_bytes):
+            # Partitioned and sorted for the flag right away; finding equal versions needs no more than that.
+            everything = everything.repartition(*[column(k) for k in keys])
+        distinct = _distinct_versions(everything, identity, ["_added", *prefer]).drop("_added")
         return current_flag(distinct, keys, order, **skew)
     return _append_to_large(history, batch, keys, order, prefer, **skew)
 
@@ -98,7 +100,7 @@ def _append_to_large(
     stored = history.filter(column(order[0]) >= lowest).select(*[column(c) for c in identity])
     arrived = _distinct_versions(batch, identity, prefer)
     # Used several times below, and far smaller than the history as a rule.
-    added = checkpoint(arrived.alias("n").join(stored.alias("o"), same_key(identity, "n", "o"), "left_anti"))
+    added = checkpoint(arrived.alias("n").join(stored.alias("o"), null_safe_match(identity, "n", "o"), "left_anti"))
 
     newest = latest_per_key(added.select(*[column(c) for c in identity]), keys, order)
     kept = join_partner(
