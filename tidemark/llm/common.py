@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,3 +111,52 @@ def chunks(rows: Iterable, size: int) -> Iterable[list]:
             part = []
     if part:
         yield part
+
+
+class Bloom:
+    """A Bloom filter of fixed size over 64-bit hashes: sifts rows before a shuffle, an exact join follows.
+
+    ``bits`` bounds what is sent to the driver and broadcast, however many values there are; a filter that is too small
+    for its values lets more rows through and loses none.
+    """
+
+    BITS = 1 << 24
+    PROBES = 3
+
+    def __init__(self, hashes: DataFrame, bits: int = BITS) -> None:
+        """``hashes`` has one column of type long; NULLs are left out."""
+        assert bits >= 64 and bits & (bits - 1) == 0
+        self.bits = bits
+        value = F.col(hashes.columns[0])
+        at = F.explode(F.array(*[self._at(value, k) for k in range(self.PROBES)])).alias("at")
+        filled = (
+            hashes.where(value.isNotNull()).select(at)
+            .groupBy(F.shiftright("at", 6).alias("word"))
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))).alias("set"))
+        )
+        self.words = np.zeros(bits >> 6, dtype=np.uint64)
+        frame = filled.toPandas()  # bits / 64 rows at most
+        self.words[frame["word"].to_numpy().astype(np.int64)] = frame["set"].to_numpy().astype(np.int64).view(np.uint64)
+        self.shared = hashes.sparkSession.sparkContext.broadcast(self.words)
+
+    def _at(self, value: Column, probe: int) -> Column:
+        return F.shiftright(value, 13 * probe).bitwiseAND(F.lit(self.bits - 1).cast("long"))
+
+    def __call__(self, value: Column) -> Column:
+        """True for every value that was put in, and for some others; False for NULL."""
+        shared, mask, probes = self.shared, self.bits - 1, self.PROBES
+
+        @F.pandas_udf("boolean")
+        def holds(values: pd.Series) -> pd.Series:
+            return pd.Series(bloom_test(shared.value, values.fillna(0).to_numpy().astype(np.int64), mask, probes)) & (
+                values.notna().reset_index(drop=True))
+
+        return holds(value)
+
+
+def bloom_test(filled: np.ndarray, values: np.ndarray, mask: int, probes: int = Bloom.PROBES) -> np.ndarray:
+    out = np.ones(len(values), dtype=bool)
+    for k in range(probes):
+        at = (values >> np.int64(13 * k)) & np.int64(mask)
+        out &= (filled[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return out

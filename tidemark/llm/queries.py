@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, token_counts
+from . import html_extract, lm_score, paragraphs, quality, simhash, token_counts, topk
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,16 +15,36 @@ Query = Callable[[SparkSession, str], DataFrame]
 ACCEPT = 0.7  # a document is predicted good from this score up
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(table(spark, sf_dir, "documents"))
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "held_out", "score", "predicted"
     )
 
 
+def op10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_removed", "first_docs", "text")
+
+
 def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with held_out, score and predicted; learns from labelled rows that are not held out."""
     known = labels.where(~held_out("doc_id", 4)).select("doc_id", F.col("quality").alias("label"))
@@ -35,8 +55,27 @@ def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op2_token_counts": op2_token_counts,
+    "op5_lm_score": op5_lm_score,
+    "op7_html": op7_html,
+    "op8_topk": op8_topk,
     "op9_quality": op9_quality,
+    "op10_paragraphs": op10_paragraphs,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+            FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+}
