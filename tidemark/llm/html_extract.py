@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 500  # pages of the table learnt from at most
-SEED_WEIGHT = 5  # a seed page counts as so many pages
+SEED_WEIGHT = 40  # a seed page counts as so many pages
 SMOOTH = 0.5
+# What a node's features count for; those of neighbours repeat each other, so they count for less than their ratios say.
+WEIGHT = {"tag": 1.0, "hint": 2.0, "size": 0.3, "links": 1.0, "ends": 0.3}
 
 # Element names of the HTML standard.
 RAW = {"script", "style", "textarea", "template", "iframe", "noscript", "noembed", "svg", "math", "head", "select"}
@@ -257,15 +259,18 @@ def tally(tree: Tree, labels: list[int], into: Counter, weight: int = 1) -> None
         for feature in seen:
             into[feature, labels[i]] += weight
         if i:
-            into[f"edge {labels[tree.parent[i]]}", labels[i]] += weight
+            into[f"edge {tree.text[i] is not None} {labels[tree.parent[i]]}", labels[i]] += weight
         else:
             into["root", labels[i]] += weight
 
 
+Edge = tuple[tuple[float, float], tuple[float, float]]
+
+
 @dataclass
 class Model:
     node: dict[str, tuple[float, float]]
-    edge: tuple[tuple[float, float], tuple[float, float]]
+    edge: dict[bool, Edge]  # for leaves (True) and elements: [parent's label][child's label]
     root: tuple[float, float]
 
 
@@ -276,7 +281,8 @@ def fit(counts: dict[tuple[str, int], int]) -> Model:
 
     def ratio(feature: str, label: int) -> float:
         room = kinds[feature.split(" ")[0]] * SMOOTH
-        return math.log((counts.get((feature, label), 0) + SMOOTH) / (whole[label] + room))
+        weight = WEIGHT[feature.split(" ")[0]]
+        return weight * math.log((counts.get((feature, label), 0) + SMOOTH) / (whole[label] + room))
 
     node = {f: (ratio(f, 0), ratio(f, 1)) for f in {f for f, _ in counts} if not f.startswith(("edge", "root"))}
 
@@ -284,7 +290,8 @@ def fit(counts: dict[tuple[str, int], int]) -> Model:
         c = [counts.get((name, y), 0) + SMOOTH for y in (0, 1)]
         return math.log(c[0] / sum(c)), math.log(c[1] / sum(c))
 
-    return Model(node, (share("edge 0"), share("edge 1")), share("root"))
+    edge = {leaf: (share(f"edge {leaf} 0"), share(f"edge {leaf} 1")) for leaf in (False, True)}
+    return Model(node, edge, share("root"))
 
 
 def add_logs(a: float, b: float) -> float:
@@ -303,15 +310,16 @@ def marginals(tree: Tree, model: Model) -> list[float]:
                 b[1] += one
     belief[0][0] += model.root[0]
     belief[0][1] += model.root[1]
-    (e00, e01), (e10, e11) = model.edge
     up = [(0.0, 0.0)] * n
     for i in range(n - 1, 0, -1):
+        (e00, e01), (e10, e11) = model.edge[tree.text[i] is not None]
         zero, one = belief[i]
         up[i] = add_logs(e00 + zero, e01 + one), add_logs(e10 + zero, e11 + one)
         above = belief[tree.parent[i]]
         above[0] += up[i][0]
         above[1] += up[i][1]
     for i in range(1, n):
+        (e00, e01), (e10, e11) = model.edge[tree.text[i] is not None]
         above = belief[tree.parent[i]]
         zero, one = above[0] - up[i][0], above[1] - up[i][1]
         low = add_logs(zero + e00, one + e10)
@@ -397,6 +405,10 @@ SEEDS = [
     f'<header>{_L}</header><section y="1"><h1>Floods</h1><p>{_S}</p><div><p>{_S}</p></div><p>See <a href="/m">the map'
     f'</a> of the valley. {_S}</p><figure><figcaption>{_T}</figcaption></figure></section><div class="popup notice">'
     f'<p>{_S}</p></div><ol class="comments"><li><p>{_S}</p></li><li><p>{_T}</p></li></ol><footer><p>{_S}</p></footer>',
+    f'<nav>{_L}</nav><article y="1"><h1>Floods</h1><p>{_S}</p><ul><li>{_T}</li><li>{_T}</li><li>{_S}</li></ul><p>{_S}</p>'
+    f'<ol><li>{_S}</li><li>{_S}</li></ol></article><footer>{_L}</footer>',
+    f'<div class="menu">{_L}</div><div class="text" y="1"><h2>Floods</h2><ul><li><p>{_S}</p></li><li><p>{_T}</p></li></ul>'
+    f'<p>{_T}</p></div><div class="tags">{_L}</div><div class="legal">{_T}</div>',
     f'<div role="navigation">{_L}</div><div class="main-content" y="1"><h2>Floods</h2><p>{_S} {_S} {_S}</p><p>{_T}</p>'
     f'</div><div class="related"><p>{_T}</p>{_L}</div><form><label>Search</label></form><footer><div>{_T}</div></footer>',
 ]

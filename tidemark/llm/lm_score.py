@@ -30,7 +30,7 @@ from xxhash import xxh64_intdigest
 from .common import held_out, plain_text, words
 
 ORDER = 2
-STRENGTH = 30.0  # K
+STRENGTH = 100.0  # K
 BLOCK = 8 << 20  # bytes of text in a block, on average
 PIECE = 1 << 20  # characters of a text in one piece
 BUCKET = 4 << 20  # bytes of text per hash range

@@ -14,10 +14,9 @@ for its first and last. A paragraph's set are its 5-word shingles (A-Z lower-cas
 3. A component's paragraph at the first place stays, the others are removed, but only in runs of at least ``MIN_RUN``
    words: a single repeated line of a few words stays.
 
-Nulls and odd cases: a NULL text counts as empty and stays NULL; texts without words stay as they are; a repetition
-within one document counts like one between documents; of repeated rows the first keeps its text, row by row where the
-ids are equal too (the same texts under one id keep the same paragraphs); a NULL id sorts before all others; extra
-columns are kept.
+Nulls and odd cases: a NULL text counts as empty and stays NULL; texts without words stay as they are; a document's
+repetitions of its own paragraphs stay if no earlier document holds them; equal texts under one id are one document, so
+such repeated rows keep the same paragraphs; a NULL id sorts before all others; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -233,7 +232,8 @@ def repeated(rows: DataFrame) -> DataFrame:
     keep = several.join(first, "component").select("unit", "first")
     sift = Bloom(several.select("unit"))
     places = found.where(sift(F.col("unit"))).join(keep, "unit")
-    return places.where(F.struct("doc_id", "key", "pos") != F.col("first")).select(
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    return places.where(~same).select(
         "doc_id", "key", "pos", "n_words", F.col("first.doc_id").alias("first_doc"))
 
 

@@ -67,9 +67,9 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op8_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS e FROM embeddings
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
             FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
