@@ -31,7 +31,7 @@ SAMPLE = 500  # pages of the table learnt from at most
 SEED_WEIGHT = 40  # a seed page counts as so many pages
 SMOOTH = 0.5
 # What a node's features count for; those of neighbours repeat each other, so they count for less than their ratios say.
-WEIGHT = {"tag": 1.0, "hint": 2.0, "size": 0.3, "links": 1.0, "ends": 0.3}
+WEIGHT = {"tag": 0.6, "hint": 5.0, "size": 0.3, "links": 1.0, "ends": 0.3}
 
 # Element names of the HTML standard.
 RAW = {"script", "style", "textarea", "template", "iframe", "noscript", "noembed", "svg", "math", "head", "select"}
@@ -42,6 +42,7 @@ BLOCK = {
     "header", "hgroup", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "search", "section",
     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
+ASIDE = {"nav", "aside", "footer", "form", "button", "dialog", "menu", "search"}  # never part of an article by their meaning
 # An element whose start ends an open one of these, up to the nearest element of the second set.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -177,7 +178,8 @@ def parse(page: str) -> Tree:
                 elif open_name in stop or open_name in BLOCK:
                     break
             label = LABEL.search(attributes)
-            node = tree.add(stack[-1][1], name, hint_of(attributes), label=label and label[1])
+            hint = "against" if name in ASIDE else hint_of(attributes)
+            node = tree.add(stack[-1][1], name, hint, label=label and label[1])
             stack.append((name, node, stack[-1][2]))
         else:
             stack.append((name, stack[-1][1], stack[-1][2] + (name == "a")))
@@ -227,10 +229,9 @@ def marked_labels(tree: Tree) -> list[int] | None:
     marks = {"main"} if "article" not in tree.tag else {"article"}
     if not marks & set(tree.tag):
         return None
-    away = {"nav", "aside", "footer", "form", "button", "dialog", "menu"}
     out = [0] * len(tree.parent)
     for i in range(1, len(out)):
-        if tree.tag[i] in away or tree.hint[i] == "against":
+        if tree.hint[i] == "against":
             out[i] = -1  # and so is all inside
         else:
             above = out[tree.parent[i]]
@@ -259,18 +260,24 @@ def tally(tree: Tree, labels: list[int], into: Counter, weight: int = 1) -> None
         for feature in seen:
             into[feature, labels[i]] += weight
         if i:
-            into[f"edge {tree.text[i] is not None} {labels[tree.parent[i]]}", labels[i]] += weight
+            into[f"edge {place(tree, i)} {labels[tree.parent[i]]}", labels[i]] += weight
         else:
             into["root", labels[i]] += weight
 
 
 Edge = tuple[tuple[float, float], tuple[float, float]]
+PLACES = ("leaf", "top", "inner")
+
+
+def place(tree: Tree, node: int) -> str:
+    """The kind of edge above a node: to a leaf, from the root, or between elements."""
+    return "leaf" if tree.text[node] is not None else "inner" if tree.parent[node] else "top"
 
 
 @dataclass
 class Model:
     node: dict[str, tuple[float, float]]
-    edge: dict[bool, Edge]  # for leaves (True) and elements: [parent's label][child's label]
+    edge: dict[str, Edge]  # by place: [parent's label][child's label]
     root: tuple[float, float]
 
 
@@ -287,10 +294,10 @@ def fit(counts: dict[tuple[str, int], int]) -> Model:
     node = {f: (ratio(f, 0), ratio(f, 1)) for f in {f for f, _ in counts} if not f.startswith(("edge", "root"))}
 
     def share(name: str) -> tuple[float, float]:
-        c = [counts.get((name, y), 0) + SMOOTH for y in (0, 1)]
+        c = [counts.get((name, y), 0) + SMOOTH / 100 for y in (0, 1)]
         return math.log(c[0] / sum(c)), math.log(c[1] / sum(c))
 
-    edge = {leaf: (share(f"edge {leaf} 0"), share(f"edge {leaf} 1")) for leaf in (False, True)}
+    edge = {p: (share(f"edge {p} 0"), share(f"edge {p} 1")) for p in PLACES}
     return Model(node, edge, share("root"))
 
 
@@ -312,14 +319,14 @@ def marginals(tree: Tree, model: Model) -> list[float]:
     belief[0][1] += model.root[1]
     up = [(0.0, 0.0)] * n
     for i in range(n - 1, 0, -1):
-        (e00, e01), (e10, e11) = model.edge[tree.text[i] is not None]
+        (e00, e01), (e10, e11) = model.edge[place(tree, i)]
         zero, one = belief[i]
         up[i] = add_logs(e00 + zero, e01 + one), add_logs(e10 + zero, e11 + one)
         above = belief[tree.parent[i]]
         above[0] += up[i][0]
         above[1] += up[i][1]
     for i in range(1, n):
-        (e00, e01), (e10, e11) = model.edge[tree.text[i] is not None]
+        (e00, e01), (e10, e11) = model.edge[place(tree, i)]
         above = belief[tree.parent[i]]
         zero, one = above[0] - up[i][0], above[1] - up[i][1]
         low = add_logs(zero + e00, one + e10)
