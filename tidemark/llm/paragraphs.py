@@ -260,8 +260,8 @@ def remove(text: str, gone: dict[int, int]) -> tuple[str, int]:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` after removals, ``n_removed`` paragraphs and ``first_docs``, ids that keep the repeated ones."""
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": F.xxhash64("text")})
-    rows = keyed.select(F.col("_id").alias("doc_id"), F.col("_key").alias("key"), plain_text().alias("text"))
+    keyed = docs.withColumns({"__doc_id": F.col("doc_id").cast("long"), "__text_key": F.xxhash64("text")})
+    rows = keyed.select(F.col("__doc_id").alias("doc_id"), F.col("__text_key").alias("key"), plain_text().alias("text"))
     gone = stage(
         repeated(rows).groupBy("doc_id", "key").agg(
             F.collect_set(F.struct("pos", "n_words", "first_doc")).alias("gone")),
@@ -275,21 +275,21 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     bloom = Bloom(gone.select("key"))
     kept = docs.columns
-    may = keyed.withColumn("_may", bloom(F.col("_key")))
-    hit = may.where("_may").join(
-        gone, F.col("_id").eqNullSafe(gone.doc_id) & (F.col("_key") == gone.key), "left"
+    may = keyed.withColumn("__text_may", bloom(F.col("__text_key")))
+    hit = may.where("__text_may").join(
+        gone, F.col("__doc_id").eqNullSafe(gone.doc_id) & (F.col("__text_key") == gone.key), "left"
     ).select(*[docs_column(c, keyed) for c in kept], "gone")
     changed = hit.where("gone IS NOT NULL").withColumn(
-        "_new", rewrite("text", F.col("gone.pos"), F.col("gone.n_words"))
+        "__text_new", rewrite("text", F.col("gone.pos"), F.col("gone.n_words"))
     ).select(
-        *[F.col("_new.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in kept],
-        F.col("_new.n_removed").alias("n_removed"),
-        F.when(F.col("_new.n_removed") > 0, F.array_sort(F.array_distinct("gone.first_doc")))
+        *[F.col("__text_new.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in kept],
+        F.col("__text_new.n_removed").alias("n_removed"),
+        F.when(F.col("__text_new.n_removed") > 0, F.array_sort(F.array_distinct("gone.first_doc")))
         .otherwise(F.array().cast("array<long>")).alias("first_docs"),
     )
     same = lambda df: df.select(
         *[F.col(f"`{c}`") for c in kept], F.lit(0).alias("n_removed"), F.array().cast("array<long>").alias("first_docs"))
-    return changed.union(same(hit.where("gone IS NULL"))).union(same(may.where("NOT _may")))
+    return changed.union(same(hit.where("gone IS NULL"))).union(same(may.where("NOT __text_may")))
 
 
 def docs_column(name: str, df: DataFrame) -> Column:

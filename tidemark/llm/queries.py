@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, lm_score, paragraphs, quality, simhash, token_counts, topk
+from . import decontaminate, html_extract, lm_score, paragraphs, quality, simhash, token_counts, topk, viterbi
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,23 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_and_back(table(spark, sf_dir, "documents"))
+
+
+def pieces_and_back(docs: DataFrame) -> DataFrame:
+    """Encodes every text and decodes it again: (doc_id, n_tokens, score, ids_hash, round_trip)."""
+    back = viterbi.decode(viterbi.encode(docs))
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "score", F.xxhash64("ids").alias("ids_hash"),
+        (F.xxhash64("decoded") == F.col("key")).alias("round_trip"),
+    )
+
+
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_texts(table(spark, sf_dir, "documents"))
 
@@ -57,6 +74,8 @@ def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_token_counts": op2_token_counts,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_lm_score": op5_lm_score,
     "op7_html": op7_html,
     "op8_topk": op8_topk,
