@@ -160,3 +160,17 @@ def bloom_test(filled: np.ndarray, values: np.ndarray, mask: int, probes: int =
         at = (values >> np.int64(13 * k)) & np.int64(mask)
         out &= (filled[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
     return out
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the documents in the staged ``gone (doc_id, key)``, ``key`` being the text's xxhash64.
+
+    A Bloom filter lets most of the documents that stay pass without a shuffle.
+    """
+    gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("key").alias("__gone_key"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.withColumn("__text_key", F.xxhash64("text"))
+    may = Bloom(gone.select("__gone_key"))(F.col("__text_key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__gone_id")) & (F.col("__text_key") == F.col("__gone_key"))
+    rest = keyed.where(may).join(gone, same, "left_anti")
+    return keyed.where(~may).select(*names).union(rest.select(*names))

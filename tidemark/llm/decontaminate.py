@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import Bloom, plain_text, stage, words
+from .common import Bloom, plain_text, stage, without, words
 
 # The masks; 1 marks a token that counts.
 MASKS = ("11111", "1101011", "110010011", "10110001001", "111000101", "1010100011")
@@ -191,12 +191,4 @@ def marked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a leak, all their columns kept."""
-    found = stage(leaks(docs, benchmark).select(F.col("doc_id").alias("__leak_id"), F.col("key").alias("__leak_key")), "leaks")
-    bloom = Bloom(found.select("__leak_key"))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.withColumn("__text_key", F.xxhash64("text"))
-    may = bloom(F.col("__text_key"))
-    # Only rows that the filter takes for leaks are shuffled.
-    rest = keyed.where(may).join(
-        found, F.col("doc_id").cast("long").eqNullSafe(F.col("__leak_id")) & (F.col("__text_key") == F.col("__leak_key")), "left_anti")
-    return keyed.where(~may).select(*names).union(rest.select(*names))
+    return without(docs, stage(leaks(docs, benchmark).select("doc_id", "key"), "leaks"))

@@ -16,7 +16,7 @@ ACCEPT = 0.7  # a document is predicted good from this score up
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("key")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import components, plain_text, stage, words
+from .common import components, plain_text, stage, without, words
 
 SHINGLE = 3
 SEED = 42
@@ -63,14 +63,14 @@ def fingerprint(text: str) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row."""
+    """(doc_id, key, fp) of every row; ``key`` is the text's xxhash64."""
 
     @F.pandas_udf("long")
     def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(text) for text in texts], dtype="int64")
 
-    return docs.select(F.col("doc_id").cast("long"), simhash(plain_text()).alias("fp"))
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), simhash(plain_text()).alias("fp"))
 
 
 def pivot(number: int, segment: int) -> int:
@@ -141,7 +141,7 @@ def links(distinct: DataFrame, hot: int = HOT) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row of ``docs (doc_id, text)``."""
+    """(doc_id, key, fingerprint, component_id) of every row of ``docs (doc_id, text)``."""
     rows = stage(fingerprints(docs), "simhash")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     joined = components(links(distinct.select("fp"), hot), "simhash-components")
@@ -150,5 +150,11 @@ def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
     moved = members.join(lowest, "component").select("fp", "component_id")
     ids = distinct.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
     return rows.join(ids, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", "key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is their component's smallest; rows of one id and text are one document."""
+    found = near_duplicates(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return without(docs, stage(found.select("doc_id", "key").distinct(), "simhash-gone"))
