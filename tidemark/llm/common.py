@@ -135,8 +135,8 @@ class Bloom:
             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))).alias("set"))
         )
         self.words = np.zeros(bits >> 6, dtype=np.uint64)
-        frame = filled.toPandas()  # bits / 64 rows at most
-        self.words[frame["word"].to_numpy().astype(np.int64)] = frame["set"].to_numpy().astype(np.int64).view(np.uint64)
+        found = filled.toArrow()  # bits / 64 rows at most
+        self.words[found["word"].to_numpy()] = found["set"].to_numpy().view(np.uint64)
         self.shared = hashes.sparkSession.sparkContext.broadcast(self.words)
 
     def _at(self, value: Column, probe: int) -> Column:

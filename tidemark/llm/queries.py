@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, lm_score, paragraphs, quality, simhash, token_counts, topk, viterbi
+from . import decontaminate, html_extract, lm_score, paragraphs, quality, simhash, suffix_dedup, token_counts, topk, viterbi
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,14 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    length = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + (x.stop - x.start))
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", length.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.col("kept").alias("kept_sha256"),
+    )
+
+
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -77,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_lm_score": op5_lm_score,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_html": op7_html,
     "op8_topk": op8_topk,
     "op9_quality": op9_quality,
