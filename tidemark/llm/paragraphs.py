@@ -151,7 +151,7 @@ def units(rows: DataFrame) -> DataFrame:
                 owner, place, size, codes = cutter.cut(part.text)
                 yield pd.DataFrame({
                     "doc_id": part.doc_id.astype("Int64").array[owner], "key": part.key.to_numpy()[owner],
-                    "pos": place, "unit": cutter.ids(size, codes), "n_words": size, "bands": list(cutter.bands(size, codes)),
+                    "pos": place, "unit": cutter.ids(size, codes), "n_words": size, "bands": pd.Series(list(cutter.bands(size, codes)), dtype=object),
                 })
 
     return rows.mapInPandas(cut, "doc_id long, key long, pos int, unit long, n_words int, bands array<long>")

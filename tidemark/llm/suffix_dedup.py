@@ -160,7 +160,9 @@ def shared_keys(rows: DataFrame) -> DataFrame:
             owner = np.concatenate([np.empty(0, np.int64), *[np.full(len(k), d) for k, d in found]])
             order = np.lexsort((owner, keys))
             keys, owner = keys[order], owner[order]
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+            if not len(keys):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             last = np.append(first[1:], len(keys)) - 1
             several = owner[first] != owner[last]
             # The smallest owner goes along: rows of one id in two blocks are one document.
@@ -204,7 +206,7 @@ def places(rows: DataFrame, keys: DataFrame) -> DataFrame:
                 if len(at):
                     row = np.array([row_hash(*row_of(data, x)) for x in at.tolist()], dtype=np.uint64).view(np.int64)
                     parts.append((codes, row, np.full(len(at), doc), np.full(len(at), key), at, np.full(len(at), len(data))))
-            columns = [np.concatenate(c) for c in zip(*parts)] if parts else [[]] * 6
+            columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0, np.int64)] * 6
             yield pd.DataFrame(dict(zip(["anchor", "row", "doc_id", "text_key", "at", "size"], columns)))
 
     found = rows.mapInPandas(find, "anchor long, row long, doc_id long, text_key long, at int, size int")
