@@ -18,7 +18,7 @@ def main(argv, spark) -> None:
     specs = retail_specs(options.catalog, options.buckets)
     spec = specs[options.table_id]
     if spec.strategy is not LoadStrategy.INCREMENTAL_CDC:
-        raise SpecError(f"{spec.table_id} is not configured as incremental_cdc")
+        raise SpecError(f"{spec.table_id} loads no change feed, its strategy is {spec.strategy.value}")
     snapshot = next((s for s in specs if s.raw_table == spec.change_feed.baseline_table), None)
     if snapshot is None:
         raise SpecError(f"{spec.table_id} names no snapshot table to start from")

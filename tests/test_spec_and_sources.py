@@ -301,10 +301,12 @@ def test_jdbc_splits_over_the_rows_it_will_read(spark):
 
 def test_jdbc_splits_a_change_range(spark):
     source, recorder = jdbc(spark, {"MIN(id)": spark.createDataFrame([(1, 5)], "lo int, hi int")}, num_partitions=4)
-    source.changes(ChangeFeed("dbo_T", partition_column="id"), f"0x{1:020X}", f"0x{2:020X}")
+    feed = {"capture_instance": "dbo_T", "partition_column": "id"}
+    changed = spec(strategy="incremental_cdc", change_feed=ChangeFeed(**feed))
+    source.changes(changed, f"0x{1:020X}", f"0x{2:020X}")
     bounds, read = recorder.calls
     assert bounds["dbtable"].startswith("(SELECT MIN(id) AS lo, MAX(id) AS hi FROM cdc.dbo_T_CT WHERE")
-    assert read["dbtable"].startswith("(SELECT * FROM cdc.dbo_T_CT WHERE") and read["numPartitions"] == "4"
+    assert read["dbtable"].startswith("(SELECT __$start_lsn, ") and "secret" in read["dbtable"] and read["numPartitions"] == "4"
 
 
 def test_jdbc_change_feed(spark):
@@ -313,9 +315,10 @@ def test_jdbc_change_feed(spark):
     feed = ChangeFeed("dbo_T")
     assert source.max_position("dbo_T") == "0x0000004F00003A980003" == source.min_position("dbo_T")
     low, high = f"0x{1:020X}", f"0x{2:020X}"
-    source.changes(feed, low, high)
+    changed = spec(strategy="incremental_cdc", change_feed=feed, exclude_columns=("secret",))
+    source.changes(changed, low, high)
     assert recorder.calls[-1]["dbtable"] == (
-        f"(SELECT * FROM cdc.dbo_T_CT WHERE __$start_lsn <= {high} AND __$start_lsn > {low} AND __$operation <> 3) AS src"
+        f"(SELECT __$start_lsn, __$seqval, __$operation, __$update_mask, id, v FROM cdc.dbo_T_CT WHERE __$start_lsn <= {high} AND __$start_lsn > {low} AND __$operation <> 3) AS src"
     )
     assert "<> 3" not in source.changes_text(ChangeFeed("dbo_T", "all update old"), None, high)
     with pytest.raises(SpecError, match="log position"):

@@ -2,7 +2,7 @@
 
 The tables stand in for the retail schema: orders = order header, lineitem = order detail, part = product,
 nation with region = address, events and orders = change feeds. Each query reads its tables whole; where a query
-needs an old and a new state, one table is cut at a date, as a watermark would cut it.
+needs an old and a new state, one table is cut at a date or, for parts, by size, and both sides are read.
 """
 
 from __future__ import annotations
@@ -38,10 +38,11 @@ from .operators import (
     validity,
     with_audit_columns,
 )
-from .operators.ingest import OPERATION, SEQVAL, START_LSN, UPDATE_MASK
+from .operators.ingest import INGESTED_AT, OPERATION, SEQVAL, START_LSN, UPDATE_MASK
+from .plans.loads import conform
 from .plans.marts import MAIN_OFFICE, SHIPPING, dim_customer, dim_product, fact_sales
 from .sources.parquet import read_parquet
-from .spec import LoadStrategy, TableSpec
+from .spec import ChangeFeed, LoadStrategy, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,11 +133,10 @@ EVENT_RANGE = f"""
 
 
 def addresses(spark: SparkSession, sf: str) -> DataFrame:
-    """One address per nation. There are 25 nations at every scale factor, so the hint has a fixed bound; the product
-    of two sizes that Catalyst takes for a join would hide it."""
+    """One address per nation."""
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     named = F.when(F.col("n_nationkey") % 5 != 0, F.col("n_name"))
-    located = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").cast("bigint").alias("AddressID"),
         named.alias("AddressLine1"),
         F.col("r_name").alias("AddressLine2"),
@@ -145,7 +145,6 @@ def addresses(spark: SparkSession, sf: str) -> DataFrame:
         F.col("r_name").alias("CountryRegion"),
         F.col("n_nationkey").cast("string").alias("PostalCode"),
     )
-    return F.broadcast(located)
 
 
 ADDRESSES = """
@@ -266,26 +265,35 @@ def unprocessed_batches_select(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT o_custkey, o_orderkey AS last_order, o_totalprice AS last_total
-FROM (SELECT o.*, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-      FROM orders o WHERE o_orderdate > CAST('1998-01-01 00:00:00' AS TIMESTAMP)) p
-WHERE rn = 1""")
+WITH o AS (
+    SELECT *, o_orderdate > CAST('1998-01-01' AS TIMESTAMP) AS pending,
+           ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderdate > CAST('1998-01-01' AS TIMESTAMP)
+                              ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM orders)
+SELECT o_custkey, COALESCE(MAX(CASE WHEN pending THEN o_orderkey END), MAX(o_orderkey)) AS last_order,
+       COALESCE(MAX(CASE WHEN pending THEN o_totalprice END), MAX(o_totalprice)) AS last_total,
+       COALESCE(MAX(CASE WHEN pending THEN o_orderdate END), MAX(o_orderdate)) AS last_date
+FROM o WHERE rn = 1 GROUP BY o_custkey""")
 def merge_pending_batches(spark: SparkSession, sf: str) -> DataFrame:
-    pending = select_incremental(table(spark, sf, "orders"), "o_orderdate", "1998-01-01 00:00:00")
-    rows = pending.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    return latest_per_key(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select(
-        "o_custkey", F.col("o_orderkey").alias("last_order"), F.col("o_totalprice").alias("last_total")
+    """The batches after a date, merged into the table made of those before."""
+    orders = table(spark, sf, "orders").select(
+        "o_custkey", F.col("o_orderkey").alias("last_order"), F.col("o_totalprice").alias("last_total"),
+        F.col("o_orderdate").alias("last_date"),
     )
+    keys, order, applied = ["o_custkey"], ["last_date", "last_order"], timestamp("1998-01-01")
+    target = latest_per_key(orders.filter(F.col("last_date") <= applied), keys, order)
+    pending = unprocessed_batches(orders, applied, "last_date")
+    return merge_upsert(target, latest_per_key(pending, keys, order), keys, newer_by=order)
 
 
 # --- Change feed -----------------------------------------------------------------------------------------------
 
-RELEVANT = f"SELECT * FROM ({EVENT_RANGE}) r WHERE operation IN (1, 2, 4)"
+RELEVANT = f"SELECT * FROM ({EVENT_CHANGES}) r WHERE operation IN (1, 2, 4)"
 
 
 @query(RELEVANT)
 def cdc_relevant_ops(spark: SparkSession, sf: str) -> DataFrame:
-    return relevant_changes(event_range(spark, sf), "operation")
+    return relevant_changes(event_changes(spark, sf), "operation")
 
 
 @query(f"""
@@ -295,7 +303,7 @@ FROM (SELECT f.*, ROW_NUMBER() OVER (PARTITION BY user_id
       FROM ({RELEVANT}) f) z
 WHERE rn = 1""")
 def cdc_latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
-    relevant = relevant_changes(event_range(spark, sf), "operation")
+    relevant = relevant_changes(event_changes(spark, sf), "operation")
     newest = newest_changes(relevant, ["user_id"], ("start_lsn", "seqval", "operation"))
     return change_delete_flag(newest, "operation")
 
@@ -459,6 +467,76 @@ def append_versions_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return append_versions(history, batch, keys, order).drop("o_orderdate")
 
 
+# --- Conformed loads -------------------------------------------------------------------------------------------
+
+
+def order_spec(strategy: LoadStrategy, **more) -> TableSpec:
+    return TableSpec(
+        table_id="orders_by_customer", source_schema="tpch", source_table="orders", raw_table="bronze.orders",
+        conformed_table="silver.orders", primary_key=("o_custkey",), strategy=strategy,
+        watermark_column="o_orderdate", initial_watermark="1990-01-01 00:00:00", tie_breakers=("o_orderkey",), **more,
+    )
+
+
+def order_batches(spark: SparkSession, sf: str, *days: str) -> list[DataFrame]:
+    """Raw rows of orders, cut into batches at the days."""
+    rows = table(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice",
+        F.when(F.col("o_orderstatus") == "P", F.col("o_orderdate")).alias("closed"),
+    )
+    bounds = [None, *map(timestamp, days), None]
+    out = []
+    for number, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        part = rows if low is None else rows.filter(F.col("o_orderdate") > low)
+        part = part if high is None else part.filter(F.col("o_orderdate") <= high)
+        out.append(part.withColumn(INGESTED_AT, F.timestamp_seconds(F.lit(number))))
+    return out
+
+
+CONFORM_DAYS = ("1995-01-01", "1997-06-01")
+
+
+@query("""
+SELECT o_custkey, o_orderkey, o_orderdate AS valid_from,
+       LEAD(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS valid_to,
+       CASE WHEN LEAD(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) IS NULL
+            THEN 1 ELSE 0 END AS is_current
+FROM orders""")
+def conform_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches of versions, one after the other."""
+    spec, conformed = order_spec(LoadStrategy.INCREMENTAL_UPSERT), None
+    for batch in order_batches(spark, sf, *CONFORM_DAYS):
+        conformed = conform(spec, batch, conformed)
+    return conformed.select("o_custkey", "o_orderkey", "valid_from", "valid_to", "is_current")
+
+
+@query("""
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS is_deleted
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) o
+WHERE rn = 1""")
+def conform_soft_delete(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches merged by key; a closed order counts as deleted."""
+    spec, conformed = order_spec(LoadStrategy.INCREMENTAL_SOFT_DELETE, soft_delete_column="closed"), None
+    for batch in order_batches(spark, sf, *CONFORM_DAYS):
+        conformed = conform(spec, batch, conformed)
+    return conformed.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice", "is_deleted")
+
+
+@query(ORACLE["cdc_merge"])
+def conform_cdc(spark: SparkSession, sf: str) -> DataFrame:
+    """The change merge of ``cdc_merge`` through the conformed load."""
+    spec = TableSpec(
+        table_id="orders_cdc", source_schema="tpch", source_table="orders", raw_table="bronze.orders_cdc",
+        conformed_table="silver.orders", primary_key=("o_custkey",), strategy=LoadStrategy.INCREMENTAL_CDC,
+        change_feed=ChangeFeed("orders", baseline_table="bronze.orders"),
+    )
+    feed, baseline = order_changes(spark, sf), timestamp(BASELINE_DAY)
+    position = F.col(f"`{START_LSN}`")
+    before = latest_per_key(feed.filter(position <= baseline), ["o_custkey"], [START_LSN, SEQVAL])
+    target = default_delete_flag(before.select("o_custkey", "value", "status"))
+    return conform(spec, feed.filter(position > baseline), target)
+
+
 # --- Marts -----------------------------------------------------------------------------------------------------
 
 
@@ -534,16 +612,17 @@ def dim_customer_mart(spark: SparkSession, sf: str) -> DataFrame:
         F.explode(F.array(F.lit(0), F.lit(1))).alias("is_current"),
     )
 
-    def role(rows: DataFrame, address_id: Column, name: str) -> DataFrame:
-        return rows.select(
-            key.alias("CustomerID"), address_id.cast("bigint").alias("AddressID"), F.lit(name).alias("AddressType")
-        )
+    def role(number: Column, name: str, there: Column = F.lit(True)) -> Column:
+        placed = F.struct(number.cast("bigint").alias("AddressID"), F.lit(name).alias("AddressType"))
+        return F.when(there, placed)
 
-    bridge = (
-        role(source, F.col("c_nationkey"), MAIN_OFFICE)
-        .unionByName(role(source.filter(segment == "BUILDING"), (key * 3) % 25, MAIN_OFFICE))
-        .unionByName(role(source.filter(F.col("c_acctbal") > 0), (key * 7) % 25, SHIPPING))
+    roles = F.array(
+        role(F.col("c_nationkey"), MAIN_OFFICE),
+        role((key * 3) % 25, MAIN_OFFICE, segment == "BUILDING"),
+        role((key * 7) % 25, SHIPPING, F.col("c_acctbal") > 0),
     )
+    bridge = source.select(key.alias("CustomerID"), F.explode(F.array_compact(roles)).alias("role")).select(
+        "CustomerID", "role.*")
     return dim_customer(versions, bridge, addresses(spark, sf))
 
 

@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import column, flag, null_safe_match, same_key
-from ..sizing import at_most
+from ..functions import column, flag, null_safe_match
 from .ingest import INGESTED_AT
-from .skew import SMALL_FRAME_BYTES, checkpoint, join_partner, with_next
+from .skew import content_hash, with_next
 
 IS_CURRENT = "is_current"
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
+# Columns of this prefix tell how a row came here, not what it says.
+AUDIT_PREFIX = "bronze_"
 
 
 def latest_batch(df: DataFrame, batch_column: str = INGESTED_AT) -> DataFrame:
@@ -62,79 +63,42 @@ def append_versions(
     keys: Sequence[str],
     order: Sequence[str],
     prefer: Sequence[str] = (),
-    small_history_bytes: int = SMALL_FRAME_BYTES,
+    intervals: bool = False,
+    audit_prefix: str = AUDIT_PREFIX,
     **skew,
 ) -> DataFrame:
     """History plus the versions of ``batch`` it does not hold yet, with ``is_current`` right for every key.
 
-    A version is identified by key and order columns, so applying a batch again changes nothing; keys and the
-    first order column, the watermark, are never NULL. Of rows in ``batch`` with one identity the first in
-    ``prefer`` order counts. A small history is ranked anew together with the batch; a large one is not (see
-    ``_append_to_large``).
-    """
-    identity = [*keys, *order]
-    if history is None:
-        return current_flag(_distinct_versions(batch, identity, prefer), keys, order, **skew)
-    if at_most(history, small_history_bytes):
-        stored = history.drop(IS_CURRENT).withColumn("_added", F.lit(0))
-        everything = stored.unionByName(batch.withColumn("_added", F.lit(1)), allowMissingColumns=True)
-        if at_most(everything, small_history_bytes):
-            # Partitioned and sorted for the flag right away; finding equal versions needs no more than that.
-            everything = everything.repartition(*[column(k) for k in keys])
-        distinct = _distinct_versions(everything, identity, ["_added", *prefer]).drop("_added")
-        return current_flag(distinct, keys, order, **skew)
-    return _append_to_large(history, batch, keys, order, prefer, **skew)
-
-
-def _append_to_large(
-    history: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str], prefer: Sequence[str], **skew
-) -> DataFrame:
-    """Only incoming versions are ranked; a stored current row loses its flag when a newer version arrives.
+    A version is identified by its key, its order columns and its content, which is every column but audit columns and
+    those made here; so applying a batch again changes nothing, and a correction under an equal watermark is a version
+    of its own. Of rows with one identity the first in ``prefer`` order counts, stored ones before all; of versions equal
+    in ``order`` the last in ``prefer`` order is current. NULL keys are a key, NULLs in ``order`` come first.
 
-    Stored rows meet at most one row per key: by broadcast for a small batch, otherwise in a join that keeps hot
-    keys apart.
+    One plan at every size: only keys that the batch holds are ranked anew, the other rows of the history pass by. With
+    ``intervals`` the validity columns are kept too; a history that lacks them gets them as a whole.
     """
-    identity = [*keys, *order]
-    # A stored copy of an incoming version has the same watermark, hence is not below the lowest incoming one.
-    lowest = batch.agg(F.min(column(order[0])).alias("lowest")).scalar()
-    stored = history.filter(column(order[0]) >= lowest).select(*[column(c) for c in identity])
-    arrived = _distinct_versions(batch, identity, prefer)
-    # Used several times below, and far smaller than the history as a rule.
-    added = checkpoint(arrived.alias("n").join(stored.alias("o"), null_safe_match(identity, "n", "o"), "left_anti"))
-
-    newest = latest_per_key(added.select(*[column(c) for c in identity]), keys, order)
-    kept = join_partner(
-        history,
-        newest,
-        keys,
-        "left",
-        lambda joined: joined.select(
-            *[column(c, "m") for c in history.columns if c != IS_CURRENT],
-            F.when(_later(order, "o", "m"), F.lit(0)).otherwise(column(IS_CURRENT, "m")).alias(IS_CURRENT),
-        ),
-        **skew,
-    )
-
-    stored_current = history.filter(column(IS_CURRENT) == 1).select(*[column(c) for c in identity])
-    ranked = current_flag(added, keys, order, **skew)
-    incoming = (
-        ranked.alias("n")
-        .join(stored_current.alias("o"), same_key(keys, "n", "o"), "left")
-        .select(
-            *[column(c, "n") for c in ranked.columns if c != IS_CURRENT],
-            F.when(_later(order, "o", "n"), F.lit(0)).otherwise(column(IS_CURRENT, "n")).alias(IS_CURRENT),
-        )
-    )
-    return kept.unionByName(incoming, allowMissingColumns=True)
-
-
-def _later(order: Sequence[str], left: str, right: str) -> Column:
-    """Whether the left row comes later; false where the left side found no partner (its columns are NULL)."""
-    return F.struct(*[column(c, left) for c in order]) > F.struct(*[column(c, right) for c in order])
+    made = [IS_CURRENT, VALID_FROM, VALID_TO]
+    rank = validity if intervals else current_flag
+    added = batch.drop(*made).withColumn("_added", F.lit(1))
+    if history is None:
+        rows, untouched = added, None
+    else:
+        marked = history.alias("h")
+        touched_keys = batch.select(*[column(k) for k in keys]).distinct().alias("b")
+        match = null_safe_match(keys, "h", "b")
+        if intervals and VALID_FROM not in history.columns:
+            stored, untouched = history, None
+        else:
+            stored = marked.join(touched_keys, match, "left_semi")
+            untouched = marked.join(touched_keys, match, "left_anti")
+        rows = stored.drop(*made).withColumn("_added", F.lit(0)).unionByName(added, allowMissingColumns=True)
+    content = [c for c in rows.columns if not c.startswith(audit_prefix) and c not in {"_added", *keys, *order}]
+    hashed = rows.withColumn("_content", content_hash(rows, content)) if content else rows.withColumn("_content", F.lit(0))
+    distinct = _distinct_versions(hashed, [*keys, *order, "_content"], ["_added", *prefer]).drop("_content", "_added")
+    ranked = rank(distinct, keys, [*order, *prefer], **skew)
+    return ranked if untouched is None else untouched.unionByName(ranked, allowMissingColumns=True)
 
 
 def _distinct_versions(df: DataFrame, identity: Sequence[str], prefer: Sequence[str]) -> DataFrame:
-    if not prefer:
-        return df.dropDuplicates(list(identity))
     window = Window.partitionBy(*[column(c) for c in identity]).orderBy(*[column(c) for c in prefer])
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")

@@ -58,13 +58,24 @@ def align_to_target(df: DataFrame, target_columns: Sequence[str]) -> DataFrame:
     return df.select(*[column(c) for c in target_columns if c in have])
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], buckets: int = 0) -> DataFrame:
+def merge_upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], buckets: int = 0, newer_by: Sequence[str] = ()
+) -> DataFrame:
     """Matched rows take every source value, new keys are added, all other target rows stay.
 
-    Keys must be unique in ``source`` (see ``latest_per_key``) and in ``target``. ``buckets`` is the number of
+    With ``newer_by`` a source row that is older by these columns, as one of a late batch may be, changes nothing. Keys must be unique in ``source`` (see ``latest_per_key``) and in ``target``. ``buckets`` is the number of
     buckets the target is stored in by key, 0 when it is not bucketed.
     """
-    return _merge(target, source, keys, lambda _name: F.col("s._present"), buckets)
+    takes = F.col("s._present") & not_older(newer_by, "s", "t")
+    return _merge(target, source, keys, lambda _name: takes, buckets)
+
+
+def not_older(order: Sequence[str], source: str, target: str) -> Column:
+    """True unless the source row comes before the target row; NULLs come first."""
+    if not order:
+        return F.lit(True)
+    rows = [F.struct(*[column(c, side) for c in order]) for side in (source, target)]
+    return rows[0] >= rows[1]
 
 
 def merge_changes(target: DataFrame, source: DataFrame, keys: Sequence[str], buckets: int = 0) -> DataFrame:
@@ -105,12 +116,12 @@ def _merge(
         # A bucketed target stays where it is and only the batch is shuffled, into the same buckets.
         return t.join(beside_buckets(s, keys, buckets), on, "full_outer").select(*columns)
 
-    # The batch is broadcast (size checked above), so the large target is scanned but never shuffled.
-    updated = t.join(F.broadcast(s), on, "left").select(*columns)
+    # Catalyst broadcasts the batch by its estimate, adaptive execution by its measured size; no hint binds either.
+    updated = t.join(s, on, "left").select(*columns)
     target_keys = target.select(*[column(k) for k in keys]).alias("t")
     # One row per matched batch row at most, because keys are unique in the target.
-    matched = target_keys.join(F.broadcast(s), on, "left_semi")
-    added = typed.alias("s").join(F.broadcast(matched.alias("t")), on, "left_anti")
+    matched = target_keys.join(s, on, "left_semi")
+    added = typed.alias("s").join(matched.alias("t"), on, "left_anti")
     return updated.unionByName(added, allowMissingColumns=True)
 
 

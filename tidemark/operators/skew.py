@@ -10,12 +10,11 @@ one per key, by broadcast.
 from __future__ import annotations
 
 import math
-import tempfile
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ..functions import column, null_safe_match, same_key
 from ..sizing import at_most, fits_broadcast
@@ -41,11 +40,8 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     if context.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
-    context.setCheckpointDir(shared)
+    # Without the setting the warehouse is the folder that all executors share.
+    context.setCheckpointDir(shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
 
 
 def join_partner(
@@ -133,13 +129,32 @@ def _next_in_window(df: DataFrame, partition: Sequence[str], order: Sequence[str
     )
 
 
+def content_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A hash of the columns' values; maps, which cannot be hashed, are hashed as their sorted JSON entries."""
+
+    def holds_map(kind: DataType) -> bool:
+        if isinstance(kind, MapType):
+            return True
+        if isinstance(kind, ArrayType):
+            return holds_map(kind.elementType)
+        return isinstance(kind, StructType) and any(holds_map(f.dataType) for f in kind.fields)
+
+    def value(name: str) -> Column:
+        kind = df.schema[name].dataType
+        if isinstance(kind, MapType) and not holds_map(kind.keyType):
+            return F.to_json(F.struct(F.array_sort(F.transform(F.map_entries(column(name)), lambda e: F.to_json(F.struct(e))))))
+        return F.to_json(F.struct(column(name))) if holds_map(kind) else column(name)
+
+    return F.xxhash64(*[value(c) for c in columns])
+
+
 def _next_in_slices(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int, hot_keys: int
 ) -> DataFrame:
     # Rows that are equal in the order columns can still be cut apart by what else they hold.
-    others = [f.name for f in df.schema.fields if f.name not in {*keys, *order} and not isinstance(f.dataType, MapType)]
+    others = [c for c in df.columns if c not in {*keys, *order}]
     if others:
-        rows = df.withColumn("_tie", F.xxhash64(*[column(c) for c in others]))
+        rows = df.withColumn("_tie", content_hash(df, others))
         order = [*order, "_tie"]
     else:
         rows = df

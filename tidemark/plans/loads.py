@@ -36,7 +36,14 @@ from ..sources.tables import TableStore
 from ..spec import LoadStrategy, TableSpec
 
 POSITION = "tidemark.position"
+WATERMARK = "tidemark.watermark"
+# Ingestion time of the newest raw batch applied; ids of those applied in the days up to it; ingestion time of the
+# snapshot the table starts from, before which no batch counts.
 APPLIED = "tidemark.applied"
+BATCHES = "tidemark.batches"
+FLOOR = "tidemark.floor"
+# How long after its start a raw load may commit and still be found, in days.
+LATE_DAYS = 7
 
 
 class LoadError(RuntimeError):
@@ -100,7 +107,7 @@ def _load_changes(store: TableStore, spec: TableSpec, source: Source) -> LoadRes
         check_log_reaches(spec, lower, source.min_position(feed.capture_instance))
     batch_id = str(uuid.uuid4())
     rows = with_audit_columns(
-        source.changes(feed, lower, upper), spec, source.system, cdc_from=lower, cdc_to=upper, batch_id=batch_id
+        source.changes(spec, lower, upper), spec, source.system, cdc_from=lower, cdc_to=upper, batch_id=batch_id
     )
     result = _append(store, spec, rows, batch_id, None, unchanged=upper)
     store.set_property(spec.raw_table, POSITION, upper)
@@ -119,6 +126,8 @@ def _append(
     watched = dated.observe(observed, *[metric.alias(name) for name, metric in metrics.items()])
     store.append(watched, spec.raw_table, partition_by=[BATCH_DATE])
     seen = observed.get
+    if seen.get("mark") is not None:
+        store.set_property(spec.raw_table, WATERMARK, seen["mark"])
     return LoadResult(spec.table_id, seen["rows"], seen.get("mark") or unchanged, seen["rows"] > 0, batch_id)
 
 
@@ -132,13 +141,19 @@ def check_log_reaches(spec: TableSpec, lower: str, lowest: str | None) -> None:
 
 
 def raw_watermark(store: TableStore, spec: TableSpec) -> str | None:
-    """Highest committed watermark, else the spec's initial one."""
-    newest = _newest_raw_rows(store, spec.raw_table)
+    """Highest committed watermark, else the spec's initial one.
+
+    Kept as a property; where the catalog lists partitions the newest one is asked as well, for a crash may come
+    between a committed batch and its property. Without either, the table is read.
+    """
+    if not store.exists(spec.raw_table):
+        return spec.initial_watermark
+    stored = store.properties(spec.raw_table).get(WATERMARK)
+    newest = _newest_raw_rows(store, spec.raw_table, whole=stored is None)
     if newest is not None:
         highest = newest.agg(watermark_text(F.max(column(spec.watermark_column))).alias("mark")).first()["mark"]
-        if highest is not None:
-            return highest
-    return spec.initial_watermark
+        return max(filter(None, (stored, highest)), default=spec.initial_watermark)
+    return stored
 
 
 def raw_position(store: TableStore, spec: TableSpec) -> str | None:
@@ -163,46 +178,55 @@ def _table_position(store: TableStore, table: str) -> str | None:
         return None
     stored = store.properties(table).get(POSITION)
     # A crash may come between a committed batch and its property, so the rows are asked as well.
-    newest = _newest_raw_rows(store, table)
+    newest = _newest_raw_rows(store, table, whole=stored is None)
     committed = newest.agg(F.max(column(CDC_TO)).alias("mark")).first()["mark"] if newest is not None else None
     return max(filter(None, (stored, committed)), default=None)
 
 
-def _newest_raw_rows(store: TableStore, table: str) -> DataFrame | None:
-    """Rows of the newest partition; the whole table where the catalog lists no partitions."""
+def _newest_raw_rows(store: TableStore, table: str, whole: bool = True) -> DataFrame | None:
+    """Rows of the newest partition; where the catalog lists none, the whole table if ``whole`` is set."""
     rows = store.read_if_exists(table)
-    if rows is None or BATCH_DATE not in rows.columns:
-        return rows
-    day = store.latest_partition(table, BATCH_DATE)
-    return rows if day is None else rows.filter(column(BATCH_DATE) == F.lit(day).cast("date"))
+    day = None if rows is None or BATCH_DATE not in rows.columns else store.latest_partition(table, BATCH_DATE)
+    if rows is None or day is None:
+        return rows if whole else None
+    return rows.filter(column(BATCH_DATE) == F.lit(day).cast("date"))
 
 
 def load_conformed(store: TableStore, spec: TableSpec) -> LoadResult:
     """Apply every raw batch that the conformed table has not seen yet."""
     raw = store.read_if_exists(spec.raw_table)
     target = store.read_if_exists(spec.conformed_table)
+    known = {} if target is None else store.properties(spec.conformed_table)
     if spec.strategy is LoadStrategy.FULL_SNAPSHOT:
         if raw is None:
-            raise LoadError(f"{spec.table_id}: run the raw load first")
+            raise LoadError(f"{spec.table_id}: nothing to conform, its raw table is missing")
         newest = raw.agg(F.max(F.unix_micros(column(INGESTED_AT))).alias("at")).first()["at"]
-        applied = {} if newest is None else {APPLIED: str(newest)}
+        if newest is not None and known.get(FLOOR) == str(newest):
+            # Applied before; what changes have made of it since must stay.
+            return LoadResult(spec.table_id, 0, known.get(APPLIED), changed=False)
+        applied = {} if newest is None else {APPLIED: str(newest), FLOOR: str(newest)}
         store.replace(
             conform(spec, raw, None), spec.conformed_table, applied, bucket_by=spec.primary_key, buckets=spec.buckets
         )
         return LoadResult(spec.table_id, None, applied.get(APPLIED), changed=True)
     if spec.strategy is LoadStrategy.INCREMENTAL_CDC and target is None:
-        raise LoadError(f"{spec.conformed_table} does not exist; run the snapshot's conformed load first")
+        raise LoadError(_no_baseline(spec))
 
     applied = None if target is None else _applied(store, spec.conformed_table, target)
-    batch = None if raw is None else _pending(raw, applied)
-    newest = None if batch is None else batch.agg(F.max(F.unix_micros(column(INGESTED_AT))).alias("at")).first()["at"]
-    if newest is None:
+    batch = None if raw is None else _pending(raw, applied, known)
+    found = [] if batch is None else batch.groupBy(column(BATCH_ID).alias("id")).agg(
+        F.max(F.unix_micros(column(INGESTED_AT))).alias("at")).collect()  # one row per batch of a few days
+    if not found:
         return LoadResult(spec.table_id, 0, None if applied is None else str(applied), changed=False)
 
-    mark = {APPLIED: str(newest)}
+    newest = max([r["at"] for r in found] + ([] if applied is None else [applied]))
+    mark = {**known, APPLIED: str(newest), BATCHES: _batches(known, {r["id"]: r["at"] for r in found}, newest)}
     if target is not None and spec.strategy is not LoadStrategy.INCREMENTAL_UPSERT:
         changes = spec.strategy is LoadStrategy.INCREMENTAL_CDC
-        store.merge(merge_rows(spec, batch, target.columns), spec.conformed_table, spec.primary_key, changes, mark)
+        store.merge(
+            merge_rows(spec, batch, target.columns), spec.conformed_table, spec.primary_key, changes, mark,
+            newer_by=() if changes else spec.version_order,
+        )
     else:
         store.replace(
             conform(spec, batch, target), spec.conformed_table, mark, bucket_by=spec.primary_key, buckets=spec.buckets
@@ -210,18 +234,32 @@ def load_conformed(store: TableStore, spec: TableSpec) -> LoadResult:
     return LoadResult(spec.table_id, None, str(newest), changed=True)
 
 
+def _no_baseline(spec: TableSpec) -> str:
+    return f"{spec.table_id}: changes need a table to go into, {spec.conformed_table} is not there yet"
+
+
+def _batches(known: dict[str, str], added: dict[str, int], newest: int) -> str:
+    """Ids of applied batches with their ingestion time, those of the last ``LATE_DAYS`` days."""
+    ids = dict(part.split("@") for part in known.get(BATCHES, "").split(",") if part)
+    ids |= {batch: str(at) for batch, at in added.items() if batch}
+    oldest = newest - LATE_DAYS * 86_400_000_000
+    return ",".join(f"{batch}@{at}" for batch, at in sorted(ids.items(), key=lambda x: x[1]) if int(at) >= oldest)
+
+
 def conform(spec: TableSpec, batch: DataFrame, target: DataFrame | None, buckets: int = 0) -> DataFrame:
     """The conformed table after applying raw rows ``batch`` to ``target``, itself stored in ``buckets``."""
     if spec.strategy is LoadStrategy.FULL_SNAPSHOT:
         return default_delete_flag(latest_batch(batch).drop(BATCH_DATE))
     if spec.strategy is LoadStrategy.INCREMENTAL_UPSERT:
-        return append_versions(target, batch.drop(BATCH_DATE), spec.primary_key, spec.version_order, [INGESTED_AT])
+        return append_versions(
+            target, batch.drop(BATCH_DATE), spec.primary_key, spec.version_order, [INGESTED_AT], intervals=True)
     if spec.strategy is LoadStrategy.INCREMENTAL_SOFT_DELETE:
         if target is None:
             return merge_rows(spec, batch)
-        return merge_upsert(target, merge_rows(spec, batch, target.columns), spec.primary_key, buckets)
+        rows = merge_rows(spec, batch, target.columns)
+        return merge_upsert(target, rows, spec.primary_key, buckets, newer_by=spec.version_order)
     if target is None:
-        raise LoadError(f"{spec.conformed_table} does not exist; run the snapshot's conformed load first")
+        raise LoadError(_no_baseline(spec))
     return merge_changes(target, merge_rows(spec, batch, target.columns), spec.primary_key, buckets)
 
 
@@ -243,11 +281,22 @@ def _applied(store: TableStore, table: str, target: DataFrame) -> int | None:
     return target.agg(F.max(F.unix_micros(column(INGESTED_AT))).alias("at")).first()["at"]
 
 
-def _pending(raw: DataFrame, applied: int | None) -> DataFrame:
+def _pending(raw: DataFrame, applied: int | None, known: dict[str, str]) -> DataFrame:
+    """Raw rows of batches that were not applied: newer ones, and older ones that were committed late.
+
+    A load's ingestion time is its start, so a batch is told by its id and not by the clock; ids are kept for
+    ``LATE_DAYS`` days. Where none are kept yet, only newer batches count.
+    """
     if applied is None:
         return raw
-    bound = F.timestamp_micros(F.lit(applied))
+    since = applied
+    if BATCHES in known and BATCH_ID in raw.columns:
+        since = max(applied - LATE_DAYS * 86_400_000_000, int(known.get(FLOOR, 0)))
+    bound = F.timestamp_micros(F.lit(since))
     rows = unprocessed_batches(raw, bound)
+    done = [part.split("@")[0] for part in known.get(BATCHES, "").split(",") if part]
+    if since < applied and done:
+        rows = rows.filter(~F.coalesce(column(BATCH_ID).isin(done), F.lit(False)))
     if BATCH_DATE in raw.columns:
         # Prunes partitions; a day of slack covers a change of the session's time zone.
         rows = rows.filter(column(BATCH_DATE) >= F.date_sub(F.to_date(bound), 1))

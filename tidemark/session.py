@@ -9,6 +9,9 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Shuffles start with many partitions, which adaptive execution joins where they are small; it cannot split those of
+    # windows and aggregations. Raise it with the input: 100 TB at 4,000 are 25 GB a partition before pruning.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
     # A sort-merge join becomes a hash join when every partition of one side is seen to be this small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # A task that writes few partitions or buckets, as after a bucketed merge, does not sort its rows for it.
@@ -31,6 +34,8 @@ def job_session(app_name: str) -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     launched = dict(spark.sparkContext.getConf().getAll())
+    if not spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     for key, value in DEFAULTS.items():
         if key not in launched:
             spark.conf.set(key, value)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -10,8 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import column, lsn_bytes, lsn_hex
-from ..operators.ingest import OPERATION, START_LSN, select_changes, select_columns, select_incremental
-from ..spec import ChangeFeed, TableSpec
+from ..operators.ingest import CHANGE_COLUMNS, OPERATION, START_LSN, select_changes, select_columns, select_incremental
+from ..spec import TableSpec
+
+
+def feed_columns(spec: TableSpec, have: Sequence[str]) -> list[str]:
+    """Of a feed's columns its own and the configured ones, in the feed's order; excluded ones never."""
+    wanted = None if tuple(spec.columns) == ("*",) else set(spec.columns)
+    return [
+        c for c in have
+        if c in CHANGE_COLUMNS or (c not in spec.exclude_columns and (wanted is None or c in wanted))
+    ]
 
 
 class Source(Protocol):
@@ -20,8 +29,8 @@ class Source(Protocol):
     def rows(self, spec: TableSpec, last_watermark: str | None = None) -> DataFrame:
         """The table's configured columns: all rows, or those after the watermark."""
 
-    def changes(self, feed: ChangeFeed, lower: str | None, upper: str) -> DataFrame:
-        """Change rows with a position in ``(lower, upper]``; from the start of the log when lower is None."""
+    def changes(self, spec: TableSpec, lower: str | None, upper: str) -> DataFrame:
+        """The feed's own and the table's configured columns of change rows with a position in ``(lower, upper]``; from the start of the log when lower is None."""
 
     def max_position(self, capture_instance: str) -> str | None:
         """The newest position of the change log as ``0x`` text."""
@@ -50,12 +59,14 @@ class FrameSource:
             df = select_incremental(df, spec.watermark_column, last_watermark, spec.lookback_seconds)
         return select_columns(df, spec.columns, spec.exclude_columns)
 
-    def changes(self, feed: ChangeFeed, lower: str | None, upper: str) -> DataFrame:
+    def changes(self, spec: TableSpec, lower: str | None, upper: str) -> DataFrame:
+        feed = spec.change_feed
         df = self.feed(feed.capture_instance)
         if feed.row_filter_option == "all":
             df = df.filter(column(OPERATION) != 3)
         low = F.lit(b"") if lower is None else lsn_bytes(F.lit(lower))
-        return select_changes(df, low, lsn_bytes(F.lit(upper)))
+        found = select_changes(df, low, lsn_bytes(F.lit(upper)))
+        return found.select(*[column(c) for c in feed_columns(spec, df.columns)])
 
     def max_position(self, capture_instance: str) -> str | None:
         return self._bound(capture_instance, F.max)

@@ -9,7 +9,10 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
+from ..functions import column
+from ..operators.ingest import CHANGE_COLUMNS
 from ..spec import ChangeFeed, SpecError, TableSpec
+from .base import feed_columns
 
 _LSN = re.compile(r"0x[0-9A-Fa-f]{20}")
 _NAME = re.compile(r"\w+")
@@ -110,12 +113,18 @@ class JdbcSource:
             "numPartitions": self.num_partitions,
         }
 
-    def changes(self, feed: ChangeFeed, lower: str | None, upper: str) -> DataFrame:
+    def changes(self, spec: TableSpec, lower: str | None, upper: str) -> DataFrame:
+        feed = spec.change_feed
         key, split = feed.partition_column, None
         if self.num_partitions > 1 and key is not None:
             wanted = f"MIN({key}) AS lo, MAX({key}) AS hi"
             split = self._split(key, self.query(self.changes_text(feed, lower, upper, wanted)).first())
-        return self.query(self.changes_text(feed, lower, upper), split)
+        if tuple(spec.columns) == ("*",):
+            # The columns are the feed's own; excluded ones are left out of the statement Spark sends.
+            found = self.query(self.changes_text(feed, lower, upper), split)
+            return found.select(*[column(c) for c in feed_columns(spec, found.columns)])
+        listed = [*CHANGE_COLUMNS, *(c for c in spec.columns if c not in spec.exclude_columns)]
+        return self.query(self.changes_text(feed, lower, upper, ", ".join(listed)), split)
 
     def changes_text(self, feed: ChangeFeed, lower: str | None, upper: str, columns: str = "*") -> str:
         """The captured rows of the feed's change table with a position in ``(lower, upper]``."""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import column, same_key
-from ..operators.merge import IS_DELETED, merge_changes, merge_upsert
+from ..operators.merge import IS_DELETED, merge_changes, merge_upsert, not_older
 
 VERSION_MARK = "__v"
 BUCKETS = "tidemark.buckets"
@@ -111,16 +111,22 @@ class TableStore:
         keys: Sequence[str],
         changes: bool = False,
         properties: Mapping[str, str] | None = None,
+        newer_by: Sequence[str] = (),
     ) -> None:
-        """Merge by key: an upsert, or flagged changes when ``changes`` is set."""
+        """Merge by key: an upsert, or flagged changes when ``changes`` is set.
+
+        A v2 catalog merges in one statement and takes the properties in others; a crash between them repeats the merge.
+        """
         if self.in_v2_catalog(name):
-            merge_into(source, name, keys, changes)
+            merge_into(source, name, keys, changes, newer_by)
             for key, value in (properties or {}).items():
                 self.set_property(name, key, value)
             return
-        combine = merge_changes if changes else merge_upsert
         kept, buckets = self.properties(name), self.buckets(name)
-        merged = combine(self.read(name), source, keys, buckets)
+        if changes:
+            merged = merge_changes(self.read(name), source, keys, buckets)
+        else:
+            merged = merge_upsert(self.read(name), source, keys, buckets, newer_by)
         self.replace(merged, name, {**kept, **(properties or {})}, bucket_by=keys, buckets=buckets, aligned=True)
 
     def buckets(self, name: str) -> int:
@@ -166,7 +172,9 @@ class TableStore:
             self.spark.sql(f"DROP TABLE IF EXISTS {quoted(f'{namespace}.{old}' if namespace else old)}")
 
 
-def merge_into(source: DataFrame, name: str, keys: Sequence[str], changes: bool = False) -> None:
+def merge_into(
+    source: DataFrame, name: str, keys: Sequence[str], changes: bool = False, newer_by: Sequence[str] = ()
+) -> None:
     """The same merges as a row-level operation of a v2 catalog that supports MERGE."""
     target = name.rpartition(".")[2]
     s = source.alias("s")
@@ -177,7 +185,8 @@ def merge_into(source: DataFrame, name: str, keys: Sequence[str], changes: bool
         writer = writer.whenMatched(deleted).update({IS_DELETED: F.lit(1)})
         writer = writer.whenMatched(~deleted).update(values)
     else:
-        writer = writer.whenMatched().update(values)
+        newer = (not_older(newer_by, "s", target),) if newer_by else ()
+        writer = writer.whenMatched(*newer).update(values)
     writer.whenNotMatched().insert({c: column(c, "s") for c in source.columns}).merge()
 
 

@@ -24,9 +24,9 @@ def apply_change_feed(
     micro-batch, or in log order: the file source does the former unless its files per trigger are limited.
     """
     if spec.strategy is not LoadStrategy.INCREMENTAL_CDC:
-        raise SpecError(f"{spec.table_id} is not configured as incremental_cdc")
+        raise SpecError(f"{spec.table_id} loads no change feed, its strategy is {spec.strategy.value}")
     if not store.exists(spec.conformed_table):
-        raise LoadError(f"{spec.conformed_table} does not exist; run the snapshot's conformed load first")
+        raise LoadError(f"{spec.table_id}: changes need a table to go into, {spec.conformed_table} is not there yet")
 
     def merge_batch(batch: DataFrame, _batch_id: int) -> None:
         columns = store.read(spec.conformed_table).columns
