@@ -1,0 +1,60 @@
+"""Every registered text query on whole small tables; its SQL in DuckDB; the pipeline's stages."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from __spark_entry__ import oracle_sql, queries
+from tidemark.llm.queries import ORACLE, QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+ROWS = {**{name: "documents" for name in QUERIES}, "op7_html": "pages"}
+
+
+def test_names():
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11)) and len(QUERIES) == 10
+    assert {"pipeline", *QUERIES} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op8_topk"}))
+def test_one_row_per_document(spark, name):
+    want = spark.read.parquet(f"{SMALL}/{ROWS[name]}.parquet")
+    got = QUERIES[name](spark, SMALL)
+    key = want.columns[0]
+    assert sorted(r[key] for r in got.select(key).collect()) == sorted(r[key] for r in want.select(key).collect())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_sql(spark, name):
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SMALL}/embeddings.parquet'")
+    got = QUERIES[name](spark, SMALL)
+    want = duck.sql(ORACLE[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    before = {r.doc_id: r.text for r in docs.collect()}
+    for name, apply in corpus_pipeline.STAGES:
+        kept = corpus_pipeline.stage(apply(spark, docs, SMALL), "test-stage")
+        after = {r.doc_id: r for r in kept.collect()}
+        assert set(after) <= set(before) and after
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert kept.columns == corpus_pipeline.COLUMNS
+        if name == "quality classifier":
+            good = [d for d in before if labels.get(d) == 1]
+            assert sum(d in after for d in good) > 0.9 * len(good)
+        elif name == "SimHash near-dedup":
+            assert len({r.text for r in after.values()}) == len(after)
+        elif name == "SentencePiece encoding and decoding":
+            assert set(after) == set(before) and all(r.round_trip and r.n_tokens == len(r.ids) for r in after.values())
+        docs, before = kept, {d: getattr(r, "text", None) for d, r in after.items()}
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "SimHash near-dedup", "substring dedup", "benchmark decontamination",
+        "SentencePiece encoding and decoding",
+    ]
