@@ -91,7 +91,7 @@ def test_layers_from_files_to_marts(spark, extract, tmp_path, capsys):
 
 
 def test_change_feed_jobs_refuse_other_tables(spark, extract):
-    with pytest.raises(SpecError, match="not configured as incremental_cdc"):
+    with pytest.raises(SpecError, match="loads no change feed"):
         init_change_feed.main(["saleslt_customer", "--parquet", extract[0]], spark)
     with pytest.raises(SpecError, match="saleslt_nothing"):
         load_raw.main(["saleslt_nothing", "--parquet", extract[0]], spark)
