@@ -19,6 +19,7 @@ learnt from and scored each; without training texts every token has probability
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,7 @@ PIECE = 1 << 20  # characters of a text in one piece
 BUCKET = 4 << 20  # bytes of text per hash range
 MIX = np.uint64(0x9E3779B97F4A7C15)
 TURN = np.uint64(29)
+SPACE = re.compile(r"[ \t\n\v\f\r]+")
 START, END = (xxh64_intdigest(name, 7) for name in (b"start of text", b"end of text"))
 MEMO = 1 << 20
 
@@ -90,34 +92,52 @@ def split(text: str, order: int, size: int) -> Iterator[tuple[int, bool, str, st
         yield number, stop >= len(text), before, piece
         if stop >= len(text):
             return
-        before = " ".join((before + " " + piece).split()[-(order - 1):]) if order > 1 else ""
+        said = [w for w in SPACE.split(before + " " + piece) if w]
+        before = " ".join(said[-(order - 1):]) if order > 1 else ""
         at, number = stop, number + 1
 
 
 class Block:
-    """The token keys of a block's pieces, in the order of ``frame``."""
+    """The n-gram keys of a block's pieces, in the order of ``frame``."""
 
     def __init__(self, frame: pd.DataFrame, order: int) -> None:
         reader = Words()
-        self.parts: list[list[np.ndarray]] = []
-        for text, last, before in zip(frame.piece, frame["last"], frame.before):
-            tokens = np.array(reader.tokens(text, last), dtype=np.uint64)
-            ahead = ([START] * (order - 1) + reader.tokens(before, False))[-(order - 1):] if order > 1 else []
-            self.parts.append(grams(tokens, np.array(ahead, dtype=np.uint64), order))
-        self.train = frame.train.to_numpy(dtype=bool)
         self.order = order
+        self.sizes: list[int] = []  # tokens of each piece
+        self.starts: list[bool] = []  # whether a piece is a text's first
+        keys, learnt = [np.empty(0, np.uint64)], [np.empty(0, bool)]
+        start = np.array([START] * (order - 1), dtype=np.uint64)
+        for text, last, before, train in zip(frame.piece, frame["last"], frame.before, frame.train):
+            tokens = np.array(reader.tokens(text, last), dtype=np.uint64)
+            ahead = np.array(reader.tokens(before, False), dtype=np.uint64)
+            self.sizes.append(len(tokens))
+            self.starts.append(not before)
+            # The contexts of the first token, asked for but not counted, then the n-grams of each order.
+            contexts = [g[-1:] for g in grams(ahead, start, order)[:order - 1]] if before else [start]
+            parts = grams(tokens, np.concatenate([start, ahead])[len(ahead):], order)
+            keys += contexts + parts
+            learnt += [np.zeros(order - 1, bool), np.full(order * len(tokens), bool(train))]
+        self.keys, self.which = np.unique(np.concatenate(keys), return_inverse=True)
+        self.counts = np.bincount(self.which[np.concatenate(learnt)], minlength=len(self.keys))
+
+    def totals(self, total: np.ndarray) -> Iterator[tuple[bool, np.ndarray, np.ndarray]]:
+        """For each piece: is it a first one, the counts of its first contexts, its n-grams' counts by order."""
+        found, at = total[self.which], 0
+        for first, size in zip(self.starts, self.sizes):
+            here = found[at:at + self.order - 1]
+            at += self.order - 1
+            yield first, here, found[at:at + self.order * size].reshape(self.order, size)
+            at += self.order * size
+
 
-    def wanted(self) -> tuple[np.ndarray, np.ndarray]:
-        """All keys of the block, sorted, and how often its training pieces hold them."""
-        empty = [np.empty(0, np.uint64)]
-        learnt = np.concatenate(empty + [k for p, t in zip(self.parts, self.train) if t for k in p])
-        other = np.concatenate(empty + [k for p, t in zip(self.parts, self.train) if not t for k in p])
-        keys, counts = np.unique(learnt, return_counts=True)
-        extra = np.setdiff1d(other, keys)
-        # Contexts at the start of a text are no n-grams; how often they are followed is the number of texts.
-        all_keys = np.concatenate([keys, extra])
-        order = np.argsort(all_keys, kind="stable")
-        return all_keys[order], np.concatenate([counts, np.zeros(len(extra), np.int64)])[order].astype(np.uint32)
+def pack(values: np.ndarray) -> bytes:
+    """Numbers as planes of their bytes; shuffles compress the planes that are all but constant."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def unpack(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
 
 
 def bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -170,41 +190,39 @@ def score_texts(
     ).repartition(blocks, "block")
 
     def ask(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = Block(frame, order).wanted()
-        at = bounds(keys, buckets)
+        here = Block(frame, order)
+        at = bounds(here.keys, buckets)
+        steps = np.diff(here.keys, prepend=np.uint64(0))
+        steps[at[:-1][at[:-1] < len(steps)]] = here.keys[at[:-1][at[:-1] < len(steps)]]  # each range starts anew
         return pd.DataFrame([
-            (int(frame.block.iloc[0]), b, keys[i:j].tobytes(), counts[i:j].tobytes())
+            (int(frame.block.iloc[0]), b, pack(steps[i:j]), pack(here.counts[i:j].astype(np.uint32)))
             for b, (i, j) in enumerate(zip(at, at[1:])) if i < j
-        ], columns=["block", "bucket", "keys", "counts"])
+        ], columns=["block", "bucket", "steps", "counts"])
 
     def add_up(frame: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, np.uint64) for k in frame["keys"]]
-        counts = np.concatenate([np.frombuffer(c, np.uint32) for c in frame.counts])
+        keys = [np.cumsum(unpack(k, np.uint64)) for k in frame.steps]
+        counts = np.concatenate([unpack(c, np.uint32) for c in frame.counts])
         _, which = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(which, weights=counts).astype(np.uint64)[which]
         ends = np.cumsum([len(k) for k in keys])
         return pd.DataFrame({
-            "block": frame.block, "bucket": frame.bucket, "totals": [t.tobytes() for t in np.split(total, ends[:-1])]})
+            "block": frame.block, "bucket": frame.bucket, "totals": [pack(t) for t in np.split(total, ends[:-1])]})
 
     def traverse(frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        texts_in = Block(frame, order)
-        keys, _ = texts_in.wanted()
+        here = Block(frame, order)
         answers = answers.sort_values("bucket")
-        total = np.concatenate([np.empty(0, np.uint64), *[np.frombuffer(t, np.uint64) for t in answers.totals]])
-        known = dict(zip(keys[total > 0].tolist(), total[total > 0].tolist()))
-        below = math.log10(n + v + 1)
-        out = []
-        for parts, row, doc, held, train, before in zip(
-            texts_in.parts, frame.row, frame.doc_id, frame.held_out, frame.train, frame.before
-        ):
-            found, base, score = walk(parts, before, known, order, strength, texts, below)
-            out.append((row, doc, held, len(parts[0]), found, base, score))
+        total = np.concatenate([np.empty(0, np.uint64), *[unpack(t, np.uint64) for t in answers.totals]])
+        out = [
+            (row, doc, held, counts.shape[1], int((counts[0] > 0).sum()), *walk(first, contexts, counts, strength, texts, n + v + 1))
+            for row, doc, held, (first, contexts, counts) in zip(
+                frame.row, frame.doc_id, frame.held_out, here.totals(total.astype(np.int64)))
+        ]
         return pd.DataFrame(
             out, columns=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
         ).astype({"doc_id": "Int64"})
 
     answers = (
-        dealt.groupBy("block").applyInPandas(ask, "block int, bucket int, keys binary, counts binary")
+        dealt.groupBy("block").applyInPandas(ask, "block int, bucket int, steps binary, counts binary")
         .groupBy("bucket").applyInPandas(add_up, "block int, bucket int, totals binary")
     )
     pieces = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
@@ -217,42 +235,34 @@ def score_texts(
 
 
 def walk(
-    parts: list[np.ndarray], before: str, known: dict[int, int], order: int, strength: float, texts: int, below: float,
-) -> tuple[int, float, float]:
-    """(known tokens, base score, score) of one piece.
+    first: bool, contexts: np.ndarray, counts: np.ndarray, strength: float, texts: int, below: int,
+) -> tuple[float, float]:
+    """(base score, score) of one piece.
 
-    ``parts[k]`` are the keys of the (k+1)-grams that end at each token. A context's key is the n-gram key one token
-    before, one order below; at the start of a text it is the start itself, followed as often as there are texts.
+    ``counts[k]`` are the counts of the (k+1)-grams that end at each token, ``contexts`` those of the contexts of the
+    first token by length; at the start of a text that is the start itself, followed as often as there are texts.
     """
-    log, get = math.log10, known.get
-    levels = [p.tolist() for p in parts]
-    base = score = 0.0
-    found = 0
-    ready: list[int | None] = [None] * order  # how often the contexts of the next token are followed, by length
-    if before:
-        reader = Words()
-        ahead = np.array(reader.tokens(before, False), dtype=np.uint64)
-        for k in range(1, order):
-            if len(ahead) >= k:
-                key = grams(ahead, np.array([START] * (order - 1), dtype=np.uint64), order)[k - 1][-1]
-                ready[k] = get(int(key), 0)
-    else:
-        ready = [None] + [texts] * (order - 1)
-    for at, token in enumerate(levels[0]):
-        seen = get(token, 0)
-        found += seen > 0
-        p = log(seen + 1) - below
-        base += p
-        for k in range(1, order):
-            follow = ready[k]
-            if not follow:
-                break  # an unknown context is no state; so is none of its extensions
-            times = get(levels[k][at], 0)
-            if times:
-                p = log((times + strength * 10.0 ** p) / (follow + strength))
-            else:
-                p += log(strength / (follow + strength))  # the failure arc
-        score += p
-        for k in range(order - 1, 0, -1):
-            ready[k] = get(levels[k - 1][at], 0)
-    return found, base, score
+    order, size = counts.shape
+    base = np.log10(counts[0] + 1.0) - math.log10(below)
+    arcs = [base.tolist()]  # weight of the arc from the state of each length; NaN where there is none
+    fails = [[]]
+    p = base
+    states = np.zeros(size, dtype=np.int64)  # the longest known context ahead of each token
+    for k in range(1, order):
+        follow = np.concatenate([[texts if first else contexts[k - 1]], counts[k - 1][:-1]])[:size].astype(np.float64)
+        states = np.where((follow > 0) & (states == k - 1), k, states)
+        seen = (follow > 0) & (counts[k] > 0)
+        arc = np.log10((counts[k] + strength * 10.0 ** p) / (follow + strength))
+        fail = np.log10(strength / (follow + strength))
+        arcs.append(np.where(seen, arc, np.nan).tolist())
+        fails.append(fail.tolist())
+        p = np.where(seen, arc, np.where(follow > 0, p + fail, p))
+    ahead = states.tolist()
+    score = 0.0
+    for at in range(size):
+        state, weight = ahead[at], 0.0
+        while arcs[state][at] != arcs[state][at]:  # no arc for the token: follow the failure arc
+            weight += fails[state][at]
+            state -= 1
+        score += weight + arcs[state][at]
+    return float(base.sum()), score
