@@ -40,7 +40,18 @@ def unstage(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_PER_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Pass whole texts to Python in smaller batches than Spark's default, unless the session has its own number."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, TEXTS_PER_BATCH)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -45,10 +45,10 @@ GRAM = 20
 REACH = LENGTH - GRAM  # bytes before an anchor that its windows can reach
 WIDTH = REACH + LENGTH  # bytes of a row
 HOT = 200_000
-ROWS = 200_000  # rows per task, on average
-BUCKET = 32 << 20  # bytes of text per range of anchor keys
+ROWS = 100_000  # rows per task, on average
+BUCKET = 16 << 20  # bytes of text per range of anchor keys
 MIX = np.uint64(0x9E3779B97F4A7C15)
-BLOOM = 1 << 27
+BLOOM = 1 << 26
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -86,7 +86,9 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     least = sliding(hashes, REACH + 1, np.minimum)
     zeros = np.zeros(REACH, np.uint64)
     at = np.flatnonzero(sliding(np.concatenate([zeros, least, zeros]), REACH + 1, np.maximum) == hashes)
-    return at, hashes[at]
+    # Smallest hashes are small numbers; mixed again they spread over all ranges.
+    keys = hashes[at]
+    return at, (keys ^ (keys >> np.uint64(27))) * MIX
 
 
 def row_of(data: bytes, at: int) -> tuple[int, bytes]:
@@ -219,32 +221,28 @@ def row_hash(ahead: int, row: bytes) -> int:
 
 def rows_to_sort(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(anchor, row, owner, ahead, data) for ``wanted (anchor, row, owner, text_key)``: one row of text each."""
-    cells = wanted.select("anchor", "row", "owner", F.xxhash64("anchor", "row").alias("cell"))
-    texts = Bloom(wanted.select("text_key"))
-    sift = Bloom(cells.select("cell"), BLOOM)
-    filled, mask = sift.shared, sift.bits - 1
+    cell = F.col("anchor").bitwiseXOR(F.col("row"))  # two hashes
+    texts, cells = Bloom(wanted.select("text_key")), Bloom(wanted.select(cell.alias("cell")), BLOOM)
+    filled, mask = texts.shared, texts.bits - 1
+    known, known_mask = cells.shared, cells.bits - 1
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for text in frame.text:
+            may = bloom_test(filled.value, frame.text_key.to_numpy(), mask)
+            for text in frame.text[may]:
                 data = text.encode("utf-8", "surrogatepass")
                 at, codes = anchors(np.frombuffer(data, np.uint8))
+                found = [row_of(data, x) for x in at.tolist()]
+                hashes = np.array([row_hash(*x) for x in found], dtype=np.uint64).view(np.int64)
                 codes = codes.view(np.int64)
-                keep = bloom_test(known.value, codes, known_mask)
-                for x, code in zip(at[keep].tolist(), codes[keep].tolist()):
-                    ahead, row = row_of(data, x)
-                    out.append((code, row_hash(ahead, row), ahead, row))
-            made = pd.DataFrame(out, columns=["anchor", "row", "ahead", "data"])
-            made["row"] = made["row"].to_numpy(dtype=np.uint64).view(np.int64)
-            yield made.drop_duplicates(["anchor", "row"])
-
-    by_anchor = Bloom(cells.select("anchor"), BLOOM)
-    known, known_mask = by_anchor.shared, by_anchor.bits - 1
-    made = rows.where(texts(F.col("text_key"))).select("text").mapInPandas(
-        find, "anchor long, row long, ahead int, data binary")
-    return made.where(sift(F.xxhash64("anchor", "row"))).join(cells.drop("cell"), ["anchor", "row"]).groupBy(
-        "anchor", "row").agg(F.first("owner").alias("owner"), F.first("ahead").alias("ahead"), F.first("data").alias("data"))
+                for k in np.flatnonzero(bloom_test(known.value, codes ^ hashes, known_mask)):
+                    out.append((codes[k], hashes[k], *found[k]))
+            yield pd.DataFrame(out, columns=["anchor", "row", "ahead", "data"]).drop_duplicates(["anchor", "row"])
+
+    made = rows.select("text_key", "text").mapInPandas(find, "anchor long, row long, ahead int, data binary")
+    return made.join(wanted.select("anchor", "row", "owner"), ["anchor", "row"]).groupBy("anchor", "row").agg(
+        F.first("owner").alias("owner"), F.first("ahead").alias("ahead"), F.first("data").alias("data"))
 
 
 def sorted_flags(found: DataFrame, hot: int) -> DataFrame:
