@@ -24,6 +24,8 @@ extra columns are dropped; NULL ids decode to NULL; an unknown id raises.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,8 +33,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from .common import plain_text
+from .common import chunks, plain_text
 from .pieces import SPACE, Pieces, default_model, pieces, stretches
 
 CHUNK = 16_384
@@ -40,7 +43,9 @@ SCALE = 1024
 PENALTY = 10  # what an unknown character costs more than the worst piece
 UNUSABLE = -1e8  # pieces below are in the file for other uses
 NEVER = -(1 << 62)
+AT_ONCE = 200  # chunks made before they are passed on
 MEMO = 1 << 19
+EDGE = re.compile("[^ ] ")
 Cut = tuple[bytes, int]  # ids as 32-bit numbers, score
 
 
@@ -59,69 +64,78 @@ class Segmenter:
         }
         self.pieces = {text: (i, round(self.table.score[i] * SCALE)) for text, i in usable.items()}
         self.longest = max(map(len, self.pieces), default=1)
-        # The longest piece for each pair of first characters.
-        self.reach: dict[str, int] = {}
-        for text in self.pieces:
-            self.reach[text[:2]] = max(len(text), self.reach.get(text[:2], 0))
         self.unknown = min((s for _, s in self.pieces.values()), default=0) - PENALTY * SCALE
+        # The pieces by their characters; a piece's id and score stand under the empty key.
+        self.root: dict = {}
+        for text, found in self.pieces.items():
+            node = self.root
+            for character in text:
+                node = node.setdefault(character, {})
+            node[""] = found
         self.memo: dict[str, Cut] = {}
+        self.older: dict[str, Cut] = {}
 
-    def ids(self, piece: str) -> list[int]:
-        found = self.pieces.get(piece)
-        if found:
-            return [found[0]]
-        return [self.table.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")]
-
-    def scores(self, text: str, ends: list[int], stop: int) -> tuple[list[int], list[int]]:
-        """Best score from each place of ``text`` to its end, and the length of the first piece of that cut.
+    def scores(self, text: str, ends: list[int], stop: int) -> tuple[list[int], list[tuple[int, int]]]:
+        """Best score from each place of ``text`` to its end, and that cut's first piece: (length, id or -1).
 
         Pieces start before ``stop``; behind it, ``ends[j]`` is the score from place ``stop + j`` on.
         """
-        table, reach, unknown = self.pieces, self.reach, self.unknown
+        root, unknown = self.root, self.unknown
         size = len(text)
         best = [NEVER] * stop + ends[:size - stop + 1]
         best += [NEVER] * (size + 1 - len(best))
-        first = [0] * stop
+        first = [(0, -1)] * stop
         for at in range(stop - 1, -1, -1):
-            top, length = NEVER, 0
-            for n in range(min(reach.get(text[at:at + 2], 1), size - at), 0, -1):
-                after = best[at + n]
-                if after == NEVER:
-                    continue
-                found = table.get(text[at:at + n])
+            end = at + 1
+            node = root.get(text[at])
+            top, stay, piece = NEVER, 0, -1
+            if (node is None or "" not in node) and best[end] != NEVER:
+                top, stay = unknown + best[end], end
+            while node is not None:
+                found = node.get("")
                 if found is not None:
-                    total = found[1] + after
-                elif n == 1:
-                    total = unknown + after
-                else:
-                    continue
-                if total > top:
-                    top, length = total, n
-            best[at], first[at] = top, length
+                    after = best[end]
+                    if after != NEVER and found[1] + after >= top:  # of equal ones the longest, which comes last
+                        top, stay, piece = found[1] + after, end, found[0]
+                if end == size:
+                    break
+                node = node.get(text[end])
+                end += 1
+            best[at], first[at] = top, (stay - at, piece)
         return best, first
 
-    def trace(self, text: str, first: list[int], at: int, stop: int) -> tuple[bytes, int]:
+    def trace(self, text: str, first: list[tuple[int, int]], at: int, stop: int) -> tuple[bytes, int]:
         """Ids from place ``at`` until behind ``stop``, and how far behind."""
         out: list[int] = []
         while at < stop:
-            out += self.ids(text[at:at + first[at]])
-            at += first[at]
-        return np.array(out, dtype=np.int32).tobytes(), at - stop
+            length, piece = first[at]
+            if piece >= 0:
+                out.append(piece)
+            else:
+                out += [self.table.byte_ids[b] for b in text[at].encode("utf-8", "surrogatepass")]
+            at += length
+        return array("i", out).tobytes(), at - stop
 
     def cut(self, stretch: str) -> Cut:
         """The best cut of a whole stretch."""
         found = self.memo.get(stretch)
         if found is None:
-            best, first = self.scores(stretch, [0], len(stretch))
-            found = self.trace(stretch, first, 0, len(stretch))[0], best[0]
+            found = self.older.get(stretch)
+            if found is None:
+                best, first = self.scores(stretch, [0], len(stretch))
+                found = self.trace(stretch, first, 0, len(stretch))[0], best[0]
             if len(stretch) <= 64:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
+                if len(self.memo) >= MEMO:  # what was not used again goes
+                    self.memo, self.older = {}, self.memo
                 self.memo[stretch] = found
         return found
 
     def encode(self, form: str) -> Cut:
-        parts = [self.cut(s) for s in (stretches(form) if self.table.forced else [form])]
+        found = stretches(form) if self.table.forced else [form]
+        parts = [self.memo.get(s) for s in found]
+        for k, part in enumerate(parts):
+            if part is None:
+                parts[k] = self.cut(found[k])
         return b"".join([p[0] for p in parts]), sum([p[1] for p in parts])
 
     # One chunk of a long text: ``part`` is the chunk with the characters behind it that a piece may take.
@@ -130,8 +144,13 @@ class Segmenter:
         """The first and last place of a chunk where every path has a cut; (-1, -1) if there is none."""
         if not self.table.forced:
             return -1, -1
-        places = [i for i in range(1, min(size, len(part))) if part[i] == " " != part[i - 1]]
-        return (places[0], places[-1]) if places else (-1, -1)
+        first = EDGE.search(part, 0, size)
+        if first is None:
+            return -1, -1
+        last = part.rfind(" ", 1, size)
+        while part[last - 1] == " ":
+            last = part.rfind(" ", 1, last)
+        return first.start() + 1, last
 
     def transfer(self, part: str, size: int) -> np.ndarray:
         """The matrix of best scores from entry states (rows) to exit states."""
@@ -215,16 +234,18 @@ def split(form: str, chunk: int, longest: int) -> Iterator[tuple[int, str, int]]
 
 
 def encode_long(rows: DataFrame, model: str, chunk: int) -> DataFrame:
-    """(doc_id, key, ids, score) of the different rows of ``rows (doc_id, key, text)``."""
+    """(doc_id, key, ids, score, back) of the different rows of ``rows (doc_id, key, text)``."""
     keys = ["doc_id", "key"]
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         longest = segmenter(model).longest
         for frame in frames:
-            for doc, key, text in zip(frame.doc_id, frame.key, frame.text):
-                for k, part, size in split(form_of(text), chunk, longest):
-                    yield pd.DataFrame({"doc_id": [doc], "key": [key], "k": [k], "part": [part], "size": [size]}).astype(
-                        {"doc_id": "Int64"})
+            rows = (
+                (doc, key, k, part, size) for doc, key, text in zip(frame.doc_id, frame.key, frame.text)
+                for k, part, size in split(form_of(text), chunk, longest)
+            )
+            for some in chunks(rows, AT_ONCE):
+                yield pd.DataFrame(some, columns=["doc_id", "key", "k", "part", "size"]).astype({"doc_id": "Int64"})
 
     def first(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         worker = segmenter(model)
@@ -260,6 +281,7 @@ def encode_long(rows: DataFrame, model: str, chunk: int) -> DataFrame:
         ids = np.frombuffer(b"".join(out), np.int32)
         return pd.DataFrame({
             "doc_id": frame.doc_id.iloc[:1], "key": frame.key.iloc[:1], "ids": [ids], "score": frame.score.iloc[:1],
+            "back": [text_hash(decoded(ids, surfaces(model)))],
         }).astype({"doc_id": "Int64"})
 
     parts = rows.mapInPandas(cut, "doc_id long, key long, k int, part string, size int").repartition("doc_id", "key", "k")
@@ -269,28 +291,37 @@ def encode_long(rows: DataFrame, model: str, chunk: int) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("e")) & (F.col("k") == F.col("n"))
     return parts.join(ends, same).select("doc_id", "key", "k", "part", "size", "ends", "score").mapInPandas(
         second, "doc_id long, key long, k int, score long, heads array<binary>, exits array<int>, rest binary"
-    ).groupBy(*keys).applyInPandas(join, "doc_id long, key long, ids array<int>, score long")
+    ).groupBy(*keys).applyInPandas(join, "doc_id long, key long, ids array<int>, score long, back long")
 
 
 def encode(docs: DataFrame, model: str | None = None, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, key, ids, score) of every row of ``docs (doc_id, text)``; ``key`` is the text's xxhash64."""
+    """(doc_id, key, ids, score, back) of every row of ``docs (doc_id, text)``.
+
+    ``key`` is the text's xxhash64 and ``back`` that of the text the ids decode to, made where the ids are at hand.
+    """
     model = model or default_model()
     rows = docs.select(F.col("doc_id").cast("long"), plain_text().alias("text")).withColumn("key", F.xxhash64("text"))
 
-    @F.pandas_udf("ids array<int>, score long")
+    @F.pandas_udf("ids array<int>, score long, back long")
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         worker = segmenter(model)
         for texts in batches:
             out = [worker.encode(form_of(text)) for text in texts]
-            yield pd.DataFrame({"ids": [np.frombuffer(i, np.int32) for i, _ in out], "score": [s for _, s in out]})
+            ids = [np.frombuffer(i, np.int32) for i, _ in out]
+            yield pd.DataFrame({
+                "ids": ids, "score": [s for _, s in out],
+                "back": [text_hash(decoded(i, surfaces(model))) for i in ids],
+            })
 
     short = rows.where(F.length("text") < chunk).withColumn("cut", whole("text")).select(
-        "doc_id", "key", F.col("cut.ids").alias("ids"), F.col("cut.score").alias("score"))
+        "doc_id", "key", F.col("cut.ids").alias("ids"), F.col("cut.score").alias("score"),
+        F.col("cut.back").alias("back"))
     long = rows.where(F.length("text") >= chunk)
     found = encode_long(long, model, chunk).withColumnsRenamed({"doc_id": "d", "key": "e"})
     long = long.select("doc_id", "key")
     return short.union(
-        long.join(found, long.doc_id.eqNullSafe(found.d) & (long.key == found.e)).select("doc_id", "key", "ids", "score"))
+        long.join(found, long.doc_id.eqNullSafe(found.d) & (long.key == found.e)).select(
+            "doc_id", "key", "ids", "score", "back"))
 
 
 @lru_cache(maxsize=2)
@@ -303,6 +334,17 @@ def surfaces(path: str) -> list[bytes]:
     return out
 
 
+def decoded(ids: np.ndarray, table: list[bytes]) -> bytes:
+    """What ids write, without the dummy prefix."""
+    return b"".join([table[i] for i in ids.tolist()])[1:]
+
+
+def text_hash(data: bytes) -> int:
+    """Spark's xxhash64 of a text."""
+    value = xxh64_intdigest(data, 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
 def decode(rows: DataFrame, model: str | None = None, ids: str = "ids") -> DataFrame:
     """``rows`` with a column ``decoded``: the text of an array of ids."""
     model = model or default_model()
@@ -312,7 +354,7 @@ def decode(rows: DataFrame, model: str | None = None, ids: str = "ids") -> DataF
         table = surfaces(model)
         for batch in batches:
             yield pd.Series([
-                None if i is None else b"".join([table[x] for x in i.tolist()]).decode("utf-8", "replace")[1:] for i in batch
+                None if i is None else decoded(i, table).decode("utf-8", "replace") for i in batch
             ], dtype=object)
 
     return rows.withColumn("decoded", text(F.col(ids)))
