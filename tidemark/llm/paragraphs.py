@@ -164,13 +164,15 @@ def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFr
         F.min("key").alias("key"))
     texts = Bloom(holders.select("key"))
     filled, mask = ids.shared, ids.bits - 1
+    holding, holding_mask = texts.shared, texts.bits - 1
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter = Cutter()
         seen: set[int] = set()
         for frame in frames:
             units_out, sets = [], []
-            _, _, size, codes = cutter.cut(frame.text)
+            may = bloom_test(holding.value, frame.key.to_numpy(), holding_mask)
+            _, _, size, codes = cutter.cut(frame.text[may])
             own, end = cutter.ids(size, codes), np.cumsum(size)
             for k in np.flatnonzero(bloom_test(filled.value, own, mask)):
                 if int(own[k]) not in seen:
@@ -181,7 +183,7 @@ def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFr
                 seen.clear()
             yield pd.DataFrame({"unit": pd.Series(units_out, dtype="int64"), "hashes": pd.Series(sets, dtype=object)})
 
-    made = rows.where(texts(F.col("key"))).select("text").mapInPandas(cut, "unit long, hashes array<long>")
+    made = rows.select("key", "text").mapInPandas(cut, "unit long, hashes array<long>")
     return made.join(wanted.distinct(), "unit", "left_semi").groupBy("unit").agg(F.first("hashes").alias("hashes"))
 
 
@@ -191,7 +193,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     b = sets.select(F.col("unit").alias("dst"), F.col("hashes").alias("b"))
     shared = F.size(F.array_intersect("a", "b"))
     return pairs.join(a, "src").join(b, "dst").where(
-        shared >= SIMILAR * (F.size("a") + F.size("b") - shared)
+        shared * (1 + SIMILAR) >= SIMILAR * (F.size("a") + F.size("b")) - 1e-9  # whatever the rounding of 0.8
     ).select("src", "dst")
 
 
@@ -212,11 +214,16 @@ def near_links(rows: DataFrame, found: DataFrame) -> DataFrame:
     labelled = members.join(parts.withColumnRenamed("node", "unit"), "unit", "left").select(
         "band", "unit", F.coalesce("component", "unit").alias("part"))
     split = labelled.groupBy("band").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select("band")
-    left = stage(labelled.join(split, "band", "left_semi"), "paragraph-split")
+    left = stage(
+        labelled.join(split, "band", "left_semi").join(sets, "unit").withColumn("n", F.size("hashes")), "paragraph-split")
     a, b = left.alias("a"), left.alias("b")
-    across = a.join(b, [F.col("a.band") == F.col("b.band"), F.col("a.part") < F.col("b.part")]).select(
-        F.col("a.unit").alias("src"), F.col("b.unit").alias("dst")).distinct()
-    return star.union(stage(verified(across, sets), "paragraph-links"))
+    # Verified within the join, lengths first, so that it gives links and not pairs.
+    across = a.join(b, [
+        F.col("a.band") == F.col("b.band"), F.col("a.part") < F.col("b.part"),
+        F.least("a.n", "b.n") >= SIMILAR * F.greatest("a.n", "b.n"),
+        F.size(F.array_intersect("a.hashes", "b.hashes")) * (1 + SIMILAR) >= SIMILAR * (F.col("a.n") + F.col("b.n")) - 1e-9,
+    ]).select(F.col("a.unit").alias("src"), F.col("b.unit").alias("dst")).distinct()
+    return star.union(stage(across, "paragraph-links"))
 
 
 def repeated(rows: DataFrame) -> DataFrame:
