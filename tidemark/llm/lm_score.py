@@ -39,7 +39,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 TURN = np.uint64(29)
 SPACE = re.compile(r"[ \t\n\v\f\r]+")
 START, END = (xxh64_intdigest(name, 7) for name in (b"start of text", b"end of text"))
-MEMO = 1 << 20
+MEMO = 1 << 20  # words a task remembers, and tokens it counts at once
 
 
 class Words:
@@ -159,10 +159,21 @@ def score_texts(
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Words()
+
+        def summed(parts: list[np.ndarray]) -> pd.DataFrame:
+            keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+            return pd.DataFrame({"key": keys.view(np.int64), "n": counts})
+
+        parts, size = [], 0
         for frame in frames:
-            parts = [np.array(reader.tokens(text, True), dtype=np.uint64) for text in frame.text]
-            keys, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else ([], [])
-            yield pd.DataFrame({"key": np.asarray(keys, np.uint64).view(np.int64), "n": counts})
+            for text in frame.text:
+                parts.append(np.array(reader.tokens(text, True), dtype=np.uint64))
+                size += len(parts[-1])
+                if size > MEMO:
+                    yield summed(parts)
+                    parts, size = [], 0
+        if parts:
+            yield summed(parts)
 
     # Numbers of the whole training set: tokens, different tokens, texts.
     whole = (

@@ -192,7 +192,10 @@ def shared_keys(rows: DataFrame) -> DataFrame:
 
 
 def places(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """(anchor, row, doc_id, text_key, at, size): where the shared anchors stand; ``row`` is a hash of the row there."""
+    """(anchor, row, doc_id, text_key, at): where the shared anchors stand; ``row`` is a hash of the row there.
+
+    What the filter lets through beside them are anchors of one document, which nothing comes of.
+    """
     bloom = Bloom(keys, BLOOM)
     filled, mask = bloom.shared, bloom.bits - 1
 
@@ -207,12 +210,11 @@ def places(rows: DataFrame, keys: DataFrame) -> DataFrame:
                 at, codes = at[keep], codes[keep]
                 if len(at):
                     row = np.array([row_hash(*row_of(data, x)) for x in at.tolist()], dtype=np.uint64).view(np.int64)
-                    parts.append((codes, row, np.full(len(at), doc), np.full(len(at), key), at, np.full(len(at), len(data))))
-            columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0, np.int64)] * 6
-            yield pd.DataFrame(dict(zip(["anchor", "row", "doc_id", "text_key", "at", "size"], columns)))
+                    parts.append((codes, row, np.full(len(at), doc), np.full(len(at), key), at))
+            columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0, np.int64)] * 5
+            yield pd.DataFrame(dict(zip(["anchor", "row", "doc_id", "text_key", "at"], columns)))
 
-    found = rows.mapInPandas(find, "anchor long, row long, doc_id long, text_key long, at int, size int")
-    return found.join(keys, "anchor", "left_semi")
+    return rows.mapInPandas(find, "anchor long, row long, doc_id long, text_key long, at int")
 
 
 def row_hash(ahead: int, row: bytes) -> int:
@@ -303,7 +305,7 @@ def removals(docs: DataFrame, hot: int = HOT) -> DataFrame:
     rows = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), plain_text().alias("text"))
     keys = stage(shared_keys(rows), "suffix-anchors")
-    found = places(rows, keys)
+    found = stage(places(rows, keys), "suffix-places")
     by_row = found.groupBy("anchor", "row").agg(
         F.min(F.struct("doc_id", "text_key")).alias("first")).select("anchor", "row", "first")
     by_row = stage(by_row, "suffix-rows")
@@ -337,7 +339,7 @@ def dedup(docs: DataFrame, hot: int = HOT) -> DataFrame:
             out = []
             for text, a, f in zip(texts, at, flags):
                 data = text.encode("utf-8", "surrogatepass")
-                spans = covered(len(data), a, f)
+                spans = [] if a is None else covered(len(data), a, f)
                 rest, last = [], 0
                 for start, stop in spans:
                     rest.append(data[last:start])
@@ -345,10 +347,10 @@ def dedup(docs: DataFrame, hot: int = HOT) -> DataFrame:
                 out.append(([{"start": x, "stop": y} for x, y in spans], hashlib.sha256(b"".join(rest) + data[last:]).hexdigest()))
             yield pd.DataFrame(out, columns=["removed", "kept"])
 
-    size = F.octet_length("text").cast("long")
-    joined = rows.where(may).join(gone, (F.col("doc_id") == F.col("d")) & (F.col("text_key") == F.col("k")), "left")
+    size = F.octet_length("text").cast("long").alias("n_bytes")
+    changed = rows.where(may).join(
+        gone, (F.col("doc_id") == F.col("d")) & (F.col("text_key") == F.col("k")), "left"
+    ).withColumn("cut", cut("text", F.col("marks.at"), F.col("marks.flags")))
     none = F.array().cast("array<struct<start:int,stop:int>>").alias("removed")
-    same = [F.col("doc_id"), size.alias("n_bytes"), none, F.sha2("text", 256).alias("kept")]
-    changed = joined.where("marks IS NOT NULL").withColumn("cut", cut("text", F.col("marks.at"), F.col("marks.flags")))
-    return changed.select("doc_id", size.alias("n_bytes"), "cut.removed", "cut.kept").union(
-        joined.where("marks IS NULL").select(*same)).union(rows.where(~may).select(*same))
+    return changed.select("doc_id", size, "cut.removed", "cut.kept").union(
+        rows.where(~may).select("doc_id", size, none, F.sha2("text", 256).alias("kept")))
