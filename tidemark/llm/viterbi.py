@@ -8,7 +8,8 @@ is such a character too, which makes decoding the exact inverse. Texts up to ``c
 Longer texts are split into chunks of that size. A boundary's state is the number of characters behind it that a piece
 from before it takes. Three steps, each parallel over chunks:
 
-1. a chunk gives its transfer matrix: entry (i, j) is the best score from entry state i to exit state j;
+1. a chunk gives its transfer matrix: entry (i, j) is the best score from entry state i to exit state j, less the score of
+   what stands between its first and last forced cut, which all paths share;
 2. the matrices of a document are combined by an associative max-plus scan, which gives the best score from each state of
    each boundary to the text's end;
 3. with the scores at its exit a chunk traces its pieces for every entry state, and which exit state that leads to. The
@@ -65,13 +66,13 @@ class Segmenter:
         self.pieces = {text: (i, round(self.table.score[i] * SCALE)) for text, i in usable.items()}
         self.longest = max(map(len, self.pieces), default=1)
         self.unknown = min((s for _, s in self.pieces.values()), default=0) - PENALTY * SCALE
-        # The pieces by their characters; a piece's id and score stand under the empty key.
-        self.root: dict = {}
-        for text, found in self.pieces.items():
+        # The pieces by their characters: under each one what may follow, and the piece's id and score (None: no piece).
+        self.root: dict[str, tuple[dict, int, int | None]] = {}
+        for text, (piece, score) in self.pieces.items():
             node = self.root
-            for character in text:
-                node = node.setdefault(character, {})
-            node[""] = found
+            for character in text[:-1]:
+                node = node.setdefault(character, ({}, -1, None))[0]
+            node[text[-1]] = node.get(text[-1], ({}, -1, None))[0], piece, score
         self.memo: dict[str, Cut] = {}
         self.older: dict[str, Cut] = {}
 
@@ -87,21 +88,27 @@ class Segmenter:
         first = [(0, -1)] * stop
         for at in range(stop - 1, -1, -1):
             end = at + 1
-            node = root.get(text[at])
-            top, stay, piece = NEVER, 0, -1
-            if (node is None or "" not in node) and best[end] != NEVER:
-                top, stay = unknown + best[end], end
-            while node is not None:
-                found = node.get("")
-                if found is not None:
-                    after = best[end]
-                    if after != NEVER and found[1] + after >= top:  # of equal ones the longest, which comes last
-                        top, stay, piece = found[1] + after, end, found[0]
-                if end == size:
+            after = best[end]
+            found = root.get(text[at])
+            top, stay, pick = NEVER, 0, -1
+            if found is None or found[2] is None:
+                if after != NEVER:
+                    top, stay = unknown + after, end
+                if found is None:
+                    best[at], first[at] = top, (stay - at, pick)
+                    continue
+            while True:
+                node, piece, score = found
+                if score is not None and after != NEVER and score + after >= top:
+                    top, stay, pick = score + after, end, piece  # of equal ones the longest, which comes last
+                if not node or end == size:
+                    break
+                found = node.get(text[end])
+                if found is None:
                     break
-                node = node.get(text[end])
                 end += 1
-            best[at], first[at] = top, (stay - at, piece)
+                after = best[end]
+            best[at], first[at] = top, (stay - at, pick)
         return best, first
 
     def trace(self, text: str, first: list[tuple[int, int]], at: int, stop: int) -> tuple[bytes, int]:
@@ -160,28 +167,28 @@ class Segmenter:
         low, high = self.inner(part, size)
         if low >= 0:
             head, _ = self.scores(part[:low], [0], low)
-            middle = self.encode(part[low:high])[1]
             entries = np.array(head[:width] + [NEVER] * (width - len(head[:width])), dtype=np.int64)
         for j in range(min(width, ahead + 1)):
             ends = [NEVER] * j + [0] + [NEVER] * (ahead - j)
             if low >= 0:
                 tail, _ = self.scores(part[high:], ends, size - high)
-                out[:, j] = plus(entries, np.int64(middle + tail[0]) if tail[0] != NEVER else np.int64(NEVER))
+                out[:, j] = plus(entries, np.int64(tail[0]))
             else:
                 best, _ = self.scores(part, ends, size)
                 out[:min(width, len(best)), j] = best[:width]
         return out
 
-    def traces(self, part: str, size: int, ends: list[int]) -> tuple[list[bytes], list[int], bytes]:
-        """For each entry state its own ids and the exit state, and the ids that follow for all of them."""
+    def traces(self, part: str, size: int, ends: list[int]) -> tuple[list[bytes], list[int], bytes, int]:
+        """For each entry state its own ids and the exit state; what follows for all: ids, and the score left out."""
         low, high = self.inner(part, size)
-        heads, exits, rest = [], [], b""
+        heads, exits, rest, between = [], [], b"", 0
         width = self.longest
         if low >= 0:
             best, first = self.scores(part[:low], [0], low)
             tail_best, tail = self.scores(part[high:], ends, size - high)
             last, leaving = self.trace(part[high:], tail, 0, size - high)
-            rest = self.encode(part[low:high])[0] + last
+            rest, between = self.encode(part[low:high])
+            rest += last
             stop = low
         else:
             best, first = self.scores(part, ends, size)
@@ -197,7 +204,7 @@ class Segmenter:
                 ids, over = self.trace(part, first, i, stop)
                 heads.append(ids)
                 exits.append(leaving if low >= 0 else over)
-        return heads, exits, rest
+        return heads, exits, rest, between
 
 
 @lru_cache(maxsize=2)
@@ -268,8 +275,8 @@ def encode_long(rows: DataFrame, model: str, chunk: int) -> DataFrame:
         worker = segmenter(model)
         for frame in frames:
             out = [worker.traces(p, s, list(map(int, e))) for p, s, e in zip(frame.part, frame["size"], frame.ends)]
-            frame["heads"], frame["exits"], frame["rest"] = ([x[i] for x in out] for i in range(3))
-            yield frame[["doc_id", "key", "k", "score", "heads", "exits", "rest"]].astype({"doc_id": "Int64"})
+            frame["heads"], frame["exits"], frame["rest"], frame["between"] = ([x[i] for x in out] for i in range(4))
+            yield frame[["doc_id", "key", "k", "score", "heads", "exits", "rest", "between"]].astype({"doc_id": "Int64"})
 
     def join(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("k").sort_values("k")
@@ -280,8 +287,8 @@ def encode_long(rows: DataFrame, model: str, chunk: int) -> DataFrame:
             state = exits[state]
         ids = np.frombuffer(b"".join(out), np.int32)
         return pd.DataFrame({
-            "doc_id": frame.doc_id.iloc[:1], "key": frame.key.iloc[:1], "ids": [ids], "score": frame.score.iloc[:1],
-            "back": [text_hash(decoded(ids, surfaces(model)))],
+            "doc_id": frame.doc_id.iloc[:1], "key": frame.key.iloc[:1], "ids": [ids],
+            "score": frame.score.iloc[:1] + frame.between.sum(), "back": [text_hash(decoded(ids, surfaces(model)))],
         }).astype({"doc_id": "Int64"})
 
     parts = rows.mapInPandas(cut, "doc_id long, key long, k int, part string, size int").repartition("doc_id", "key", "k")
@@ -290,7 +297,7 @@ def encode_long(rows: DataFrame, model: str, chunk: int) -> DataFrame:
         {"doc_id": "d", "key": "e", "k": "n"})
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("e")) & (F.col("k") == F.col("n"))
     return parts.join(ends, same).select("doc_id", "key", "k", "part", "size", "ends", "score").mapInPandas(
-        second, "doc_id long, key long, k int, score long, heads array<binary>, exits array<int>, rest binary"
+        second, "doc_id long, key long, k int, score long, heads array<binary>, exits array<int>, rest binary, between long"
     ).groupBy(*keys).applyInPandas(join, "doc_id long, key long, ids array<int>, score long, back long")
 
 
