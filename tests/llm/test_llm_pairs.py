@@ -276,3 +276,49 @@ def test_paragraph_links_connect_what_similar_pairs_connect(spark, documents):
     linked = {u for g in groups.values() if len(g) > 1 for u in g}
     assert linked and {u: c for u, c in got.items() if u in linked} == {u: want[u] for u in linked}
     found.unpersist()
+
+
+def test_passages_in_running_text_go_to_the_word(spark):
+    """Whatever stands around a passage, just its words go, and only if another document holds 20 of them in a row."""
+    said = [f"a{i}" + ("." if i % 17 == 16 else "") for i in range(60)]
+
+    def within(name, passage, after=" "):
+        around = [f"{name}{i}" for i in range(40)]
+        return " ".join(around[:23]) + " " + " ".join(passage) + after + " ".join(around[23:])
+
+    docs = spark.createDataFrame([
+        (1, within("b", said), 0, 0), (2, within("c", said), 0, 0), (3, within("d", said[:20]), 0, 0),
+        (4, within("e", said[:19]), 0, 0), (5, within("f", said[31:55], "\n"), 0, 0), (6, within("g", []), 0, 0),
+        (7, "Head line\n" + within("h", []), 0, 0), (8, "Head line\n" + within("h", []), 0, 0), (9, None, 0, 0),
+        (10, "few words", 0, 0), (11, "few words", 0, 0),
+    ], DOCS)
+    got = {r.doc_id: r for r in paragraphs.dedup(docs).collect()}
+    for doc in (1, 4, 6, 7, 9, 10, 11):
+        assert got[doc].n_removed == 0, doc
+    for doc, name in ((2, "c"), (3, "d"), (5, "f")):
+        want = " ".join(f"{name}{i}" for i in range(40))
+        assert got[doc].text.split() == want.split() and got[doc].first_docs == [1], doc
+    assert "f22\nf23" in got[5].text
+    assert got[8].text == "" and got[8].first_docs == [7]
+
+
+def test_windows_against_brute_force(spark, documents):
+    held = sorted({(d, t) for d, t in rows_of(documents)})
+    windows = {}
+    for d, t in held:
+        found = t.encode().lower().split()
+        for i in range(len(found) - 19):
+            windows.setdefault(tuple(found[i:i + 20]), []).append((d, i))
+    texts = {}
+    for d, t in held:
+        texts.setdefault(t, []).append(d)
+    # Windows of a text whose copies alone hold them need not be told; the text goes whole.
+    alike = {d: ids[0] for t, ids in texts.items() for d in ids}
+    want = {(d, i, places[0][0]) for places in windows.values() if len({alike[d] for d, _ in places}) > 1
+            for d, i in places if d != places[0][0]}
+    rows = documents.selectExpr("doc_id", "xxhash64(text) AS key", "text")
+    got = {(r.doc_id, r.start, r.first_doc) for r in paragraphs.passages(rows).collect()}
+    assert want and {g for g in got if g[1] >= 0} >= want
+    assert all(g[2] < g[0] for g in got)
+    whole = {(d, -1, ids[0]) for t, ids in texts.items() for d in ids[1:] if len(t.split()) >= 20}
+    assert {g for g in got if g[1] < 0} >= whole

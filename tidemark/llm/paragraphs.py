@@ -1,4 +1,4 @@
-"""Substring dedup: paragraphs by MinHash banding, exact Jaccard, components.
+"""Substring dedup: paragraphs by MinHash banding, exact Jaccard, components; running text by windows of words.
 
 A paragraph here is a stretch of text that ends where a line ends or where a sentence of eight words or more ends. The rule looks
 at the sentence alone, so a passage put into the middle of other text falls into the same paragraphs as elsewhere, but
@@ -13,6 +13,10 @@ for its first and last. A paragraph's set are its 5-word shingles (A-Z lower-cas
    parts is left out.
 3. A component's paragraph at the first place stays, the others are removed, but only in runs of at least ``MIN_RUN``
    words: a single repeated line of a few words stays.
+4. A passage that stands inside other sentences is found by its windows of ``MIN_RUN`` words, to the word: whatever
+   window stands in an earlier document goes. A window is told by the least of its shingles' hashes, so two equal
+   windows name the same shingle wherever they stand. Only windows whose shingle stands in two different texts are
+   hashed and compared. A copy of a whole text goes whole. Paragraphs that touch such a run go with it.
 
 Nulls and odd cases: a NULL text counts as empty and stays NULL; texts without words stay as they are; a document's
 repetitions of its own paragraphs stay if no earlier document holds them; equal texts under one id are one document, so
@@ -72,6 +76,24 @@ def shingle_keys(codes: np.ndarray) -> np.ndarray:
     return key
 
 
+def named(keys: np.ndarray) -> np.ndarray:
+    """For each window of ``MIN_RUN`` words the place of its least shingle, the last of equals; ``keys`` are a text's."""
+    size = MIN_RUN - SHINGLE + 1
+    if len(keys) < size:
+        return np.empty(0, dtype=np.int64)
+    views = np.lib.stride_tricks.sliding_window_view(keys, size)
+    return np.arange(len(views)) + size - 1 - np.argmin(views[:, ::-1], axis=1)
+
+
+def window_keys(keys: np.ndarray) -> np.ndarray:
+    """A key for each window of ``MIN_RUN`` words, made of shingles that cover it."""
+    count = len(keys) - MIN_RUN + SHINGLE
+    out = keys[:count].copy()
+    for at in range(SHINGLE, MIN_RUN - SHINGLE + 1, SHINGLE):
+        out = (out ^ (out >> np.uint64(31))) * MIX + keys[at:at + count]
+    return (out ^ (out >> np.uint64(32))) * MIX
+
+
 class Cutter:
     """Paragraphs of texts with their ids, word counts and band keys; one per task."""
 
@@ -105,6 +127,11 @@ class Cutter:
                     codes += self.codes(found)
         return owner, place, np.array(size, dtype=np.int64), np.array(codes, dtype=np.uint64)
 
+    def spread(self, text: str) -> np.ndarray:
+        """Keys of a text's shingles, in order."""
+        keys = shingle_keys(np.array(self.codes(words(text)), dtype=np.uint64))
+        return (keys ^ (keys >> np.uint64(32))) * MIX
+
     def ids(self, size: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """A paragraph's id from its words' hashes and their places."""
         if not len(size):
@@ -244,40 +271,163 @@ def repeated(rows: DataFrame) -> DataFrame:
         "doc_id", "key", "pos", "n_words", F.col("first.doc_id").alias("first_doc"))
 
 
-def remove(text: str, gone: dict[int, int]) -> tuple[str, int]:
-    """The text without the runs of paragraphs in ``gone`` (position: words) that are long enough; how many went.
+def passages(rows: DataFrame) -> DataFrame:
+    """(doc_id, key, start, first_doc) of the windows of words of ``rows (doc_id, key, text)`` that go.
+
+    ``start`` is the number of the window's first word, -1 for a whole text that an earlier document has.
+    """
+
+    def names(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cutter = Cutter()
+        for frame in frames:
+            found, owner = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            for key, text in zip(frame.key, frame.text):
+                keys = cutter.spread(text)
+                found.append(np.unique(keys[named(keys)]))
+                owner.append(np.full(len(found[-1]), key, dtype=np.int64))
+            yield pd.DataFrame({"name": np.concatenate(found).view(np.int64), "key": np.concatenate(owner)})
+
+    shared = stage(
+        rows.select("key", "text").mapInPandas(names, "name long, key long")
+        .groupBy("name").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b").select("name"),
+        "paragraph-names")
+    sift = Bloom(shared, bits=1 << 26)
+    filled, mask = sift.shared, sift.bits - 1
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cutter = Cutter()
+        for frame in frames:
+            for at in range(0, len(frame), 100):
+                part = frame.iloc[at:at + 100]
+                found, start, owner = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+                for number, text in enumerate(part.text):
+                    keys = cutter.spread(text)
+                    name = keys[named(keys)].view(np.int64)
+                    may = np.flatnonzero(bloom_test(filled.value, name, mask))
+                    if len(may):
+                        found.append(window_keys(keys)[may])
+                        start.append(may)
+                        owner.append(np.full(len(may), number))
+                owners = np.concatenate(owner)
+                yield pd.DataFrame({
+                    "doc_id": part.doc_id.astype("Int64").array[owners], "key": part.key.to_numpy()[owners],
+                    "start": np.concatenate(start).astype(np.int32), "window": np.concatenate(found).view(np.int64),
+                })
+
+    places = stage(rows.mapInPandas(cut, "doc_id long, key long, start int, window long"), "paragraph-windows")
+    firsts = stage(
+        places.groupBy("window").agg(
+            F.min(F.struct("doc_id", "key")).alias("first"), F.max(F.struct("doc_id", "key")).alias("last"))
+        .where("first < last").select("window", "first"), "paragraph-firsts")
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    inside = places.join(firsts, "window").where(~own).select(
+        "doc_id", "key", "start", F.col("first.doc_id").alias("first_doc"))
+    ids = F.struct("doc_id")
+    enough = rows.where(F.length("text") >= 2 * MIN_RUN - 1)  # characters that so many words have at least
+    texts = stage(
+        enough.groupBy("key").agg(F.min(ids).alias("first"), F.max(ids).alias("last")).where("first < last")
+        .select("key", "first"), "paragraph-texts")
+    whole = enough.select("doc_id", "key").join(texts, "key").where(
+        ~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    ).select("doc_id", "key", F.lit(-1).alias("start"), F.col("first.doc_id").alias("first_doc"))
+    return inside.union(whole.distinct())
+
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def word_runs(text: str, starts: list[int]) -> list[tuple[int, int]]:
+    """Spans of the runs that windows of words from ``starts`` on make up; -1 is the whole text, if it is long enough."""
+    if not starts:
+        return []
+    at = [m.span() for m in WORD.finditer(text)]
+    if len(at) < MIN_RUN:
+        return []
+    if min(starts) < 0:
+        return [(at[0][0], at[-1][1])]
+    out: list[tuple[int, int]] = []
+    for start in sorted(starts):
+        a, b = at[start][0], at[start + MIN_RUN - 1][1]
+        if out and a <= out[-1][1] + 1:
+            out[-1] = out[-1][0], b
+        else:
+            out.append((a, b))
+    return out
+
+
+def joined_runs(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans without white space around them; what only white space parts is one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        b = a + len(text[a:b].rstrip())
+        a = b - len(text[a:b].lstrip())
+        if out and (a <= out[-1][1] or text[out[-1][1]:a].isspace()):
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        elif a < b:
+            out.append((a, b))
+    return out
+
+
+def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the spans; a line end before or after one stays."""
+    out, done = [], 0
+    for a, b in spans:
+        before, after = a - len(text[:a].rstrip()), len(text) - b - len(text[b:].lstrip())
+        if "\n" in text[b:b + after] and "\n" not in text[a - before:a] and a > before:
+            a -= before
+        elif before or not a:
+            b += after
+        out.append(text[done:a])
+        done = b
+    return "".join([*out, text[done:]]).strip()
+
+
+def remove(text: str, gone: dict[int, int], starts: list[int] = ()) -> tuple[str, int]:
+    """The text without what goes, and of how many paragraphs something went.
 
+    That are the runs of paragraphs in ``gone`` (position: words) that are long enough, and of windows of words from
+    ``starts`` on, with the paragraphs in ``gone`` that touch them.
     Paragraphs of fewer words than a shingle have no entry; between two that go they go along.
     """
     spans = paragraphs(text)
+    exact = word_runs(text, list(starts))
     short = {pos for pos, (a, b) in enumerate(spans) if pos not in gone and len(words(text[a:b])) < SHINGLE}
-    drop: set[int] = set()
-    run: list[int] = []
+    runs: list[list[int]] = []
     for pos in sorted(gone):
-        if run and all(p in short for p in range(run[-1] + 1, pos)):
-            run.append(pos)
+        if runs and all(p in short for p in range(runs[-1][-1] + 1, pos)):
+            runs[-1].append(pos)
         else:
-            run = [pos]
-        if sum(gone[p] for p in run) >= MIN_RUN:
-            drop.update(range(run[0], run[-1] + 1))
-    if not drop:
+            runs.append([pos])
+    near = [(spans[run[0]][0], spans[run[-1]][1]) for run in runs]
+    enough = exact + [span for span, run in zip(near, runs) if sum(gone[p] for p in run) >= MIN_RUN]
+    if not enough:
         return text, 0
-    return "".join(text[a:b] for pos, (a, b) in enumerate(spans) if pos not in drop).strip(), len(drop)
+    # A run holds one that is long enough, or it is too short.
+    inner = {a for a, _ in joined_runs(text, enough)}
+    drop = [(a, b) for a, b in joined_runs(text, exact + near) if any(a <= x < b for x in inner)]
+    touched = sum(any(c < b and a < d for c, d in drop) for a, b in spans)
+    return without_spans(text, drop), touched
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` after removals, ``n_removed`` paragraphs and ``first_docs``, ids that keep the repeated ones."""
     keyed = docs.withColumns({"__doc_id": F.col("doc_id").cast("long"), "__text_key": F.xxhash64("text")})
     rows = keyed.select(F.col("__doc_id").alias("doc_id"), F.col("__text_key").alias("key"), plain_text().alias("text"))
+    paragraph, window = F.struct("pos", "n_words", "first_doc"), F.struct("start", "first_doc")
+    none = lambda column, like: F.when(F.lit(False), column).alias(like)
+    found = repeated(rows).select("doc_id", "key", paragraph.alias("p"), none(
+        F.struct(F.lit(0).alias("start"), F.lit(0).cast("long").alias("first_doc")), "w"))
+    inside = passages(rows).select("doc_id", "key", none(F.struct(
+        F.lit(0).alias("pos"), F.lit(0).alias("n_words"), F.lit(0).cast("long").alias("first_doc")), "p"), window.alias("w"))
     gone = stage(
-        repeated(rows).groupBy("doc_id", "key").agg(
-            F.collect_set(F.struct("pos", "n_words", "first_doc")).alias("gone")),
+        found.union(inside).groupBy("doc_id", "key").agg(
+            F.collect_set("p").alias("gone"), F.collect_set("w").alias("windows")),
         "paragraph-gone",
     )
 
     @F.pandas_udf("text string, n_removed int")
-    def rewrite(texts: pd.Series, at: pd.Series, sizes: pd.Series) -> pd.DataFrame:
-        out = [remove(t, dict(zip(p, n))) for t, p, n in zip(texts, at, sizes)]
+    def rewrite(texts: pd.Series, at: pd.Series, sizes: pd.Series, starts: pd.Series) -> pd.DataFrame:
+        out = [remove(t, dict(zip(p, n)), list(s)) for t, p, n, s in zip(texts, at, sizes, starts)]
         return pd.DataFrame(out, columns=["text", "n_removed"])
 
     bloom = Bloom(gone.select("key"))
@@ -285,13 +435,13 @@ def dedup(docs: DataFrame) -> DataFrame:
     may = keyed.withColumn("__text_may", bloom(F.col("__text_key")))
     hit = may.where("__text_may").join(
         gone, F.col("__doc_id").eqNullSafe(gone.doc_id) & (F.col("__text_key") == gone.key), "left"
-    ).select(*[docs_column(c, keyed) for c in kept], "gone")
+    ).select(*[docs_column(c, keyed) for c in kept], "gone", "windows")
     changed = hit.where("gone IS NOT NULL").withColumn(
-        "__text_new", rewrite("text", F.col("gone.pos"), F.col("gone.n_words"))
+        "__text_new", rewrite("text", F.col("gone.pos"), F.col("gone.n_words"), F.col("windows.start"))
     ).select(
         *[F.col("__text_new.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in kept],
         F.col("__text_new.n_removed").alias("n_removed"),
-        F.when(F.col("__text_new.n_removed") > 0, F.array_sort(F.array_distinct("gone.first_doc")))
+        F.when(F.col("__text_new.n_removed") > 0, F.array_sort(F.array_union("gone.first_doc", "windows.first_doc")))
         .otherwise(F.array().cast("array<long>")).alias("first_docs"),
     )
     same = lambda df: df.select(
