@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge_upsert
-from tidemark.operators.ingest import AUDIT_COLUMNS, BATCH_DATE
+from tidemark.operators.ingest import AUDIT_COLUMNS, BATCH_DATE, with_audit_columns
 from tidemark.plans import LoadError, load_conformed, load_raw, preview
 from tidemark.plans.loads import APPLIED, POSITION, raw_position, raw_watermark
 from tidemark.sources import FrameSource, TableStore
@@ -393,3 +393,50 @@ def test_watermark_is_read_without_the_table(spark, store, monkeypatch):
 
     assert loads._newest_raw_rows(store, spec.raw_table, whole=False) is None
     assert raw_watermark(store, spec) == store.properties(spec.raw_table)[loads.WATERMARK]
+
+
+OUT_OF_ORDER = [(12, 1, 4, 1, "old"), (12, 2, 1, 2, "b"), (13, 1, 4, 1, "new"), (13, 2, 2, 2, "back"), (14, 1, 1, 3, "c")]
+
+
+def raw_changes(store, feed, changes, batch_id, upper):
+    """Appends one raw batch of change rows, as an overlapping load would commit it."""
+    log = [(lsn(p), lsn(s), op, None, k, v) for p, s, op, k, v in changes]
+    rows = store.spark.createDataFrame(log, FEED_SCHEMA)
+    stamped = with_audit_columns(rows, feed, cdc_from=text(10), cdc_to=text(upper), batch_id=batch_id)
+    store.append(stamped.withColumn(BATCH_DATE, F.current_date()), feed.raw_table, [BATCH_DATE])
+
+
+def test_a_late_change_batch_does_not_take_back_newer_changes(spark, store):
+    snapshot, feed = feed_specs()
+    load(store, snapshot, feed_source(spark, [(1, "a"), (2, "b"), (3, "c")], [(10, 1, 2, 1, "a")]))
+    raw_changes(store, feed, OUT_OF_ORDER, "whole", 14)
+    assert load_conformed(store, feed).changed
+    expected = [(1, "new", 0), (2, "back", 0), (3, "c", 1)]
+    assert content(store, feed, "id", "v", "is_deleted") == expected
+    raw_changes(store, feed, [*OUT_OF_ORDER[:2], (11, 1, 4, 3, "x")], "late", 12)
+    assert load_conformed(store, feed).changed
+    assert content(store, feed, "id", "v", "is_deleted") == expected
+    raw_changes(store, feed, [(15, 1, 4, 1, "newest")], "next", 15)
+    load_conformed(store, feed)
+    assert content(store, feed, "id", "v", "is_deleted") == [(1, "newest", 0), *expected[1:]]
+
+
+def test_changes_up_to_the_snapshot_do_not_take_it_back(spark, store):
+    snapshot, feed = feed_specs()
+    load(store, snapshot, feed_source(spark, [(1, "a")], [(10, 1, 2, 1, "a")]))
+    raw_changes(store, feed, [(9, 1, 4, 1, "before"), (9, 2, 4, 5, "e")], "old", 9)
+    load_conformed(store, feed)
+    assert content(store, feed, "id", "v", "is_deleted") == [(1, "a", 0), (5, "e", 0)]
+
+
+def test_stream_batches_out_of_log_order(spark, store, tmp_path):
+    snapshot, feed = feed_specs()
+    load(store, snapshot, feed_source(spark, [(1, "a"), (2, "b"), (3, "c")], [(10, 1, 2, 1, "a")]))
+
+    def run(changes, batch_id):
+        raw_changes(store, feed, changes, batch_id, 14)
+        apply_change_feed(store, feed, stream_raw_changes(store, feed), str(tmp_path / "checkpoint")).awaitTermination()
+
+    run(OUT_OF_ORDER[2:], "newer")
+    run(OUT_OF_ORDER[:2], "older")
+    assert content(store, feed, "id", "v", "is_deleted") == [(1, "new", 0), (2, "back", 0), (3, "c", 1)]

@@ -410,3 +410,16 @@ def test_v2_catalog_tables_are_written_in_place():
     df.writeTo.return_value.partitionedBy.return_value.create.assert_called_once_with()
     assert store.latest_partition("demo.silver.t", "day") is None
     assert "CREATE NAMESPACE IF NOT EXISTS `demo`.`silver`" in str(spark.sql.call_args_list)
+
+
+def test_merge_into_compares_log_positions(spark):
+    """As above, with the position column on both sides."""
+    store = TableStore(spark)
+    df = spark.createDataFrame(
+        [(1, 0, (bytearray(b"a"), bytearray(b"a"), 4), "0x0A")],
+        "a int, is_deleted int, cdc_position struct<start_lsn: binary, seqval: binary, operation: int>, bronze_cdc_to_lsn string")
+    if not store.exists("merging.positions"):
+        store.append(df, "merging.positions")
+    with pytest.raises(Exception, match="(?i)merge") as refused:
+        merge_into(df, "merging.positions", ["a"], True, (), df.columns)
+    assert "UNRESOLVED" not in str(refused.value) and "AMBIGUOUS" not in str(refused.value)

@@ -534,7 +534,7 @@ def conform_cdc(spark: SparkSession, sf: str) -> DataFrame:
     position = F.col(f"`{START_LSN}`")
     before = latest_per_key(feed.filter(position <= baseline), ["o_custkey"], [START_LSN, SEQVAL])
     target = default_delete_flag(before.select("o_custkey", "value", "status"))
-    return conform(spec, feed.filter(position > baseline), target)
+    return conform(spec, feed.filter(position > baseline), target).select(*target.columns)
 
 
 # --- Marts -----------------------------------------------------------------------------------------------------

@@ -6,13 +6,16 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
-from ..functions import column, flag
+from ..functions import column, flag, lsn_hex
 from ..sizing import beside_buckets, estimated_bytes, fits_broadcast
 from .history import latest_per_key
-from .ingest import CHANGE_COLUMNS, OPERATION, SEQVAL, START_LSN
+from .ingest import CDC_TO, CHANGE_COLUMNS, OPERATION, SEQVAL, START_LSN
 
 IS_DELETED = "is_deleted"
+# Log position of the last change applied to a key: (start_lsn, seqval, operation).
+CDC_POSITION = "cdc_position"
 
 # Operation codes of the change feed.
 OP_DELETE, OP_INSERT, OP_UPDATE_BEFORE, OP_UPDATE_AFTER = 1, 2, 3, 4
@@ -37,6 +40,12 @@ def change_delete_flag(df: DataFrame, operation: str = OPERATION) -> DataFrame:
     return df.withColumn(IS_DELETED, flag(column(operation) == OP_DELETE))
 
 
+def with_change_position(df: DataFrame) -> DataFrame:
+    """Keeps a change's place in the log in one column."""
+    return df.withColumn(CDC_POSITION, F.struct(
+        column(START_LSN).alias("start_lsn"), column(SEQVAL).alias("seqval"), column(OPERATION).alias("operation")))
+
+
 def soft_delete_flag(df: DataFrame, soft_delete_column: str | None) -> DataFrame:
     """1 where the delete date is set; 0 for every row when the table has no such column."""
     if not soft_delete_column:
@@ -82,16 +91,34 @@ def merge_changes(target: DataFrame, source: DataFrame, keys: Sequence[str], buc
     """Merge changes flagged by ``is_deleted``; keys and buckets as for ``merge_upsert``.
 
     A delete only sets the flag and keeps the target's values; a live change takes all values and revives a
-    deleted row; an unseen key is added, even when its last change is a delete.
+    deleted row; an unseen key is added, even when its last change is a delete. Where ``source`` has log positions
+    (see ``with_change_position``), the table keeps them, and a change before the key's last one changes nothing.
     """
-    live = F.col("s._present") & ((column(IS_DELETED, "s") == 0) | F.col("t._present").isNull())
+    if CDC_POSITION in source.columns and CDC_POSITION not in target.columns:
+        target = target.withColumn(CDC_POSITION, F.lit(None).cast(source.schema[CDC_POSITION].dataType))
+    takes = F.col("s._present") & not_before(source, target.columns, "s", "t")
+    live = takes & ((column(IS_DELETED, "s") == 0) | F.col("t._present").isNull())
 
     def takes_source(name: str) -> Column:
-        return F.col("s._present") if name == IS_DELETED else live
+        return takes if name in (IS_DELETED, CDC_POSITION) else live
 
     return _merge(target, source, keys, takes_source, buckets)
 
 
+def not_before(changes: DataFrame, target_columns: Sequence[str], source: str, target: str) -> Column:
+    """True unless the change comes before the last one of its key.
+
+    A row that no change with a position has reached, as those of a snapshot, counts as read at its ``CDC_TO``.
+    """
+    if CDC_POSITION not in changes.columns:
+        return F.lit(True)
+    tests = [column(CDC_POSITION, source) >= column(CDC_POSITION, target)]
+    if CDC_TO in target_columns and isinstance(changes.schema[CDC_POSITION].dataType["start_lsn"].dataType, BinaryType):
+        position = F.lower(lsn_hex(column(CDC_POSITION, source).getField("start_lsn")))
+        tests.append(position >= F.lower(column(CDC_TO, target)))
+    return F.coalesce(*tests, F.lit(True))
+
+
 def _merge(
     target: DataFrame, source: DataFrame, keys: Sequence[str], takes_source: Callable[[str], Column], buckets: int
 ) -> DataFrame:

@@ -30,6 +30,7 @@ from ..operators import (
     unprocessed_batches,
     with_audit_columns,
 )
+from ..operators.merge import CDC_POSITION, with_change_position
 from ..operators.ingest import BATCH_DATE, BATCH_ID, CDC_TO, INGESTED_AT
 from ..sources.base import Source
 from ..sources.tables import TableStore
@@ -268,7 +269,8 @@ def merge_rows(spec: TableSpec, batch: DataFrame, target_columns: list[str] | No
     batch = batch.drop(BATCH_DATE)
     if spec.strategy is LoadStrategy.INCREMENTAL_CDC:
         newest = newest_changes(relevant_changes(batch), spec.primary_key)
-        return align_to_target(drop_change_columns(change_delete_flag(newest)), target_columns)
+        changes = drop_change_columns(with_change_position(change_delete_flag(newest)))
+        return align_to_target(changes, dict.fromkeys([*target_columns, CDC_POSITION]))
     newest = latest_per_key(batch, spec.primary_key, [INGESTED_AT, *spec.version_order])
     return soft_delete_flag(newest, spec.soft_delete_column)
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import column, same_key
-from ..operators.merge import IS_DELETED, merge_changes, merge_upsert, not_older
+from ..operators.merge import CDC_POSITION, IS_DELETED, merge_changes, merge_upsert, not_before, not_older
 
 VERSION_MARK = "__v"
 BUCKETS = "tidemark.buckets"
@@ -118,7 +118,11 @@ class TableStore:
         A v2 catalog merges in one statement and takes the properties in others; a crash between them repeats the merge.
         """
         if self.in_v2_catalog(name):
-            merge_into(source, name, keys, changes, newer_by)
+            columns = self.read(name).columns
+            if CDC_POSITION in source.columns and CDC_POSITION not in columns:
+                kind = source.schema[CDC_POSITION].dataType.simpleString()
+                self.spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({CDC_POSITION} {kind})")
+            merge_into(source, name, keys, changes, newer_by, columns)
             for key, value in (properties or {}).items():
                 self.set_property(name, key, value)
             return
@@ -173,7 +177,12 @@ class TableStore:
 
 
 def merge_into(
-    source: DataFrame, name: str, keys: Sequence[str], changes: bool = False, newer_by: Sequence[str] = ()
+    source: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    changes: bool = False,
+    newer_by: Sequence[str] = (),
+    target_columns: Sequence[str] = (),
 ) -> None:
     """The same merges as a row-level operation of a v2 catalog that supports MERGE."""
     target = name.rpartition(".")[2]
@@ -181,9 +190,10 @@ def merge_into(
     values = {c: column(c, "s") for c in source.columns if c not in keys}
     writer = s.mergeInto(name, same_key(keys, target, "s"))
     if changes:
-        deleted = column(IS_DELETED, "s") == 1
-        writer = writer.whenMatched(deleted).update({IS_DELETED: F.lit(1)})
-        writer = writer.whenMatched(~deleted).update(values)
+        deleted, newer = column(IS_DELETED, "s") == 1, not_before(source, target_columns, "s", target)
+        position = {c: v for c, v in values.items() if c == CDC_POSITION}
+        writer = writer.whenMatched(deleted & newer).update({IS_DELETED: F.lit(1), **position})
+        writer = writer.whenMatched(~deleted & newer).update(values)
     else:
         newer = (not_older(newer_by, "s", target),) if newer_by else ()
         writer = writer.whenMatched(*newer).update(values)

@@ -20,8 +20,8 @@ def apply_change_feed(
 ) -> StreamingQuery:
     """Merge all change rows that have arrived into the conformed table, then stop.
 
-    A micro-batch that is repeated after a failure merges to the same table. What has arrived must come as one
-    micro-batch, or in log order: the file source does the former unless its files per trigger are limited.
+    A micro-batch that is repeated after a failure merges to the same table. Micro-batches may come in any order: the
+    table keeps each key's last log position, and a change before it changes nothing.
     """
     if spec.strategy is not LoadStrategy.INCREMENTAL_CDC:
         raise SpecError(f"{spec.table_id} loads no change feed, its strategy is {spec.strategy.value}")
