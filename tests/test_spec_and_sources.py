@@ -8,6 +8,7 @@ from unittest.mock import MagicMock
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.catalogue import QUERIES
 from tidemark.functions import column, lsn_bytes, lsn_hex, person_name, watermark_text
 from tidemark.operators import (
     change_log_gaps,
@@ -148,9 +149,7 @@ def test_change_range_is_open_below_and_closed_above(spark):
 
 
 def test_no_query_runs_python_or_collects(spark):
-    from __spark_entry__ import queries
-
-    for name, build in queries().items():
+    for name, build in QUERIES.items():
         text = build(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text, name
 
