@@ -10,11 +10,11 @@ from __spark_entry__ import oracle_sql, queries
 from tidemark.llm.queries import ORACLE, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
-ROWS = {**{name: "documents" for name in QUERIES}, "op7_html": "pages"}
+ROWS = {**{name: "documents" for name in QUERIES}, "op7_html": "pages", "op12_codes": "embeddings"}
 
 
 def test_names():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11)) and len(QUERIES) == 10
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14)) and len(QUERIES) == 13
     assert {"pipeline", *QUERIES} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
@@ -29,7 +29,8 @@ def test_one_row_per_document(spark, name):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, name):
     duck = duckdb.connect()
-    duck.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SMALL}/embeddings.parquet'")
+    for name_of_table in ("documents", "embeddings"):
+        duck.sql(f"CREATE VIEW {name_of_table} AS SELECT * FROM '{SMALL}/{name_of_table}.parquet'")
     got = QUERIES[name](spark, SMALL)
     want = duck.sql(ORACLE[name])
     assert sorted(got.columns) == sorted(want.columns)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, lm_score, paragraphs, quality, simhash, suffix_dedup, token_counts, topk, viterbi
+from . import (
+    decontaminate, html_extract, lm_score, paragraphs, quality, setsketch, simhash, suffix_dedup, token_counts, topk, viterbi,
+)
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +71,10 @@ def op10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_removed", "first_docs", "text")
 
 
+def op13_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with held_out, score and predicted; learns from labelled rows that are not held out."""
     known = labels.where(~held_out("doc_id", 4)).select("doc_id", F.col("quality").alias("label"))
@@ -89,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_quality": op9_quality,
     "op10_paragraphs": op10_paragraphs,
+    "op13_setsketch": op13_setsketch,
 }
 
 ORACLE: dict[str, str] = {
@@ -105,4 +112,21 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
     """,
+    "op13_setsketch": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT doc_id, list_distinct(CASE
+                WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM w
+        ), n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+        u AS (SELECT doc_id, unnest(s) AS x FROM s),
+        c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM u a JOIN u b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+        r AS (SELECT doc_id, doc_id AS to_id FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.to_id),
+        m AS (SELECT doc_id, min(to_id) AS component_id FROM r GROUP BY doc_id)
+        SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN m USING (doc_id)
+    """,
 }
