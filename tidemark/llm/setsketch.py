@@ -51,7 +51,6 @@ MEMO = 1 << 18
 MIX = np.uint64(0x9E3779B97F4A7C15)
 RANDOM = np.random.default_rng(13)
 MULTIPLY = RANDOM.integers(1, 1 << 63, size=REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SHIFT = RANDOM.integers(0, 1 << 63, size=REGISTERS, dtype=np.uint64)
 
 
 def mixed(keys: np.ndarray) -> np.ndarray:
@@ -59,35 +58,36 @@ def mixed(keys: np.ndarray) -> np.ndarray:
     return keys ^ (keys >> np.uint64(29))
 
 
+class Codes(dict):
+    """Hashes of words, 63 bits each, remembered up to ``MEMO`` words; one per task."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= MEMO:
+            self.clear()
+        code = self[word] = xxh3_64_intdigest(word) >> 1
+        return code
+
+
 class Shingler:
     """Sets of texts as sorted arrays of 64-bit hashes; one per task."""
 
     def __init__(self, size: int = SHINGLE) -> None:
         self.size = size
-        self.memo: dict[bytes, int] = {}
+        self.codes = Codes()
 
     def __call__(self, text: str) -> np.ndarray:
         found = words(text)
         if not found:
             return np.empty(0, dtype=np.uint64)
-        memo = self.memo
-        try:
-            codes = [memo[word] for word in found]
-        except KeyError:
-            if len(memo) > MEMO:
-                memo.clear()
-            for word in found:
-                if word not in memo:
-                    memo[word] = xxh3_64_intdigest(word)
-            codes = [memo[word] for word in found]
-        codes = np.array(codes, dtype=np.uint64)
+        codes = np.fromiter(map(self.codes.__getitem__, found), dtype=np.int64, count=len(found)).view(np.uint64)
         width = min(self.size, len(codes))
         count = len(codes) - width + 1
         # The width goes in, so a short text never equals a shingle of another length.
         keys = codes[:count] + np.uint64(width)
         for k in range(1, width):
             keys = mixed(keys) + codes[k:count + k]
-        return np.unique(mixed(keys))
+        keys = np.sort(mixed(keys))
+        return keys[np.concatenate(([True], keys[1:] != keys[:-1]))]
 
 
 def least(sets: list[np.ndarray]) -> np.ndarray:
@@ -106,9 +106,9 @@ def least(sets: list[np.ndarray]) -> np.ndarray:
         else:
             keys = np.concatenate(sets[at:stop])
             first = np.cumsum([0, *map(len, sets[at:stop - 1])])
-            for i in range(REGISTERS):
-                spread = keys * MULTIPLY[i] + SHIFT[i]
-                spread ^= spread >> np.uint64(29)
+            spread = np.empty_like(keys)
+            for i in range(REGISTERS):  # keys are hashes: products with different odd numbers order them independently
+                np.multiply(keys, MULTIPLY[i], out=spread)
                 out[at:stop, i] = np.minimum.reduceat(spread, first)
         at = stop
     return out
@@ -156,7 +156,7 @@ def plausible(n_a: np.ndarray, n_b: np.ndarray, more: np.ndarray, less: np.ndarr
     share, wanted = n_a / (n_a + n_b), SIMILAR / 100
     # The likelihood has one maximum: thirds of the interval narrow it down.
     low, high = np.zeros_like(ratio), ratio.copy()
-    for _ in range(30):
+    for _ in range(24):
         a, b = low + (high - low) / 3, high - (high - low) / 3
         up = log_likelihood(a, share, more, less) < log_likelihood(b, share, more, less)
         low, high = np.where(up, a, low), np.where(up, high, b)
@@ -294,31 +294,58 @@ def across(members: DataFrame, parts: DataFrame, found: DataFrame) -> DataFrame:
     dealt = left.select("band", "unit", "part", "block", F.explode(cells).alias("cell")).select(
         "band", "unit", "part", "block", "cell.low", "cell.high")
     with_sketch = dealt.join(found.select("unit", "n", "sketch"), "unit")
+    cell = ["band", "low", "high"]
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("unit")
-        low, high = frame.low.iloc[0], frame.high.iloc[0]
-        a, b = frame[frame.block == low], frame[frame.block == high]
-        y = matrix(b.sketch)
-        n_b, part_b, unit_b = b.n.to_numpy(), b.part.to_numpy(), b.unit.to_numpy()
-        src, dst = [], []
-        for unit, part, n, sketch in zip(a.unit, a.part, a.n, a.sketch):
-            fits = (np.minimum(n, n_b) * 100 >= np.maximum(n, n_b) * SIMILAR) & (part_b != part)
-            if low == high:
-                fits &= unit_b > unit
-            at = np.flatnonzero(fits)
-            if not len(at):
-                continue
-            x = np.frombuffer(sketch, np.uint16)
-            more, less = (x > y[at]).sum(axis=1), (x < y[at]).sum(axis=1)
-            at = at[plausible(np.full(len(at), n), n_b[at], more, less)]
-            src += [unit] * len(at)
-            dst += list(unit_b[at])
-        return pd.DataFrame({"src": src, "dst": dst})
-
-    found_pairs = with_sketch.groupBy("band", "low", "high").applyInPandas(
-        lambda frame: compare(frame), "src binary, dst binary")
-    return found_pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for frame in frames:
+            # The last cell of a batch may go on in the next one; a cell is small.
+            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            last = (frame[cell] == frame[cell].iloc[-1]).all(axis=1).to_numpy() if len(frame) else np.empty(0, bool)
+            rest = frame[last]
+            yield likely_in_cells(frame[~last])
+        if rest is not None:
+            yield likely_in_cells(rest)
+
+    sorted_cells = with_sketch.repartition(*cell).sortWithinPartitions(*cell)
+    return sorted_cells.mapInPandas(compare, "src binary, dst binary").distinct()
+
+
+PAIRS = 1 << 14  # pairs of sketches compared at once
+
+
+def likely_in_cells(frame: pd.DataFrame) -> pd.DataFrame:
+    """Likely pairs (src, dst) of different parts within the cells of ``frame``, whose cells are whole and contiguous."""
+    if not len(frame):
+        return pd.DataFrame({"src": [], "dst": []}, dtype=object)
+    low, high, block = frame.low.to_numpy(), frame.high.to_numpy(), frame.block.to_numpy()
+    band, part, unit, n = frame.band.to_numpy(), frame.part.to_numpy(), frame.unit.to_numpy(), frame.n.to_numpy()
+    sketches = matrix(frame.sketch)
+    parts = pd.factorize(part)[0]
+    new = np.flatnonzero((band[1:] != band[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
+    size = np.diff(np.concatenate([[0], new, [len(frame)]]))
+    end = np.repeat(np.cumsum(size), size)
+    src, dst = [], []
+    for i in range(len(frame)) if size.max() > 64 else [None]:
+        # Many small cells at once, or a large one row by row.
+        if i is None:
+            count = end - 1 - np.arange(len(frame))
+            a = np.repeat(np.arange(len(frame)), count)
+            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+        else:
+            b = np.arange(i + 1, end[i])
+            a = np.full(len(b), i)
+        fits = (parts[a] != parts[b]) & ((low[a] == high[a]) | (block[a] != block[b]))
+        fits &= np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * SIMILAR
+        a, b = a[fits], b[fits]
+        for at in range(0, len(a), PAIRS):
+            x, y = a[at:at + PAIRS], b[at:at + PAIRS]
+            more, less = (sketches[x] > sketches[y]).sum(axis=1), (sketches[x] < sketches[y]).sum(axis=1)
+            good = plausible(n[x], n[y], more, less)
+            src.append(x[good])
+            dst.append(y[good])
+    a, b = (unit[np.concatenate(side).astype(int)] if side else [] for side in (src, dst))
+    return pd.DataFrame({"src": [min(p) for p in zip(a, b)], "dst": [max(p) for p in zip(a, b)]}, dtype=object)
 
 
 def links(rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
