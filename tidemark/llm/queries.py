@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, html_extract, lm_score, paragraphs, quality, setsketch, simhash, suffix_dedup, token_counts, topk, viterbi,
+    codes, decontaminate, html_extract, lm_score, paragraphs, quality, setsketch, simhash, suffix_dedup, token_counts, topk, viterbi,
 )
 from .common import held_out, table
 
@@ -71,6 +71,10 @@ def op10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_removed", "first_docs", "text")
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.encode(table(spark, sf_dir, "embeddings"))
+
+
 def op13_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -95,10 +99,43 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_quality": op9_quality,
     "op10_paragraphs": op10_paragraphs,
+    "op12_codes": op12_codes,
     "op13_setsketch": op13_setsketch,
 }
 
+def codes_sql() -> str:
+    """k-means in SQL: one pair of steps per round, every distance in full."""
+    steps = ["""
+        v AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, e) AS r, vec_id, label, e, len(e) // 8 AS w FROM (
+                SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * x::DOUBLE) AS BIGINT)) AS e
+                FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+        ), p AS MATERIALIZED (
+            SELECT r, i AS part, list_slice(e, i * w + 1, i * w + w) AS x FROM v, range(8) t(i)
+        ), b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x FROM p WHERE r <= 16)"""]
+    for n in range(codes.ROUNDS + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (
+            SELECT r, part, min((d, entry)) AS best FROM (
+                SELECT r, p.part, entry, list_sum(list_transform(list_zip(p.x, b.x), lambda z: CAST((z[1] - z[2]) * (z[1] - z[2]) AS BIGINT)))::BIGINT AS d
+                FROM p JOIN b{n} b ON b.part = p.part) GROUP BY r, part)""")
+        if n < codes.ROUNDS:
+            steps.append(f"""m{n} AS MATERIALIZED (
+                SELECT part, entry, list(CAST(floor(s / c) AS BIGINT) ORDER BY i) AS x FROM (
+                    SELECT p.part, best[2] AS entry, i, sum(x[i + 1])::DOUBLE AS s, count(*) AS c
+                    FROM p JOIN a{n} a ON a.r = p.r AND a.part = p.part, range(len(x)) t(i) GROUP BY ALL) GROUP BY part, entry),
+            b{n + 1} AS MATERIALIZED (
+                SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM b{n} b LEFT JOIN m{n} m ON m.part = b.part AND m.entry = b.entry)""")
+    last = codes.ROUNDS
+    steps.append(f"""f AS (
+            SELECT r, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM a{last} GROUP BY r
+        ), h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS h FROM b{last})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+        FROM v JOIN f USING (r), h""")
+    return "WITH " + ",\n".join(steps[:-1]) + ",\n" + steps[-1]
+
+
 ORACLE: dict[str, str] = {
+    "op12_codes": codes_sql(),
     "op8_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
