@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    codes, decontaminate, html_extract, lm_score, paragraphs, quality, setsketch, simhash, suffix_dedup, token_counts, topk, viterbi,
+    alignment, codes, decontaminate, html_extract, lm_score, paragraphs, quality, setsketch, simhash, suffix_dedup, token_counts, topk, viterbi,
 )
 from .common import held_out, table
 
@@ -71,6 +71,10 @@ def op10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_removed", "first_docs", "text")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"))
+
+
 def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.encode(table(spark, sf_dir, "embeddings"))
 
@@ -99,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_quality": op9_quality,
     "op10_paragraphs": op10_paragraphs,
+    "op11_alignment": op11_alignment,
     "op12_codes": op12_codes,
     "op13_setsketch": op13_setsketch,
 }
