@@ -25,10 +25,12 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import unicodedata
 import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,10 +44,15 @@ from .pieces import SPACE, default_model, stretches
 BLOCK = 2 << 20  # bytes of text
 BATCH = 1 << 18  # bytes of text aligned at once
 RUN = 64
-MEMO = 1 << 18  # remembered pieces, and their characters by 2^6
+MEMO = 1 << 19  # remembered pieces, and their characters by 2^5
 IDS = 1 << 16  # more than either vocabulary holds
-# How A's pre-tokens end; the fixed pattern of its file format's byte-level splitting.
-PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# How A's pre-tokens end: the fixed pattern of its file format's byte-level splitting, with what Unicode calls white space.
+WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+PATTERN = regex.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+# The same where all numbers are decimal digits.
+PLAIN = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^{WHITE}\w]|_)+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
 
 def default_bytes() -> str:
@@ -61,29 +68,47 @@ def byte_letters() -> dict[str, int]:
     return {**{chr(b): b for b in printable}, **{chr(256 + k): b for k, b in enumerate(others)}}
 
 
-@lru_cache(maxsize=1 << 16)
-def doubtful(letter: str) -> bool:
-    """Whether versions of Unicode may class the character differently."""
-    now, old = unicodedata.category(letter), unicodedata.ucd_3_2_0.category(letter)
-    return now == "Cn" or (now[0] != old[0] and (now[0] in "LNZ" or old[0] in "LNZ"))
+class Kinds(dict):
+    """Of a character: 0 if it is plain, 1 if it is a number but no digit, 2 if versions of Unicode may class it differently."""
+
+    def __missing__(self, letter: str) -> int:
+        now, old = unicodedata.category(letter), unicodedata.ucd_3_2_0.category(letter)
+        doubt = now == "Cn" or (now[0] != old[0] and (now[0] in "LNZ" or old[0] in "LNZ"))
+        self[letter] = 2 if doubt else 1 if now in ("No", "Nl") else 0
+        return self[letter]
+
+
+KINDS = Kinds()
 
 
 def pre_tokens(form: str) -> list[str]:
-    if form.isascii() or not any(map(doubtful, set(form))):
-        return PATTERN.findall(form)
-    return [form]
+    kind = 0 if form.isascii() else max(map(KINDS.__getitem__, set(form)))
+    return PLAIN.findall(form) if kind == 0 else PATTERN.findall(form) if kind == 1 else [form]
+
+
+class Places(dict):
+    """Places of pieces, in the order in which they came; ``new`` are those that were not known."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        place = self[part] = len(self)
+        self.new.append(part)
+        return place
 
 
 class Tokens:
-    """Token ids and byte lengths of pieces of text, remembered; ``give`` encodes a list of pieces to lists of ids."""
+    """Token ids and byte lengths of pieces of text, remembered; ``give`` encodes pieces to all their ids and a count each."""
 
-    def __init__(self, give: Callable[[list[str]], list[list[int]]], of: list[bytes]) -> None:
+    def __init__(self, give: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], of: list[bytes]) -> None:
         self.give, self.of = give, of
         self.width = np.array([len(b) for b in of], dtype=np.int64)
         self.clear()
 
     def clear(self) -> None:
-        self.memo: dict[str, int] = {}
+        self.memo = Places()
         self.letters = 0
         self.ids = np.empty(0, dtype=np.int64)
         self.start = np.empty(0, dtype=np.int64)
@@ -92,24 +117,30 @@ class Tokens:
 
     def __call__(self, parts: list[str]) -> np.ndarray:
         """The pieces' places."""
-        memo = self.memo
-        try:
-            return np.fromiter(map(memo.__getitem__, parts), dtype=np.int64, count=len(parts))
-        except KeyError:
-            if len(memo) > MEMO or self.letters > MEMO << 6:
-                self.clear()
-                memo = self.memo
-        new = list(set(parts) - memo.keys())
-        memo.update(zip(new, range(len(memo), len(memo) + len(new))))
-        self.letters += sum(map(len, new))
-        found = self.give(new)
-        count = np.array([len(f) for f in found], dtype=np.int64)
-        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(count) - count])
-        self.count = np.concatenate([self.count, count])
-        self.ids = np.concatenate([self.ids, *[np.array(f, dtype=np.int64) for f in found]])
-        same = [b"".join([self.of[i] for i in f]) == part.encode() for f, part in zip(found, new)]
-        self.whole = np.concatenate([self.whole, np.array(same, dtype=bool)])
-        return self(parts)
+        if len(self.memo) > MEMO or self.letters > MEMO << 5:
+            self.clear()
+        places = np.fromiter(map(self.memo.__getitem__, parts), dtype=np.int64, count=len(parts))
+        new = self.memo.new
+        if new:
+            self.memo.new = []
+            self.letters += sum(map(len, new))
+            ids, count = self.give(new)
+            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(count) - count])
+            self.count = np.concatenate([self.count, count])
+            self.ids = np.concatenate([self.ids, ids])
+            self.whole = np.concatenate([self.whole, self.faithful(new, ids, count)])
+        return places
+
+    def faithful(self, parts: list[str], ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Whether the tokens' bytes are those of the piece."""
+        given = list(map(self.of.__getitem__, ids.tolist()))
+        # All at once; one by one only if they differ.
+        sizes = np.fromiter((len(part.encode()) for part in parts), dtype=np.int64, count=len(parts))
+        ends = np.cumsum(count)
+        total = np.concatenate([[0], np.cumsum(self.width[ids])])
+        if b"".join(given) == "".join(parts).encode() and (total[ends] - total[ends - count] == sizes).all():
+            return np.ones(len(parts), dtype=bool)
+        return np.array([b"".join(given[e - n:e]) == p.encode() for e, n, p in zip(ends.tolist(), count.tolist(), parts)], dtype=bool)
 
     def spread(self, places: np.ndarray) -> np.ndarray:
         """The ids of the pieces, one after the other."""
@@ -135,12 +166,15 @@ def both(bytes_file: str, pieces_file: str) -> tuple[Tokens, Tokens]:
             for i in range(b.get_piece_size())]
     alone = b.encode("a ", num_threads=1)[len(b.encode("a", num_threads=1)):]
 
-    def give_b(parts: list[str]) -> list[list[int]]:
+    def give_b(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # The library puts a stretch's first space back itself, though not before nothing.
-        return [alone if part == " " else ids for part, ids in zip(parts, b.encode([p[1:] for p in parts], num_threads=1))]
+        found = [alone if part == " " else ids for part, ids in zip(parts, b.encode([p[1:] for p in parts], num_threads=1))]
+        count = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.int64, count=count.sum()), count
 
-    def give_a(parts: list[str]) -> list[list[int]]:
-        return [e.ids for e in a.encode_batch(parts, add_special_tokens=False)]
+    def give_a(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = a.encode(parts, is_pretokenized=True, add_special_tokens=False)
+        return np.array(found.ids, dtype=np.int64), np.bincount(found.word_ids, minlength=len(parts))
 
     return Tokens(give_a, of_a), Tokens(give_b, of_b)
 
