@@ -279,10 +279,10 @@ def test_stream_ends_where_the_batch_load_ends(spark, store, tmp_path):
 def test_pending_batches_prune_partitions(spark, store):
     spec = spec_for("incremental_upsert")
     load(store, spec, rows_source(spark, [(1, "a", None, at(1), "s")]))
-    from tidemark.plans.loads import _pending
+    from tidemark.plans.loads import _after
 
     applied = int(store.properties(spec.conformed_table)[APPLIED])
-    plan = _pending(store.read(spec.raw_table), applied, {})._jdf.queryExecution().executedPlan().toString()
+    plan = _after(store.read(spec.raw_table), applied)._jdf.queryExecution().executedPlan().toString()
     assert BATCH_DATE in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "PushedFilters: [IsNotNull(bronze_ingestion_timestamp), GreaterThan" in plan
 

@@ -1,4 +1,4 @@
-from .checks import change_log_gaps, duplicate_keys, orphans, position_bounds
+from .checks import change_log_gaps, duplicate_keys, orphans, position_bounds, range_chain
 from .history import (
     append_versions,
     current_flag,
@@ -41,6 +41,7 @@ __all__ = [
     "newest_changes",
     "orphans",
     "position_bounds",
+    "range_chain",
     "relevant_changes",
     "select_changes",
     "select_columns",

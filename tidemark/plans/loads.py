@@ -1,8 +1,8 @@
 """The two load steps of a table: source to raw layer, raw layer to conformed layer.
 
-State is not kept beside the tables. The watermark and the log position are read back from the committed raw
-rows (of the newest partition), the applied batch from the conformed table's own properties, which change in the
-same statement as its content.
+The watermark and the log position are those of the committed raw batches, the applied batches those that the
+published conformed table names; ``batches`` tells how both are kept. Raw tables from before there were records are asked for
+their rows and properties.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from ..operators import (
     merge_changes,
     merge_upsert,
     newest_changes,
+    range_chain,
     relevant_changes,
     soft_delete_flag,
     unprocessed_batches,
@@ -35,16 +36,13 @@ from ..operators.ingest import BATCH_DATE, BATCH_ID, CDC_TO, INGESTED_AT
 from ..sources.base import Source
 from ..sources.tables import TableStore
 from ..spec import LoadStrategy, TableSpec
+from .batches import EPOCH, SEQUENCE, Ledger, RawBatches
 
 POSITION = "tidemark.position"
 WATERMARK = "tidemark.watermark"
-# Ingestion time of the newest raw batch applied; ids of those applied in the days up to it; ingestion time of the
-# snapshot the table starts from, before which no batch counts.
+# Ingestion time of the newest raw batch applied, and of the snapshot the table starts from, before which no batch counts.
 APPLIED = "tidemark.applied"
-BATCHES = "tidemark.batches"
 FLOOR = "tidemark.floor"
-# How long after its start a raw load may commit and still be found, in days.
-LATE_DAYS = 7
 
 
 class LoadError(RuntimeError):
@@ -110,15 +108,22 @@ def _load_changes(store: TableStore, spec: TableSpec, source: Source) -> LoadRes
     rows = with_audit_columns(
         source.changes(spec, lower, upper), spec, source.system, cdc_from=lower, cdc_to=upper, batch_id=batch_id
     )
-    result = _append(store, spec, rows, batch_id, None, unchanged=upper)
+    result = _append(store, spec, rows, batch_id, None, unchanged=upper, log_range=(lower, upper))
     store.set_property(spec.raw_table, POSITION, upper)
     return result
 
 
 def _append(
-    store: TableStore, spec: TableSpec, rows: DataFrame, batch_id: str, highest: Column | None, unchanged: str | None
+    store: TableStore, spec: TableSpec, rows: DataFrame, batch_id: str, highest: Column | None, unchanged: str | None,
+    log_range: tuple[str | None, str | None] = (None, None),
 ) -> LoadResult:
-    """Append one batch; row count and highest watermark are observed by the write itself."""
+    """Append one batch; row count and highest watermark are observed by the write itself.
+
+    The batch and its mark count from its record on. A crash before it leaves rows that no reader takes, and the next
+    load reads the same rows of the source again.
+    """
+    batches = RawBatches(store, spec.raw_table)
+    batches.begin(batch_id)
     observed = Observation()
     metrics = {"rows": F.count(F.lit(1))}
     if highest is not None:
@@ -127,7 +132,10 @@ def _append(
     watched = dated.observe(observed, *[metric.alias(name) for name, metric in metrics.items()])
     store.append(watched, spec.raw_table, partition_by=[BATCH_DATE])
     seen = observed.get
+    watermark = None if highest is None else seen.get("mark") or unchanged
+    batches.commit(batch_id, seen["rows"], watermark, *log_range)
     if seen.get("mark") is not None:
+        # For whoever looks at the table; loads go by the record.
         store.set_property(spec.raw_table, WATERMARK, seen["mark"])
     return LoadResult(spec.table_id, seen["rows"], seen.get("mark") or unchanged, seen["rows"] > 0, batch_id)
 
@@ -144,11 +152,14 @@ def check_log_reaches(spec: TableSpec, lower: str, lowest: str | None) -> None:
 def raw_watermark(store: TableStore, spec: TableSpec) -> str | None:
     """Highest committed watermark, else the spec's initial one.
 
-    Kept as a property; where the catalog lists partitions the newest one is asked as well, for a crash may come
-    between a committed batch and its property. Without either, the table is read.
+    Told by the records of the batches. A table without any has it as a property; where the catalog lists partitions
+    the newest one is asked as well. Without either, the table is read.
     """
     if not store.exists(spec.raw_table):
         return spec.initial_watermark
+    recorded = RawBatches(store, spec.raw_table).mark("watermark")
+    if recorded is not None:
+        return recorded
     stored = store.properties(spec.raw_table).get(WATERMARK)
     newest = _newest_raw_rows(store, spec.raw_table, whole=stored is None)
     if newest is not None:
@@ -177,6 +188,9 @@ def raw_position(store: TableStore, spec: TableSpec) -> str | None:
 def _table_position(store: TableStore, table: str) -> str | None:
     if not store.exists(table):
         return None
+    recorded = RawBatches(store, table).mark("to_position")
+    if recorded is not None:
+        return recorded
     stored = store.properties(table).get(POSITION)
     # A crash may come between a committed batch and its property, so the rows are asked as well.
     newest = _newest_raw_rows(store, table, whole=stored is None)
@@ -186,16 +200,33 @@ def _table_position(store: TableStore, table: str) -> str | None:
 
 def _newest_raw_rows(store: TableStore, table: str, whole: bool = True) -> DataFrame | None:
     """Rows of the newest partition; where the catalog lists none, the whole table if ``whole`` is set."""
-    rows = store.read_if_exists(table)
+    rows = committed_rows(store, table)
     day = None if rows is None or BATCH_DATE not in rows.columns else store.latest_partition(table, BATCH_DATE)
     if rows is None or day is None:
         return rows if whole else None
     return rows.filter(column(BATCH_DATE) == F.lit(day).cast("date"))
 
 
+def committed_rows(store: TableStore, table: str) -> DataFrame | None:
+    """Rows of a raw table without those of loads that run or have crashed; None where there is no table."""
+    rows = store.read_if_exists(table)
+    return None if rows is None else RawBatches(store, table).committed(rows)
+
+
+def log_coverage(store: TableStore, spec: TableSpec) -> DataFrame:
+    """Holes and overlaps in the log ranges of the committed raw batches (see ``range_chain``).
+
+    An overlap is what two loads at a time leave, and harmless; a hole means changes that were never loaded.
+    """
+    records = RawBatches(store, spec.raw_table).records()
+    if records is None:
+        raise LoadError(f"{spec.table_id}: no batch of {spec.raw_table} has a record")
+    return range_chain(records, "from_position", "to_position")
+
+
 def load_conformed(store: TableStore, spec: TableSpec) -> LoadResult:
-    """Apply every raw batch that the conformed table has not seen yet."""
-    raw = store.read_if_exists(spec.raw_table)
+    """Apply every raw batch that the conformed table has not seen yet, however late it was committed."""
+    raw = committed_rows(store, spec.raw_table)
     target = store.read_if_exists(spec.conformed_table)
     known = {} if target is None else store.properties(spec.conformed_table)
     if spec.strategy is LoadStrategy.FULL_SNAPSHOT:
@@ -206,45 +237,50 @@ def load_conformed(store: TableStore, spec: TableSpec) -> LoadResult:
             # Applied before; what changes have made of it since must stay.
             return LoadResult(spec.table_id, 0, known.get(APPLIED), changed=False)
         applied = {} if newest is None else {APPLIED: str(newest), FLOOR: str(newest)}
-        store.replace(
-            conform(spec, raw, None), spec.conformed_table, applied, bucket_by=spec.primary_key, buckets=spec.buckets
-        )
+        # Batches of changes applied so far are no part of the new content.
+        applied |= {SEQUENCE: known[SEQUENCE], EPOCH: known[SEQUENCE]} if SEQUENCE in known else {}
+        _publish(store, spec, conform(spec, raw, None), applied)
         return LoadResult(spec.table_id, None, applied.get(APPLIED), changed=True)
     if spec.strategy is LoadStrategy.INCREMENTAL_CDC and target is None:
         raise LoadError(_no_baseline(spec))
 
-    applied = None if target is None else _applied(store, spec.conformed_table, target)
-    batch = None if raw is None else _pending(raw, applied, known)
-    found = [] if batch is None else batch.groupBy(column(BATCH_ID).alias("id")).agg(
-        F.max(F.unix_micros(column(INGESTED_AT))).alias("at")).collect()  # one row per batch of a few days
-    if not found:
-        return LoadResult(spec.table_id, 0, None if applied is None else str(applied), changed=False)
-
-    newest = max([r["at"] for r in found] + ([] if applied is None else [applied]))
-    mark = {**known, APPLIED: str(newest), BATCHES: _batches(known, {r["id"]: r["at"] for r in found}, newest)}
-    if target is not None and spec.strategy is not LoadStrategy.INCREMENTAL_UPSERT:
+    ledger, newest = Ledger(store, spec.conformed_table), known.get(APPLIED)
+    pending = None if raw is None else ledger.pending(_after(raw, _floor(known, target)), known)
+    if pending is None or pending.isEmpty():
+        return LoadResult(spec.table_id, 0, newest, changed=False)
+    sequence = int(known.get(SEQUENCE, 0)) + 1
+    ledger.enter(pending, sequence)
+    added = ledger.entered(sequence).agg(F.max(F.unix_micros("batch_at")).alias("at")).first()["at"]
+    newest = str(max(int(newest or 0), added or 0))
+    mark = {**known, APPLIED: newest, SEQUENCE: str(sequence)}
+    if SEQUENCE not in known:
+        # The table's first ledger entry: what came before is told by its time, once and for all.
+        floor = _floor(known, target)
+        mark |= {} if floor is None else {FLOOR: str(floor)}
+    batch = ledger.rows_of(raw, sequence)
+    if target is None:
+        _publish(store, spec, conform(spec, batch, None), mark)
+    elif spec.strategy is LoadStrategy.INCREMENTAL_UPSERT:
+        if store.parts(spec.conformed_table):
+            store.rewrite_touched(spec.conformed_table, batch, lambda stored: conform(spec, batch, stored), mark)
+        else:
+            store.replace(conform(spec, batch, target), spec.conformed_table, mark)
+    else:
         changes = spec.strategy is LoadStrategy.INCREMENTAL_CDC
         store.merge(
             merge_rows(spec, batch, target.columns), spec.conformed_table, spec.primary_key, changes, mark,
             newer_by=() if changes else spec.version_order,
         )
-    else:
-        store.replace(
-            conform(spec, batch, target), spec.conformed_table, mark, bucket_by=spec.primary_key, buckets=spec.buckets
-        )
-    return LoadResult(spec.table_id, None, str(newest), changed=True)
+    return LoadResult(spec.table_id, None, newest, changed=True)
 
 
-def _no_baseline(spec: TableSpec) -> str:
-    return f"{spec.table_id}: changes need a table to go into, {spec.conformed_table} is not there yet"
+def _publish(store: TableStore, spec: TableSpec, rows: DataFrame, properties: dict[str, str]) -> None:
+    store.replace(
+        rows, spec.conformed_table, properties, bucket_by=spec.primary_key, buckets=spec.buckets, parts=spec.parts)
 
 
-def _batches(known: dict[str, str], added: dict[str, int], newest: int) -> str:
-    """Ids of applied batches with their ingestion time, those of the last ``LATE_DAYS`` days."""
-    ids = dict(part.split("@") for part in known.get(BATCHES, "").split(",") if part)
-    ids |= {batch: str(at) for batch, at in added.items() if batch}
-    oldest = newest - LATE_DAYS * 86_400_000_000
-    return ",".join(f"{batch}@{at}" for batch, at in sorted(ids.items(), key=lambda x: x[1]) if int(at) >= oldest)
+def _no_baseline(spec: TableSpec) -> str:
+    return f"{spec.table_id}: changes need a table to go into, {spec.conformed_table} is not there yet"
 
 
 def conform(spec: TableSpec, batch: DataFrame, target: DataFrame | None, buckets: int = 0) -> DataFrame:
@@ -275,31 +311,24 @@ def merge_rows(spec: TableSpec, batch: DataFrame, target_columns: list[str] | No
     return soft_delete_flag(newest, spec.soft_delete_column)
 
 
-def _applied(store: TableStore, table: str, target: DataFrame) -> int | None:
-    """Ingestion time (microseconds) of the newest raw batch in the conformed table."""
-    stored = store.properties(table).get(APPLIED)
-    if stored is not None or INGESTED_AT not in target.columns:
-        return None if stored is None else int(stored)
-    return target.agg(F.max(F.unix_micros(column(INGESTED_AT))).alias("at")).first()["at"]
+def _floor(known: dict[str, str], target: DataFrame | None) -> int | None:
+    """Ingestion time (microseconds) up to which no batch counts: of the snapshot the table starts from.
 
+    A table that was loaded before it had a ledger starts from its newest batch.
+    """
+    if SEQUENCE in known or target is None:
+        return int(known[FLOOR]) if FLOOR in known else None
+    stored = known.get(APPLIED)
+    if stored is None and INGESTED_AT in target.columns:
+        return target.agg(F.max(F.unix_micros(column(INGESTED_AT))).alias("at")).first()["at"]
+    return None if stored is None else int(stored)
 
-def _pending(raw: DataFrame, applied: int | None, known: dict[str, str]) -> DataFrame:
-    """Raw rows of batches that were not applied: newer ones, and older ones that were committed late.
 
-    A load's ingestion time is its start, so a batch is told by its id and not by the clock; ids are kept for
-    ``LATE_DAYS`` days. Where none are kept yet, only newer batches count.
-    """
-    if applied is None:
+def _after(raw: DataFrame, floor: int | None) -> DataFrame:
+    """Raw rows of batches that began after the floor; the days before it are pruned."""
+    if floor is None:
         return raw
-    since = applied
-    if BATCHES in known and BATCH_ID in raw.columns:
-        since = max(applied - LATE_DAYS * 86_400_000_000, int(known.get(FLOOR, 0)))
-    bound = F.timestamp_micros(F.lit(since))
+    bound = F.timestamp_micros(F.lit(floor))
     rows = unprocessed_batches(raw, bound)
-    done = [part.split("@")[0] for part in known.get(BATCHES, "").split(",") if part]
-    if since < applied and done:
-        rows = rows.filter(~F.coalesce(column(BATCH_ID).isin(done), F.lit(False)))
-    if BATCH_DATE in raw.columns:
-        # Prunes partitions; a day of slack covers a change of the session's time zone.
-        rows = rows.filter(column(BATCH_DATE) >= F.date_sub(F.to_date(bound), 1))
-    return rows
+    # A day of slack covers a change of the session's time zone.
+    return rows.filter(column(BATCH_DATE) >= F.date_sub(F.to_date(bound), 1)) if BATCH_DATE in raw.columns else rows

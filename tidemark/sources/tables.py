@@ -8,7 +8,7 @@ with its properties.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -17,9 +17,14 @@ from pyspark.sql import functions as F
 
 from ..functions import column, same_key
 from ..operators.merge import CDC_POSITION, IS_DELETED, merge_changes, merge_upsert, not_before, not_older
+from .parts import FOLDER_MARK, PART, create_version, folders_of, parts_in, remove_unlisted, with_part, write_parts
 
 VERSION_MARK = "__v"
 BUCKETS = "tidemark.buckets"
+# Number of parts, the columns that cut them, and the published version.
+PARTS = "tidemark.parts"
+PART_KEYS = "tidemark.part_keys"
+VERSION = "tidemark.version"
 
 
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
@@ -31,6 +36,11 @@ def quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
+def quoted_part(name: str) -> str:
+    """One name, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 @dataclass(frozen=True)
 class TableStore:
     spark: SparkSession
@@ -79,14 +89,19 @@ class TableStore:
         bucket_by: Sequence[str] = (),
         buckets: int = 0,
         aligned: bool = False,
+        parts: int = 0,
     ) -> None:
         """Publish ``df`` as the whole content of the table; readers see the old or the new content.
 
-        With ``buckets`` a session-catalog table is bucketed by the given columns. ``aligned`` says that ``df`` is
-        partitioned like that already, as it is after a merge with the bucketed table itself.
+        With ``buckets`` a session-catalog table is bucketed by the columns ``bucket_by``. ``aligned`` says that ``df``
+        is partitioned like that already, as it is after a merge with the bucketed table itself. With ``parts`` it is
+        cut into parts by these columns, and merges rewrite the parts they touch (see ``rewrite_touched``).
         """
         self.create_namespace(name)
         properties = dict(properties or {})
+        if parts and not self.in_v2_catalog(name):
+            cut = {PARTS: str(parts), PART_KEYS: ",".join(bucket_by)}
+            return self._publish_parts(df, name, {**properties, **cut}, {})
         if self.in_v2_catalog(name):
             writer = self._v2_writer(df, name, partition_by)
             for key, value in properties.items():
@@ -127,11 +142,66 @@ class TableStore:
                 self.set_property(name, key, value)
             return
         kept, buckets = self.properties(name), self.buckets(name)
-        if changes:
-            merged = merge_changes(self.read(name), source, keys, buckets)
-        else:
-            merged = merge_upsert(self.read(name), source, keys, buckets, newer_by)
-        self.replace(merged, name, {**kept, **(properties or {})}, bucket_by=keys, buckets=buckets, aligned=True)
+
+        def merged(target: DataFrame) -> DataFrame:
+            if changes:
+                return merge_changes(target, source, keys, buckets)
+            return merge_upsert(target, source, keys, buckets, newer_by)
+
+        if self.parts(name):
+            self.rewrite_touched(name, source, merged, properties)
+            return
+        self.replace(
+            merged(self.read(name)), name, {**kept, **(properties or {})}, bucket_by=keys, buckets=buckets, aligned=True)
+
+    def rewrite_touched(
+        self,
+        name: str,
+        batch: DataFrame,
+        build: Callable[[DataFrame], DataFrame],
+        properties: Mapping[str, str] | None = None,
+    ) -> None:
+        """Rewrite the parts of a table that hold keys of ``batch``; the others are published as they lie.
+
+        ``build`` gets the rows of those parts and gives the rows to put in their place. It must leave other keys alone.
+        ``batch`` is evaluated twice, once for the parts it touches.
+        """
+        kept = self.properties(name)
+        parts, keys = int(kept[PARTS]), kept[PART_KEYS].split(",")
+        types = dict(self.read(name).dtypes)
+        wanted = with_part(batch, keys, parts, types).select(PART).distinct()
+        touched = [row[PART] for row in wanted.collect()]  # at most the number of parts
+        stored = self.spark.table(kept[VERSION])
+        inside = F.col(PART).isin(touched) if touched else F.lit(False)
+        untouched = folders_of(stored.filter(~inside))
+        rows = build(stored.filter(inside).drop(PART))
+        self._publish_parts(rows, name, {**kept, **(properties or {})}, untouched)
+
+    def _publish_parts(
+        self, df: DataFrame, name: str, properties: dict[str, str], untouched: Mapping[int, str]
+    ) -> None:
+        """A new version of the rows of ``df``, in new folders, and the untouched parts, where they are."""
+        stamp = f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
+        version, root = name + VERSION_MARK + stamp, self._part_root(name)
+        keys, types = properties[PART_KEYS].split(","), dict(df.dtypes)
+        columns = ", ".join(f"{quoted_part(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+        write_parts(with_part(df, keys, int(properties[PARTS]), types), f"{root}/{stamp}", self.file_format)
+        folders = {**untouched, **parts_in(self.spark, f"{root}/{stamp}")}
+        create_version(self.spark, quoted(version), columns, folders, f"{root}/{stamp}", self.file_format)
+        shown = ", ".join(quoted_part(c) for c in df.columns)
+        self._point_view(name, version, {**properties, VERSION: version}, shown)
+        self._drop_old_versions(name, version)
+        kept = [f for table in self._versions(name) for f in folders_of(self.spark.table(table)).values()]
+        remove_unlisted(self.spark, root, kept, stamp)
+
+    def _part_root(self, name: str) -> str:
+        namespace, _, table = name.rpartition(".")
+        home = self.spark.catalog.getDatabase(namespace or self.spark.catalog.currentDatabase()).locationUri
+        return f"{home.rstrip('/')}/{table}{FOLDER_MARK}"
+
+    def parts(self, name: str) -> int:
+        """Number of parts the table is cut into, 0 when it is stored as a whole."""
+        return 0 if self.in_v2_catalog(name) else int(self.properties(name).get(PARTS, 0))
 
     def buckets(self, name: str) -> int:
         """Number of buckets the table is stored in, 0 when it is not bucketed."""
@@ -160,20 +230,25 @@ class TableStore:
     def _is_view(self, name: str) -> bool:
         return not self.in_v2_catalog(name) and self.spark.catalog.getTable(name).tableType == "VIEW"
 
-    def _point_view(self, name: str, version: str, properties: Mapping[str, str]) -> None:
+    def _point_view(self, name: str, version: str, properties: Mapping[str, str], columns: str = "*") -> None:
         pairs = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
         clause = f"TBLPROPERTIES ({pairs}) " if pairs else ""
-        self.spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} {clause}AS SELECT * FROM {quoted(version)}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} {clause}AS SELECT {columns} FROM {quoted(version)}")
 
-    def _drop_old_versions(self, name: str, current: str) -> None:
-        """Drop all versions but the current one and the newest ``keep_versions`` others."""
+    def _versions(self, name: str) -> list[str]:
+        """The stored versions of a table, newest first."""
         namespace, _, table = name.rpartition(".")
         scope = f"IN {quoted(namespace)} " if namespace else ""
         found = self.spark.sql(f"SHOW TABLES {scope}LIKE '{table}{VERSION_MARK}*'").collect()
+        names = sorted({r["tableName"].lower() for r in found}, reverse=True)
+        return [f"{namespace}.{version}" if namespace else version for version in names]
+
+    def _drop_old_versions(self, name: str, current: str) -> None:
+        """Drop all versions but the current one and the newest ``keep_versions`` others."""
         published = current.rpartition(".")[2].lower()
-        others = sorted({r["tableName"].lower() for r in found} - {published}, reverse=True)
+        others = [version for version in self._versions(name) if version.rpartition(".")[2] != published]
         for old in others[self.keep_versions :]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {quoted(f'{namespace}.{old}' if namespace else old)}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {quoted(old)}")
 
 
 def merge_into(

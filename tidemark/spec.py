@@ -69,6 +69,9 @@ class TableSpec:
     # Buckets by key of a new conformed table; merges then shuffle the batch only. 0 stores it unbucketed. Only for
     # tables with one row per key: all versions of a key would share one bucket, however many they are.
     buckets: int = 0
+    # Parts by key of a new conformed table in the session catalog; a load then rewrites the parts its keys lie in. 0
+    # stores it as a whole. A part should hold some hundred megabytes, or small batches touch them all.
+    parts: int = 0
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "strategy", _strategy(self.strategy))
@@ -82,8 +85,10 @@ class TableSpec:
             raise SpecError(f"{self.table_id}: strategy {self.strategy.value} requires a watermark_column")
         if self.strategy is LoadStrategy.INCREMENTAL_CDC and self.change_feed is None:
             raise SpecError(f"{self.table_id}: strategy incremental_cdc requires a capture_instance")
-        if self.lookback_seconds < 0 or self.buckets < 0:
-            raise SpecError(f"{self.table_id}: lookback_seconds and buckets must not be negative")
+        if min(self.lookback_seconds, self.buckets, self.parts) < 0:
+            raise SpecError(f"{self.table_id}: lookback_seconds, buckets and parts must not be negative")
+        if self.buckets and self.parts:
+            raise SpecError(f"{self.table_id}: a table has buckets or parts, not both")
         if self.buckets and self.strategy is LoadStrategy.INCREMENTAL_UPSERT:
             raise SpecError(f"{self.table_id}: a table of versions is not bucketed by key")
 
