@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
 from unittest.mock import MagicMock
 
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from tidemark.operators import (
     duplicate_keys,
     orphans,
     position_bounds,
+    range_chain,
     select_changes,
     select_columns,
     select_incremental,
@@ -198,6 +202,28 @@ def test_orphans_of_a_hot_parent_key(spark):
     assert orphans(child, parent, "k", "p", rows_per_slice=20, small_frame_bytes=0).count() == expected
 
 
+@pytest.mark.parametrize("slices", [None, 1, 7])
+def test_range_chains(spark, slices):
+    rng = random.Random(4)
+    rows = [("hot", a, a + rng.randrange(1, 9)) for a in rng.choices(range(2000), k=400)]
+    rows += [("b", None, 3), ("b", 3, 5), ("b", 7, 9), ("b", 8, 12), ("b", 8, 12), ("b", 12, None), ("b", 4, 4), (None, 1, 2), (None, 4, 5)]
+    expected = []
+    for group in {r[0] for r in rows}:
+        found = sorted({(-1 if a is None else a, b) for g, a, b in rows if g == group and b is not None and a != b})
+        reached = None
+        for low, high in found:
+            if reached is not None and reached < low:
+                expected.append((group, "hole", reached, low))
+            elif reached is not None and reached > low:
+                expected.append((group, "overlap", low, min(reached, high)))
+            reached = high if reached is None else max(reached, high)
+    got = range_chain(spark.createDataFrame(rows, "g string, a int, b int"), "a", "b", ["g"], slices)
+    assert got.columns == ["g", "kind", "fault_from", "fault_to"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected, key=repr)
+    none = spark.createDataFrame([], "a int, b int")
+    assert range_chain(none, "a", "b", slices=slices).count() == 0
+
+
 def test_log_retention():
     check_log_reaches(spec(), "0x0A", None)
     check_log_reaches(spec(), "0x0A", "0x0A")
@@ -254,6 +280,10 @@ class Recorder:
         self.calls[-1].update(values)
         return self
 
+    def jdbc(self, url, table, predicates, properties):
+        self.calls[-1].update(properties, url=url, dbtable=table, predicates=predicates)
+        return self.load()
+
     def load(self):
         query = self.calls[-1]["dbtable"]
         for part, frame in self.answers.items():
@@ -308,6 +338,45 @@ def test_jdbc_splits_a_change_range(spark):
     assert read["dbtable"].startswith("(SELECT __$start_lsn, ") and "secret" in read["dbtable"] and read["numPartitions"] == "4"
 
 
+@pytest.mark.parametrize("shape", ["crowded", "even", "repeated", "single", "none"])
+def test_jdbc_splits_by_quantiles(spark, shape):
+    """The statements are run by DuckDB over skewed keys: every row lies in one range, and no range is large."""
+    keys = {
+        "crowded": [*range(9000), *range(10_000, 1_010_000, 1000)], "even": list(range(5000)),
+        "repeated": [5] * 4000 + list(range(1000)), "single": [7] * 10, "none": [],
+    }[shape]
+    duck = duckdb.connect()
+    duck.register("t_rows", pa.table({"id": pa.array(keys + [None] * bool(keys), pa.int64())}))
+    source, recorder = jdbc(spark, num_partitions=8, by_quantiles=True)
+    tiles = duck.sql(source.quantiles_text("SELECT id FROM t_rows", "id")).fetchall()
+    ends = (min(keys, default=None), max(keys, default=None), None)
+    recorder.answers = {
+        "MIN(id) AS lo, MAX(id)": spark.createDataFrame([ends], "lo long, hi long, newest timestamp_ntz"),
+        "NTILE(8)": spark.createDataFrame(tiles, "tile long, lo long, n long"),
+    }
+    source.rows(spec(strategy="full_snapshot", partition_column="id"))
+    read = recorder.calls[-1]
+    assert read["dbtable"] == "(SELECT id, v, secret FROM dbo.T) AS src" and read["user"] == "u"
+    if shape in ("single", "none"):
+        assert "predicates" not in read
+        return
+    sizes = [duck.sql(f"SELECT count(*) FROM t_rows WHERE {p}").fetchall()[0][0] for p in read["predicates"]]
+    assert sum(sizes) == len(keys) + 1
+    if shape != "repeated":
+        assert len(sizes) == 8 and max(sizes) <= 2 * sum(sizes) / 8
+    assert "NTILE(8) OVER (ORDER BY id)" in recorder.calls[-2]["dbtable"]
+
+
+def test_jdbc_splits_a_change_range_by_quantiles(spark):
+    tiles = spark.createDataFrame([(1, "a", 5), (2, "it's", 5), (3, "x", 5)], "tile long, lo string, n long")
+    source, recorder = jdbc(spark, {"NTILE": tiles}, num_partitions=3, by_quantiles=True)
+    changed = spec(strategy="incremental_cdc", change_feed=ChangeFeed("dbo_T", partition_column="id"))
+    source.changes(changed, f"0x{1:020X}", f"0x{2:020X}")
+    assert "FROM cdc.dbo_T_CT WHERE" in recorder.calls[0]["dbtable"]
+    assert recorder.calls[1]["predicates"] == [
+        "id < 'it''s' OR id IS NULL", "id >= 'it''s' AND id < 'x'", "id >= 'x'"]
+
+
 def test_jdbc_change_feed(spark):
     lsn = spark.createDataFrame([("0x0000004F00003A980003",)], "lsn string")
     source, recorder = jdbc(spark, {"fn_cdc": lsn})

@@ -29,6 +29,7 @@ from .operators import (
     newest_changes,
     orphans,
     position_bounds,
+    range_chain,
     relevant_changes,
     select_changes,
     select_columns,
@@ -38,6 +39,7 @@ from .operators import (
     validity,
     with_audit_columns,
 )
+from .operators.merge import CDC_POSITION
 from .operators.ingest import INGESTED_AT, OPERATION, SEQVAL, START_LSN, UPDATE_MASK
 from .plans.loads import conform
 from .plans.marts import MAIN_OFFICE, SHIPPING, dim_customer, dim_product, fact_sales
@@ -366,6 +368,25 @@ def cdc_gap_check(spark: SparkSession, sf: str) -> DataFrame:
     return change_log_gaps(feed, "ts", ["capture_instance"], timestamp("2024-01-01 00:10:00"))
 
 
+@query("""
+WITH r AS (
+    SELECT DISTINCT l_suppkey, o_orderdate AS lo, l_shipdate AS hi
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate > o_orderdate),
+c AS (
+    SELECT *, MAX(hi) OVER (PARTITION BY l_suppkey ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+    FROM r)
+SELECT l_suppkey, CASE WHEN reached < lo THEN 'hole' ELSE 'overlap' END AS kind,
+       CASE WHEN reached < lo THEN reached ELSE lo END AS fault_from,
+       CASE WHEN reached < lo THEN lo ELSE LEAST(reached, hi) END AS fault_to
+FROM c WHERE reached <> lo""")
+def log_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """The spans from order to shipment as applied ranges of a log, one chain per supplier."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
+    ranges = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return range_chain(ranges, "o_orderdate", "l_shipdate", ["l_suppkey"])
+
+
 @query("""
 SELECT user_id, value FROM events""")
 def align_to_target_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -522,19 +543,52 @@ def conform_soft_delete(spark: SparkSession, sf: str) -> DataFrame:
     return conformed.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice", "is_deleted")
 
 
+ORDERS_CDC = TableSpec(
+    table_id="orders_cdc", source_schema="tpch", source_table="orders", raw_table="bronze.orders_cdc",
+    conformed_table="silver.orders", primary_key=("o_custkey",), strategy=LoadStrategy.INCREMENTAL_CDC,
+    change_feed=ChangeFeed("orders", baseline_table="bronze.orders"),
+)
+
+
 @query(ORACLE["cdc_merge"])
 def conform_cdc(spark: SparkSession, sf: str) -> DataFrame:
     """The change merge of ``cdc_merge`` through the conformed load."""
-    spec = TableSpec(
-        table_id="orders_cdc", source_schema="tpch", source_table="orders", raw_table="bronze.orders_cdc",
-        conformed_table="silver.orders", primary_key=("o_custkey",), strategy=LoadStrategy.INCREMENTAL_CDC,
-        change_feed=ChangeFeed("orders", baseline_table="bronze.orders"),
-    )
     feed, baseline = order_changes(spark, sf), timestamp(BASELINE_DAY)
     position = F.col(f"`{START_LSN}`")
     before = latest_per_key(feed.filter(position <= baseline), ["o_custkey"], [START_LSN, SEQVAL])
     target = default_delete_flag(before.select("o_custkey", "value", "status"))
-    return conform(spec, feed.filter(position > baseline), target).select(*target.columns)
+    return conform(ORDERS_CDC, feed.filter(position > baseline), target).select(*target.columns)
+
+
+@query(f"""
+WITH ch AS (
+    SELECT o_custkey, o_orderdate AS lsn, o_orderkey AS seq, o_totalprice AS value, o_orderstatus AS status,
+           CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3 ELSE 4 END AS op
+    FROM orders),
+b AS (SELECT DISTINCT o_custkey FROM ch WHERE lsn <= CAST('{BASELINE_DAY}' AS TIMESTAMP)),
+a AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY lsn DESC, seq DESC, op DESC) AS rn
+      FROM ch WHERE lsn > CAST('{BASELINE_DAY}' AS TIMESTAMP) AND op IN (1, 2, 4)),
+s AS (SELECT * FROM a WHERE rn = 1)
+SELECT COALESCE(b.o_custkey, s.o_custkey) AS o_custkey, CASE WHEN s.op = 1 THEN 1 ELSE 0 END AS is_deleted,
+       s.lsn AS position_lsn, s.seq AS position_seq, s.op AS position_operation
+FROM b FULL OUTER JOIN s ON b.o_custkey = s.o_custkey""")
+def conform_late_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Change batches applied out of order, the oldest last: every key ends at its newest change."""
+    feed, baseline = order_changes(spark, sf), timestamp(BASELINE_DAY)
+    position = F.col(f"`{START_LSN}`")
+    before = latest_per_key(feed.filter(position <= baseline), ["o_custkey"], [START_LSN, SEQVAL])
+    conformed = default_delete_flag(before.select("o_custkey", "value", "status"))
+    late, on_time = timestamp("1997-06-01"), timestamp("1998-01-01")
+    for batch in (
+        feed.filter(position > on_time),
+        feed.filter((position > late) & (position <= on_time)),
+        feed.filter((position > baseline) & (position <= late)),
+    ):
+        conformed = conform(ORDERS_CDC, batch, conformed)
+    held = F.col(CDC_POSITION)
+    return conformed.select(
+        "o_custkey", "is_deleted", held["start_lsn"].alias("position_lsn"), held["seqval"].alias("position_seq"),
+        held["operation"].alias("position_operation"))
 
 
 # --- Marts -----------------------------------------------------------------------------------------------------

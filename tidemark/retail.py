@@ -34,10 +34,11 @@ CUSTOMER_SECRETS = ("PasswordHash", "PasswordSalt")
 ORDER_DETAIL_CAPTURE = "SalesLT_SalesOrderDetail"
 
 
-def retail_specs(catalog: str | None = None, buckets: int = 0) -> SpecSet:
+def retail_specs(catalog: str | None = None, buckets: int = 0, parts: int = 0) -> SpecSet:
     """Specs with layer tables in ``catalog``, or in the session catalog when it is None.
 
-    ``buckets`` is the number of buckets of new conformed tables that are merged into by key.
+    ``buckets`` is the number of buckets of new conformed tables that are merged into by key, ``parts`` the number of
+    parts of new conformed tables of any kind.
     """
     prefix = f"{catalog}." if catalog else ""
 
@@ -53,6 +54,7 @@ def retail_specs(catalog: str | None = None, buckets: int = 0) -> SpecSet:
             strategy=strategy,
             columns=columns,
             buckets=buckets if merged else 0,
+            parts=parts,
             **more,
         )
 

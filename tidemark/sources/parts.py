@@ -8,6 +8,7 @@ twice; it goes when no kept version lists it any more.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +19,13 @@ PART = "_part"
 FOLDER_MARK = "__parts"
 
 
-def part_of(keys: Sequence[str], parts: int, df: DataFrame, types: Mapping[str, str]) -> Column:
+def part_of(keys: Sequence[str], parts: int, types: Mapping[str, str]) -> Column:
     """Part number of a row. Keys are cast to the table's types first, for the hash depends on them."""
     return F.pmod(F.xxhash64(*[column(k).cast(types[k]) for k in keys]), F.lit(parts)).cast("int")
 
 
 def with_part(df: DataFrame, keys: Sequence[str], parts: int, types: Mapping[str, str]) -> DataFrame:
-    return df.withColumn(PART, part_of(keys, parts, df, types))
+    return df.withColumn(PART, part_of(keys, parts, types))
 
 
 def write_parts(df: DataFrame, folder: str, file_format: str) -> None:
@@ -40,7 +41,7 @@ def folders_of(df: DataFrame) -> dict[int, str]:
     """Part number to folder of all parts that have rows, from the file listing alone."""
     found = {}
     for file in df.inputFiles():
-        folder = file.rpartition("/")[0]
+        folder = unquote(file.rpartition("/")[0])  # files are listed as addresses, locations are given as paths
         found[int(folder.rpartition(f"{PART}=")[2])] = folder
     return found
 
@@ -52,8 +53,7 @@ def parts_in(spark: SparkSession, folder: str) -> dict[int, str]:
 
 
 def create_version(
-    spark: SparkSession, name: str, quoted_name: str, columns: str, folders: Mapping[int, str], root: str,
-    file_format: str,
+    spark: SparkSession, quoted_name: str, columns: str, folders: Mapping[int, str], root: str, file_format: str
 ) -> None:
     """A catalog table whose partitions are the given folders."""
     spark.sql(
