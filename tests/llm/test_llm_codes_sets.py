@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tidemark.llm import codes, setsketch
@@ -151,3 +152,51 @@ def test_bounds_spare_distances(spark):
     codes.fitted(codes.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")), report=report)
     assert report[0][2] == 2000 * 8 and sum(r[1] for r in report[1:]) < 6 * 2000 * 8 / 2
     assert report[-1][0] <= report[0][0]
+
+
+def test_cells_link_what_a_hub_does_not(monkeypatch):
+    monkeypatch.setattr(setsketch, "CELL_PAIRS", 40)
+    chance = np.random.default_rng(3)
+    base = np.unique(chance.integers(0, 1 << 63, size=400, dtype=np.uint64))
+    sets = [np.sort(base)]
+    for _ in range(60):  # a chain of small changes: neighbours are similar, the ends are not
+        kept = chance.random(len(sets[-1])) > 0.04
+        sets.append(np.unique(np.concatenate([sets[-1][kept], chance.integers(0, 1 << 63, size=int((~kept).sum()), dtype=np.uint64)])))
+    sketches = setsketch.registers(sets)
+    keys = setsketch.band_keys(sketches)
+    names = [setsketch.name_of(s) for s in sets]
+    rows = []
+    for number in range(setsketch.BANDS):
+        values, count = np.unique(keys[:, number], return_counts=True)
+        for value in values[count > 1]:
+            for at in np.flatnonzero(keys[:, number] == value):
+                # Two blocks: every member is in the cell of its own block and in the one of both.
+                own = int(at % 2)
+                for low, high in {(own, own), (0, 1)}:
+                    rows.append((int(value), number, low, high, own, names[at], names[at], len(sets[at]), sketches[at].tobytes(), sets[at].tobytes()))
+    frame = pd.DataFrame(rows, columns=["band", "number", "low", "high", "block", "unit", "part", "n", "sketch", "hashes"])
+    frame = frame.sort_values(setsketch.CELL_KEY).reset_index(drop=True)
+    doubtful = setsketch.in_doubt(frame)
+    again = frame.merge(doubtful.drop_duplicates(), on=list(doubtful.columns))
+    found = setsketch.linked(again.sort_values(setsketch.CELL_KEY).reset_index(drop=True))
+
+    def classes(pairs):
+        root = {x: x for x in names}
+        for a, b in pairs:
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            root[max(a, b)] = min(a, b)
+        out = {}
+        for x in names:
+            y = x
+            while root[y] != y:
+                y = root[y]
+            out.setdefault(y, set()).add(x)
+        return sorted(map(sorted, out.values()))
+
+    similar = [(names[i], names[j]) for i in range(len(sets)) for j in range(i) if setsketch.same_enough(sets[i], sets[j])]
+    assert set(map(frozenset, zip(found.src, found.dst))) <= set(map(frozenset, similar))
+    assert len(similar) > len(sets) and classes(zip(found.src, found.dst)) == classes(similar)
+    assert len(found) < len(names)  # a forest, not all pairs

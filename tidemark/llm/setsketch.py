@@ -12,8 +12,10 @@ maxima of the registers, which is how a long text is sketched: in slices of ``SL
    under similarity 0.85, given both sizes, is ``DOUBT`` below their greatest (a true link fails that test with
    probability 1e-9). Sets of the pairs that are left are compared exactly.
 4. If the components of those links leave a band in several parts, members of different parts are compared with one
-   another too. That happens in cells of at most ``CELL`` by ``CELL`` sketches, however large the band, and what comes
-   out of a cell are pairs that passed the test; these are verified like the others.
+   another too, in cells of two blocks of the band: a block has about ``CELL`` sketches and ``CELL_HASHES`` hashes of
+   sets, however large the band. A first pass over sketches keeps the members that may have a link in a cell, a second
+   one has their sets too. A pair is compared in the first of its bands only, and not once its parts are linked; so what
+   leaves either pass grows with the members of the bands, not with their pairs.
 
 Nulls and odd cases: a text that is NULL or has no words has an empty set, no link, and is its own component; repeated
 rows come back each; a NULL id is kept, is never the smallest, and stays where no row of its component has an id; extra
@@ -23,7 +25,7 @@ columns go; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -45,6 +47,7 @@ LIMIT = (1 << 16) - 1
 # How far below its maximum the log-likelihood may be, half the square of six standard deviations.
 DOUBT = 18.0
 CELL = 512
+CELL_HASHES = 1 << 20
 SLICE = 1 << 15
 TEXTS = 200  # texts whose sets are in memory at once
 MEMO = 1 << 18
@@ -197,13 +200,13 @@ def matrix(sketches: pd.Series) -> np.ndarray:
 
 
 def hubs(found: DataFrame) -> DataFrame:
-    """(band, unit, hub) of the members of bands that several units share; ``found (unit, sketch)`` has each unit once."""
+    """(band, number, unit, hub) of the members of bands that several units share; ``found (unit, sketch)`` has each once."""
 
     @F.pandas_udf("array<long>")
     def banded(sketches: pd.Series) -> pd.Series:
         return pd.Series(list(band_keys(matrix(sketches))), dtype=object)
 
-    bands = found.select("unit", F.explode(banded("sketch")).alias("band"))
+    bands = found.select("unit", F.posexplode(banded("sketch")).alias("number", "band"))
     shared = stage(bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "setsketch-shared")
     # Bands of one unit, which most are, are sifted out before the second shuffle.
     sift = Bloom(shared.select("band"), bits=1 << 26)
@@ -212,7 +215,7 @@ def hubs(found: DataFrame) -> DataFrame:
     weighed = members.join(weight, "unit").select("band", F.struct("weight", "unit").alias("w"))
     best = stage(
         weighed.groupBy("band").agg(F.max("w").alias("hub")).select("band", F.col("hub.unit").alias("hub")), "setsketch-best")
-    return members.join(best, "band").select("band", "unit", "hub")
+    return members.join(best, "band").select("band", "number", "unit", "hub")
 
 
 def likely(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -279,73 +282,125 @@ def same_enough(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= SIMILAR * (len(a) + len(b) - shared)
 
 
-def across(members: DataFrame, parts: DataFrame, found: DataFrame) -> DataFrame:
-    """Likely pairs (src, dst) of units that share a band whose members are in several components ``parts``."""
+CELL_KEY = ["band", "low", "high"]
+
+
+def cells(members: DataFrame, parts: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (band, number, low, high, block, unit, part) of the cells of bands that are in several ``parts``."""
     labelled = members.join(parts.withColumnRenamed("node", "unit"), "unit", "left").select(
-        "band", "unit", F.coalesce("component", "unit").alias("part"))
-    split = labelled.groupBy("band").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("size")).where("a < b")
-    blocks = F.ceil(F.col("size") / CELL).cast("int")
+        "band", "number", "unit", F.coalesce("component", "unit").alias("part")).join(found.select("unit", "n"), "unit")
+    split = labelled.groupBy("band").agg(
+        F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("size"), F.sum("n").alias("hashes")).where("a < b")
+    blocks = F.ceil(F.greatest(F.col("size") / CELL, F.col("hashes") / CELL_HASHES)).cast("int")
     left = labelled.join(split.select("band", blocks.alias("blocks")), "band").withColumn(
         "block", F.pmod(F.xxhash64("unit", "band"), F.col("blocks")).cast("int"))
     # A cell is two blocks of a band; each block goes to all cells it is in, marked with its place there.
-    cells = F.transform(
+    dealt = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least("block", k).alias("low"), F.greatest("block", k).alias("high")))
-    dealt = left.select("band", "unit", "part", "block", F.explode(cells).alias("cell")).select(
-        "band", "unit", "part", "block", "cell.low", "cell.high")
-    with_sketch = dealt.join(found.select("unit", "n", "sketch"), "unit")
-    cell = ["band", "low", "high"]
+    return left.select("band", "number", "unit", "part", "block", F.explode(dealt).alias("cell")).select(
+        "band", "number", "cell.low", "cell.high", "block", "unit", "part")
+
 
-    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def by_cell(members: DataFrame, apply: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``apply`` over frames of whole cells."""
+
+    def over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for frame in frames:
             # The last cell of a batch may go on in the next one; a cell is small.
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            last = (frame[cell] == frame[cell].iloc[-1]).all(axis=1).to_numpy() if len(frame) else np.empty(0, bool)
+            last = (frame[CELL_KEY] == frame[CELL_KEY].iloc[-1]).all(axis=1).to_numpy() if len(frame) else np.empty(0, bool)
             rest = frame[last]
-            yield likely_in_cells(frame[~last])
-        if rest is not None:
-            yield likely_in_cells(rest)
+            if not last.all():
+                yield apply(frame[~last].reset_index(drop=True))
+        if rest is not None and len(rest):
+            yield apply(rest.reset_index(drop=True))
 
-    sorted_cells = with_sketch.repartition(*cell).sortWithinPartitions(*cell)
-    return sorted_cells.mapInPandas(compare, "src binary, dst binary").distinct()
+    return members.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInPandas(over, schema)
+
+
+def across(members: DataFrame, parts: DataFrame, rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
+    """Links (src, dst) that connect similar units of different ``parts`` that share a band."""
+    side = found.select("unit", "n", "sketch")
+    doubtful = stage(by_cell(
+        cells(members, parts, found).join(side, "unit"), in_doubt,
+        "band long, number int, low int, high int, block int, unit binary, part binary"), "setsketch-doubtful")
+    wanted = doubtful.select("unit").distinct()
+    sets = stage(shingle_sets(rows, found.join(wanted, "unit"), size), "setsketch-sets")
+    with_sets = doubtful.join(side.join(sets, "unit"), "unit")
+    return by_cell(with_sets, linked, "src binary, dst binary").distinct()
 
 
 PAIRS = 1 << 14  # pairs of sketches compared at once
+CELL_PAIRS = 1 << 19  # pairs of rows that are listed at once, or one cell's
 
 
-def likely_in_cells(frame: pd.DataFrame) -> pd.DataFrame:
-    """Likely pairs (src, dst) of different parts within the cells of ``frame``, whose cells are whole and contiguous."""
-    if not len(frame):
-        return pd.DataFrame({"src": [], "dst": []}, dtype=object)
-    low, high, block = frame.low.to_numpy(), frame.high.to_numpy(), frame.block.to_numpy()
-    band, part, unit, n = frame.band.to_numpy(), frame.part.to_numpy(), frame.unit.to_numpy(), frame.n.to_numpy()
-    sketches = matrix(frame.sketch)
-    parts = pd.factorize(part)[0]
+def candidates(frame: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Likely pairs of rows (a, b, equal registers) of different parts in the cells of ``frame``, which are whole.
+
+    Of the bands that two units share the first one counts.
+    """
+    band, number, low, high, block = (frame[c].to_numpy() for c in ("band", "number", "low", "high", "block"))
+    n, part, sketches = frame.n.to_numpy(), pd.factorize(frame.part)[0], matrix(frame.sketch)
     new = np.flatnonzero((band[1:] != band[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
-    size = np.diff(np.concatenate([[0], new, [len(frame)]]))
-    end = np.repeat(np.cumsum(size), size)
-    src, dst = [], []
-    for i in range(len(frame)) if size.max() > 64 else [None]:
-        # Many small cells at once, or a large one row by row.
-        if i is None:
-            count = end - 1 - np.arange(len(frame))
-            a = np.repeat(np.arange(len(frame)), count)
-            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
-        else:
-            b = np.arange(i + 1, end[i])
-            a = np.full(len(b), i)
-        fits = (parts[a] != parts[b]) & ((low[a] == high[a]) | (block[a] != block[b]))
+    start = np.concatenate([[0], new])
+    size = np.diff(np.concatenate([start, [len(frame)]]))
+    total = np.cumsum(size * (size - 1) // 2)
+    at = 0
+    while at < len(size):
+        before = total[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(total, before + CELL_PAIRS, side="right")))
+        first, ends = start[at], np.repeat(start[at:stop] + size[at:stop], size[at:stop])
+        row = first + np.arange(len(ends))
+        count = ends - 1 - row
+        a = np.repeat(row, count)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+        fits = (part[a] != part[b]) & ((low[a] == high[a]) | (block[a] != block[b]))
         fits &= np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * SIMILAR
         a, b = a[fits], b[fits]
-        for at in range(0, len(a), PAIRS):
-            x, y = a[at:at + PAIRS], b[at:at + PAIRS]
-            more, less = (sketches[x] > sketches[y]).sum(axis=1), (sketches[x] < sketches[y]).sum(axis=1)
-            good = plausible(n[x], n[y], more, less)
-            src.append(x[good])
-            dst.append(y[good])
-    a, b = (unit[np.concatenate(side).astype(int)] if side else [] for side in (src, dst))
-    return pd.DataFrame({"src": [min(p) for p in zip(a, b)], "dst": [max(p) for p in zip(a, b)]}, dtype=object)
+        for k in range(0, len(a), PAIRS):
+            x, y = a[k:k + PAIRS], b[k:k + PAIRS]
+            p, q = sketches[x], sketches[y]
+            equal = p == q
+            whole = equal.reshape(-1, BANDS, ROWS).all(axis=2)
+            here = whole.argmax(axis=1) == number[x]
+            x, y, p, q, equal = x[here], y[here], p[here], q[here], equal[here].sum(axis=1)
+            more = (p > q).sum(axis=1)
+            good = plausible(n[x], n[y], more, REGISTERS - more - equal)
+            yield x[good], y[good], equal[good]
+        at = stop
+
+
+def in_doubt(frame: pd.DataFrame) -> pd.DataFrame:
+    """The rows of ``frame`` that have a likely partner in their cell."""
+    marked = np.zeros(len(frame), dtype=bool)
+    for a, b, _ in candidates(frame):
+        marked[a] = marked[b] = True
+    return frame.loc[marked, [*CELL_KEY[:1], "number", *CELL_KEY[1:], "block", "unit", "part"]]
+
+
+def linked(frame: pd.DataFrame) -> pd.DataFrame:
+    """Links (src, dst) that connect the parts of similar rows in the cells of ``frame``, verified on whole sets."""
+    part, unit = pd.factorize(frame.part)[0], frame.unit.to_numpy()
+    root = list(range(len(frame)))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    sets = [np.frombuffer(h, np.uint64) for h in frame.hashes]
+    out = []
+    for a, b, equal in candidates(frame):
+        # The most similar first: the sooner parts are linked, the fewer sets are compared.
+        for k in np.argsort(-equal, kind="stable"):
+            i, j = int(a[k]), int(b[k])
+            p, q = top(part[i]), top(part[j])
+            if p != q and same_enough(sets[i], sets[j]):
+                root[p] = q
+                out.append((min(unit[i], unit[j]), max(unit[i], unit[j])))
+    return pd.DataFrame(out, columns=["src", "dst"], dtype=object)
 
 
 def links(rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
@@ -355,8 +410,7 @@ def links(rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
     near = stage(likely(star, found), "setsketch-likely")
     direct = stage(verified(near, rows, found, size), "setsketch-links")
     parts = stage(components(direct, "setsketch-parts"), "setsketch-parts")
-    rest = stage(across(members, parts, found), "setsketch-across")
-    return direct.union(stage(verified(rest, rows, found, size), "setsketch-links"))
+    return direct.union(stage(across(members, parts, rows, found, size), "setsketch-across"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
