@@ -348,3 +348,16 @@ def test_one_of_each_leaves_no_similar_pair(documents):
     texts = [t for _, t in kept if t.split()]
     sets = [shingles(t) for t in texts]
     assert not [1 for i, a in enumerate(sets) for b in sets[:i] if len(a & b) >= 0.8 * len(a | b)]
+
+
+def test_paragraph_dedup_with_clashing_columns(spark):
+    names = ["gone", "windows", "n_removed", "first_docs", "__gone", "pos", "start", "unit"]
+    plain = spark.createDataFrame([(1, PROSE), (2, "Other words come first here. " + PROSE), (3, None)], "doc_id long, text string")
+    docs = plain.selectExpr("*", *[f"'kept' AS `{name}`" for name in names])
+    got = paragraphs.dedup(docs)
+    extra = [name for name in names if name not in ("n_removed", "first_docs")]
+    assert got.columns == ["doc_id", "text", *extra, "n_removed", "first_docs"]
+    rows = {r.doc_id: r for r in got.collect()}
+    assert all(r[name] == "kept" for r in rows.values() for name in extra)
+    assert rows[1].n_removed == 0 and rows[3].text is None
+    assert rows[2].n_removed > 0 and list(rows[2].first_docs) == [1] and "word30" not in rows[2].text

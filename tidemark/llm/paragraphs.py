@@ -20,7 +20,8 @@ for its first and last. A paragraph's set are its 5-word shingles (A-Z lower-cas
 
 Nulls and odd cases: a NULL text counts as empty and stays NULL; texts without words stay as they are; a document's
 repetitions of its own paragraphs stay if no earlier document holds them; equal texts under one id are one document, so
-such repeated rows keep the same paragraphs; a NULL id sorts before all others; extra columns are kept.
+such repeated rows keep the same paragraphs; a NULL id sorts before all others; extra columns are kept, whatever their names,
+but for ``n_removed`` and ``first_docs``, which are made anew.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -212,18 +213,20 @@ def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame, whole: bo
         cutter = Cutter(whole)
         seen: set[int] = set()
         for frame in frames:
-            units_out, sets = [], []
-            may = bloom_test(holding.value, frame.key.to_numpy(), holding_mask)
-            _, _, size, codes = cutter.cut(frame.text[may])
-            own, end = cutter.ids(size, codes), np.cumsum(size)
-            for k in np.flatnonzero(bloom_test(filled.value, own, mask)):
-                if int(own[k]) not in seen:
-                    seen.add(int(own[k]))
-                    units_out.append(int(own[k]))
-                    sets.append(np.unique(shingle_keys(codes[end[k] - size[k]:end[k]])).view(np.int64).tolist())
-            if len(seen) > Cutter.MEMO:
-                seen.clear()
-            yield pd.DataFrame({"unit": pd.Series(units_out, dtype="int64"), "hashes": pd.Series(sets, dtype=object)})
+            texts = frame.text[bloom_test(holding.value, frame.key.to_numpy(), holding_mask)]
+            for at in range(0, len(texts), 200):
+                units_out, sets = [], []
+                _, _, size, codes = cutter.cut(texts.iloc[at:at + 200])
+                own, end = cutter.ids(size, codes), np.cumsum(size)
+                for k in np.flatnonzero(bloom_test(filled.value, own, mask)):
+                    if int(own[k]) not in seen:
+                        seen.add(int(own[k]))
+                        units_out.append(int(own[k]))
+                        # As arrays: a list would take four times the memory.
+                        sets.append(np.unique(shingle_keys(codes[end[k] - size[k]:end[k]])).view(np.int64))
+                if len(seen) > Cutter.MEMO:
+                    seen.clear()
+                yield pd.DataFrame({"unit": pd.Series(units_out, dtype="int64"), "hashes": pd.Series(sets, dtype=object)})
 
     made = rows.select("key", "text").mapInPandas(cut, "unit long, hashes array<long>")
     return made.join(wanted.distinct(), "unit", "left_semi").groupBy("unit").agg(F.first("hashes").alias("hashes"))
@@ -446,23 +449,22 @@ def dedup(docs: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["text", "n_removed"])
 
     bloom = Bloom(gone.select("key"))
-    kept = docs.columns
+    # Names of its own for whatever joins the documents, so that no column of theirs clashes.
+    gone = gone.withColumnsRenamed({c: f"__gone_{c}" for c in gone.columns})
+    kept = [c for c in docs.columns if c.lower() not in {"n_removed", "first_docs"}]
+    names = [F.col(f"`{c}`") for c in kept]
     may = keyed.withColumn("__text_may", bloom(F.col("__text_key")))
     hit = may.where("__text_may").join(
-        gone, F.col("__doc_id").eqNullSafe(gone.doc_id) & (F.col("__text_key") == gone.key), "left"
-    ).select(*[docs_column(c, keyed) for c in kept], "gone", "windows")
-    changed = hit.where("gone IS NOT NULL").withColumn(
-        "__text_new", rewrite("text", F.col("gone.pos"), F.col("gone.n_words"), F.col("windows.start"))
+        gone, F.col("__doc_id").eqNullSafe(F.col("__gone_doc_id")) & (F.col("__text_key") == F.col("__gone_key")), "left")
+    changed = hit.where("__gone_gone IS NOT NULL").withColumn(
+        "__text_new", rewrite("text", F.col("__gone_gone.pos"), F.col("__gone_gone.n_words"), F.col("__gone_windows.start"))
     ).select(
         *[F.col("__text_new.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in kept],
         F.col("__text_new.n_removed").alias("n_removed"),
-        F.when(F.col("__text_new.n_removed") > 0, F.array_sort(F.array_union("gone.first_doc", "windows.first_doc")))
+        F.when(F.col("__text_new.n_removed") > 0, F.array_sort(
+            F.array_union("__gone_gone.first_doc", "__gone_windows.first_doc")))
         .otherwise(F.array().cast("array<long>")).alias("first_docs"),
     )
     same = lambda df: df.select(
-        *[F.col(f"`{c}`") for c in kept], F.lit(0).alias("n_removed"), F.array().cast("array<long>").alias("first_docs"))
-    return changed.union(same(hit.where("gone IS NULL"))).union(same(may.where("NOT __text_may")))
-
-
-def docs_column(name: str, df: DataFrame) -> Column:
-    return df[f"`{name}`"]
+        *names, F.lit(0).alias("n_removed"), F.array().cast("array<long>").alias("first_docs"))
+    return changed.union(same(hit.where("__gone_gone IS NULL"))).union(same(may.where("NOT __text_may")))
