@@ -1,4 +1,4 @@
-"""spark-submit jobs/show_table.py <table>: schema, row count and 20 rows, of all rows or those of --where."""
+"""spark-submit jobs/show_table.py <table>: schema, row count and 20 rows, of all rows or those of --where or --key."""
 
 from __future__ import annotations
 
@@ -9,8 +9,11 @@ from tidemark.sources import TableStore
 def main(argv, spark) -> None:
     args = parser(__doc__, "table")
     args.add_argument("--where", help="predicate, e.g. 'ProductID = 680'")
+    args.add_argument("--key", action="append", default=[], metavar="COLUMN=VALUE", help="one key; reads its part alone")
     options = args.parse_args(argv)
-    rows = TableStore(spark).read(options.table)
+    store = TableStore(spark)
+    values = dict(pair.split("=", 1) for pair in options.key)
+    rows = store.lookup(options.table, values) if values else store.read(options.table)
     if options.where:
         rows = rows.where(options.where)
     rows.printSchema()

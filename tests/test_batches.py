@@ -13,7 +13,7 @@ from test_loads import (
 )
 
 from tidemark.operators.ingest import BATCH_DATE, BATCH_ID, INGESTED_AT
-from tidemark.plans import load_conformed, load_raw, loads
+from tidemark.plans import load_conformed, load_raw, loads, newest_batch
 from tidemark.plans.batches import SEQUENCE, Ledger, RawBatches
 from tidemark.plans.loads import FLOOR, log_coverage, raw_position, raw_watermark
 from tidemark.sources import TableStore
@@ -258,3 +258,68 @@ def test_a_backlog_comes_in_bounded_micro_batches(spark, store, tmp_path):
     query.awaitTermination()
     assert content(store, feed, "id", "v") == [(1, "v14")]
     assert store.properties(feed.conformed_table)[STREAM_BATCH].endswith(f"@{raw_files - 1}")
+
+
+def test_a_lookup_reads_one_part(spark, store):
+    spec = spec_for("incremental_with_soft_delete", parts=20)
+    load(store, spec, rows_source(spark, [(n, f"v{n}", None, at(1), "s") for n in range(1000)]))
+    load(store, spec, rows_source(spark, [(7, "new", None, at(2), "s")]))
+    table = store.read(spec.conformed_table)
+    for values, expected in [({"id": 7}, ["new"]), ({"id": "8"}, ["v8"]), ({"id": 9, "v": "v9"}, ["v9"]), ({"id": -1}, []), ({"id": None}, [])]:
+        found = store.lookup(spec.conformed_table, values)
+        assert [r.v for r in found.collect()] == expected and found.columns == table.columns
+        # What the scan lists after pruning, not all files of the version.
+        opened = spark.createDataFrame(found.select("_metadata.file_path").distinct().collect(), "file_path string")
+        assert opened.count() <= 1
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(_part" in plan and "xxhash64" not in plan, plan
+    # Without the whole key every part is asked.
+    assert [r.id for r in store.lookup(spec.conformed_table, {"v": "v12"}).collect()] == [12]
+    assert len(store.lookup(spec.conformed_table, {"id": 8}).inputFiles()) < len(table.inputFiles()) / 5
+
+
+def test_a_lookup_in_a_table_without_parts(spark, store):
+    spec = spec_for("incremental_with_soft_delete")
+    load(store, spec, rows_source(spark, [(1, "a", None, at(1), "s"), (2, None, None, at(1), "s")]))
+    assert [r.v for r in store.lookup(spec.conformed_table, {"id": 1}).collect()] == ["a"]
+    assert [r.id for r in store.lookup(spec.conformed_table, {"v": None}).collect()] == [2]
+
+
+def test_part_files_are_sorted_by_key(spark, store):
+    spec = spec_for("incremental_with_soft_delete", parts=3)
+    load(store, spec, rows_source(spark, [(n * 7919 % 1000, "a", None, at(1), "s") for n in range(1000)]))
+    stored = spark.table(store.properties(spec.conformed_table)[VERSION])
+    for file in stored.inputFiles():
+        ids = [r.id for r in spark.read.parquet(file).collect()]
+        assert ids == sorted(ids)
+
+
+def test_the_newest_batch_is_told_by_its_record(spark, store, monkeypatch):
+    assert newest_batch(store, "raw_none.t") is None
+    spec = spec_for("incremental_upsert")
+    first = load_raw(store, spec, rows_source(spark, [(1, "a", None, at(1), "s")]))
+    second = load_raw(store, spec, rows_source(spark, [(2, "b", None, at(2), "s"), (3, "c", None, at(3), "s")]))
+    load_raw(store, spec, rows_source(spark, []))  # a batch without rows
+    with monkeypatch.context() as patch:
+        crashing(patch, RawBatches, "commit")
+        with pytest.raises(Crash):
+            load_raw(store, spec, rows_source(spark, [(4, "d", None, at(4), "s")]))
+    newest = newest_batch(store, spec.raw_table)
+    assert {r[BATCH_ID] for r in newest.collect()} == {second.batch_id} != {first.batch_id}
+    assert sorted(r.id for r in newest.collect()) == [2, 3]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and f"PartitionFilters: [isnotnull({BATCH_DATE}" in plan
+    # Days outside the batch's are not listed.
+    old = spark.table(spec.raw_table).withColumn(BATCH_DATE, F.lit("2001-01-01").cast("date"))
+    store.append(old, spec.raw_table, partition_by=[BATCH_DATE])
+    spark.catalog.refreshTable(spec.raw_table)
+    files = newest_batch(store, spec.raw_table).inputFiles()
+    assert files and not any("2001-01-01" in f for f in files)
+
+
+def test_the_newest_batch_without_records(spark, store):
+    raw = "raw_other.t"
+    for second in (1, 2):
+        rows = spark.createDataFrame([(second, at(second))], f"id int, {INGESTED_AT} timestamp")
+        store.append(rows, raw)
+    assert [r.id for r in newest_batch(store, raw).collect()] == [2]

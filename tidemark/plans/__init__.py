@@ -1,4 +1,4 @@
-from .loads import LoadError, LoadResult, conform, load_conformed, load_raw, preview
+from .loads import LoadError, LoadResult, conform, load_conformed, load_raw, newest_batch, preview
 from .marts import build_mart, dim_customer, dim_product, fact_sales
 
 __all__ = [
@@ -11,5 +11,6 @@ __all__ = [
     "fact_sales",
     "load_conformed",
     "load_raw",
+    "newest_batch",
     "preview",
 ]

@@ -70,6 +70,27 @@ class RawBatches:
         records = self.records()
         return None if records is None else records.agg(F.max(column(name)).alias("mark")).first()["mark"]
 
+    def newest(self, rows: DataFrame) -> DataFrame | None:
+        """``rows`` of the batch that was committed last and has some, read from its days alone; None without a record.
+
+        Its id and days come from the records, so the raw table is not scanned to find them.
+        """
+        records = self.store.read_if_exists(self.table)
+        if records is None or BATCH_ID not in rows.columns:
+            return None
+        batch = records.groupBy("batch_id").agg(
+            F.max("committed").alias("done"), F.max("row_count").alias("row_count"),
+            F.min("batch_at").alias("begun"), F.max("batch_at").alias("ended"))
+        found = batch.filter("done AND row_count > 0").agg(
+            F.max_by(F.struct("batch_id", F.date_sub(F.to_date("begun"), 1), F.date_add(F.to_date("ended"), 1)),
+                     F.struct("ended", "batch_id")).alias("b")).first()["b"]
+        if found is None:
+            return None
+        batch_id, first, last = found
+        own = rows.filter(column(BATCH_ID) == batch_id)
+        # A day of slack on both sides covers a change of the session's time zone.
+        return own.filter(column(BATCH_DATE).between(first, last)) if BATCH_DATE in rows.columns else own
+
     def committed(self, rows: DataFrame) -> DataFrame:
         """``rows`` of the raw table without those of batches that have begun only."""
         records = self.store.read_if_exists(self.table)

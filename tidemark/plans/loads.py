@@ -207,6 +207,18 @@ def _newest_raw_rows(store: TableStore, table: str, whole: bool = True) -> DataF
     return rows.filter(column(BATCH_DATE) == F.lit(day).cast("date"))
 
 
+def newest_batch(store: TableStore, table: str) -> DataFrame | None:
+    """Rows of the newest batch of a raw table; None where there is no table.
+
+    Found by the records of the batches, else by the highest ingestion time among the rows.
+    """
+    rows = store.read_if_exists(table)
+    if rows is None:
+        return None
+    newest = RawBatches(store, table).newest(rows)
+    return latest_batch(rows) if newest is None else newest
+
+
 def committed_rows(store: TableStore, table: str) -> DataFrame | None:
     """Rows of a raw table without those of loads that run or have crashed; None where there is no table."""
     rows = store.read_if_exists(table)

@@ -28,13 +28,19 @@ def with_part(df: DataFrame, keys: Sequence[str], parts: int, types: Mapping[str
     return df.withColumn(PART, part_of(keys, parts, types))
 
 
-def write_parts(df: DataFrame, folder: str, file_format: str) -> None:
-    """Write rows that carry their part number, each part to a folder of its own.
+def part_number(values: Mapping[str, object], parts: int, types: Mapping[str, str]) -> Column:
+    """Part number of one key, a constant for the optimizer; ``values`` are in the order of the table's part keys."""
+    return F.pmod(F.xxhash64(*[F.lit(v).cast(types[k]) for k, v in values.items()]), F.lit(parts)).cast("int")
+
+
+def write_parts(df: DataFrame, keys: Sequence[str], folder: str, file_format: str) -> None:
+    """Write rows that carry their part number, each part to a folder of its own, sorted by key within a file.
 
     Adaptive execution gathers small parts and splits large ones, so a part is few files and no task holds a part that
-    is larger than the advisory partition size.
+    is larger than the advisory partition size. Sorted files let a reader skip row groups by their key ranges.
     """
-    df.hint("rebalance", column(PART)).write.mode("error").format(file_format).partitionBy(PART).save(folder)
+    order = [column(PART), *[column(k) for k in keys]]
+    df.hint("rebalance", column(PART)).sortWithinPartitions(*order).write.mode("error").format(file_format).partitionBy(PART).save(folder)
 
 
 def folders_of(df: DataFrame) -> dict[int, str]:

@@ -11,13 +11,15 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import column, same_key
 from ..operators.merge import CDC_POSITION, IS_DELETED, merge_changes, merge_upsert, not_before, not_older
-from .parts import FOLDER_MARK, PART, create_version, folders_of, parts_in, remove_unlisted, with_part, write_parts
+from .parts import FOLDER_MARK, PART, create_version, folders_of, part_number, parts_in, remove_unlisted, with_part, write_parts
 
 VERSION_MARK = "__v"
 BUCKETS = "tidemark.buckets"
@@ -58,6 +60,21 @@ class TableStore:
     def read_if_exists(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
 
+    def lookup(self, name: str, values: Mapping[str, object]) -> DataFrame:
+        """Rows with these values, which are cast to the columns' types first. A NULL value finds NULLs.
+
+        Where the table is cut into parts and ``values`` hold all of its part keys, only the one part they fall into is
+        listed and read, and in it the row groups whose key range holds them.
+        """
+        kept = {} if self.in_v2_catalog(name) else self.properties(name)
+        cut = kept[PART_KEYS].split(",") if PARTS in kept else []
+        rows = self.spark.table(kept[VERSION]) if cut else self.read(name)
+        types = dict(rows.dtypes)
+        match = reduce(and_, [column(c).eqNullSafe(F.lit(v).cast(types[c])) for c, v in values.items()])
+        if cut and set(cut) <= set(values):
+            match = (column(PART) == part_number({k: values[k] for k in cut}, int(kept[PARTS]), types)) & match
+        return rows.filter(match).drop(PART)
+
     def create_namespace(self, table_name: str) -> None:
         """Create the namespace the table lives in, if it is absent."""
         namespace = table_name.rpartition(".")[0]
@@ -185,7 +202,7 @@ class TableStore:
         version, root = name + VERSION_MARK + stamp, self._part_root(name)
         keys, types = properties[PART_KEYS].split(","), dict(df.dtypes)
         columns = ", ".join(f"{quoted_part(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
-        write_parts(with_part(df, keys, int(properties[PARTS]), types), f"{root}/{stamp}", self.file_format)
+        write_parts(with_part(df, keys, int(properties[PARTS]), types), keys, f"{root}/{stamp}", self.file_format)
         folders = {**untouched, **parts_in(self.spark, f"{root}/{stamp}")}
         create_version(self.spark, quoted(version), columns, folders, f"{root}/{stamp}", self.file_format)
         shown = ", ".join(quoted_part(c) for c in df.columns)
