@@ -45,12 +45,8 @@ LONG = 8  # words of a sentence that ends a paragraph
 MIN_RUN = 20  # words of neighbouring repeated paragraphs that are removed
 SENTENCE = re.compile(r"[^.!?\n]*+(?:[.!?]++(?![\s])[^.!?\n]*+)*+(?:[.!?]+|\n|\Z)\s*+")
 RANDOM = np.random.default_rng(20)
-# Of whole texts: at similarity 0.8 all bands of a pair miss with probability 5e-6.
-# More rows than a paragraph has, so that texts that share just a passage do not collide by the thousand.
-TEXT_BANDS = 40
-TEXT_ROWS = 6
-MULTIPLY = RANDOM.integers(1, 1 << 63, size=TEXT_BANDS * TEXT_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SHIFT = RANDOM.integers(0, 1 << 63, size=TEXT_BANDS * TEXT_ROWS, dtype=np.uint64)
+MULTIPLY = RANDOM.integers(1, 1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SHIFT = RANDOM.integers(0, 1 << 63, size=BANDS * ROWS, dtype=np.uint64)
 
 
 def paragraphs(text: str) -> list[tuple[int, int]]:
@@ -104,9 +100,7 @@ class Cutter:
 
     MEMO = 1 << 20
 
-    def __init__(self, whole: bool = False) -> None:
-        """With ``whole`` a text is one paragraph, whatever its length."""
-        self.whole = whole
+    def __init__(self) -> None:
         self.memo: dict[bytes, int] = {}
         self.powers = np.ones(0, dtype=np.uint64)
 
@@ -125,9 +119,9 @@ class Cutter:
         """(text number, position, words) of each paragraph of five words or more, and the hashes of all its words."""
         owner, place, size, codes = [], [], [], []
         for number, text in enumerate(texts):
-            for pos, (start, end) in enumerate([(0, len(text))] if self.whole else paragraphs(text)):
+            for pos, (start, end) in enumerate(paragraphs(text)):
                 found = words(text[start:end])
-                if len(found) >= (1 if self.whole else SHINGLE):
+                if len(found) >= SHINGLE:
                     owner.append(number)
                     place.append(pos)
                     size.append(len(found))
@@ -153,12 +147,8 @@ class Cutter:
 
     def bands(self, size: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Band keys, one row per paragraph of five words or more."""
-        n_bands, n_rows = (TEXT_BANDS, TEXT_ROWS) if self.whole else (BANDS, ROWS)
-        if self.whole:
-            long = size >= SHINGLE
-            size, codes = size[long], codes[np.repeat(long, size)]
         if not len(size):
-            return np.empty((0, n_bands), np.int64)
+            return np.empty((0, BANDS), np.int64)
         keys = shingle_keys(codes)
         start = np.cumsum(size) - size
         # Shingles that would run over a paragraph's end do not count.
@@ -167,10 +157,10 @@ class Cutter:
         keys ^= keys >> np.uint64(32)
         counts = size - SHINGLE + 1
         first = np.cumsum(counts) - counts
-        out = np.empty((len(size), n_bands), dtype=np.uint64)
-        for band in range(n_bands):
+        out = np.empty((len(size), BANDS), dtype=np.uint64)
+        for band in range(BANDS):
             key = np.full(len(size), band + 1, dtype=np.uint64)
-            for row in range(band * n_rows, (band + 1) * n_rows):
+            for row in range(band * ROWS, (band + 1) * ROWS):
                 mixed = keys * MULTIPLY[row] + SHIFT[row]
                 least = np.minimum.reduceat(mixed ^ (mixed >> np.uint64(29)), first)
                 key = (key ^ (key >> np.uint64(31))) * MIX + least
@@ -178,20 +168,16 @@ class Cutter:
         return out.view(np.int64)
 
 
-def units(rows: DataFrame, whole: bool = False) -> DataFrame:
-    """Paragraphs of five words or more in ``rows (doc_id, key, text)``: (doc_id, key, pos, unit, n_words, bands).
-
-    With ``whole`` the texts that have words, those of fewer than five without bands.
-    """
+def units(rows: DataFrame) -> DataFrame:
+    """Paragraphs of five words or more in ``rows (doc_id, key, text)``: (doc_id, key, pos, unit, n_words, bands)."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cutter = Cutter(whole)
+        cutter = Cutter()
         for frame in frames:
             for at in range(0, len(frame), 500):
                 part = frame.iloc[at:at + 500]
                 owner, place, size, codes = cutter.cut(part.text)
-                banded = iter(cutter.bands(size, codes))
-                bands = [next(banded) if n >= SHINGLE else [] for n in size]
+                bands = list(cutter.bands(size, codes))
                 yield pd.DataFrame({
                     "doc_id": part.doc_id.astype("Int64").array[owner], "key": part.key.to_numpy()[owner],
                     "pos": place, "unit": cutter.ids(size, codes), "n_words": size, "bands": pd.Series(bands, dtype=object),
@@ -200,7 +186,7 @@ def units(rows: DataFrame, whole: bool = False) -> DataFrame:
     return rows.mapInPandas(cut, "doc_id long, key long, pos int, unit long, n_words int, bands array<long>")
 
 
-def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame, whole: bool = False) -> DataFrame:
+def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFrame:
     """(unit, hashes) for the units in ``wanted (unit)``, read from texts that hold one; ``found`` are all units."""
     ids = Bloom(wanted)
     holders = found.where(ids(F.col("unit"))).join(wanted.distinct(), "unit", "left_semi").groupBy("unit").agg(
@@ -210,7 +196,7 @@ def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame, whole: bo
     holding, holding_mask = texts.shared, texts.bits - 1
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cutter = Cutter(whole)
+        cutter = Cutter()
         seen: set[int] = set()
         for frame in frames:
             texts = frame.text[bloom_test(holding.value, frame.key.to_numpy(), holding_mask)]
@@ -242,7 +228,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ).select("src", "dst")
 
 
-def near_links(rows: DataFrame, found: DataFrame, whole: bool = False) -> DataFrame:
+def near_links(rows: DataFrame, found: DataFrame) -> DataFrame:
     """Verified links (src, dst) between the units of ``found`` that connect all similar colliding ones."""
     bands = found.select("unit", F.explode("bands").alias("band"))
     shared = stage(
@@ -251,7 +237,7 @@ def near_links(rows: DataFrame, found: DataFrame, whole: bool = False) -> DataFr
     sift = Bloom(shared.select("band"))
     members = stage(
         bands.where(sift(F.col("band"))).distinct().join(shared, "band"), "paragraph-bands")
-    sets = stage(shingle_sets(rows, found, members.select("unit"), whole), "paragraph-sets")
+    sets = stage(shingle_sets(rows, found, members.select("unit")), "paragraph-sets")
     star = stage(verified(
         members.where("unit > least").select(F.col("least").alias("src"), F.col("unit").alias("dst")).distinct(), sets
     ), "paragraph-links")

@@ -29,8 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from . import paragraphs
-from .common import SPACES, components, plain_text, stage, without, words
+from .common import components, plain_text, stage, without, words
 
 SHINGLE = 3
 SEED = 42
@@ -156,24 +155,10 @@ def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their near copies; rows of one id and text are one document.
+    """The rows of ``docs`` whose id is the smallest of their component; rows of one id and text are one document.
 
-    Near copies here are texts whose sets of 5-word shingles are 0.8 similar, not those ``DISTANCE`` bits apart: at 0.8
-    fingerprints differ in up to 14 of 64 bits, and no segment of theirs need be equal. So pairs are found by MinHash
-    bands over the same shingles and verified by exact Jaccard; texts of equal words are copies, those without words too.
+    Near copies are what ``near_duplicates`` links, by its shingle length and bit distance and nothing else. A row
+    without an id goes if a row with one is in its component.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), plain_text().alias("text"))
-    found = stage(paragraphs.units(rows, whole=True), "near-texts")
-    # Copies are summed up before anything is joined.
-    distinct = stage(found.groupBy("unit").agg(
-        F.min("doc_id").alias("first"), F.min("key").alias("key"), F.first("bands").alias("bands")), "near-distinct")
-    joined = components(paragraphs.near_links(rows, distinct, whole=True), "near-components")
-    members = distinct.join(joined.withColumnRenamed("node", "unit"), "unit", "left").select(
-        "unit", "first", F.coalesce("component", "unit").alias("component"))
-    lowest = members.groupBy("component").agg(F.min("first").alias("lowest"))
-    kept = stage(members.join(lowest, "component").select("unit", "lowest"), "near-lowest")
-    gone = found.join(kept, "unit").where(~F.col("doc_id").eqNullSafe(F.col("lowest"))).select("doc_id", "key")
-    blank = rows.where(~F.col("text").rlike(f"[^{SPACES}]")).select("doc_id", "key")
-    least = blank.agg(F.min("doc_id").alias("lowest"))
-    blank = blank.crossJoin(F.broadcast(least)).where(~F.col("doc_id").eqNullSafe(F.col("lowest"))).select("doc_id", "key")
-    return without(docs, stage(gone.union(blank).distinct(), "near-gone"))
+    members = near_duplicates(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return without(docs, stage(members.select("doc_id", "key").distinct(), "simhash-gone"))
