@@ -17,7 +17,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (0.8 of 5-word shingles): the one with the smallest id."""
+    """One document of each group that the SimHash operator links: the one with the smallest id."""
     return simhash.one_of_each(docs).select(COLUMNS)
 
 
