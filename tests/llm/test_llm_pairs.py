@@ -204,6 +204,19 @@ def test_paragraph_spans_cover_the_text():
         assert all(a < b for a, b in spans)
 
 
+@pytest.mark.parametrize("part", [paragraphs.PART, 7])
+def test_word_hashes_tell_words_apart(documents, monkeypatch, part):
+    monkeypatch.setattr(paragraphs, "PART", part)
+    cutter, code, word = paragraphs.Cutter(), {}, {}
+    odd = ["", " \n", "A\x00b a\x00B", "é É\xa0ß  x\x0by\x1cz", "z" * 3000 + " q", " lead", "trail ", "aa a aaa", "\ud800 x"]
+    for text in [t for _, t in rows_of(documents) if t][:100] + odd:
+        data = text.encode("utf-8", "surrogatepass")
+        starts, codes = cutter.codes(data)
+        assert starts.tolist() == [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+        for w, c in zip(data.lower().split(), codes.tolist()):
+            assert code.setdefault(w, c) == c and word.setdefault(c, w) == w
+
+
 def test_paragraph_bands_agree_with_sets():
     cutter = paragraphs.Cutter()
     import pandas as pd

@@ -33,7 +33,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from .common import Bloom, bloom_test, components, plain_text, stage, words
 
@@ -43,6 +42,7 @@ BANDS = 6
 ROWS = 2
 LONG = 8  # words of a sentence that ends a paragraph
 MIN_RUN = 20  # words of neighbouring repeated paragraphs that are removed
+SEEN = 1 << 17  # units that a task remembers it has given
 SENTENCE = re.compile(r"[^.!?\n]*+(?:[.!?]++(?![\s])[^.!?\n]*+)*+(?:[.!?]+|\n|\Z)\s*+")
 RANDOM = np.random.default_rng(20)
 MULTIPLY = RANDOM.integers(1, 1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -95,42 +95,68 @@ def window_keys(keys: np.ndarray) -> np.ndarray:
     return (out ^ (out >> np.uint64(32))) * MIX
 
 
+# What each byte counts in a word's hash: A-Z as lower case, white space nothing.
+COUNTS = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+COUNTS[[0x20, *range(0x09, 0x0E)]] = 0
+IS_WORD = COUNTS > 0
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+PART = 1 << 18  # bytes that are hashed at once, and what is left of the last word
+BACK = np.uint64(pow(int(MIX), -1, 1 << 64))
+
+
 class Cutter:
-    """Paragraphs of texts with their ids, word counts and band keys; one per task."""
+    """Paragraphs of texts with their ids, word counts and band keys; one per task.
 
-    MEMO = 1 << 20
+    A word's hash is the sum of its bytes times powers of ``MIX`` by their place in it. The powers run on through a part
+    of the text and each word's sum is taken back by the power at its start, so no word is looked at by itself.
+    """
 
     def __init__(self) -> None:
-        self.memo: dict[bytes, int] = {}
-        self.powers = np.ones(0, dtype=np.uint64)
-
-    def codes(self, found: list[bytes]) -> list[int]:
-        memo, out = self.memo, []
-        if len(memo) > self.MEMO:
-            memo.clear()
-        for word in found:
-            code = memo.get(word)
-            if code is None:
-                code = memo[word] = xxh64_intdigest(word)
-            out.append(code)
-        return out
+        self.powers = self.back = np.ones(0, dtype=np.uint64)
+
+    def grow(self, size: int) -> None:
+        if size > len(self.powers):
+            self.powers = np.cumprod(np.full(size, MIX, dtype=np.uint64))
+            self.back = np.cumprod(np.full(size, BACK, dtype=np.uint64))
+
+    def codes(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word of ``data`` starts, and its hash."""
+        starts, codes, at = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], 0
+        while at < len(data):
+            space = SPACE.search(data, at + PART)
+            end = space.start() if space else len(data)
+            part = np.frombuffer(data, np.uint8, end - at, at)
+            inside = IS_WORD[part]
+            start = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+            if inside[0]:
+                start = np.concatenate([[0], start])
+            if len(start):
+                self.grow(len(part))
+                total = np.add.reduceat(COUNTS[part] * self.powers[:len(part)], start) * self.back[start]
+                starts.append(start + at)
+                codes.append((total ^ (total >> np.uint64(32))) * MIX)
+            at = end
+        return np.concatenate(starts), np.concatenate(codes)
 
     def cut(self, texts: pd.Series) -> tuple[list[int], list[int], np.ndarray, np.ndarray]:
         """(text number, position, words) of each paragraph of five words or more, and the hashes of all its words."""
-        owner, place, size, codes = [], [], [], []
+        owner, place, found = [], [], []
         for number, text in enumerate(texts):
-            for pos, (start, end) in enumerate(paragraphs(text)):
-                found = words(text[start:end])
-                if len(found) >= SHINGLE:
-                    owner.append(number)
-                    place.append(pos)
-                    size.append(len(found))
-                    codes += self.codes(found)
-        return owner, place, np.array(size, dtype=np.int64), np.array(codes, dtype=np.uint64)
+            spans = paragraphs(text)
+            owner += [number] * len(spans)
+            place += range(len(spans))
+            found += [text[a:b].encode("utf-8", "surrogatepass") for a, b in spans]
+        # Paragraphs as lines, so that no word runs from one into the next.
+        starts, codes = self.codes(b"\n".join(found))
+        edges = np.cumsum([0, *(len(line) + 1 for line in found)])
+        size = np.diff(np.searchsorted(starts, edges))
+        long = size >= SHINGLE
+        kept = np.flatnonzero(long).tolist()
+        return [owner[k] for k in kept], [place[k] for k in kept], size[long], codes[np.repeat(long, size)]
 
     def spread(self, text: str) -> np.ndarray:
         """Keys of a text's shingles, in order."""
-        keys = shingle_keys(np.array(self.codes(words(text)), dtype=np.uint64))
+        keys = shingle_keys(self.codes(text.encode("utf-8", "surrogatepass"))[1])
         return (keys ^ (keys >> np.uint64(32))) * MIX
 
     def ids(self, size: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -138,9 +164,7 @@ class Cutter:
         if not len(size):
             return np.empty(0, np.int64)
         start = np.cumsum(size) - size
-        longest = int(size.max())
-        if longest > len(self.powers):
-            self.powers = np.cumprod(np.full(longest, MIX, dtype=np.uint64))
+        self.grow(int(size.max()))
         within = np.arange(len(codes)) - np.repeat(start, size)
         total = np.add.reduceat((codes ^ (codes >> np.uint64(33))) * self.powers[within], start)
         return ((total ^ (total >> np.uint64(32))) * MIX + size.astype(np.uint64)).view(np.int64)
@@ -210,7 +234,7 @@ def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFr
                         units_out.append(int(own[k]))
                         # As arrays: a list would take four times the memory.
                         sets.append(np.unique(shingle_keys(codes[end[k] - size[k]:end[k]])).view(np.int64))
-                if len(seen) > Cutter.MEMO:
+                if len(seen) > SEEN:
                     seen.clear()
                 yield pd.DataFrame({"unit": pd.Series(units_out, dtype="int64"), "hashes": pd.Series(sets, dtype=object)})
 
