@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Bloom, bloom_test, components, plain_text, stage, words
+from .common import Bloom, bloom_test, components, plain_text, stage, unstage, words
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -278,7 +278,10 @@ def near_links(rows: DataFrame, found: DataFrame) -> DataFrame:
         F.least("a.n", "b.n") >= SIMILAR * F.greatest("a.n", "b.n"),
         F.size(F.array_intersect("a.hashes", "b.hashes")) * (1 + SIMILAR) >= SIMILAR * (F.col("a.n") + F.col("b.n")) - 1e-9,
     ]).select(F.col("a.unit").alias("src"), F.col("b.unit").alias("dst")).distinct()
-    return star.union(stage(across, "paragraph-links"))
+    across = stage(across, "paragraph-links")
+    for done in (shared, members, sets, left):
+        unstage(done)
+    return star.union(across)
 
 
 def repeated(rows: DataFrame) -> DataFrame:
@@ -295,8 +298,11 @@ def repeated(rows: DataFrame) -> DataFrame:
     sift = Bloom(several.select("unit"))
     places = found.where(sift(F.col("unit"))).join(keep, "unit")
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
-    return places.where(~same).select(
-        "doc_id", "key", "pos", "n_words", F.col("first.doc_id").alias("first_doc"))
+    gone = stage(places.where(~same).select(
+        "doc_id", "key", "pos", "n_words", F.col("first.doc_id").alias("first_doc")), "paragraph-repeated")
+    for done in (found, several):
+        unstage(done)
+    return gone
 
 
 def passages(rows: DataFrame) -> DataFrame:
@@ -343,13 +349,16 @@ def passages(rows: DataFrame) -> DataFrame:
                 })
 
     places = stage(rows.mapInPandas(cut, "doc_id long, key long, start int, window long"), "paragraph-windows")
+    unstage(shared)
     firsts = stage(
         places.groupBy("window").agg(
             F.min(F.struct("doc_id", "key")).alias("first"), F.max(F.struct("doc_id", "key")).alias("last"))
         .where("first < last").select("window", "first"), "paragraph-firsts")
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
-    inside = places.join(firsts, "window").where(~own).select(
-        "doc_id", "key", "start", F.col("first.doc_id").alias("first_doc"))
+    inside = stage(places.join(firsts, "window").where(~own).select(
+        "doc_id", "key", "start", F.col("first.doc_id").alias("first_doc")), "paragraph-inside")
+    for done in (places, firsts):
+        unstage(done)
     ids = F.struct("doc_id")
     enough = rows.where(F.length("text") >= 2 * MIN_RUN - 1)  # characters that so many words have at least
     texts = stage(
