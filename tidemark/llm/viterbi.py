@@ -45,7 +45,7 @@ PENALTY = 10  # what an unknown character costs more than the worst piece
 UNUSABLE = -1e8  # pieces below are in the file for other uses
 NEVER = -(1 << 62)
 AT_ONCE = 200  # chunks made before they are passed on
-MEMO = 1 << 17
+MEMO = 1 << 19
 EDGE = re.compile("[^ ] ")
 Cut = tuple[bytes, int]  # ids as 32-bit numbers, score
 
@@ -145,10 +145,6 @@ class Segmenter:
                 parts[k] = self.cut(found[k])
         return b"".join([p[0] for p in parts]), sum([p[1] for p in parts])
 
-    def forget(self) -> None:
-        """Drop the memo: the process outlives its task."""
-        self.memo, self.older = {}, {}
-
     # One chunk of a long text: ``part`` is the chunk with the characters behind it that a piece may take.
 
     def inner(self, part: str, size: int) -> tuple[int, int]:
@@ -281,7 +277,6 @@ def encode_long(rows: DataFrame, model: str, chunk: int) -> DataFrame:
             out = [worker.traces(p, s, list(map(int, e))) for p, s, e in zip(frame.part, frame["size"], frame.ends)]
             frame["heads"], frame["exits"], frame["rest"], frame["between"] = ([x[i] for x in out] for i in range(4))
             yield frame[["doc_id", "key", "k", "score", "heads", "exits", "rest", "between"]].astype({"doc_id": "Int64"})
-        worker.forget()
 
     def join(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("k").sort_values("k")
@@ -324,7 +319,6 @@ def encode(docs: DataFrame, model: str | None = None, chunk: int = CHUNK) -> Dat
                 "ids": ids, "score": [s for _, s in out],
                 "back": [text_hash(decoded(i, surfaces(model))) for i in ids],
             })
-        worker.forget()
 
     short = rows.where(F.length("text") < chunk).withColumn("cut", whole("text")).select(
         "doc_id", "key", F.col("cut.ids").alias("ids"), F.col("cut.score").alias("score"),
