@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 
 import pytest
 from xxhash import xxh64_intdigest
 
 from tidemark.llm import decontaminate, paragraphs, simhash, suffix_dedup
-from tidemark.llm.common import components
+from tidemark.llm.common import components, shared_folder
 
 DOCS = "doc_id long, text string, key int, n long"
 PROSE = " ".join(f"word{i}" for i in range(60)) + "."
@@ -361,3 +362,12 @@ def test_paragraph_dedup_with_clashing_columns(spark):
     assert all(r[name] == "kept" for r in rows.values() for name in extra)
     assert rows[1].n_removed == 0 and rows[3].text is None
     assert rows[2].n_removed > 0 and list(rows[2].first_docs) == [1] and "word30" not in rows[2].text
+
+
+def test_steps_of_suffix_dedup_go_once_they_are_used(spark):
+    folder = "/" + shared_folder(spark).split(":", 1)[-1].lstrip("/")
+    old = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    docs = spark.createDataFrame([(k, f"{PROSE} {k} {PROSE}") for k in range(6)], "doc_id long, text string")
+    assert suffix_dedup.dedup(docs).where("size(removed) > 0").count() == 5
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - old if os.listdir(f"{folder}/{name}")}
+    assert left <= {"suffix-marks", "suffix-hot"}

@@ -22,11 +22,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    The shuffles of the write go with its end instead of some time after; nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -150,6 +161,10 @@ class Bloom:
         self.words[found["word"].to_numpy()] = found["set"].to_numpy().view(np.uint64)
         self.shared = hashes.sparkSession.sparkContext.broadcast(self.words)
 
+    def close(self) -> None:
+        """Free the executors' copies; what still asks for one gets it anew."""
+        self.shared.unpersist()
+
     def _at(self, value: Column, probe: int) -> Column:
         return F.shiftright(value, 13 * probe).bitwiseAND(F.lit(self.bits - 1).cast("long"))
 

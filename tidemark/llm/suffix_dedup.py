@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import Bloom, bloom_test, plain_text, stage
+from .common import Bloom, bloom_test, plain_text, stage, unstage
 
 LENGTH = 50
 GRAM = 20
@@ -301,11 +301,15 @@ def covered(size: int, at: list[int], flags: list[int]) -> list[tuple[int, int]]
 
 
 def removals(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """(doc_id, text_key, at, flags): the anchors of ``docs`` at which bytes go, with the windows that do."""
+    """(doc_id, text_key, marks): staged, the anchors of ``docs`` at which bytes go, as (at, flags): the windows that do.
+
+    Each step's files go once what reads them is written.
+    """
     rows = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), plain_text().alias("text"))
     keys = stage(shared_keys(rows), "suffix-anchors")
     found = stage(places(rows, keys), "suffix-places")
+    unstage(keys)
     by_row = found.groupBy("anchor", "row").agg(
         F.min(F.struct("doc_id", "text_key")).alias("first")).select("anchor", "row", "first")
     by_row = stage(by_row, "suffix-rows")
@@ -316,20 +320,25 @@ def removals(docs: DataFrame, hot: int = HOT) -> DataFrame:
     wanted = by_row.join(mixed, "anchor", "left_semi").select(
         "anchor", "row", F.col("first.doc_id").alias("owner"), F.col("first.text_key").alias("text_key"))
     wanted = stage(wanted, "suffix-wanted")
-    flags = stage(sorted_flags(stage(rows_to_sort(rows, wanted), "suffix-sort"), hot), "suffix-flags")
+    to_sort = stage(rows_to_sort(rows, wanted), "suffix-sort")
+    unstage(wanted)
+    flags = stage(sorted_flags(to_sort, hot), "suffix-flags")
+    unstage(to_sort)
     known = by_row.join(flags, ["anchor", "row"], "left").select(
         "anchor", "row", F.col("first.doc_id").alias("least"), F.coalesce("flags", F.lit(0)).alias("flags"))
-    return found.join(known, ["anchor", "row"]).select(
+    marks = found.join(known, ["anchor", "row"]).select(
         "doc_id", "text_key", "at", F.when(F.col("doc_id") > F.col("least"), F.lit(-1).cast("long")).otherwise(F.col("flags")).alias("flags"),
     ).where("flags <> 0")
+    gone = stage(
+        marks.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "flags")).alias("marks")), "suffix-marks")
+    for done in (found, by_row, flags):
+        unstage(done)
+    return gone
 
 
 def dedup(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, removed, kept): ``removed`` are spans of bytes (start, stop), ``kept`` is the rest's SHA-256."""
-    gone = stage(
-        removals(docs, hot).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "flags")).alias("marks")),
-        "suffix-marks",
-    ).withColumnsRenamed({"doc_id": "d", "text_key": "k"})
+    gone = removals(docs, hot).withColumnsRenamed({"doc_id": "d", "text_key": "k"})
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), plain_text().alias("text"))
     may = Bloom(gone.select("k"))(F.col("text_key"))
 
