@@ -118,6 +118,22 @@ def test_segmentation_has_the_highest_score():
     assert table.forced
 
 
+def test_different_stretches_are_cut_all_at_once(monkeypatch):
+    worker = viterbi.Segmenter(default_model())
+    texts = ["word, word. (Word) others", "", "  a   b", "é☃x \u2581 y", "\ud800 z", "日本語, x", "long" * 40, "a\nb\n\nc", " . ,"]
+    want = [best_cut(text) for text in texts]
+    got = list(worker.encode_all(map(viterbi.form_of, texts)))
+    assert [(np.frombuffer(ids, np.int32).tolist(), score) for ids, score in got] == want
+    assert worker.stretches(" word, word.") == [" word", ",", " word", "."]
+
+    def one_by_one(*_):
+        raise AssertionError("cut by itself")
+
+    monkeypatch.setattr(worker, "scores", one_by_one)
+    known = ["word, word. (Word) others", "the theatre of others, the end"]
+    assert [s for _, s in worker.encode_all(map(viterbi.form_of, known))] == [best_cut(text)[1] for text in known]
+
+
 def test_max_plus_scan_is_associative():
     pick = np.random.default_rng(1)
     mats = pick.integers(-50, 0, size=(7, 4, 4))

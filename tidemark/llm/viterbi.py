@@ -15,9 +15,12 @@ from before it takes. Three steps, each parallel over chunks:
 3. with the scores at its exit a chunk traces its pieces for every entry state, and which exit state that leads to. The
    maps from entry to exit compose; the first chunk is entered in state 0, and that picks each chunk's trace.
 
-No piece holds a space behind another character (if one does, nothing is remembered and chunks are traced in full), so
-every path has a cut there, and what is between two such cuts is cut up alike wherever it stands: such stretches are
-remembered, and within a chunk only the part before its first and behind its last such cut depends on the states.
+No piece holds a space behind another character (if one does, texts are one stretch and chunks are traced in full), so
+every path has a cut there, and what is between two such cuts is cut up alike wherever it stands: the different ones of
+such stretches are cut once per ``AT_A_TIME`` characters of text, all at once, a step for each character from their ends
+on. Within a chunk only the part before its first and behind its last such cut depends on the states. Stretches end as
+well where a character meets one of another class: no piece holds characters of two classes, spaces apart, so "word" is
+cut once and not again with each mark behind it.
 
 Nulls and odd cases: a NULL text counts as empty and has no pieces; repeated rows come back each; a NULL id is kept;
 extra columns are dropped; NULL ids decode to NULL; an unknown id raises.
@@ -27,8 +30,9 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,7 +41,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from .common import chunks, plain_text
-from .pieces import SPACE, Pieces, default_model, pieces, stretches
+from .pieces import SPACE, Pieces, default_model, pieces
 
 CHUNK = 16_384
 SCALE = 1024
@@ -45,9 +49,10 @@ PENALTY = 10  # what an unknown character costs more than the worst piece
 UNUSABLE = -1e8  # pieces below are in the file for other uses
 NEVER = -(1 << 62)
 AT_ONCE = 200  # chunks made before they are passed on
-MEMO = 1 << 19
+AT_A_TIME = 1 << 21  # characters of text whose stretches are cut together
+BLOCK = 1 << 14  # stretches in one table
+SIDE = 64  # characters of a stretch in a table at most
 EDGE = re.compile("[^ ] ")
-Cut = tuple[bytes, int]  # ids as 32-bit numbers, score
 
 
 def form_of(text: str) -> str:
@@ -55,6 +60,66 @@ def form_of(text: str) -> str:
     return " " + text if text else ""
 
 
+def stretch_pattern(usable: list[str]) -> re.Pattern:
+    """What matches a text's stretches from end to end, for pieces that hold no space behind another character."""
+    kin: dict[str, set[str]] = {}  # under each character its class: those that pieces hold next to it, and so on
+    for text in usable:
+        plain = set(text.lstrip(" "))
+        for character in list(plain):
+            plain |= kin.get(character, set())
+        if len(text) > 1:
+            kin.update(dict.fromkeys(plain, plain))
+    classes = {frozenset(found) for found in kin.values() if found}
+    runs = [f" *[{re.escape(''.join(sorted(found)))}]+" for found in sorted(classes, key=len, reverse=True)]
+    return re.compile("|".join([*runs, " +", "[^ ]"]))
+
+
+class Trie:
+    """The pieces by their characters, as numbered states in a hash table that many places look up at once."""
+
+    ROOT, BITS = 0, 21  # a character's number has 21 bits
+
+    def __init__(self, ids: dict[str, int]) -> None:
+        states: dict[tuple[int, str], int] = {}
+        piece = [-1]
+        for text, i in ids.items():
+            at = self.ROOT
+            for character in text:
+                to = states.setdefault((at, character), len(piece))
+                if to == len(piece):
+                    piece.append(-1)
+                at = to
+            piece[at] = i
+        self.piece = np.array(piece, dtype=np.int32)
+        self.size = 1 << (4 * len(piece)).bit_length()
+        self.keys = np.full(self.size, -1, dtype=np.int64)
+        self.to = np.zeros(self.size, dtype=np.int32)
+        keys = np.array([s << self.BITS | ord(c) for s, c in states], dtype=np.int64)
+        for key, slot, to in zip(keys.tolist(), self.slots(keys).tolist(), states.values()):
+            while self.keys[slot] >= 0:
+                slot = (slot + 1) & (self.size - 1)
+            self.keys[slot], self.to[slot] = key, to
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(65 - self.size.bit_length())).astype(np.int64)
+
+    def step(self, states: np.ndarray, characters: np.ndarray) -> np.ndarray:
+        """The states that characters lead to, 0 where no piece goes on so."""
+        keys = states.astype(np.int64) << self.BITS | characters
+        slots = self.slots(keys)
+        held = self.keys[slots]
+        out = np.where(held == keys, self.to[slots], 0)
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        while len(left):
+            slots[left] = (slots[left] + 1) & (self.size - 1)
+            held = self.keys[slots[left]]
+            hit = held == keys[left]
+            out[left[hit]] = self.to[slots[left[hit]]]
+            left = left[~hit & (held >= 0)]
+        return out
+
+
 class Segmenter:
     """Best cuts of short stretches; one per worker and model."""
 
@@ -73,8 +138,14 @@ class Segmenter:
             for character in text[:-1]:
                 node = node.setdefault(character, ({}, -1, None))[0]
             node[text[-1]] = node.get(text[-1], ({}, -1, None))[0], piece, score
-        self.memo: dict[str, Cut] = {}
-        self.older: dict[str, Cut] = {}
+        # What each id counts; of a character's byte pieces the first one counts for it.
+        self.worth = np.zeros(len(self.table.text), dtype=np.int64)
+        for byte, i in self.table.byte_ids.items():
+            self.worth[i] = 0 if byte & 0xC0 == 0x80 else self.unknown
+        for piece, score in self.pieces.values():
+            self.worth[piece] = score
+        self.stretches = stretch_pattern(list(self.pieces)).findall if self.table.forced else lambda form: [form]
+        self.trie = Trie(usable)
 
     def scores(self, text: str, ends: list[int], stop: int) -> tuple[list[int], list[tuple[int, int]]]:
         """Best score from each place of ``text`` to its end, and that cut's first piece: (length, id or -1).
@@ -123,27 +194,90 @@ class Segmenter:
             at += length
         return array("i", out).tobytes(), at - stop
 
-    def cut(self, stretch: str) -> Cut:
-        """The best cut of a whole stretch."""
-        found = self.memo.get(stretch)
-        if found is None:
-            found = self.older.get(stretch)
-            if found is None:
-                best, first = self.scores(stretch, [0], len(stretch))
-                found = self.trace(stretch, first, 0, len(stretch))[0], best[0]
-            if len(stretch) <= 64:
-                if len(self.memo) >= MEMO:  # what was not used again goes
-                    self.memo, self.older = {}, self.memo
-                self.memo[stretch] = found
-        return found
-
-    def encode(self, form: str) -> Cut:
-        found = stretches(form) if self.table.forced else [form]
-        parts = [self.memo.get(s) for s in found]
-        for k, part in enumerate(parts):
-            if part is None:
-                parts[k] = self.cut(found[k])
-        return b"".join([p[0] for p in parts]), sum([p[1] for p in parts])
+    def cut(self, stretch: str) -> bytes:
+        """The ids of the best cut of a whole stretch."""
+        _, first = self.scores(stretch, [0], len(stretch))
+        return self.trace(stretch, first, 0, len(stretch))[0]
+
+    def cuts(self, found: list[str]) -> dict[str, bytes]:
+        """The ids of the best cut of each stretch; those with unknown characters in it one by one."""
+        out: dict[str, bytes] = {}
+        for at in range(0, len(found), BLOCK):
+            some = sorted((s for s in found[at:at + BLOCK] if 0 < len(s) <= SIDE), key=len, reverse=True)
+            if some:
+                out.update(self.block(some))
+        out.update((s, self.cut(s)) for s in found if s not in out)
+        return out
+
+    def block(self, found: list[str]) -> Iterator[tuple[str, bytes]]:
+        """As ``cuts``, of stretches that get no longer; those with unknown characters in their cut are left out."""
+        sizes = np.array([len(s) for s in found])
+        ends = np.cumsum(sizes)
+        text = np.frombuffer("".join(found).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        # held[n]: the piece of n characters from each place on, or -1
+        held = [np.full(len(text), -1, dtype=np.int32) for _ in range(min(self.longest, sizes[0]) + 1)]
+        place, states, stop = np.arange(len(text)), np.zeros(len(text), dtype=np.int32), np.repeat(ends, sizes)
+        for n in range(1, len(held)):
+            states = self.trie.step(states, text[place + n - 1])
+            held[n][place] = self.trie.piece[states]
+            on = np.flatnonzero((states > 0) & (stop[place] > place + n))
+            place, states = place[on], states[on]
+        # From the ends on: the best score from each place, the first piece of that cut and its length.
+        count = sizes[0]
+        best = np.zeros((count + 1, len(found)), dtype=np.int64)
+        pick = np.full((count + 1, len(found)), -1, dtype=np.int32)
+        length = np.ones((count + 1, len(found)), dtype=np.int32)
+        for left in range(1, count + 1):
+            some = int(np.searchsorted(-sizes, -left, side="right"))  # stretches of so many characters
+            at = ends[:some] - left
+            pick[left, :some] = held[1][at]
+            one = np.where(held[1][at] >= 0, self.worth[held[1][at]], self.unknown)
+            best[left, :some] = one + best[left - 1, :some]
+            for n in range(2, min(left, len(held) - 1) + 1):
+                piece = held[n][at]
+                where = np.flatnonzero(piece >= 0)
+                piece = piece[where]
+                score = self.worth[piece] + best[left - n, where]
+                better = score >= best[left, where]  # of equal ones the longest, which comes last
+                where = where[better]
+                best[left, where], pick[left, where], length[left, where] = score[better], piece[better], n
+        left, columns, rows = sizes.copy(), [], []
+        going = np.arange(len(found))
+        while len(going):
+            at = left[going], going
+            columns.append(pick[at])
+            rows.append(going)
+            left[going] -= length[at]
+            going = going[left[going] > 0]
+        rows, ids = np.concatenate(rows), np.concatenate(columns)
+        unknown = np.zeros(len(found), dtype=bool)
+        unknown[rows[ids < 0]] = True
+        ids = ids[np.argsort(rows, kind="stable")].tobytes()
+        edges = np.concatenate([[0], np.cumsum(np.bincount(rows))]) * 4
+        return (
+            (s, ids[a:b]) for s, a, b, odd in zip(found, edges[:-1].tolist(), edges[1:].tolist(), unknown.tolist()) if not odd
+        )
+
+    def encode_all(self, forms: Iterable[str]) -> Iterator[tuple[bytes, int]]:
+        """The ids of each form as 32-bit numbers, and their score."""
+        parts: list[list[str]] = []
+        size = 0
+        for form in forms:
+            parts.append(self.stretches(form))
+            size += len(form)
+            if size >= AT_A_TIME:
+                yield from self.joined(parts)
+                parts, size = [], 0
+        yield from self.joined(parts)
+
+    def joined(self, parts: list[list[str]]) -> Iterator[tuple[bytes, int]]:
+        known = self.cuts(list(dict.fromkeys(chain.from_iterable(parts))))
+        for found in parts:
+            ids = b"".join(map(known.__getitem__, found))
+            yield ids, int(self.worth[np.frombuffer(ids, np.int32)].sum())
+
+    def encode(self, form: str) -> tuple[bytes, int]:
+        return next(self.encode_all([form]))
 
     # One chunk of a long text: ``part`` is the chunk with the characters behind it that a piece may take.
 
@@ -178,8 +312,18 @@ class Segmenter:
                 out[:min(width, len(best)), j] = best[:width]
         return out
 
-    def traces(self, part: str, size: int, ends: list[int]) -> tuple[list[bytes], list[int], bytes, int]:
-        """For each entry state its own ids and the exit state; what follows for all: ids, and the score left out."""
+    def middle(self, part: str, size: int) -> str:
+        """What stands between the first and last place where every path has a cut."""
+        low, high = self.inner(part, size)
+        return part[low:high] if low >= 0 else ""
+
+    def traces(
+        self, part: str, size: int, ends: list[int], middle: tuple[bytes, int],
+    ) -> tuple[list[bytes], list[int], bytes, int]:
+        """For each entry state its own ids and the exit state; what follows for all: ids, and the score left out.
+
+        ``middle`` is the cut of the chunk's middle.
+        """
         low, high = self.inner(part, size)
         heads, exits, rest, between = [], [], b"", 0
         width = self.longest
@@ -187,7 +331,7 @@ class Segmenter:
             best, first = self.scores(part[:low], [0], low)
             tail_best, tail = self.scores(part[high:], ends, size - high)
             last, leaving = self.trace(part[high:], tail, 0, size - high)
-            rest, between = self.encode(part[low:high])
+            rest, between = middle
             rest += last
             stop = low
         else:
@@ -274,7 +418,11 @@ def encode_long(rows: DataFrame, model: str, chunk: int) -> DataFrame:
     def second(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         worker = segmenter(model)
         for frame in frames:
-            out = [worker.traces(p, s, list(map(int, e))) for p, s, e in zip(frame.part, frame["size"], frame.ends)]
+            middles = worker.encode_all(worker.middle(p, s) for p, s in zip(frame.part, frame["size"]))
+            out = [
+                worker.traces(p, s, list(map(int, e)), m)
+                for p, s, e, m in zip(frame.part, frame["size"], frame.ends, middles)
+            ]
             frame["heads"], frame["exits"], frame["rest"], frame["between"] = ([x[i] for x in out] for i in range(4))
             yield frame[["doc_id", "key", "k", "score", "heads", "exits", "rest", "between"]].astype({"doc_id": "Int64"})
 
@@ -313,7 +461,7 @@ def encode(docs: DataFrame, model: str | None = None, chunk: int = CHUNK) -> Dat
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         worker = segmenter(model)
         for texts in batches:
-            out = [worker.encode(form_of(text)) for text in texts]
+            out = list(worker.encode_all(map(form_of, texts)))
             ids = [np.frombuffer(i, np.int32) for i, _ in out]
             yield pd.DataFrame({
                 "ids": ids, "score": [s for _, s in out],
@@ -343,7 +491,7 @@ def surfaces(path: str) -> list[bytes]:
 
 def decoded(ids: np.ndarray, table: list[bytes]) -> bytes:
     """What ids write, without the dummy prefix."""
-    return b"".join([table[i] for i in ids.tolist()])[1:]
+    return b"".join(map(table.__getitem__, ids.tolist()))[1:]
 
 
 def text_hash(data: bytes) -> int:
