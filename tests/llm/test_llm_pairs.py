@@ -10,7 +10,7 @@ import pytest
 from xxhash import xxh64_intdigest
 
 from tidemark.llm import decontaminate, paragraphs, simhash, suffix_dedup
-from tidemark.llm.common import components, shared_folder
+from tidemark.llm.common import Bloom, components, shared_folder
 
 DOCS = "doc_id long, text string, key int, n long"
 PROSE = " ".join(f"word{i}" for i in range(60)) + "."
@@ -364,6 +364,23 @@ def test_paragraph_dedup_with_clashing_columns(spark):
     assert rows[2].n_removed > 0 and list(rows[2].first_docs) == [1] and "word30" not in rows[2].text
 
 
+def test_copies_are_not_cut_up_and_go_with_what_their_first_text_goes_for(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    whole = " ".join(f"a{i}" for i in range(30)) + " " + passage + " " + " ".join(f"b{i}" for i in range(30))
+    docs = spark.createDataFrame(
+        [(1, "x y z " + passage), (2, whole), (3, whole), (3, whole), (4, whole), (5, "short copy"), (6, "short copy")],
+        "doc_id long, text string")
+    rows = docs.selectExpr("doc_id", "xxhash64(text) AS key", "text")
+    texts = paragraphs.first_texts(rows)
+    kept = Bloom(texts.selectExpr("xxhash64(first.doc_id, key) AS place"), bits=1 << 20)
+    assert {r.doc_id for r in paragraphs.units(rows, kept).collect()} == {1, 2}
+    assert {(r.doc_id, r.start < 0) for r in paragraphs.passages(rows, kept).collect()} == {(2, False), (3, True), (4, True)}
+    got = sorted((r.doc_id, r.text, r.first_docs) for r in paragraphs.dedup(docs).collect())
+    assert got[1][1].split() == whole.replace(passage, "").split() and got[1][2] == [1]
+    assert got[2:5] == [(3, "", [1, 2]), (3, "", [1, 2]), (4, "", [1, 2])]
+    assert got[5:] == [(5, "short copy", []), (6, "short copy", [])]
+
+
 def test_steps_of_suffix_dedup_go_once_they_are_used(spark):
     folder = "/" + shared_folder(spark).split(":", 1)[-1].lstrip("/")
     old = set(os.listdir(folder)) if os.path.isdir(folder) else set()

@@ -17,6 +17,8 @@ for its first and last. A paragraph's set are its 5-word shingles (A-Z lower-cas
    window stands in an earlier document goes. A window is told by the least of its shingles' hashes, so two equal
    windows name the same shingle wherever they stand. Only windows whose shingle stands in two different texts are
    hashed and compared. A copy of a whole text goes whole. Paragraphs that touch such a run go with it.
+5. Of equal texts the one with the smallest id is cut up; what holds its paragraphs and windows holds the copies' too. A
+   Bloom filter of those first ones sifts the others out, and what it lets through is cut up as well and changes nothing.
 
 Nulls and odd cases: a NULL text counts as empty and stays NULL; texts without words stay as they are; a document's
 repetitions of its own paragraphs stay if no earlier document holds them; equal texts under one id are one document, so
@@ -27,7 +29,8 @@ but for ``n_removed`` and ``first_docs``, which are made anew.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Bloom, bloom_test, components, plain_text, stage, unstage, words
+from .suffix_dedup import sliding
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -51,13 +55,10 @@ SHIFT = RANDOM.integers(0, 1 << 63, size=BANDS * ROWS, dtype=np.uint64)
 
 def paragraphs(text: str) -> list[tuple[int, int]]:
     """Spans that cover the text from end to end."""
-    out, start = [], 0
-    for match in SENTENCE.finditer(text):
-        end = match.end()
-        if end == match.start():
-            continue
-        sentence = match[0]
-        if "\n" in sentence or end == len(text) or len(sentence.split()) >= LONG:
+    out, start, end = [], 0, 0
+    for sentence in SENTENCE.findall(text):  # one follows the other
+        end += len(sentence)
+        if "\n" in sentence or len(sentence.split(None, LONG - 1)) >= LONG:
             out.append((start, end))
             start = end
     if start < len(text):
@@ -77,15 +78,6 @@ def shingle_keys(codes: np.ndarray) -> np.ndarray:
     return key
 
 
-def named(keys: np.ndarray) -> np.ndarray:
-    """For each window of ``MIN_RUN`` words the place of its least shingle, the last of equals; ``keys`` are a text's."""
-    size = MIN_RUN - SHINGLE + 1
-    if len(keys) < size:
-        return np.empty(0, dtype=np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(keys, size)
-    return np.arange(len(views)) + size - 1 - np.argmin(views[:, ::-1], axis=1)
-
-
 def window_keys(keys: np.ndarray) -> np.ndarray:
     """A key for each window of ``MIN_RUN`` words, made of shingles that cover it."""
     count = len(keys) - MIN_RUN + SHINGLE
@@ -154,10 +146,21 @@ class Cutter:
         kept = np.flatnonzero(long).tolist()
         return [owner[k] for k in kept], [place[k] for k in kept], size[long], codes[np.repeat(long, size)]
 
-    def spread(self, text: str) -> np.ndarray:
-        """Keys of a text's shingles, in order."""
-        keys = shingle_keys(self.codes(text.encode("utf-8", "surrogatepass"))[1])
-        return (keys ^ (keys >> np.uint64(32))) * MIX
+    def windows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, first word, name, key) of each window of ``MIN_RUN`` words; its name is its least shingle."""
+        lines = [text.encode("utf-8", "surrogatepass") for text in texts]
+        starts, codes = self.codes(b"\n".join(lines))
+        count = len(codes) - MIN_RUN + 1
+        if count < 1:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+        size = np.diff(np.searchsorted(starts, np.cumsum([0, *(len(line) + 1 for line in lines)])))
+        owner = np.repeat(np.arange(len(lines)), size)[:count]
+        word = np.arange(count) - (np.cumsum(size) - size)[owner]
+        whole = word <= size[owner] - MIN_RUN  # others would run on into the next text
+        keys = shingle_keys(codes)
+        keys = (keys ^ (keys >> np.uint64(32))) * MIX
+        names = sliding(keys, MIN_RUN - SHINGLE + 1, np.minimum)
+        return owner[whole], word[whole], names[whole], window_keys(keys)[whole]
 
     def ids(self, size: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """A paragraph's id from its words' hashes and their places."""
@@ -192,14 +195,39 @@ class Cutter:
         return out.view(np.int64)
 
 
-def units(rows: DataFrame) -> DataFrame:
+def runs(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The frame in parts of some ``PART`` characters of text, or one text."""
+    number = frame.text.str.len().cumsum().to_numpy() // PART
+    edges = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1], [True]])) if len(frame) else []
+    return (frame.iloc[a:b] for a, b in zip(edges, edges[1:]))
+
+
+def first_texts(rows: DataFrame) -> DataFrame:
+    """(key, first, last) of each text of ``rows (doc_id, key)``: the smallest and largest id that has it."""
+    ids = F.struct("doc_id")
+    return rows.groupBy("key").agg(F.min(ids).alias("first"), F.max(ids).alias("last"))
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("place", F.xxhash64("doc_id", "key"))
+
+
+def sifting(first: Bloom | None) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """What drops rows of a ``placed`` frame that are not in ``first``: copies of earlier texts, or most of them."""
+    if first is None:
+        return lambda frame: frame
+    filled, mask = first.shared, first.bits - 1
+    return lambda frame: frame[bloom_test(filled.value, frame.place.to_numpy(), mask)]
+
+
+def units(rows: DataFrame, first: Bloom | None = None) -> DataFrame:
     """Paragraphs of five words or more in ``rows (doc_id, key, text)``: (doc_id, key, pos, unit, n_words, bands)."""
+    sift = sifting(first)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter = Cutter()
-        for frame in frames:
-            for at in range(0, len(frame), 500):
-                part = frame.iloc[at:at + 500]
+        for frame in map(sift, frames):
+            for part in runs(frame):
                 owner, place, size, codes = cutter.cut(part.text)
                 bands = list(cutter.bands(size, codes))
                 yield pd.DataFrame({
@@ -207,10 +235,10 @@ def units(rows: DataFrame) -> DataFrame:
                     "pos": place, "unit": cutter.ids(size, codes), "n_words": size, "bands": pd.Series(bands, dtype=object),
                 })
 
-    return rows.mapInPandas(cut, "doc_id long, key long, pos int, unit long, n_words int, bands array<long>")
+    return placed(rows).mapInPandas(cut, "doc_id long, key long, pos int, unit long, n_words int, bands array<long>")
 
 
-def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFrame:
+def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame, first: Bloom | None = None) -> DataFrame:
     """(unit, hashes) for the units in ``wanted (unit)``, read from texts that hold one; ``found`` are all units."""
     ids = Bloom(wanted)
     holders = found.where(ids(F.col("unit"))).join(wanted.distinct(), "unit", "left_semi").groupBy("unit").agg(
@@ -218,15 +246,15 @@ def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFr
     texts = Bloom(holders.select("key"))
     filled, mask = ids.shared, ids.bits - 1
     holding, holding_mask = texts.shared, texts.bits - 1
+    sift = sifting(first)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter = Cutter()
         seen: set[int] = set()
-        for frame in frames:
-            texts = frame.text[bloom_test(holding.value, frame.key.to_numpy(), holding_mask)]
-            for at in range(0, len(texts), 200):
+        for frame in map(sift, frames):
+            for part in runs(frame[bloom_test(holding.value, frame.key.to_numpy(), holding_mask)]):
                 units_out, sets = [], []
-                _, _, size, codes = cutter.cut(texts.iloc[at:at + 200])
+                _, _, size, codes = cutter.cut(part.text)
                 own, end = cutter.ids(size, codes), np.cumsum(size)
                 for k in np.flatnonzero(bloom_test(filled.value, own, mask)):
                     if int(own[k]) not in seen:
@@ -238,7 +266,7 @@ def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFr
                     seen.clear()
                 yield pd.DataFrame({"unit": pd.Series(units_out, dtype="int64"), "hashes": pd.Series(sets, dtype=object)})
 
-    made = rows.select("key", "text").mapInPandas(cut, "unit long, hashes array<long>")
+    made = placed(rows).select("place", "key", "text").mapInPandas(cut, "unit long, hashes array<long>")
     return made.join(wanted.distinct(), "unit", "left_semi").groupBy("unit").agg(F.first("hashes").alias("hashes"))
 
 
@@ -252,7 +280,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ).select("src", "dst")
 
 
-def near_links(rows: DataFrame, found: DataFrame) -> DataFrame:
+def near_links(rows: DataFrame, found: DataFrame, first: Bloom | None = None) -> DataFrame:
     """Verified links (src, dst) between the units of ``found`` that connect all similar colliding ones."""
     bands = found.select("unit", F.explode("bands").alias("band"))
     shared = stage(
@@ -261,7 +289,7 @@ def near_links(rows: DataFrame, found: DataFrame) -> DataFrame:
     sift = Bloom(shared.select("band"))
     members = stage(
         bands.where(sift(F.col("band"))).distinct().join(shared, "band"), "paragraph-bands")
-    sets = stage(shingle_sets(rows, found, members.select("unit")), "paragraph-sets")
+    sets = stage(shingle_sets(rows, found, members.select("unit"), first), "paragraph-sets")
     star = stage(verified(
         members.where("unit > least").select(F.col("least").alias("src"), F.col("unit").alias("dst")).distinct(), sets
     ), "paragraph-links")
@@ -284,10 +312,10 @@ def near_links(rows: DataFrame, found: DataFrame) -> DataFrame:
     return star.union(across)
 
 
-def repeated(rows: DataFrame) -> DataFrame:
+def repeated(rows: DataFrame, kept: Bloom | None = None) -> DataFrame:
     """(doc_id, key, pos, n_words, first_doc) of the paragraphs of ``rows (doc_id, key, text)`` that go."""
-    found = stage(units(rows), "paragraph-units")
-    joined = components(near_links(rows, found), "paragraph-components").withColumnRenamed("node", "unit")
+    found = stage(units(rows, kept), "paragraph-units")
+    joined = components(near_links(rows, found, kept), "paragraph-components").withColumnRenamed("node", "unit")
     firsts = found.groupBy("unit").agg(F.min(F.struct("doc_id", "key", "pos")).alias("place"), F.count("*").alias("n"))
     # Units that occur twice or are linked; all others stay without being looked at again.
     several = firsts.join(joined, "unit", "left").where("n > 1 OR component IS NOT NULL").select(
@@ -305,51 +333,44 @@ def repeated(rows: DataFrame) -> DataFrame:
     return gone
 
 
-def passages(rows: DataFrame) -> DataFrame:
+def passages(rows: DataFrame, kept: Bloom | None = None, texts: DataFrame | None = None) -> DataFrame:
     """(doc_id, key, start, first_doc) of the windows of words of ``rows (doc_id, key, text)`` that go.
 
-    ``start`` is the number of the window's first word, -1 for a whole text that an earlier document has.
+    ``start`` is the number of the window's first word, -1 for a whole text that an earlier document has; ``texts`` are
+    the ``first_texts`` of the rows.
     """
+    sift = sifting(kept)
 
     def names(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter = Cutter()
-        for frame in frames:
-            found, owner = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-            for key, text in zip(frame.key, frame.text):
-                keys = cutter.spread(text)
-                found.append(np.unique(keys[named(keys)]))
-                owner.append(np.full(len(found[-1]), key, dtype=np.int64))
-            yield pd.DataFrame({"name": np.concatenate(found).view(np.int64), "key": np.concatenate(owner)})
+        for frame in map(sift, frames):
+            for part in runs(frame):
+                owner, _, name, _ = cutter.windows(part.text.to_list())
+                # Neighbours mostly have one name.
+                new = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (owner[1:] != owner[:-1])])[:len(name)])
+                yield pd.DataFrame({"name": name[new].view(np.int64), "key": part.key.to_numpy()[owner[new]]})
 
     shared = stage(
-        rows.select("key", "text").mapInPandas(names, "name long, key long")
+        placed(rows).select("place", "key", "text").mapInPandas(names, "name long, key long")
         .groupBy("name").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b").select("name"),
         "paragraph-names")
-    sift = Bloom(shared, bits=1 << 26)
-    filled, mask = sift.shared, sift.bits - 1
+    found = Bloom(shared, bits=1 << 26)
+    filled, mask = found.shared, found.bits - 1
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter = Cutter()
-        for frame in frames:
-            for at in range(0, len(frame), 100):
-                part = frame.iloc[at:at + 100]
-                found, start, owner = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-                for number, text in enumerate(part.text):
-                    keys = cutter.spread(text)
-                    name = keys[named(keys)].view(np.int64)
-                    may = np.flatnonzero(bloom_test(filled.value, name, mask))
-                    if len(may):
-                        found.append(window_keys(keys)[may])
-                        start.append(may)
-                        owner.append(np.full(len(may), number))
-                owners = np.concatenate(owner)
+        for frame in map(sift, frames):
+            for part in runs(frame):
+                owner, word, name, window = cutter.windows(part.text.to_list())
+                may = np.flatnonzero(bloom_test(filled.value, name.view(np.int64), mask))
                 yield pd.DataFrame({
-                    "doc_id": part.doc_id.astype("Int64").array[owners], "key": part.key.to_numpy()[owners],
-                    "start": np.concatenate(start).astype(np.int32), "window": np.concatenate(found).view(np.int64),
+                    "doc_id": part.doc_id.astype("Int64").array[owner[may]], "key": part.key.to_numpy()[owner[may]],
+                    "start": word[may].astype(np.int32), "window": window[may].view(np.int64),
                 })
 
-    places = stage(rows.mapInPandas(cut, "doc_id long, key long, start int, window long"), "paragraph-windows")
+    places = stage(placed(rows).mapInPandas(cut, "doc_id long, key long, start int, window long"), "paragraph-windows")
     unstage(shared)
+    found.close()
     firsts = stage(
         places.groupBy("window").agg(
             F.min(F.struct("doc_id", "key")).alias("first"), F.max(F.struct("doc_id", "key")).alias("last"))
@@ -359,15 +380,12 @@ def passages(rows: DataFrame) -> DataFrame:
         "doc_id", "key", "start", F.col("first.doc_id").alias("first_doc")), "paragraph-inside")
     for done in (places, firsts):
         unstage(done)
-    ids = F.struct("doc_id")
     enough = rows.where(F.length("text") >= 2 * MIN_RUN - 1)  # characters that so many words have at least
-    texts = stage(
-        enough.groupBy("key").agg(F.min(ids).alias("first"), F.max(ids).alias("last")).where("first < last")
-        .select("key", "first"), "paragraph-texts")
-    whole = enough.select("doc_id", "key").join(texts, "key").where(
+    copied = (stage(first_texts(rows), "paragraph-texts") if texts is None else texts).where("first < last")
+    whole = stage(enough.select("doc_id", "key").join(copied.select("key", "first"), "key").where(
         ~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-    ).select("doc_id", "key", F.lit(-1).alias("start"), F.col("first.doc_id").alias("first_doc"))
-    return inside.union(whole.distinct())
+    ).select("doc_id", "key", F.lit(-1).alias("start"), F.col("first.doc_id").alias("first_doc")).distinct(), "paragraph-whole")
+    return inside.union(whole)
 
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -428,10 +446,9 @@ def remove(text: str, gone: dict[int, int], starts: list[int] = ()) -> tuple[str
     """
     spans = paragraphs(text)
     exact = word_runs(text, list(starts))
-    short = {pos for pos, (a, b) in enumerate(spans) if pos not in gone and len(words(text[a:b])) < SHINGLE}
     runs: list[list[int]] = []
     for pos in sorted(gone):
-        if runs and all(p in short for p in range(runs[-1][-1] + 1, pos)):
+        if runs and all(len(words(text[a:b])) < SHINGLE for a, b in spans[runs[-1][-1] + 1:pos]):
             runs[-1].append(pos)
         else:
             runs.append([pos])
@@ -442,7 +459,11 @@ def remove(text: str, gone: dict[int, int], starts: list[int] = ()) -> tuple[str
     # A run holds one that is long enough, or it is too short.
     inner = {a for a, _ in joined_runs(text, enough)}
     drop = [(a, b) for a, b in joined_runs(text, exact + near) if any(a <= x < b for x in inner)]
-    touched = sum(any(c < b and a < d for c, d in drop) for a, b in spans)
+    begins, touched, done = [a for a, _ in spans], 0, 0
+    for a, b in drop:
+        end = bisect_left(begins, b)
+        touched += end - max(done, bisect_right(begins, a) - 1)
+        done = end
     return without_spans(text, drop), touched
 
 
@@ -452,15 +473,24 @@ def dedup(docs: DataFrame) -> DataFrame:
     rows = keyed.select(F.col("__doc_id").alias("doc_id"), F.col("__text_key").alias("key"), plain_text().alias("text"))
     paragraph, window = F.struct("pos", "n_words", "first_doc"), F.struct("start", "first_doc")
     none = lambda column, like: F.when(F.lit(False), column).alias(like)
-    found = repeated(rows).select("doc_id", "key", paragraph.alias("p"), none(
+    texts = stage(first_texts(rows), "paragraph-texts")
+    kept = Bloom(texts.select(F.xxhash64("first.doc_id", "key").alias("place")), bits=1 << 26)
+    found, inside = repeated(rows, kept), passages(rows, kept, texts)
+    kept.close()
+    # A copy goes whole; what else holds passages of it is what holds those of the first text like it.
+    held = found.select("key", "first_doc").union(inside.where("start >= 0").select("key", "first_doc")).distinct()
+    copies = inside.where("start < 0").select("doc_id", "key")
+    inside = inside.union(copies.join(held, "key").select("doc_id", "key", F.lit(-1).alias("start"), "first_doc"))
+    found = found.select("doc_id", "key", paragraph.alias("p"), none(
         F.struct(F.lit(0).alias("start"), F.lit(0).cast("long").alias("first_doc")), "w"))
-    inside = passages(rows).select("doc_id", "key", none(F.struct(
+    inside = inside.select("doc_id", "key", none(F.struct(
         F.lit(0).alias("pos"), F.lit(0).alias("n_words"), F.lit(0).cast("long").alias("first_doc")), "p"), window.alias("w"))
     gone = stage(
         found.union(inside).groupBy("doc_id", "key").agg(
             F.collect_set("p").alias("gone"), F.collect_set("w").alias("windows")),
         "paragraph-gone",
     )
+    unstage(texts)
 
     @F.pandas_udf("text string, n_removed int")
     def rewrite(texts: pd.Series, at: pd.Series, sizes: pd.Series, starts: pd.Series) -> pd.DataFrame:
@@ -470,15 +500,15 @@ def dedup(docs: DataFrame) -> DataFrame:
     bloom = Bloom(gone.select("key"))
     # Names of its own for whatever joins the documents, so that no column of theirs clashes.
     gone = gone.withColumnsRenamed({c: f"__gone_{c}" for c in gone.columns})
-    kept = [c for c in docs.columns if c.lower() not in {"n_removed", "first_docs"}]
-    names = [F.col(f"`{c}`") for c in kept]
+    columns = [c for c in docs.columns if c.lower() not in {"n_removed", "first_docs"}]
+    names = [F.col(f"`{c}`") for c in columns]
     may = keyed.withColumn("__text_may", bloom(F.col("__text_key")))
     hit = may.where("__text_may").join(
         gone, F.col("__doc_id").eqNullSafe(F.col("__gone_doc_id")) & (F.col("__text_key") == F.col("__gone_key")), "left")
     changed = hit.where("__gone_gone IS NOT NULL").withColumn(
         "__text_new", rewrite("text", F.col("__gone_gone.pos"), F.col("__gone_gone.n_words"), F.col("__gone_windows.start"))
     ).select(
-        *[F.col("__text_new.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in kept],
+        *[F.col("__text_new.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in columns],
         F.col("__text_new.n_removed").alias("n_removed"),
         F.when(F.col("__text_new.n_removed") > 0, F.array_sort(
             F.array_union("__gone_gone.first_doc", "__gone_windows.first_doc")))
