@@ -381,6 +381,12 @@ def test_copies_are_not_cut_up_and_go_with_what_their_first_text_goes_for(spark)
     assert got[5:] == [(5, "short copy", []), (6, "short copy", [])]
 
 
+def test_small_tables_bring_no_second_python_step_into_a_task(spark):
+    docs = spark.createDataFrame([(1, PROSE), (2, PROSE)], "doc_id long, text string")
+    plan = paragraphs.dedup(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_steps_of_suffix_dedup_go_once_they_are_used(spark):
     folder = "/" + shared_folder(spark).split(":", 1)[-1].lstrip("/")
     old = set(os.listdir(folder)) if os.path.isdir(folder) else set()

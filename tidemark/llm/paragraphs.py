@@ -503,8 +503,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     columns = [c for c in docs.columns if c.lower() not in {"n_removed", "first_docs"}]
     names = [F.col(f"`{c}`") for c in columns]
     may = keyed.withColumn("__text_may", bloom(F.col("__text_key")))
+    # Shuffled however small, so that no task has two Python steps: workers are kept, and each takes 150 MB and more.
     hit = may.where("__text_may").join(
-        gone, F.col("__doc_id").eqNullSafe(F.col("__gone_doc_id")) & (F.col("__text_key") == F.col("__gone_key")), "left")
+        gone.hint("merge"), F.col("__doc_id").eqNullSafe(F.col("__gone_doc_id")) & (F.col("__text_key") == F.col("__gone_key")), "left")
     changed = hit.where("__gone_gone IS NOT NULL").withColumn(
         "__text_new", rewrite("text", F.col("__gone_gone.pos"), F.col("__gone_gone.n_words"), F.col("__gone_windows.start"))
     ).select(

@@ -29,7 +29,7 @@ from .common import plain_text
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 SCALE = 32.0
 PAIR = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier that makes a pair's hash depend on the order
-MEMO = 1 << 20  # hashes of tokens a worker remembers
+MEMO = 1 << 17  # hashes of tokens a worker remembers
 
 
 @dataclass(frozen=True)

@@ -444,7 +444,8 @@ def encode_long(rows: DataFrame, model: str, chunk: int) -> DataFrame:
         scan, "doc_id long, key long, k int, ends array<long>, score long").withColumnsRenamed(
         {"doc_id": "d", "key": "e", "k": "n"})
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("e")) & (F.col("k") == F.col("n"))
-    return parts.join(ends, same).select("doc_id", "key", "k", "part", "size", "ends", "score").mapInPandas(
+    # Shuffled however small, so that no task has two Python steps, which are a worker process each.
+    return parts.join(ends.hint("merge"), same).select("doc_id", "key", "k", "part", "size", "ends", "score").mapInPandas(
         second, "doc_id long, key long, k int, score long, heads array<binary>, exits array<int>, rest binary, between long"
     ).groupBy(*keys).applyInPandas(join, "doc_id long, key long, ids array<int>, score long, back long")
 
