@@ -6,6 +6,7 @@ import hashlib
 import os
 import re
 
+import numpy as np
 import pytest
 from xxhash import xxh64_intdigest
 
@@ -175,6 +176,22 @@ def test_decontamination_finds_every_substituted_passage(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 9]
 
 
+def test_seeds_of_many_texts_are_those_of_each():
+    cutter, words = paragraphs.Cutter(), [f"w{i}" for i in range(40)]
+    # An item's halves in two texts, a text without words, and the item itself.
+    texts = [" ".join(words[:20]), " ".join(words[20:]), "", " \n", "w1", " ".join(words), "é " * 30]
+    filled = np.full(1, -1, dtype=np.int64).view(np.uint64)  # lets all through
+    tokens, ends = cutter.tokens(texts)
+    got = decontaminate.hits(tokens, ends, filled, 64)
+    want = []
+    for k, text in enumerate(texts):
+        own, end = cutter.tokens([text])
+        at, found = decontaminate.hits(own, end, filled, 64)
+        want += zip((at + (ends[k - 1] if k else 0)).tolist(), found.tolist())
+    assert sorted(zip(*(x.tolist() for x in got))) == sorted(want)
+    assert len(want) == sum(max(0, len(t.split()) - len(m) + 1) for t in texts for m in decontaminate.MASKS)
+
+
 def test_decontamination_of_the_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")

@@ -22,9 +22,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-from .common import Bloom, plain_text, stage, without, words
+from .common import Bloom, bloom_test, plain_text, stage, without
+from .paragraphs import Cutter, runs
 
 # The masks; 1 marks a token that counts.
 MASKS = ("11111", "1101011", "110010011", "10110001001", "111000101", "1010100011")
@@ -33,25 +33,6 @@ SPAN = max(map(len, MASKS))
 WINDOW = 20
 SIMILAR = 0.8
 MIX = np.uint64(0x9E3779B97F4A7C15)
-MEMO = 1 << 20
-
-
-class Tokens:
-    """Hashes of a text's words, remembering the last million words."""
-
-    def __init__(self) -> None:
-        self.memo: dict[bytes, int] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        memo, out = self.memo, []
-        if len(memo) > MEMO:
-            memo.clear()
-        for word in words(text):
-            code = memo.get(word)
-            if code is None:
-                code = memo[word] = xxh64_intdigest(word)
-            out.append(code)
-        return np.array(out, dtype=np.uint64)
 
 
 def seeds(tokens: np.ndarray, mask: int) -> np.ndarray:
@@ -64,15 +45,16 @@ def seeds(tokens: np.ndarray, mask: int) -> np.ndarray:
     return ((out ^ (out >> np.uint64(29))) * MIX).view(np.int64)
 
 
-def hits(tokens: np.ndarray, filled: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(position, hash) where a text's seeds may be those of an item."""
+def hits(tokens: np.ndarray, ends: np.ndarray, filled: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position, hash) where seeds of texts that follow each other, up to ``ends``, may be those of an item."""
     at, found = [], []
     for mask in range(len(MASKS)):
         codes = seeds(tokens, mask)
         where = np.arange(len(codes))
-        for probe in range(Bloom.PROBES):
-            slot = (codes[where] >> np.int64(13 * probe)) & np.int64(bits - 1)
-            where = where[(filled[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1]
+        for probe in range(Bloom.PROBES):  # few are left after the first
+            where = where[bloom_test(filled, codes[where] >> np.int64(13 * probe), bits - 1, 1)]
+        # Others run on into the next text.
+        where = where[where + len(MASKS[mask]) <= ends[np.searchsorted(ends, where, "right")]]
         at.append(where)
         found.append(codes[where])
     return np.concatenate(at), np.concatenate(found)
@@ -105,9 +87,9 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
     @F.pandas_udf("array<long>")
     def hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        reader = Tokens()
+        cutter = Cutter()
         for texts in batches:
-            yield pd.Series([reader(text).view(np.int64).tolist() for text in texts], dtype=object)
+            yield pd.Series([cutter.tokens([text])[0].view(np.int64).tolist() for text in texts], dtype=object)
 
     return benchmark.select(
         F.col("item_id").cast("long"), hashes(plain_text()).alias("tokens")
@@ -139,15 +121,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     filled, bits = bloom.shared, bloom.bits
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Tokens()
+        cutter = Cutter()
         for frame in frames:
             out = []
-            for doc, key, text in zip(frame.doc_id, frame.key, frame.text):
-                tokens = reader(text)
-                at, found = hits(tokens, filled.value, bits)
-                for low, high in regions(at, len(tokens)):
-                    inside = (at >= low) & (at < high)
-                    out.append((doc, key, low, tokens[low:high].view(np.int64), at[inside], found[inside]))
+            for part in runs(frame):
+                tokens, ends = cutter.tokens(part.text)
+                at, found = hits(tokens, ends, filled.value, bits)
+                owner = np.searchsorted(ends, at, "right")
+                for k in np.unique(owner).tolist():
+                    first = ends[k - 1] if k else 0
+                    own, codes = at[owner == k] - first, found[owner == k]
+                    for low, high in regions(own, ends[k] - first):
+                        inside = (own >= low) & (own < high)
+                        out.append((part.doc_id.iloc[k], part.key.iloc[k], low, tokens[first + low:first + high].view(np.int64),
+                                    own[inside], codes[inside]))
             yield pd.DataFrame(out, columns=["doc_id", "key", "start", "tokens", "at", "hash"]).astype({"doc_id": "Int64"})
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), plain_text().alias("text"))

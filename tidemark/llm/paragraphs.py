@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -146,15 +146,20 @@ class Cutter:
         kept = np.flatnonzero(long).tolist()
         return [owner[k] for k in kept], [place[k] for k in kept], size[long], codes[np.repeat(long, size)]
 
-    def windows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(text number, first word, name, key) of each window of ``MIN_RUN`` words; its name is its least shingle."""
+    def tokens(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all words of texts that follow each other, and how many there are up to the end of each."""
         lines = [text.encode("utf-8", "surrogatepass") for text in texts]
         starts, codes = self.codes(b"\n".join(lines))
+        return codes, np.searchsorted(starts, np.cumsum([len(line) + 1 for line in lines]))
+
+    def windows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, first word, name, key) of each window of ``MIN_RUN`` words; its name is its least shingle."""
+        codes, ends = self.tokens(texts)
         count = len(codes) - MIN_RUN + 1
         if count < 1:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
-        size = np.diff(np.searchsorted(starts, np.cumsum([0, *(len(line) + 1 for line in lines)])))
-        owner = np.repeat(np.arange(len(lines)), size)[:count]
+        size = np.diff(ends, prepend=0)
+        owner = np.repeat(np.arange(len(size)), size)[:count]
         word = np.arange(count) - (np.cumsum(size) - size)[owner]
         whole = word <= size[owner] - MIN_RUN  # others would run on into the next text
         keys = shingle_keys(codes)
