@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from xxhash import xxh64_intdigest
 
-from tidemark.llm import decontaminate, paragraphs, simhash, suffix_dedup
+from tidemark.llm import common, decontaminate, paragraphs, simhash, suffix_dedup
 from tidemark.llm.common import Bloom, components, shared_folder
 
 DOCS = "doc_id long, text string, key int, n long"
@@ -404,6 +404,44 @@ def test_small_tables_bring_no_second_python_step_into_a_task(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_values_of_several_owners(spark, monkeypatch, buckets):
+    monkeypatch.setattr(common, "PAIRS", 50)
+    rows = [(k * k % 97 * 0x9E3779B97F4A7C15 % 2**64 - 2**63, k % 5 - 2) for k in range(400)]
+    rows += [(k * 3, 1) for k in range(50)] + [(k * 3, 1) for k in range(50)] + [(-1, 4), (-1, 3), (2**63 - 1, -7), (2**63 - 1, 9)]
+
+    def pairs(frames):
+        for frame in frames:
+            yield frame.value.to_numpy().view("uint64"), frame.owner.to_numpy()
+
+    frame = spark.createDataFrame(rows, "value long, owner long").repartition(5)
+    owners = {}
+    for value, owner in rows:
+        owners.setdefault(value, set()).add(owner)
+    want = sorted((v, min(o)) for v, o in owners.items() if len(o) > 1)
+    assert want and sorted(map(tuple, common.several_owners(frame, pairs, buckets).collect())) == want
+    assert common.several_owners(frame.limit(0), pairs, buckets).count() == 0
+
+
+def test_anchors_of_many_texts_are_those_of_each(documents):
+    odd = ["", "a" * 49, "b" * 50, "a" * 200, "é" * 60, "short", "a" * 50, "\ud800" * 40]
+    texts = odd + [t or "" for _, t in rows_of(documents)][:60]
+    reader, alone, rows = suffix_dedup.Reader(), suffix_dedup.Reader(), {}
+    data, owner, start, end, at, keys = reader.read(texts)
+    assert data == b"".join(t.encode("utf-8", "surrogatepass") for t in texts)
+    low, high = suffix_dedup.row_bounds(at, start, end)
+    got = sorted(zip(owner.tolist(), (at - start).tolist(), keys.tolist(), reader.rows(data, low, at, high).tolist()))
+    want = []
+    for k, text in enumerate(texts):
+        own, _, first, last, place, codes = alone.read([text])
+        a, b = suffix_dedup.row_bounds(place, first, last)
+        hashes = alone.rows(own, a, place, b).tolist()
+        want += zip([k] * len(place), place.tolist(), codes.tolist(), hashes)
+        for h, x, y, z in zip(hashes, a.tolist(), place.tolist(), b.tolist()):
+            assert rows.setdefault(h, (y - x, own[x:z])) == (y - x, own[x:z])
+    assert got == sorted(want) and {k for k, *_ in got} >= {2, 3, 4, 6, 7}
+
+
 def test_steps_of_suffix_dedup_go_once_they_are_used(spark):
     folder = "/" + shared_folder(spark).split(":", 1)[-1].lstrip("/")
     old = set(os.listdir(folder)) if os.path.isdir(folder) else set()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -188,6 +188,68 @@ def bloom_test(filled: np.ndarray, values: np.ndarray, mask: int, probes: int =
     return out
 
 
+RUN = 1 << 18  # characters of text that are looked at together
+
+
+def runs(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The frame in parts of some ``RUN`` characters of text, or one text."""
+    number = frame.text.str.len().cumsum().to_numpy() // RUN
+    edges = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1], [True]])) if len(frame) else []
+    return (frame.iloc[a:b] for a, b in zip(edges, edges[1:]))
+
+
+PAIRS = 1 << 18  # pairs that a task sums up together
+Pairs = Iterator[tuple[np.ndarray, np.ndarray]]
+
+
+def several_owners(rows: DataFrame, pairs: Callable[[Iterator[pd.DataFrame]], Pairs], buckets: int) -> DataFrame:
+    """(value, least): the values that different owners have, and the smallest of these.
+
+    ``pairs`` makes values (uint64, spread over all their range) and owners (int64) of ``rows``. They are summed up in
+    their task and shuffled packed, by ranges of values: rows of their own would cost a multiple.
+    """
+
+    def packed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        keys, owner = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(keys)
+        keys, owner = keys[order], owner[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+        keys = keys[first]
+        least = np.minimum.reduceat(owner, first) if len(first) else owner
+        several = least != (np.maximum.reduceat(owner, first) if len(first) else owner)
+        edges = np.array([(b << 64) // buckets for b in range(buckets)], dtype=np.uint64)
+        cut = np.append(np.searchsorted(keys, edges), len(keys))
+        return pd.DataFrame([
+            (b, keys[i:j].tobytes(), least[i:j].tobytes(), several[i:j].tobytes())
+            for b, (i, j) in enumerate(zip(cut, cut[1:])) if i < j
+        ], columns=["bucket", "keys", "owners", "several"])
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, size = [], 0
+        for part in pairs(frames):
+            parts.append(part)
+            size += len(part[0])
+            if size >= PAIRS:
+                yield packed(parts)
+                parts, size = [], 0
+        if parts:
+            yield packed(parts)
+
+    def meet(frame: pd.DataFrame) -> pd.DataFrame:
+        keys = np.concatenate([np.frombuffer(k, np.uint64) for k in frame["keys"]])
+        owner = np.concatenate([np.frombuffer(o, np.int64) for o in frame.owners])
+        several = np.concatenate([np.frombuffer(s, bool) for s in frame.several])
+        order = np.argsort(keys)
+        keys, owner, several = keys[order], owner[order], several[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        least = np.minimum.reduceat(owner, first)
+        found = (least != np.maximum.reduceat(owner, first)) | np.logical_or.reduceat(several, first)
+        return pd.DataFrame({"value": keys[first][found].view(np.int64), "least": least[found]})
+
+    return rows.mapInPandas(ask, "bucket int, keys binary, owners binary, several binary").groupBy("bucket").applyInPandas(
+        meet, "value long, least long")
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` less the documents in the staged ``gone (doc_id, key)``, ``key`` being the text's xxhash64.
 

@@ -30,15 +30,14 @@ import hashlib
 import math
 import os
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-from .common import Bloom, bloom_test, plain_text, stage, unstage
+from .common import Bloom, bloom_test, plain_text, runs, several_owners, stage, unstage
 
 LENGTH = 50
 GRAM = 20
@@ -48,6 +47,7 @@ HOT = 200_000
 ROWS = 100_000  # rows per task, on average
 BUCKET = 16 << 20  # bytes of text per range of anchor keys
 MIX = np.uint64(0x9E3779B97F4A7C15)
+BACK = np.uint64(pow(int(MIX), -1, 1 << 64))
 BLOOM = 1 << 26
 
 
@@ -78,23 +78,48 @@ def sliding(values: np.ndarray, width: int, least) -> np.ndarray:
     return least(values[:-rest], values[rest:]) if rest else values
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, keys): the smallest grams of all windows; ties all count."""
-    if len(data) < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    hashes = gram_hashes(data)
-    least = sliding(hashes, REACH + 1, np.minimum)
-    zeros = np.zeros(REACH, np.uint64)
-    at = np.flatnonzero(sliding(np.concatenate([zeros, least, zeros]), REACH + 1, np.maximum) == hashes)
-    # Smallest hashes are small numbers; mixed again they spread over all ranges.
-    keys = hashes[at]
-    return at, (keys ^ (keys >> np.uint64(27))) * MIX
-
-
-def row_of(data: bytes, at: int) -> tuple[int, bytes]:
-    """(bytes before the anchor, row) of an anchor at a place."""
-    low = max(0, at - REACH)
-    return at - low, data[low:at + LENGTH]
+class Reader:
+    """Anchors of texts that follow each other, and hashes of their rows; one per task."""
+
+    def __init__(self) -> None:
+        self.powers = self.back = np.ones(0, dtype=np.uint64)
+
+    def read(self, texts: Iterable[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(all bytes, text number, its text's start and end, place, key) of the smallest grams of all windows; ties all count."""
+        lines = [text.encode("utf-8", "surrogatepass") for text in texts]
+        size = np.array([len(line) for line in lines], dtype=np.int64)
+        end, data = np.cumsum(size), b"".join(lines)
+        if not (size >= LENGTH).any():
+            none = np.empty(0, np.int64)
+            return data, none, none, none, none, np.empty(0, np.uint64)
+        hashes = gram_hashes(np.frombuffer(data, np.uint8))
+        least = sliding(hashes, REACH + 1, np.minimum)
+        for low, high in zip(np.maximum(end - size, end - LENGTH + 1).tolist(), end.tolist()):
+            least[low:high] = 0  # windows that would run on into the next text
+        zeros = np.zeros(REACH, np.uint64)
+        at = np.flatnonzero(sliding(np.concatenate([zeros, least, zeros]), REACH + 1, np.maximum) == hashes)
+        owner = np.searchsorted(end, at, "right")
+        inside = (at + GRAM <= end[owner]) & (size[owner] >= LENGTH)
+        at, owner = at[inside], owner[inside]
+        # Smallest hashes are small numbers; mixed again they spread over all ranges.
+        keys = hashes[at]
+        return data, owner, (end - size)[owner], end[owner], at, (keys ^ (keys >> np.uint64(27))) * MIX
+
+    def rows(self, data: bytes, low: np.ndarray, at: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """A hash of each row ``data[low:high]`` with its anchor at ``at``: its bytes times powers of ``MIX``."""
+        if len(data) >= len(self.powers):
+            self.powers = np.cumprod(np.full(len(data) + 1, MIX, dtype=np.uint64))
+            self.back = np.cumprod(np.full(len(data) + 1, BACK, dtype=np.uint64))
+        total = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((np.frombuffer(data, np.uint8) + np.uint64(1)) * self.powers[:len(data)], out=total[1:])
+        out = (total[high] - total[low]) * self.back[low]
+        out = (out ^ (out >> np.uint64(32))) * MIX + (at - low).astype(np.uint64)
+        return ((out ^ (out >> np.uint64(29))) * MIX).view(np.int64)
+
+
+def row_bounds(at: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where an anchor's row starts and stops."""
+    return np.maximum(start, at - REACH), np.minimum(end, at + LENGTH)
 
 
 def full(at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,43 +177,14 @@ def shared_keys(rows: DataFrame) -> DataFrame:
     volume = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("v")).first().v or 0
     buckets = max(1, math.ceil(volume / BUCKET))
 
-    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        reader = Reader()
         for frame in frames:
-            found = [
-                (np.unique(anchors(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))[1]), doc)
-                for doc, text in zip(frame.doc_id, frame.text)
-            ]
-            keys = np.concatenate([np.empty(0, np.uint64), *[k for k, _ in found]])
-            owner = np.concatenate([np.empty(0, np.int64), *[np.full(len(k), d) for k, d in found]])
-            order = np.lexsort((owner, keys))
-            keys, owner = keys[order], owner[order]
-            if not len(keys):
-                continue
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            last = np.append(first[1:], len(keys)) - 1
-            several = owner[first] != owner[last]
-            # The smallest owner goes along: rows of one id in two blocks are one document.
-            keys, owner = keys[first], owner[first]
-            edges = np.array([(b << 64) // buckets for b in range(buckets)], dtype=np.uint64)
-            cut = np.append(np.searchsorted(keys, edges), len(keys))
-            yield pd.DataFrame([
-                (b, keys[i:j].tobytes(), owner[i:j].tobytes(), several[i:j].tobytes())
-                for b, (i, j) in enumerate(zip(cut, cut[1:])) if i < j
-            ], columns=["bucket", "keys", "owners", "several"])
-
-    def meet(frame: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([np.frombuffer(k, np.uint64) for k in frame["keys"]])
-        owner = np.concatenate([np.frombuffer(o, np.int64) for o in frame.owners])
-        several = np.concatenate([np.frombuffer(s, bool) for s in frame.several])
-        order = np.argsort(keys, kind="stable")
-        keys, owner, several = keys[order], owner[order], several[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        found = (np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)) | np.logical_or.reduceat(several, first)
-        return pd.DataFrame({"anchor": keys[first][found].view(np.int64)})
-
-    return rows.select("doc_id", "text").mapInPandas(
-        ask, "bucket int, keys binary, owners binary, several binary"
-    ).groupBy("bucket").applyInPandas(meet, "anchor long")
+            for part in runs(frame):
+                _, owner, _, _, _, keys = reader.read(part.text)
+                yield keys, part.doc_id.to_numpy()[owner]
+
+    return several_owners(rows.select("doc_id", "text"), pairs, buckets).select(F.col("value").alias("anchor"))
 
 
 def places(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -200,47 +196,44 @@ def places(rows: DataFrame, keys: DataFrame) -> DataFrame:
     filled, mask = bloom.shared, bloom.bits - 1
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader()
         for frame in frames:
-            parts = []
-            for doc, key, text in zip(frame.doc_id, frame.text_key, frame.text):
-                data = text.encode("utf-8", "surrogatepass")
-                at, codes = anchors(np.frombuffer(data, np.uint8))
-                codes = codes.view(np.int64)
-                keep = bloom_test(filled.value, codes, mask)
-                at, codes = at[keep], codes[keep]
-                if len(at):
-                    row = np.array([row_hash(*row_of(data, x)) for x in at.tolist()], dtype=np.uint64).view(np.int64)
-                    parts.append((codes, row, np.full(len(at), doc), np.full(len(at), key), at))
-            columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0, np.int64)] * 5
-            yield pd.DataFrame(dict(zip(["anchor", "row", "doc_id", "text_key", "at"], columns)))
+            for part in runs(frame):
+                data, *found = reader.read(part.text)
+                keep = np.flatnonzero(bloom_test(filled.value, found[-1].view(np.int64), mask))
+                owner, start, end, at, codes = (x[keep] for x in found)
+                low, high = row_bounds(at, start, end)
+                yield pd.DataFrame({
+                    "anchor": codes.view(np.int64), "row": reader.rows(data, low, at, high),
+                    "doc_id": part.doc_id.to_numpy()[owner], "text_key": part.text_key.to_numpy()[owner],
+                    "at": (at - start).astype(np.int32),
+                })
 
     return rows.mapInPandas(find, "anchor long, row long, doc_id long, text_key long, at int")
 
 
-def row_hash(ahead: int, row: bytes) -> int:
-    return xxh64_intdigest(row, ahead + 1)
-
-
 def rows_to_sort(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(anchor, row, owner, ahead, data) for ``wanted (anchor, row, owner, text_key)``: one row of text each."""
-    cell = F.col("anchor").bitwiseXOR(F.col("row"))  # two hashes
+    cell = F.col("anchor").bitwiseXOR(F.col("row")).bitwiseXOR(F.col("text_key"))  # three hashes
     texts, cells = Bloom(wanted.select("text_key")), Bloom(wanted.select(cell.alias("cell")), BLOOM)
     filled, mask = texts.shared, texts.bits - 1
     known, known_mask = cells.shared, cells.bits - 1
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader()
         for frame in frames:
-            out = []
             may = bloom_test(filled.value, frame.text_key.to_numpy(), mask)
-            for text in frame.text[may]:
-                data = text.encode("utf-8", "surrogatepass")
-                at, codes = anchors(np.frombuffer(data, np.uint8))
-                found = [row_of(data, x) for x in at.tolist()]
-                hashes = np.array([row_hash(*x) for x in found], dtype=np.uint64).view(np.int64)
-                codes = codes.view(np.int64)
-                for k in np.flatnonzero(bloom_test(known.value, codes ^ hashes, known_mask)):
-                    out.append((codes[k], hashes[k], *found[k]))
-            yield pd.DataFrame(out, columns=["anchor", "row", "ahead", "data"]).drop_duplicates(["anchor", "row"])
+            for part in runs(frame[may]):
+                data, owner, start, end, at, codes = reader.read(part.text)
+                low, high = row_bounds(at, start, end)
+                codes, hashes = codes.view(np.int64), reader.rows(data, low, at, high)
+                keep = np.flatnonzero(bloom_test(known.value, codes ^ hashes ^ part.text_key.to_numpy()[owner], known_mask))
+                out = pd.DataFrame({
+                    "anchor": codes[keep], "row": hashes[keep], "ahead": (at - low)[keep].astype(np.int32),
+                    "low": low[keep], "high": high[keep],
+                }).drop_duplicates(["anchor", "row"])
+                out["data"] = [data[a:b] for a, b in zip(out.pop("low").tolist(), out.pop("high").tolist())]
+                yield out
 
     made = rows.select("text_key", "text").mapInPandas(find, "anchor long, row long, ahead int, data binary")
     return made.join(wanted.select("anchor", "row", "owner"), ["anchor", "row"]).groupBy("anchor", "row").agg(
@@ -310,22 +303,20 @@ def removals(docs: DataFrame, hot: int = HOT) -> DataFrame:
     keys = stage(shared_keys(rows), "suffix-anchors")
     found = stage(places(rows, keys), "suffix-places")
     unstage(keys)
-    by_row = found.groupBy("anchor", "row").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("first")).select("anchor", "row", "first")
-    by_row = stage(by_row, "suffix-rows")
+    # The smallest id that has a row, and a text that has it, which may be another's.
+    by_row = stage(found.groupBy("anchor", "row").agg(
+        F.min("doc_id").alias("owner"), F.min("text_key").alias("text_key")), "suffix-rows")
     by_anchor = by_row.groupBy("anchor").agg(
-        F.min("row").alias("a"), F.max("row").alias("b"), F.min("first.doc_id").alias("d"), F.max("first.doc_id").alias("e"))
+        F.min("row").alias("a"), F.max("row").alias("b"), F.min("owner").alias("d"), F.max("owner").alias("e"))
     # Different rows of different documents: only there can a window be equal and the row not.
     mixed = by_anchor.where("a <> b AND d <> e").select("anchor")
-    wanted = by_row.join(mixed, "anchor", "left_semi").select(
-        "anchor", "row", F.col("first.doc_id").alias("owner"), F.col("first.text_key").alias("text_key"))
-    wanted = stage(wanted, "suffix-wanted")
+    wanted = stage(by_row.join(mixed, "anchor", "left_semi"), "suffix-wanted")
     to_sort = stage(rows_to_sort(rows, wanted), "suffix-sort")
     unstage(wanted)
     flags = stage(sorted_flags(to_sort, hot), "suffix-flags")
     unstage(to_sort)
     known = by_row.join(flags, ["anchor", "row"], "left").select(
-        "anchor", "row", F.col("first.doc_id").alias("least"), F.coalesce("flags", F.lit(0)).alias("flags"))
+        "anchor", "row", F.col("owner").alias("least"), F.coalesce("flags", F.lit(0)).alias("flags"))
     marks = found.join(known, ["anchor", "row"]).select(
         "doc_id", "text_key", "at", F.when(F.col("doc_id") > F.col("least"), F.lit(-1).cast("long")).otherwise(F.col("flags")).alias("flags"),
     ).where("flags <> 0")
