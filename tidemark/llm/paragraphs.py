@@ -28,6 +28,7 @@ but for ``n_removed`` and ``first_docs``, which are made anew.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable, Iterator
@@ -37,13 +38,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Bloom, bloom_test, components, plain_text, stage, unstage, words
-from .suffix_dedup import sliding
+from .common import Bloom, Pairs, bloom_test, components, plain_text, runs, several_owners, stage, unstage, words
+from .suffix_dedup import BACK, BUCKET, MIX, sliding
 
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS = 6
 ROWS = 2
+BAND_COLUMNS = [f"band{k}" for k in range(BANDS)]
+HELD = 1 << 19  # pairs per range of values where those of different owners are looked for
 LONG = 8  # words of a sentence that ends a paragraph
 MIN_RUN = 20  # words of neighbouring repeated paragraphs that are removed
 SEEN = 1 << 17  # units that a task remembers it has given
@@ -66,9 +69,6 @@ def paragraphs(text: str) -> list[tuple[int, int]]:
     return out
 
 
-MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
 def shingle_keys(codes: np.ndarray) -> np.ndarray:
     """A key for the ``SHINGLE`` words from each word on, made of the words' hashes."""
     size = max(0, len(codes) - SHINGLE + 1)
@@ -93,7 +93,6 @@ COUNTS[[0x20, *range(0x09, 0x0E)]] = 0
 IS_WORD = COUNTS > 0
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 PART = 1 << 18  # bytes that are hashed at once, and what is left of the last word
-BACK = np.uint64(pow(int(MIX), -1, 1 << 64))
 
 
 class Cutter:
@@ -200,13 +199,6 @@ class Cutter:
         return out.view(np.int64)
 
 
-def runs(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """The frame in parts of some ``PART`` characters of text, or one text."""
-    number = frame.text.str.len().cumsum().to_numpy() // PART
-    edges = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1], [True]])) if len(frame) else []
-    return (frame.iloc[a:b] for a, b in zip(edges, edges[1:]))
-
-
 def first_texts(rows: DataFrame) -> DataFrame:
     """(key, first, last) of each text of ``rows (doc_id, key)``: the smallest and largest id that has it."""
     ids = F.struct("doc_id")
@@ -226,7 +218,7 @@ def sifting(first: Bloom | None) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
 
 def units(rows: DataFrame, first: Bloom | None = None) -> DataFrame:
-    """Paragraphs of five words or more in ``rows (doc_id, key, text)``: (doc_id, key, pos, unit, n_words, bands)."""
+    """Paragraphs of five words or more in ``rows (doc_id, key, text)``: (doc_id, key, pos, unit, n_words), a column per band."""
     sift = sifting(first)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -234,13 +226,14 @@ def units(rows: DataFrame, first: Bloom | None = None) -> DataFrame:
         for frame in map(sift, frames):
             for part in runs(frame):
                 owner, place, size, codes = cutter.cut(part.text)
-                bands = list(cutter.bands(size, codes))
                 yield pd.DataFrame({
                     "doc_id": part.doc_id.astype("Int64").array[owner], "key": part.key.to_numpy()[owner],
-                    "pos": place, "unit": cutter.ids(size, codes), "n_words": size, "bands": pd.Series(bands, dtype=object),
+                    "pos": place, "unit": cutter.ids(size, codes), "n_words": size,
+                    **dict(zip(BAND_COLUMNS, cutter.bands(size, codes).T)),
                 })
 
-    return placed(rows).mapInPandas(cut, "doc_id long, key long, pos int, unit long, n_words int, bands array<long>")
+    return placed(rows).mapInPandas(
+        cut, "doc_id long, key long, pos int, unit long, n_words int, " + ", ".join(f"{c} long" for c in BAND_COLUMNS))
 
 
 def shingle_sets(rows: DataFrame, found: DataFrame, wanted: DataFrame, first: Bloom | None = None) -> DataFrame:
@@ -285,15 +278,31 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ).select("src", "dst")
 
 
+def buckets(count: int, size: int) -> int:
+    return max(1, math.ceil(count / size))
+
+
 def near_links(rows: DataFrame, found: DataFrame, first: Bloom | None = None) -> DataFrame:
     """Verified links (src, dst) between the units of ``found`` that connect all similar colliding ones."""
-    bands = found.select("unit", F.explode("bands").alias("band"))
-    shared = stage(
-        bands.groupBy("band").agg(F.min("unit").alias("least"), F.max("unit").alias("most")).where("least < most")
-        .select("band", "least"), "paragraph-shared")
+    cut = found.select("unit", *BAND_COLUMNS)
+
+    def pairs(frames: Iterator[pd.DataFrame]) -> Pairs:
+        for frame in frames:
+            for band in BAND_COLUMNS:
+                yield frame[band].to_numpy().view(np.uint64), frame.unit.to_numpy()
+
+    shared = stage(several_owners(cut, pairs, buckets(found.count() * BANDS, HELD)).withColumnRenamed("value", "band"), "paragraph-shared")
     sift = Bloom(shared.select("band"))
-    members = stage(
-        bands.where(sift(F.col("band"))).distinct().join(shared, "band"), "paragraph-bands")
+    filled, mask = sift.shared, sift.bits - 1
+
+    def narrow(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            unit = frame.unit.to_numpy()
+            found = [(band, np.flatnonzero(bloom_test(filled.value, band, mask))) for band in (frame[c].to_numpy() for c in BAND_COLUMNS)]
+            yield pd.DataFrame({
+                "unit": np.concatenate([unit[at] for _, at in found]), "band": np.concatenate([band[at] for band, at in found])})
+
+    members = stage(cut.mapInPandas(narrow, "unit long, band long").distinct().join(shared, "band"), "paragraph-bands")
     sets = stage(shingle_sets(rows, found, members.select("unit"), first), "paragraph-sets")
     star = stage(verified(
         members.where("unit > least").select(F.col("least").alias("src"), F.col("unit").alias("dst")).distinct(), sets
@@ -321,19 +330,25 @@ def repeated(rows: DataFrame, kept: Bloom | None = None) -> DataFrame:
     """(doc_id, key, pos, n_words, first_doc) of the paragraphs of ``rows (doc_id, key, text)`` that go."""
     found = stage(units(rows, kept), "paragraph-units")
     joined = components(near_links(rows, found, kept), "paragraph-components").withColumnRenamed("node", "unit")
-    firsts = found.groupBy("unit").agg(F.min(F.struct("doc_id", "key", "pos")).alias("place"), F.count("*").alias("n"))
-    # Units that occur twice or are linked; all others stay without being looked at again.
-    several = firsts.join(joined, "unit", "left").where("n > 1 OR component IS NOT NULL").select(
-        "unit", "place", F.coalesce("component", "unit").alias("component"))
-    several = stage(several, "paragraph-several")
-    first = several.groupBy("component").agg(F.min("place").alias("first"))
-    keep = several.join(first, "component").select("unit", "first")
+
+    def pairs(frames: Iterator[pd.DataFrame]) -> Pairs:
+        for frame in frames:
+            yield frame.unit.to_numpy().view(np.uint64), frame.place.to_numpy()
+
+    # Units that stand in two places or are linked; all others stay without being looked at again.
+    places = found.select("unit", F.xxhash64("doc_id", "key", "pos").alias("place"))
+    several = stage(
+        several_owners(places, pairs, buckets(found.count(), HELD)).select(F.col("value").alias("unit"))
+        .join(joined, "unit", "full").select("unit", F.coalesce("component", "unit").alias("component")), "paragraph-several")
     sift = Bloom(several.select("unit"))
-    places = found.where(sift(F.col("unit"))).join(keep, "unit")
+    standing = stage(
+        found.where(sift(F.col("unit"))).select("doc_id", "key", "pos", "n_words", "unit").join(several, "unit"), "paragraph-places")
+    first = standing.groupBy("component").agg(F.min(F.struct("doc_id", "key", "pos")).alias("first"))
+    places = standing.join(first, "component")
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
     gone = stage(places.where(~same).select(
         "doc_id", "key", "pos", "n_words", F.col("first.doc_id").alias("first_doc")), "paragraph-repeated")
-    for done in (found, several):
+    for done in (found, several, standing):
         unstage(done)
     return gone
 
@@ -346,19 +361,19 @@ def passages(rows: DataFrame, kept: Bloom | None = None, texts: DataFrame | None
     """
     sift = sifting(kept)
 
-    def names(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def names(frames: Iterator[pd.DataFrame]) -> Pairs:
         cutter = Cutter()
         for frame in map(sift, frames):
             for part in runs(frame):
                 owner, _, name, _ = cutter.windows(part.text.to_list())
                 # Neighbours mostly have one name.
                 new = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (owner[1:] != owner[:-1])])[:len(name)])
-                yield pd.DataFrame({"name": name[new].view(np.int64), "key": part.key.to_numpy()[owner[new]]})
+                # Least hashes are small numbers; times an odd one they spread over all ranges.
+                yield name[new] * MIX, part.key.to_numpy()[owner[new]]
 
-    shared = stage(
-        placed(rows).select("place", "key", "text").mapInPandas(names, "name long, key long")
-        .groupBy("name").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b").select("name"),
-        "paragraph-names")
+    volume = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("v")).first().v or 0
+    shared = stage(several_owners(
+        placed(rows).select("place", "key", "text"), names, buckets(volume, BUCKET)).select("value"), "paragraph-names")
     found = Bloom(shared, bits=1 << 26)
     filled, mask = found.shared, found.bits - 1
 
@@ -367,7 +382,7 @@ def passages(rows: DataFrame, kept: Bloom | None = None, texts: DataFrame | None
         for frame in map(sift, frames):
             for part in runs(frame):
                 owner, word, name, window = cutter.windows(part.text.to_list())
-                may = np.flatnonzero(bloom_test(filled.value, name.view(np.int64), mask))
+                may = np.flatnonzero(bloom_test(filled.value, (name * MIX).view(np.int64), mask))
                 yield pd.DataFrame({
                     "doc_id": part.doc_id.astype("Int64").array[owner[may]], "key": part.key.to_numpy()[owner[may]],
                     "start": word[may].astype(np.int32), "window": window[may].view(np.int64),
