@@ -404,6 +404,14 @@ def test_small_tables_bring_no_second_python_step_into_a_task(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_a_filter_on_what_is_left_cuts_no_text_up_twice(spark):
+    docs = spark.createDataFrame([(1, PROSE), (2, "Other words than those come first here, and ten of them. " + PROSE)], "doc_id long, text string")
+    left = paragraphs.dedup(docs).where("n_removed = 0 OR text <> ''").selectExpr("doc_id", "text", "length(text) AS n")
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert sum("ArrowEvalPython [rewrite(" in line for line in plan.splitlines()) == 1
+    assert sorted((r.doc_id, "word30" in r.text) for r in left.collect()) == [(1, True), (2, False)]
+
+
 @pytest.mark.parametrize("buckets", [1, 7])
 def test_values_of_several_owners(spark, monkeypatch, buckets):
     monkeypatch.setattr(common, "PAIRS", 50)

@@ -517,6 +517,8 @@ def dedup(docs: DataFrame) -> DataFrame:
         out = [remove(t, dict(zip(p, n)), list(s)) for t, p, n, s in zip(texts, at, sizes, starts)]
         return pd.DataFrame(out, columns=["text", "n_removed"])
 
+    # So a caller's filter on its columns stays above it: put below, it would cut each text up twice, by two workers a task.
+    rewrite = rewrite.asNondeterministic()
     bloom = Bloom(gone.select("key"))
     # Names of its own for whatever joins the documents, so that no column of theirs clashes.
     gone = gone.withColumnsRenamed({c: f"__gone_{c}" for c in gone.columns})
