@@ -46,7 +46,7 @@ SIMILAR = 0.8
 BANDS = 6
 ROWS = 2
 BAND_COLUMNS = [f"band{k}" for k in range(BANDS)]
-HELD = 1 << 19  # pairs per range of values where those of different owners are looked for
+HELD = 1 << 18  # pairs per range of values where those of different owners are looked for
 LONG = 8  # words of a sentence that ends a paragraph
 MIN_RUN = 20  # words of neighbouring repeated paragraphs that are removed
 SEEN = 1 << 17  # units that a task remembers it has given
