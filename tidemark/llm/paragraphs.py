@@ -46,6 +46,7 @@ SIMILAR = 0.8
 BANDS = 6
 ROWS = 2
 BAND_COLUMNS = [f"band{k}" for k in range(BANDS)]
+HUBS = 6  # members of a band that all others are compared with first
 HELD = 1 << 18  # pairs per range of values where those of different owners are looked for
 LONG = 8  # words of a sentence that ends a paragraph
 MIN_RUN = 20  # words of neighbouring repeated paragraphs that are removed
@@ -304,8 +305,12 @@ def near_links(rows: DataFrame, found: DataFrame, first: Bloom | None = None) ->
 
     members = stage(cut.mapInPandas(narrow, "unit long, band long").distinct().join(shared, "band"), "paragraph-bands")
     sets = stage(shingle_sets(rows, found, members.select("unit"), first), "paragraph-sets")
+    # Several hubs a band: where its smallest is like few others, another one joins most of them.
+    hubs = members.groupBy("band").agg(F.array(
+        F.min("unit"), F.max("unit"), *[F.min_by("unit", F.xxhash64("unit", F.lit(k))) for k in range(HUBS - 2)]).alias("hubs"))
     star = stage(verified(
-        members.where("unit > least").select(F.col("least").alias("src"), F.col("unit").alias("dst")).distinct(), sets
+        members.join(hubs, "band").select("unit", F.explode("hubs").alias("hub")).where("unit <> hub")
+        .select(F.least("unit", "hub").alias("src"), F.greatest("unit", "hub").alias("dst")).distinct(), sets
     ), "paragraph-links")
     parts = components(star, "paragraph-parts")
     labelled = members.join(parts.withColumnRenamed("node", "unit"), "unit", "left").select(
