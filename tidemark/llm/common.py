@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -23,6 +24,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# On a local file system Hadoop starts a process per file it creates, as it does for the file of checksums it puts beside
+# it, each from an executor at its full size. Parquet has checksums of its own.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+FILE_ROWS = 100_000
+
+
+def few(df: DataFrame, rows: int, each: int = FILE_ROWS) -> DataFrame:
+    """``df``, of some ``rows`` rows at most, in no more partitions than two a core, or one for ``each`` so many rows."""
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / each)))
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -35,7 +45,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**PLAIN_FILES).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
@@ -94,6 +104,7 @@ def components(edges: DataFrame, label: str = "components", rounds: int = 100) -
         edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), label
     )
     kept = pairs
+    count = kept.count()
     seen = None
     for _ in range(rounds):
         # Both directions; every node also sees itself, so the minimum may be the node.
@@ -107,8 +118,8 @@ def components(edges: DataFrame, label: str = "components", rounds: int = 100) -
             F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("p").alias("v")),
                               F.struct(F.col("v").alias("u"), F.col("p").alias("v")))).alias("e")
         ).select("e.u", "e.v").where("u > v").distinct()
-        new = stage(small, label)
-        state = new.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.count_distinct("u")).first()
+        new = stage(few(small, 2 * count), label)
+        state = new.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if pairs is not kept:
             unstage(pairs)
         pairs = new

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Bloom, Pairs, bloom_test, components, plain_text, runs, several_owners, stage, unstage, words
+from .common import Bloom, Pairs, bloom_test, components, few, plain_text, runs, several_owners, stage, unstage, words
 from .suffix_dedup import BACK, BUCKET, MIX, sliding
 
 SHINGLE = 5
@@ -48,6 +48,7 @@ ROWS = 2
 BAND_COLUMNS = [f"band{k}" for k in range(BANDS)]
 HUBS = 6  # members of a band that all others are compared with first
 HELD = 1 << 18  # pairs per range of values where those of different owners are looked for
+FILE = 16 << 20  # bytes of text a partition of the result has, if there are many
 LONG = 8  # words of a sentence that ends a paragraph
 MIN_RUN = 20  # words of neighbouring repeated paragraphs that are removed
 SEEN = 1 << 17  # units that a task remembers it has given
@@ -358,11 +359,16 @@ def repeated(rows: DataFrame, kept: Bloom | None = None) -> DataFrame:
     return gone
 
 
-def passages(rows: DataFrame, kept: Bloom | None = None, texts: DataFrame | None = None) -> DataFrame:
+def volume(rows: DataFrame) -> int:
+    """Bytes of all texts."""
+    return rows.agg(F.sum(F.octet_length("text").cast("long")).alias("v")).first().v or 0
+
+
+def passages(rows: DataFrame, kept: Bloom | None = None, texts: DataFrame | None = None, size: int | None = None) -> DataFrame:
     """(doc_id, key, start, first_doc) of the windows of words of ``rows (doc_id, key, text)`` that go.
 
     ``start`` is the number of the window's first word, -1 for a whole text that an earlier document has; ``texts`` are
-    the ``first_texts`` of the rows.
+    the ``first_texts`` of the rows, ``size`` their ``volume``.
     """
     sift = sifting(kept)
 
@@ -376,9 +382,9 @@ def passages(rows: DataFrame, kept: Bloom | None = None, texts: DataFrame | None
                 # Least hashes are small numbers; times an odd one they spread over all ranges.
                 yield name[new] * MIX, part.key.to_numpy()[owner[new]]
 
-    volume = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("v")).first().v or 0
+    size = volume(rows) if size is None else size
     shared = stage(several_owners(
-        placed(rows).select("place", "key", "text"), names, buckets(volume, BUCKET)).select("value"), "paragraph-names")
+        placed(rows).select("place", "key", "text"), names, buckets(size, BUCKET)).select("value"), "paragraph-names")
     found = Bloom(shared, bits=1 << 26)
     filled, mask = found.shared, found.bits - 1
 
@@ -500,7 +506,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     none = lambda column, like: F.when(F.lit(False), column).alias(like)
     texts = stage(first_texts(rows), "paragraph-texts")
     kept = Bloom(texts.select(F.xxhash64("first.doc_id", "key").alias("place")), bits=1 << 26)
-    found, inside = repeated(rows, kept), passages(rows, kept, texts)
+    size = volume(rows)
+    found, inside = repeated(rows, kept), passages(rows, kept, texts, size)
     kept.close()
     # A copy goes whole; what else holds passages of it is what holds those of the first text like it.
     held = found.select("key", "first_doc").union(inside.where("start >= 0").select("key", "first_doc")).distinct()
@@ -544,4 +551,5 @@ def dedup(docs: DataFrame) -> DataFrame:
     )
     same = lambda df: df.select(
         *names, F.lit(0).alias("n_removed"), F.array().cast("array<long>").alias("first_docs"))
-    return changed.union(same(hit.where("__gone_gone IS NULL"))).union(same(may.where("NOT __text_may")))
+    whole = changed.union(same(hit.where("__gone_gone IS NULL"))).union(same(may.where("NOT __text_may")))
+    return few(whole, size, FILE)
