@@ -1,12 +1,13 @@
-"""What operators leave in the shared folder: few files for few rows, no files of checksums."""
+"""What operators leave in the shared folder and keep in memory: few files for few rows, no files of checksums, small memos."""
 
 from __future__ import annotations
 
 from pathlib import Path
 
+import numpy as np
 import pytest
 
-from tidemark.llm import common, paragraphs
+from tidemark.llm import alignment, common, paragraphs
 
 DOCS = [(i, " ".join(f"w{(i * 7 + k * k) % 501}" for k in range(40 + i % 9))) for i in range(80)] + [(100 + i, "the same text " * 9) for i in range(9)]
 
@@ -45,3 +46,21 @@ def test_paragraphs_give_few_partitions(spark, many_partitions):
     out = paragraphs.dedup(docs)
     assert out.rdd.getNumPartitions() <= many_partitions
     assert out.count() == len(DOCS)
+
+
+def test_memo_keeps_what_is_used_most(monkeypatch):
+    monkeypatch.setattr(alignment, "MEMO", 64)
+    given = []
+
+    def give(parts):
+        given.extend(parts)
+        return np.concatenate([[int(p), int(p) + 1] for p in parts]).astype(np.int64), np.full(len(parts), 2)
+
+    tokens = alignment.Tokens(give, [b"1"] * 5000)
+    often = [str(i) for i in range(16)]
+    for turn in range(20):
+        parts = often * 3 + [str(100 + 50 * turn + k) for k in range(50)]
+        found = tokens.spread(tokens(parts)).reshape(-1, 2)
+        assert found.tolist() == [[int(p), int(p) + 1] for p in parts]
+        assert len(tokens.memo) == len(tokens.count) == len(tokens.used) == len(tokens.whole) <= 64 + 66
+    assert all(given.count(p) == 1 for p in often)

@@ -44,7 +44,7 @@ from .pieces import SPACE, default_model, stretches
 BLOCK = 2 << 20  # bytes of text
 BATCH = 1 << 18  # bytes of text aligned at once
 RUN = 64
-MEMO = 1 << 19  # remembered pieces, and their characters by 2^5
+MEMO = 1 << 18  # remembered pieces, and their characters by 2^5
 IDS = 1 << 16  # more than either vocabulary holds
 # How A's pre-tokens end: the fixed pattern of its file format's byte-level splitting, with what Unicode calls white space.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -114,11 +114,29 @@ class Tokens:
         self.start = np.empty(0, dtype=np.int64)
         self.count = np.empty(0, dtype=np.int64)
         self.whole = np.empty(0, dtype=bool)
+        self.used = np.empty(0, dtype=np.int64)
+
+    def trim(self) -> None:
+        """Forget all but the pieces that were used most, half as many as may be remembered."""
+        parts = list(self.memo)
+        kept = np.sort(np.argsort(-self.used, kind="stable")[:MEMO // 2])
+        kept = kept[self.used[kept] > 1]
+        ids, count, whole, used = self.spread(kept), self.count[kept], self.whole[kept], self.used[kept]
+        self.clear()
+        for k in kept.tolist():
+            if self.letters > MEMO << 4:
+                break
+            self.memo[parts[k]] = len(self.memo)
+            self.letters += len(parts[k])
+        left = len(self.memo)
+        self.count, self.whole, self.used = count[:left], whole[:left], used[:left] >> 1  # what is used no more goes in time
+        self.start = np.cumsum(self.count) - self.count
+        self.ids = ids[:self.count.sum()]
 
     def __call__(self, parts: list[str]) -> np.ndarray:
         """The pieces' places."""
         if len(self.memo) > MEMO or self.letters > MEMO << 5:
-            self.clear()
+            self.trim()
         places = np.fromiter(map(self.memo.__getitem__, parts), dtype=np.int64, count=len(parts))
         new = self.memo.new
         if new:
@@ -129,6 +147,8 @@ class Tokens:
             self.count = np.concatenate([self.count, count])
             self.ids = np.concatenate([self.ids, ids])
             self.whole = np.concatenate([self.whole, self.faithful(new, ids, count)])
+            self.used = np.concatenate([self.used, np.zeros(len(new), dtype=np.int64)])
+        self.used += np.bincount(places, minlength=len(self.used))
         return places
 
     def faithful(self, parts: list[str], ids: np.ndarray, count: np.ndarray) -> np.ndarray:
