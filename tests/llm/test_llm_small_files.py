@@ -7,7 +7,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from tidemark.llm import alignment, common, paragraphs
+from tidemark.llm import alignment, common, paragraphs, setsketch
 
 DOCS = [(i, " ".join(f"w{(i * 7 + k * k) % 501}" for k in range(40 + i % 9))) for i in range(80)] + [(100 + i, "the same text " * 9) for i in range(9)]
 
@@ -48,6 +48,15 @@ def test_paragraphs_give_few_partitions(spark, many_partitions):
     assert out.count() == len(DOCS)
 
 
+def test_setsketch_stages_few_files(spark, many_partitions):
+    before = folders(spark)
+    out = setsketch.near_duplicates(spark.createDataFrame(DOCS, "doc_id long, text string"))
+    assert {r.component_id for r in out.collect() if r.doc_id >= 100} == {100}
+    assert out.rdd.getNumPartitions() <= many_partitions
+    sizes = {p.name: len(list(p.glob("*.parquet"))) for p in folders(spark) - before if p.name.startswith(("setsketch-u", "setsketch-m", "setsketch-h", "setsketch-i"))}
+    assert sizes and max(sizes.values()) <= many_partitions
+
+
 def test_memo_keeps_what_is_used_most(monkeypatch):
     monkeypatch.setattr(alignment, "MEMO", 64)
     given = []

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import Bloom, components, plain_text, stage, words
+from .common import Bloom, components, few, plain_text, stage, words
 
 SHINGLE = 3
 SIMILAR = 85  # of 100
@@ -51,6 +51,7 @@ CELL_HASHES = 1 << 20
 SLICE = 1 << 15
 TEXTS = 200  # texts whose sets are in memory at once
 MEMO = 1 << 18
+FILE_SETS = 1500  # rows with sets, or whose sketches or sets are compared, in a partition
 MIX = np.uint64(0x9E3779B97F4A7C15)
 RANDOM = np.random.default_rng(13)
 MULTIPLY = RANDOM.integers(1, 1 << 63, size=REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -207,14 +208,15 @@ def hubs(found: DataFrame) -> DataFrame:
         return pd.Series(list(band_keys(matrix(sketches))), dtype=object)
 
     bands = found.select("unit", F.posexplode(banded("sketch")).alias("number", "band"))
-    shared = stage(bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "setsketch-shared")
+    rows = found.count() * BANDS
+    shared = stage(few(bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), rows), "setsketch-shared")
     # Bands of one unit, which most are, are sifted out before the second shuffle.
     sift = Bloom(shared.select("band"), bits=1 << 26)
-    members = stage(bands.where(sift(F.col("band"))).join(shared, "band"), "setsketch-members")
+    members = stage(few(bands.where(sift(F.col("band"))).join(shared, "band"), rows), "setsketch-members")
     weight = members.groupBy("unit").agg(F.sum("size").alias("weight"))
     weighed = members.join(weight, "unit").select("band", F.struct("weight", "unit").alias("w"))
-    best = stage(
-        weighed.groupBy("band").agg(F.max("w").alias("hub")).select("band", F.col("hub.unit").alias("hub")), "setsketch-best")
+    best = stage(few(
+        weighed.groupBy("band").agg(F.max("w").alias("hub")).select("band", F.col("hub.unit").alias("hub")), rows), "setsketch-best")
     return members.join(best, "band").select("band", "number", "unit", "hub")
 
 
@@ -235,12 +237,12 @@ def likely(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return both.where(passes("a", "b", "n_a", "n_b")).select("src", "dst")
 
 
-def shingle_sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(unit, hashes) of the units in ``wanted (unit, place)``, made once more from the text at ``place (doc_id, key)``.
+def shingle_sets(rows: DataFrame, wanted: DataFrame, size: int, most: int) -> DataFrame:
+    """(unit, hashes) of the units in ``wanted (unit, place)``, ``most`` at most, made from the text at ``place (doc_id, key)``.
 
     A Bloom filter lets the other texts pass before the shuffle; their sets are never kept.
     """
-    places = stage(wanted.select("unit", "place.doc_id", "place.key"), "setsketch-places")
+    places = stage(few(wanted.select("unit", "place.doc_id", "place.key"), most), "setsketch-places")
     may = rows.where(Bloom(places.select("key"))(F.col("key"))).alias("r")
     texts = may.join(places.alias("p"), F.col("r.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("r.key") == F.col("p.key")))
 
@@ -261,7 +263,8 @@ def verified(pairs: DataFrame, rows: DataFrame, found: DataFrame, size: int) ->
     The side that stands in few pairs is fetched first; the other, which may be a hub with very many, is met where it is.
     """
     ends = pairs.select(F.explode(F.array("src", "dst")).alias("unit")).distinct()
-    side = stage(shingle_sets(rows, found.join(ends, "unit"), size), "setsketch-sets")
+    most = found.count()
+    side = stage(few(shingle_sets(rows, found.join(ends, "unit"), size, most), most, FILE_SETS), "setsketch-sets")
     both = pairs.join(side.select(F.col("unit").alias("dst"), F.col("hashes").alias("b")), "dst").join(
         side.select(F.col("unit").alias("src"), F.col("hashes").alias("a")), "src")
 
@@ -302,8 +305,8 @@ def cells(members: DataFrame, parts: DataFrame, found: DataFrame) -> DataFrame:
         "band", "number", "cell.low", "cell.high", "block", "unit", "part")
 
 
-def by_cell(members: DataFrame, apply: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """``apply`` over frames of whole cells."""
+def by_cell(members: DataFrame, apply: Callable[[pd.DataFrame], pd.DataFrame], schema: str, rows: int) -> DataFrame:
+    """``apply`` over frames of whole cells; ``rows`` is about how many ``members`` there are."""
 
     def over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -317,19 +320,21 @@ def by_cell(members: DataFrame, apply: Callable[[pd.DataFrame], pd.DataFrame], s
         if rest is not None and len(rest):
             yield apply(rest.reset_index(drop=True))
 
-    return members.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInPandas(over, schema)
+    dealt = members.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY)
+    return few(dealt, rows, FILE_SETS).mapInPandas(over, schema)  # a cell stays in one piece
 
 
 def across(members: DataFrame, parts: DataFrame, rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
     """Links (src, dst) that connect similar units of different ``parts`` that share a band."""
     side = found.select("unit", "n", "sketch")
+    most = found.count()
     doubtful = stage(by_cell(
         cells(members, parts, found).join(side, "unit"), in_doubt,
-        "band long, number int, low int, high int, block int, unit binary, part binary"), "setsketch-doubtful")
+        "band long, number int, low int, high int, block int, unit binary, part binary", most), "setsketch-doubtful")
     wanted = doubtful.select("unit").distinct()
-    sets = stage(shingle_sets(rows, found.join(wanted, "unit"), size), "setsketch-sets")
+    sets = stage(few(shingle_sets(rows, found.join(wanted, "unit"), size, most), most, FILE_SETS), "setsketch-sets")
     with_sets = doubtful.join(side.join(sets, "unit"), "unit")
-    return by_cell(with_sets, linked, "src binary, dst binary").distinct()
+    return few(by_cell(with_sets, linked, "src binary, dst binary", doubtful.count()).distinct(), most)
 
 
 PAIRS = 1 << 14  # pairs of sketches compared at once
@@ -405,11 +410,12 @@ def linked(frame: pd.DataFrame) -> pd.DataFrame:
 
 def links(rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
     """(src, dst) that connect all similar units of ``found (unit, n, sketch, place)``, made from ``rows``."""
-    members = stage(hubs(found), "setsketch-hubs")
+    most = found.count()
+    members = stage(few(hubs(found), most * BANDS), "setsketch-hubs")
     star = members.where("unit <> hub").select(F.col("hub").alias("src"), F.col("unit").alias("dst")).distinct()
-    near = stage(likely(star, found), "setsketch-likely")
-    direct = stage(verified(near, rows, found, size), "setsketch-links")
-    parts = stage(components(direct, "setsketch-parts"), "setsketch-parts")
+    near = stage(few(likely(star, found), most, FILE_SETS), "setsketch-likely")
+    direct = stage(few(verified(near, rows, found, size), near.count(), FILE_SETS), "setsketch-links")
+    parts = stage(few(components(direct, "setsketch-parts"), most), "setsketch-parts")
     return direct.union(stage(across(members, parts, rows, found, size), "setsketch-across"))
 
 
@@ -419,15 +425,17 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), plain_text().alias("text"))
     read = stage(sketched(rows, size), "setsketch")
     # One row per set: which of the equal rows is taken makes no difference.
-    once = stage(read.where("unit IS NOT NULL").groupBy("unit").agg(
+    count = read.count()
+    once = stage(few(read.where("unit IS NOT NULL").groupBy("unit").agg(
         F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "key")).alias("place"),
-        F.first("n").alias("n"), F.first("sketch").alias("sketch")), "setsketch-units")
+        F.first("n").alias("n"), F.first("sketch").alias("sketch")), count, FILE_SETS), "setsketch-units")
     joined = components(links(rows, once, size), "setsketch-components")
     members = once.join(joined.withColumnRenamed("node", "unit"), "unit", "left").select(
         "unit", "first", F.coalesce("component", "unit").alias("component"))
     lowest = members.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = stage(members.join(lowest, "component").select("unit", "component_id"), "setsketch-ids")
+    ids = stage(few(members.join(lowest, "component").select("unit", "component_id"), count), "setsketch-ids")
     own = F.when(F.col("unit").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return read.select("doc_id", "unit", F.col("n").alias("n_shingles")).join(ids, "unit", "left").select(
+    whole = read.select("doc_id", "unit", F.col("n").alias("n_shingles")).join(ids, "unit", "left").select(
         "doc_id", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return few(whole, count)
