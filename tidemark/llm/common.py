@@ -205,6 +205,28 @@ PAIRS = 1 << 18  # pairs that a task sums up together
 Pairs = Iterator[tuple[np.ndarray, np.ndarray]]
 
 
+def cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each of ``buckets`` equal ranges of 64-bit numbers starts in the sorted ``keys``, and their end."""
+    edges = np.array([(b << 64) // buckets for b in range(buckets)], dtype=np.uint64)
+    return np.append(np.searchsorted(keys, edges), len(keys))
+
+
+def packed(parts: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> pd.DataFrame:
+    """(bucket, keys, owners, several): the different keys of (keys, owners) by range, with the smallest owner of each."""
+    keys, owner = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys)
+    keys, owner = keys[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    keys = keys[first]
+    least = np.minimum.reduceat(owner, first) if len(first) else owner
+    several = least != (np.maximum.reduceat(owner, first) if len(first) else owner)
+    cut = cuts(keys, buckets)
+    return pd.DataFrame([
+        (b, keys[i:j].tobytes(), least[i:j].tobytes(), several[i:j].tobytes())
+        for b, (i, j) in enumerate(zip(cut, cut[1:])) if i < j
+    ], columns=["bucket", "keys", "owners", "several"])
+
+
 def several_owners(rows: DataFrame, pairs: Callable[[Iterator[pd.DataFrame]], Pairs], buckets: int) -> DataFrame:
     """(value, least): the values that different owners have, and the smallest of these.
 
@@ -212,31 +234,16 @@ def several_owners(rows: DataFrame, pairs: Callable[[Iterator[pd.DataFrame]], Pa
     their task and shuffled packed, by ranges of values: rows of their own would cost a multiple.
     """
 
-    def packed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-        keys, owner = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(keys)
-        keys, owner = keys[order], owner[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
-        keys = keys[first]
-        least = np.minimum.reduceat(owner, first) if len(first) else owner
-        several = least != (np.maximum.reduceat(owner, first) if len(first) else owner)
-        edges = np.array([(b << 64) // buckets for b in range(buckets)], dtype=np.uint64)
-        cut = np.append(np.searchsorted(keys, edges), len(keys))
-        return pd.DataFrame([
-            (b, keys[i:j].tobytes(), least[i:j].tobytes(), several[i:j].tobytes())
-            for b, (i, j) in enumerate(zip(cut, cut[1:])) if i < j
-        ], columns=["bucket", "keys", "owners", "several"])
-
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts, size = [], 0
         for part in pairs(frames):
             parts.append(part)
             size += len(part[0])
             if size >= PAIRS:
-                yield packed(parts)
+                yield packed(parts, buckets)
                 parts, size = [], 0
         if parts:
-            yield packed(parts)
+            yield packed(parts, buckets)
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         keys = np.concatenate([np.frombuffer(k, np.uint64) for k in frame["keys"]])

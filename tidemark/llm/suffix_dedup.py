@@ -13,11 +13,16 @@ each column's part is complete by itself. Orders and prefixes are kept as two fi
 front to back, so memory holds a few numbers per row; neighbours with a common prefix of ``LENGTH`` or more are equal
 windows, and the smallest id among them decides.
 
-What is dropped before: anchors of one document only (their keys are counted as packed 64-bit numbers, one per document
-block), and rows that are equal to another document's whole row, which follow from the smallest id of that row without
-being sorted. Both are summed up before they are shuffled, and joins with a hot anchor have a side with one row per key.
-Rows of an anchor with more than ``HOT`` different ones are compared window by window by 128-bit hashes instead, which
-needs no common task.
+What is dropped before: anchors of one document only, and rows that are equal to another document's whole row, which
+follow from the smallest id of that row without being sorted. Both are summed up before they are shuffled, and joins with
+a hot anchor have a side with one row per key. Rows of an anchor with more than ``HOT`` different ones are compared window
+by window by 128-bit hashes instead, which needs no common task.
+
+Texts are kept compressed in blocks of a few megabytes. A block sends its different keys, packed, to the ranges they are
+in and gets back a bit for each: whether another document has it. So just the places of shared anchors leave a block,
+however large the collection is, where a filter of fixed size would let through all of them; and each row that is sorted
+is cut from the one block that is asked for it. Blocks, and joins by anchor, are shuffled slice by slice, so that the
+shuffled copy of one slice is on disk at a time.
 
 Nulls and odd cases: a NULL text counts as empty; texts under ``LENGTH`` bytes keep everything; documents without an id
 keep everything and take no part; rows of one id are no smaller than each other, so repeats within an id stay; extra
@@ -26,18 +31,21 @@ columns are dropped; very long runs of one byte have an anchor at every byte and
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import os
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Bloom, bloom_test, plain_text, runs, several_owners, stage, unstage
+from .common import RUN, Bloom, cuts, packed, plain_text, stage, unstage
 
 LENGTH = 50
 GRAM = 20
@@ -48,7 +56,9 @@ ROWS = 100_000  # rows per task, on average
 BUCKET = 16 << 20  # bytes of text per range of anchor keys
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(int(MIX), -1, 1 << 64))
-BLOOM = 1 << 26
+BLOCK = 4 << 20  # bytes of text that ask for their keys together
+SLICES = 4  # shuffled one after the other, where one has
+SLICE = 64 << 20  # bytes of text or more
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -87,11 +97,15 @@ class Reader:
     def read(self, texts: Iterable[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(all bytes, text number, its text's start and end, place, key) of the smallest grams of all windows; ties all count."""
         lines = [text.encode("utf-8", "surrogatepass") for text in texts]
-        size = np.array([len(line) for line in lines], dtype=np.int64)
-        end, data = np.cumsum(size), b"".join(lines)
+        data = b"".join(lines)
+        return data, *self.anchors(data, np.array([len(line) for line in lines], dtype=np.int64))
+
+    def anchors(self, data: bytes, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same without the bytes, for texts of ``size`` bytes that follow each other in ``data``."""
+        end = np.cumsum(size)
         if not (size >= LENGTH).any():
             none = np.empty(0, np.int64)
-            return data, none, none, none, none, np.empty(0, np.uint64)
+            return none, none, none, none, np.empty(0, np.uint64)
         hashes = gram_hashes(np.frombuffer(data, np.uint8))
         least = sliding(hashes, REACH + 1, np.minimum)
         for low, high in zip(np.maximum(end - size, end - LENGTH + 1).tolist(), end.tolist()):
@@ -103,7 +117,7 @@ class Reader:
         at, owner = at[inside], owner[inside]
         # Smallest hashes are small numbers; mixed again they spread over all ranges.
         keys = hashes[at]
-        return data, owner, (end - size)[owner], end[owner], at, (keys ^ (keys >> np.uint64(27))) * MIX
+        return owner, (end - size)[owner], end[owner], at, (keys ^ (keys >> np.uint64(27))) * MIX
 
     def rows(self, data: bytes, low: np.ndarray, at: np.ndarray, high: np.ndarray) -> np.ndarray:
         """A hash of each row ``data[low:high]`` with its anchor at ``at``: its bytes times powers of ``MIX``."""
@@ -172,72 +186,141 @@ def column_sort(ahead: np.ndarray, rows: list[bytes], owner: np.ndarray, folder:
     return flags
 
 
-def shared_keys(rows: DataFrame) -> DataFrame:
-    """(anchor): keys that more than one document holds, from ``rows (doc_id, text)``."""
-    volume = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("v")).first().v or 0
-    buckets = max(1, math.ceil(volume / BUCKET))
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """(block, volume, docs, keys, sizes, data): ``rows (doc_id, text_key, text)`` packed, their bytes compressed."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, volume = TaskContext.get().partitionId() << 32, [], 0
+
+        def row() -> pa.RecordBatch:
+            docs, keys, sizes, data = zip(*held)
+            values = [np.concatenate(x).tobytes() for x in (docs, keys, sizes)]
+            values.append(pa.Codec("zstd", compression_level=3).compress(b"".join(data), asbytes=True))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x], pa.int64()) for x in (block, volume)] + [pa.array([x], pa.binary()) for x in values],
+                names=["block", "volume", "docs", "keys", "sizes", "data"])
+
+        for batch in batches:
+            docs, keys = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc_id", "text_key"))
+            texts = batch.column("text").cast(pa.large_binary())
+            edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+            low = 0
+            while low < len(texts):
+                # The text that fills a block is its last.
+                high = min(len(texts), int(np.searchsorted(edges[low + 1:], edges[low] + BLOCK - volume)) + low + 1)
+                data = texts.buffers()[2]
+                held.append((docs[low:high], keys[low:high], np.diff(edges[low:high + 1]),
+                             data[int(edges[low]):int(edges[high])].to_pybytes() if data else b""))
+                volume += int(edges[high] - edges[low])
+                low = high
+                if volume >= BLOCK:
+                    yield row()
+                    block, held, volume = block + 1, [], 0
+        if held:
+            yield row()
+
+    return rows.select("doc_id", "text_key", "text").mapInArrow(
+        pack, "block long, volume long, docs binary, keys binary, sizes binary, data binary")
+
+
+def sections(frame: pd.DataFrame, reader: Reader) -> Iterator[tuple[np.ndarray, np.ndarray, bytes, tuple[np.ndarray, ...]]]:
+    """(ids, text keys, bytes, anchors) of the one block in ``frame``, some ``RUN`` bytes or one text at a time."""
+    (row,) = frame.itertuples()
+    docs, keys, size = (np.frombuffer(x, np.int64) for x in (row.docs, row.keys, row.sizes))
+    data = pa.Codec("zstd").decompress(row.data, int(size.sum()), asbytes=True)
+    end = np.cumsum(size)
+    number = end // RUN
+    edges = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1], [True]]))
+    for a, b in zip(edges, edges[1:]):
+        part = data[end[a] - size[a]:end[b - 1]]
+        yield docs[a:b], keys[a:b], part, reader.anchors(part, size[a:b])
+
+
+def shared_keys(blocks: DataFrame, buckets: int) -> DataFrame:
+    """(block, bucket, bits): a bit for each different key that the block has in that range of keys, in their order.
+
+    It is set where another document has the key as well; ranges without such a key are left out.
+    """
 
-    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        reader = Reader()
-        for frame in frames:
-            for part in runs(frame):
-                _, owner, _, _, _, keys = reader.read(part.text)
-                yield keys, part.doc_id.to_numpy()[owner]
+    def ask(frame: pd.DataFrame) -> pd.DataFrame:
+        found = [(codes, docs[owner]) for docs, _, _, (owner, *_, codes) in sections(frame, Reader())]
+        return packed(found, buckets).assign(block=frame.block.iloc[0])
 
-    return several_owners(rows.select("doc_id", "text"), pairs, buckets).select(F.col("value").alias("anchor"))
+    def meet(frame: pd.DataFrame) -> pd.DataFrame:
+        keys = np.concatenate([np.frombuffer(k, np.uint64) for k in frame["keys"]])
+        owner = np.concatenate([np.frombuffer(o, np.int64) for o in frame.owners])
+        several = np.concatenate([np.frombuffer(s, bool) for s in frame.several])
+        order = np.argsort(keys)
+        keys, owner, several = keys[order], owner[order], several[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        found = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
+        found |= np.logical_or.reduceat(several, first)
+        shared = np.empty(len(keys), dtype=bool)
+        shared[order] = np.repeat(found, np.diff(np.append(first, len(keys))))
+        parts = np.split(shared, np.cumsum(frame["keys"].str.len().to_numpy() // 8)[:-1])
+        return pd.DataFrame(
+            [(a, b, np.packbits(part).tobytes()) for a, b, part in zip(frame.block, frame.bucket, parts) if part.any()],
+            columns=["block", "bucket", "bits"])
 
+    asked = blocks.groupBy("block").applyInPandas(ask, "bucket int, keys binary, owners binary, several binary, block long")
+    return asked.groupBy("bucket").applyInPandas(meet, "block long, bucket int, bits binary")
 
-def places(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """(anchor, row, doc_id, text_key, at): where the shared anchors stand; ``row`` is a hash of the row there.
 
-    What the filter lets through beside them are anchors of one document, which nothing comes of.
-    """
-    bloom = Bloom(keys, BLOOM)
-    filled, mask = bloom.shared, bloom.bits - 1
+def with_blocks(blocks: DataFrame, other: DataFrame, read: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """What ``read`` makes of each block and the rows of ``other`` that name it; blocks that none names are passed over."""
 
-    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader()
-        for frame in frames:
-            for part in runs(frame):
-                data, *found = reader.read(part.text)
-                keep = np.flatnonzero(bloom_test(filled.value, found[-1].view(np.int64), mask))
-                owner, start, end, at, codes = (x[keep] for x in found)
-                low, high = row_bounds(at, start, end)
-                yield pd.DataFrame({
-                    "anchor": codes.view(np.int64), "row": reader.rows(data, low, at, high),
-                    "doc_id": part.doc_id.to_numpy()[owner], "text_key": part.text_key.to_numpy()[owner],
-                    "at": (at - start).astype(np.int32),
-                })
-
-    return rows.mapInPandas(find, "anchor long, row long, doc_id long, text_key long, at int")
-
-
-def rows_to_sort(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(anchor, row, owner, ahead, data) for ``wanted (anchor, row, owner, text_key)``: one row of text each."""
-    cell = F.col("anchor").bitwiseXOR(F.col("row")).bitwiseXOR(F.col("text_key"))  # three hashes
-    texts, cells = Bloom(wanted.select("text_key")), Bloom(wanted.select(cell.alias("cell")), BLOOM)
-    filled, mask = texts.shared, texts.bits - 1
-    known, known_mask = cells.shared, cells.bits - 1
-
-    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def both(block: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        return read(block, rows) if len(block) and len(rows) else pd.DataFrame()
+
+    return blocks.groupBy("block").cogroup(other.groupBy("block")).applyInPandas(both, schema)
+
+
+def places(blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame:
+    """(anchor, row, doc_id, text_key, at, block): where the shared anchors stand; ``row`` is a hash of the row there."""
+
+    def find(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         reader = Reader()
-        for frame in frames:
-            may = bloom_test(filled.value, frame.text_key.to_numpy(), mask)
-            for part in runs(frame[may]):
-                data, owner, start, end, at, codes = reader.read(part.text)
-                low, high = row_bounds(at, start, end)
-                codes, hashes = codes.view(np.int64), reader.rows(data, low, at, high)
-                keep = np.flatnonzero(bloom_test(known.value, codes ^ hashes ^ part.text_key.to_numpy()[owner], known_mask))
-                out = pd.DataFrame({
-                    "anchor": codes[keep], "row": hashes[keep], "ahead": (at - low)[keep].astype(np.int32),
-                    "low": low[keep], "high": high[keep],
-                }).drop_duplicates(["anchor", "row"])
-                out["data"] = [data[a:b] for a, b in zip(out.pop("low").tolist(), out.pop("high").tolist())]
-                yield out
-
-    made = rows.select("text_key", "text").mapInPandas(find, "anchor long, row long, ahead int, data binary")
-    return made.join(wanted.select("anchor", "row", "owner"), ["anchor", "row"]).groupBy("anchor", "row").agg(
-        F.first("owner").alias("owner"), F.first("ahead").alias("ahead"), F.first("data").alias("data"))
+        parts = list(sections(block, reader))
+        distinct, number = np.unique(np.concatenate([found[-1] for *_, found in parts]), return_inverse=True)
+        shared, cut = np.zeros(len(distinct), dtype=bool), cuts(distinct, buckets)
+        for bucket, bits in zip(answers.bucket, answers.bits):
+            low, high = cut[bucket], cut[bucket + 1]
+            shared[low:high] = np.unpackbits(np.frombuffer(bits, np.uint8), count=high - low)
+        shared, out, done = shared[number], [], 0
+        for docs, keys, data, found in parts:
+            keep = np.flatnonzero(shared[done:done + len(found[-1])])
+            done += len(found[-1])
+            owner, start, end, at, codes = (x[keep] for x in found)
+            low, high = row_bounds(at, start, end)
+            out.append(pd.DataFrame({
+                "anchor": codes.view(np.int64), "row": reader.rows(data, low, at, high), "doc_id": docs[owner],
+                "text_key": keys[owner], "at": (at - start).astype(np.int32),
+            }))
+        return pd.concat(out, ignore_index=True).assign(block=block.block.iloc[0])
+
+    return with_blocks(blocks, answers, find, "anchor long, row long, doc_id long, text_key long, at int, block long")
+
+
+def rows_to_sort(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(anchor, row, owner, ahead, data) for ``wanted (anchor, row, owner, block)``: one row of text each."""
+
+    def cut(block: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        reader, out = Reader(), []
+        wanted = wanted[["anchor", "row", "owner"]]
+        anchors = np.sort(wanted.anchor.to_numpy())
+        for _, _, data, (_, start, end, at, codes) in sections(block, reader):
+            codes = codes.view(np.int64)
+            keep = np.flatnonzero(anchors[np.minimum(np.searchsorted(anchors, codes), len(anchors) - 1)] == codes)
+            at, codes = at[keep], codes[keep]
+            low, high = row_bounds(at, start[keep], end[keep])
+            found = pd.DataFrame({
+                "anchor": codes, "row": reader.rows(data, low, at, high), "ahead": (at - low).astype(np.int32), "low": low, "high": high,
+            }).drop_duplicates(["anchor", "row"]).merge(wanted, on=["anchor", "row"])
+            found["data"] = [data[a:b] for a, b in zip(found.pop("low").tolist(), found.pop("high").tolist())]
+            out.append(found)
+        return pd.concat(out, ignore_index=True).drop_duplicates(["anchor", "row"])
+
+    return with_blocks(blocks, wanted, cut, "anchor long, row long, owner long, ahead int, data binary")
 
 
 def sorted_flags(found: DataFrame, hot: int) -> DataFrame:
@@ -293,6 +376,14 @@ def covered(size: int, at: list[int], flags: list[int]) -> list[tuple[int, int]]
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
+def sliced(make: Callable[[Callable[[Column], Column]], DataFrame], slices: int, label: str) -> DataFrame:
+    """All that ``make(holds)`` makes for each slice, staged one after the other; ``holds(value)`` is true in the slice of a value."""
+    parts = []
+    for k in range(slices):
+        parts.append(stage(make(lambda value, k=k: F.pmod(F.shiftright(value, 1), F.lit(slices)) == k), label))
+    return functools.reduce(DataFrame.union, parts)
+
+
 def removals(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, text_key, marks): staged, the anchors of ``docs`` at which bytes go, as (at, flags): the windows that do.
 
@@ -300,30 +391,45 @@ def removals(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """
     rows = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), plain_text().alias("text"))
-    keys = stage(shared_keys(rows), "suffix-anchors")
-    found = stage(places(rows, keys), "suffix-places")
-    unstage(keys)
-    # The smallest id that has a row, and a text that has it, which may be another's.
+    blocks = stage(blocks_of(rows), "suffix-blocks")
+    volume = blocks.agg(F.sum("volume").alias("v")).first().v or 0
+    buckets, slices = max(1, math.ceil(volume / BUCKET)), min(SLICES, max(1, volume // SLICE))
+    answers = stage(shared_keys(blocks, buckets), "suffix-anchors")
+    found = sliced(lambda holds: places(
+        blocks.where(holds(F.hash("block"))), answers.where(holds(F.hash("block"))), buckets), slices, "suffix-places")
+    unstage(answers)
+    # The smallest id that has a row, and a block that has it, where it may be another's.
     by_row = stage(found.groupBy("anchor", "row").agg(
-        F.min("doc_id").alias("owner"), F.min("text_key").alias("text_key")), "suffix-rows")
-    by_anchor = by_row.groupBy("anchor").agg(
-        F.min("row").alias("a"), F.max("row").alias("b"), F.min("owner").alias("d"), F.max("owner").alias("e"))
-    # Different rows of different documents: only there can a window be equal and the row not.
-    mixed = by_anchor.where("a <> b AND d <> e").select("anchor")
-    wanted = stage(by_row.join(mixed, "anchor", "left_semi"), "suffix-wanted")
-    to_sort = stage(rows_to_sort(rows, wanted), "suffix-sort")
-    unstage(wanted)
+        F.min("doc_id").alias("owner"), F.min("block").alias("block")), "suffix-rows")
+
+    def different(holds: Callable[[Column], Column]) -> DataFrame:
+        mine = by_row.where(holds(F.col("anchor")))
+        by_anchor = mine.groupBy("anchor").agg(
+            F.min("row").alias("a"), F.max("row").alias("b"), F.min("owner").alias("d"), F.max("owner").alias("e"))
+        # Different rows of different documents: only there can a window be equal and the row not.
+        return mine.join(by_anchor.where("a <> b AND d <> e").select("anchor"), "anchor", "left_semi")
+
+    wanted = sliced(different, slices, "suffix-wanted")
+    to_sort = sliced(lambda holds: rows_to_sort(
+        blocks.where(holds(F.hash("block"))), wanted.where(holds(F.hash("block")))), slices, "suffix-sort")
+    for done in (wanted, blocks):
+        unstage(done)
     flags = stage(sorted_flags(to_sort, hot), "suffix-flags")
     unstage(to_sort)
-    known = by_row.join(flags, ["anchor", "row"], "left").select(
-        "anchor", "row", F.col("owner").alias("least"), F.coalesce("flags", F.lit(0)).alias("flags"))
-    marks = found.join(known, ["anchor", "row"]).select(
-        "doc_id", "text_key", "at", F.when(F.col("doc_id") > F.col("least"), F.lit(-1).cast("long")).otherwise(F.col("flags")).alias("flags"),
-    ).where("flags <> 0")
-    gone = stage(
-        marks.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "flags")).alias("marks")), "suffix-marks")
+
+    def marked(holds: Callable[[Column], Column]) -> DataFrame:
+        known = by_row.where(holds(F.col("anchor"))).join(flags, ["anchor", "row"], "left").select(
+            "anchor", "row", F.col("owner").alias("least"), F.coalesce("flags", F.lit(0)).alias("flags"))
+        return found.where(holds(F.col("anchor"))).join(known, ["anchor", "row"]).select(
+            "doc_id", "text_key", "at", F.when(F.col("doc_id") > F.col("least"), F.lit(-1).cast("long")).otherwise(F.col("flags")).alias("flags"),
+        ).where("flags <> 0")
+
+    marks = sliced(marked, slices, "suffix-marked")
     for done in (found, by_row, flags):
         unstage(done)
+    gone = stage(
+        marks.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "flags")).alias("marks")), "suffix-marks")
+    unstage(marks)
     return gone
 
 
